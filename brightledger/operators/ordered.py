@@ -61,7 +61,8 @@ def last_before(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, s
     key and day; the last fact of earlier days comes from a table of one row per key and
     day. Probes without an earlier fact keep null payloads.
     """
-    fact = F.struct(F.col(since).alias("t"), *rank, *[F.col(p) for p in payload])
+    fact = F.struct(F.col(since).alias("__t"), *[F.col(r).alias(f"__r{i}") for i, r in enumerate(rank)],
+                    *[F.col(p) for p in payload])
     day_facts = facts.where(F.col(since).isNotNull()).select(
         *keys, F.col(since).cast("date").alias("__day"), F.col(since).cast("timestamp_ntz").alias("__at"), fact.alias("__fact"))
     asked = probes.select(*keys, F.col(at).cast("date").alias("__day"),
@@ -89,34 +90,45 @@ def last_before(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, s
 
 def earliest_within(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since: str,
                     minutes: int, pick: Column, name: str) -> DataFrame:
-    """Smallest ``pick`` among facts 0 to ``minutes`` minute boundaries before each probe.
+    """Smallest ``pick`` among facts at or before a probe and 0 to ``minutes`` minute boundaries away.
 
-    Facts shrink to one row per key and minute first. The minute axis is cut in blocks of
-    ``minutes``; the window that ends at a probe is a suffix of one block and a prefix of
-    the next, so two running minima give the answer without forming pairs, and a block of
-    one key never holds more than ``minutes`` fact rows.
+    Probes without such a fact are dropped. Facts of earlier minutes shrink to one row per
+    key and minute. The minute axis is cut in blocks of ``minutes``; the window that ends
+    before a probe's minute is a suffix of one block and a prefix of the next, so two running
+    minima answer it without forming pairs, and a block of one key never holds more than
+    ``minutes`` fact rows. Facts of the probe's own minute are compared by exact time.
     """
     block = F.lit(minutes)
-    per_minute = (facts.where(F.col(since).isNotNull())
-                  .withColumn("__m", unit_no("MINUTE", since))
-                  .groupBy(*keys, "__m").agg(F.min(pick).alias("__v")))
-    own = per_minute.select(*keys, F.floor(F.col("__m") / block).alias("__blk"),
-                            F.pmod("__m", block).alias("__off"), F.col("__v").alias("__head"))
-    late = per_minute.select(*keys, (F.floor(F.col("__m") / block) + 1).alias("__blk"),
-                             F.pmod("__m", block).alias("__off"), F.col("__v").alias("__tail"))
-    asked = (probes.where(F.col(at).isNotNull()).select(*keys, unit_no("MINUTE", at).alias("__m")).distinct()
-             .select(*keys, F.floor(F.col("__m") / block).alias("__blk"),
-                     F.pmod("__m", block).alias("__off"), F.lit(True).alias("__probe")))
-    rows = (own.unionByName(late, allowMissingColumns=True).unionByName(asked, allowMissingColumns=True)
+    timed = facts.where(F.col(since).isNotNull()).select(
+        *keys, unit_no("MINUTE", since).alias("__m"), F.col(since).alias("__t"), pick.alias("__v"))
+    asked = probes.where(F.col(at).isNotNull()).select(*keys, unit_no("MINUTE", at).alias("__m"), F.col(at).alias("__t")).distinct()
+    asked_minutes = asked.select(*keys, "__m").distinct()
+
+    def place(df: DataFrame, shift: int = 0) -> list[Column]:
+        return [*[F.col(k) for k in keys], (F.floor(F.col("__m") / block) + shift).alias("__blk"),
+                F.pmod("__m", block).alias("__off")]
+
+    per_minute = timed.groupBy(*keys, "__m").agg(F.min("__v").alias("__v"))
+    rows = (per_minute.select(*place(per_minute), F.col("__v").alias("__head"))
+            .unionByName(per_minute.select(*place(per_minute, 1), F.col("__v").alias("__tail")), allowMissingColumns=True)
+            .unionByName(asked_minutes.select(*place(asked_minutes), F.lit(True).alias("__probe")), allowMissingColumns=True)
             .groupBy(*keys, "__blk", "__off")
             .agg(F.min("__head").alias("__head"), F.min("__tail").alias("__tail"), F.max("__probe").alias("__probe")))
-    up = Window.partitionBy(*keys, "__blk").orderBy("__off").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    up = Window.partitionBy(*keys, "__blk").orderBy("__off").rowsBetween(Window.unboundedPreceding, -1)
     down = (Window.partitionBy(*keys, "__blk").orderBy(F.col("__off").desc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    best = (rows.withColumn("__p", F.min("__head").over(up)).withColumn("__s", F.min("__tail").over(down))
-            .where("__probe").withColumn(name, F.least("__p", "__s")).where(F.col(name).isNotNull())
-            .select(*keys, (F.col("__blk") * block + F.col("__off")).alias("__m"), name))
-    return probes.withColumn("__m", unit_no("MINUTE", at)).join(best, [*keys, "__m"]).drop("__m")
+    before = (rows.withColumn("__p", F.min("__head").over(up)).withColumn("__s", F.min("__tail").over(down))
+              .where("__probe")
+              .select(*keys, (F.col("__blk") * block + F.col("__off")).alias("__m"), F.least("__p", "__s").alias("__before")))
+    none = F.lit(None).cast(timed.schema["__v"].dataType)
+    same = (timed.join(asked_minutes, [*keys, "__m"], "left_semi").withColumn("__q", F.lit(0))
+            .unionByName(asked.withColumn("__v", none).withColumn("__q", F.lit(1))))
+    along = (Window.partitionBy(*keys, "__m").orderBy("__t", "__q")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    within = same.withColumn("__same", F.min("__v").over(along)).where("__q = 1").select(*keys, "__m", "__t", "__same")
+    best = (within.join(before, [*keys, "__m"], "left").withColumn(name, F.least("__same", "__before"))
+            .where(F.col(name).isNotNull()).select(*keys, "__t", name))
+    return probes.withColumn("__t", F.col(at)).join(best, [*keys, "__t"]).drop("__t")
 
 
 def running(df: DataFrame, keys: list[str], bucket: Column, order: list[Column], value: Column, name: str,

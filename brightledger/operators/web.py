@@ -22,34 +22,43 @@ LA, NY = "America/Los_Angeles", "America/New_York"
 PageRules = Sequence[tuple[str, str]]
 SESSION = ["fullVisitorId", "visitNumber"]
 
-category, action, label = F.col("eventCategory"), F.col("eventAction"), F.col("eventLabel")
+def category() -> Column:
+    return F.col("eventCategory")
+
+
+def action() -> Column:
+    return F.col("eventAction")
+
+
+def label() -> Column:
+    return F.col("eventLabel")
 
 
 # ---- predicates shared by the reports (null labels make them null, which counts as false)
 
 def shown() -> Column:
-    return has(label, "show") & ~has(label, "reminder") & ~has(label, "remainder")
+    return has(label(), "show") & ~has(label(), "reminder") & ~has(label(), "remainder")
 
 
 def popup_shown(sms: bool) -> Column:
     """A popup display that counts in the reports; thank-you and already-subscribed ones do not."""
-    kind = has(label, "sms") if sms else ~has(label, "sms")
-    return (category == "popups") & shown() & kind & ~has(label, "subscribed-popup") & ~has(label, "ty")
+    kind = has(label(), "sms") if sms else ~has(label(), "sms")
+    return (category() == "popups") & shown() & kind & ~has(label(), "subscribed-popup") & ~has(label(), "ty")
 
 
 def popup_subscribed(sms: bool, text: str = "-subs", skip_subscribed: bool = True) -> Column:
-    kind = has(label, "sms") if sms else ~has(label, "sms")
-    cond = (F.lower(category) == "popups") & has(label, text) & ~has(label, "error") & kind
-    return cond & ~has(label, "subscribed-popup") if skip_subscribed else cond
+    kind = has(label(), "sms") if sms else ~has(label(), "sms")
+    cond = (F.lower(category()) == "popups") & has(label(), text) & ~has(label(), "error") & kind
+    return cond & ~has(label(), "subscribed-popup") if skip_subscribed else cond
 
 
 def registered(where: str | None = None) -> Column:
-    cond = (F.lower(category) == "newsletter registration") & (F.lower(action) == "user subscribed")
-    return cond & has(label, where) if where else cond
+    cond = (F.lower(category()) == "newsletter registration") & (F.lower(action()) == "user subscribed")
+    return cond & has(label(), where) if where else cond
 
 
 def added_to_cart() -> Column:
-    return (action == "Cart") & (label == "AddToCart")
+    return (action() == "Cart") & (label() == "AddToCart")
 
 
 def revenue() -> Column:
@@ -135,8 +144,8 @@ def tag_traffic(df: DataFrame, stable_ids: Sequence[int] | None = None, snapshot
 
 def popup_exposure(hits: DataFrame) -> DataFrame:
     """Sessions that saw a newsletter or text-message popup: one row each with two flags."""
-    seen = hits.where((category == "popups") & shown())
-    return seen.groupBy(*SESSION).agg(F.max(~has(label, "sms")).alias("NL_Pop"), F.max(has(label, "sms")).alias("SMS_Pop"))
+    seen = hits.where((category() == "popups") & shown())
+    return seen.groupBy(*SESSION).agg(F.max(~has(label(), "sms")).alias("NL_Pop"), F.max(has(label(), "sms")).alias("SMS_Pop"))
 
 
 def subscription_pages(hits: DataFrame, rules: PageRules, kind: str = "newsletter", tz: str = LA) -> DataFrame:
@@ -145,7 +154,7 @@ def subscription_pages(hits: DataFrame, rules: PageRules, kind: str = "newslette
     Kinds: ``newsletter`` (popup or footer), ``registration`` (popup or registration event),
     ``sms`` and ``sms_any`` (also when the visitor was already subscribed).
     """
-    footer = has(action, "newsletter subscription") & has(label, "success")
+    footer = has(action(), "newsletter subscription") & has(label(), "success")
     cond = {
         "newsletter": F.coalesce(popup_subscribed(False), F.lit(False)) | footer,
         "registration": F.coalesce(popup_subscribed(False, skip_subscribed=False), F.lit(False)) | registered(),
@@ -200,7 +209,7 @@ def subscription_report(hits: DataFrame, ref: DataFrame, media_types: DataFrame,
         "NL_Subscribers": sub & nl, "Non_NL_Subscribers": ~sub & nl,
         "SMS_Subscribers": sub & sms, "Non_SMS_Subscribers": ~sub & sms,
         "SMS_subs": popup_subscribed(True), "ATC": added_to_cart(),
-        "Lens_Funnel_Start": has(action, "lens funnel") & has(action, "step 1"),
+        "Lens_Funnel_Start": has(action(), "lens funnel") & has(action(), "step 1"),
         "Initiate_Checkout": has("pagePath", "checkout/onepage"),
     }
     if split:
@@ -211,7 +220,7 @@ def subscription_report(hits: DataFrame, ref: DataFrame, media_types: DataFrame,
         }
     else:
         visitors |= {"NL_subs": popup,
-                     "Footer_NL_subs": has(action, "newsletter subscription") & has(label, "success")}
+                     "Footer_NL_subs": has(action(), "newsletter subscription") & has(label(), "success")}
 
     def times(c: Column) -> Column:
         return F.coalesce(c, F.lit(False)).cast("long")
@@ -228,14 +237,14 @@ def subscription_report(hits: DataFrame, ref: DataFrame, media_types: DataFrame,
 
 def popup_location(hits: DataFrame, ref: DataFrame, rules: PageRules, stable_ids: Sequence[int], tz: str = LA) -> DataFrame:
     """Popups shown and subscriptions by page type and action, for sessions that saw a popup."""
-    exposed = hits.where((category == "popups") & shown() & ~has(label, "subscribed-popup-showed")
-                         & ~has(label, "ty-popup-showed")).select(*SESSION).distinct()
+    exposed = hits.where((category() == "popups") & shown() & ~has(label(), "subscribed-popup-showed")
+                         & ~has(label(), "ty-popup-showed")).select(*SESSION).distinct()
     inside = hits.join(exposed, SESSION, "left_semi")
     landing = landing_page(inside, rules).drop("landing_Page")
     touch = first_touch(inside, ref, tz)
-    events = inside.where((category == "popups") & (has(label, "show") | has(label, "-subs")) & ~has(label, "reminder")
-                          & ~has(label, "remainder") & ~has(label, "subscribed-popup") & ~has(label, "ty-popup")
-                          & ~has(label, "error"))
+    events = inside.where((category() == "popups") & (has(label(), "show") | has(label(), "-subs")) & ~has(label(), "reminder")
+                          & ~has(label(), "remainder") & ~has(label(), "subscribed-popup") & ~has(label(), "ty-popup")
+                          & ~has(label(), "error"))
     events = tag_traffic(events, stable_ids)
     rows = (events.withColumn("Date", local_day("visitStartTime", tz))
             .withColumn("Device", F.when(F.lower("deviceCategory") == "mobile", "Mobile").otherwise("Desktop"))
@@ -248,7 +257,7 @@ def popup_location(hits: DataFrame, ref: DataFrame, rules: PageRules, stable_ids
     return flag_report(
         rows, ["Date", "Device", "Traffic_Type", "Media", "landing_Page_Type", "Page_Type", "eventAction"],
         {"Users": F.lit(True)},
-        sums={"NL_Popup_Shown": times(shown() & ~has(label, "sms")), "SMS_Popup_Shown": times(shown() & has(label, "sms")),
+        sums={"NL_Popup_Shown": times(shown() & ~has(label(), "sms")), "SMS_Popup_Shown": times(shown() & has(label(), "sms")),
               "NL_subs": times(popup_subscribed(False)), "SMS_subs": times(popup_subscribed(True))})
 
 
@@ -261,7 +270,7 @@ def banner_report(hits: DataFrame, ref: DataFrame, kind: str = "impression", tz:
     banner; an order of a session counts under each banner of it, as does its revenue.
     """
     place = ["Date", "deviceCategory", "country", "region", "Media"]
-    banner = hits.where(has(action, f"hp banner {kind}"))
+    banner = hits.where(has(action(), f"hp banner {kind}"))
     banner = with_media(banner.withColumn("Date", local_day("visitStartTime", tz)), ref)
     visits = banner.groupBy(*place, "fullVisitorId", "visitNumber", "visitStartTime").agg(
         F.count_distinct(path_only("pagePath")).alias("pages"), F.max("time").alias("last_ms"))
@@ -273,7 +282,7 @@ def banner_report(hits: DataFrame, ref: DataFrame, kind: str = "impression", tz:
                                         F.sum("p").alias("pageviews"), F.sum("t").alias("timeOnSite"))
     dims = ["Date", "isFirstVisit", "deviceCategory", "country", "region", "eventLabel", "eventAction", "Media"]
     per_visit = (banner.withColumn("isFirstVisit", F.when(F.col("visitNumber") == 1, "y").otherwise("n"))
-                 .withColumn("eventLabel", F.lower(label)).withColumn("eventAction", F.lower(action))
+                 .withColumn("eventLabel", F.lower(label())).withColumn("eventAction", F.lower(action()))
                  .groupBy(*dims, "fullVisitorId", "visitNumber")
                  .agg(F.sum("totalHits").alias("hits"), F.count(F.lit(1)).alias("n")))
     # every order of the session repeats the session's counts, so keep counts and orders apart
@@ -324,12 +333,12 @@ def minipage_daily(hits: DataFrame, ref: DataFrame, tz: str = NY, excluded_count
                       F.floor(F.col("visit_end") / 1000).alias("Session_Time"),
                       F.floor(F.col("page_end") / 1000).alias("Page_Time")).distinct())
     inside = hits.where(F.col("country") != excluded_country).drop("bounces").join(landed, key)
-    lp = category.contains("Marketing LP")
-    flags = {"General_Click": lp & has(action, "click") & ~has(action, "color")}
-    flags |= {f"{c}_Click": lp & action.contains(f"{c} Click") for c in CLICKS}
+    lp = category().contains("Marketing LP")
+    flags = {"General_Click": lp & has(action(), "click") & ~has(action(), "color")}
+    flags |= {f"{c}_Click": lp & action().contains(f"{c} Click") for c in CLICKS}
     popup = popup_subscribed(False, "-subsc", skip_subscribed=False)
     flags |= {"NL_subs": F.coalesce(popup, F.lit(False)) | registered(), "Popup_subs": popup,
-              "Onetap_subs": registered("one tap"), "ATC": has(label, "addtocart")}
+              "Onetap_subs": registered("one tap"), "ATC": has(label(), "addtocart")}
     dims = ["Date", "deviceCategory", "page", "Media"]
     tx = inside.where("transactionId is not null").groupBy(*key, "transactionId").agg(F.lit(1).alias("one"))
     tx = tx.groupBy(*key).agg(F.count(F.lit(1)).alias("transactions"))
@@ -354,9 +363,9 @@ def minipage_daily(hits: DataFrame, ref: DataFrame, tz: str = NY, excluded_count
 def minipage_events(hits: DataFrame, ref: DataFrame, tz: str = NY, excluded_country: str = "Israel") -> DataFrame:
     """Users and events of small sites by action, label (null when it holds ``v2``) and page."""
     rows = hits.where((F.col("country") != excluded_country) & has("hostname", "minipage")
-                      & category.contains("Marketing LP"))
+                      & category().contains("Marketing LP"))
     rows = with_media(rows.withColumn("Date", local_day("visitStartTime", tz)), ref)
-    rows = (rows.withColumn("eventLabel", F.when(~F.coalesce(label.contains("v2"), F.lit(False)), label))
+    rows = (rows.withColumn("eventLabel", F.when(~F.coalesce(label().contains("v2"), F.lit(False)), label()))
             .withColumn("Page", path_only("pagePath")))
     return flag_report(rows, ["Date", "deviceCategory", "Media", "eventAction", "eventLabel", "Page"],
                        {"Users": F.lit(True)}, sums={"Total": F.lit(1)})

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["web"]
+AREAS = ["web", "email"]
 
 
 def load():

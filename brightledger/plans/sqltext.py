@@ -95,3 +95,44 @@ PATH = "split_part({0}, '?', 1)"
 def page_type(col: str) -> str:
     """Page type of the path part of a column."""
     return PAGE_TYPE.format(PATH.format(col))
+
+EMAIL = "CASE WHEN o_custkey % 97 = 5 THEN '' ELSE CASE WHEN o_custkey % 2 = 0 THEN 'U' ELSE 'u' END || o_custkey || '@x' END"
+
+ITEMS = f"""items AS (SELECT o_orderkey AS Order_Number, o_custkey, o_orderdate + to_minutes(o_orderkey % 1440) AS Creation_Datetime,
+  {EMAIL} AS customer_email,
+  CASE p_size % 5 WHEN 0 THEN 'Contact Lenses' WHEN 1 THEN CASE WHEN p_size % 2 = 0 THEN 'Accessories' ELSE 'Product Upgrade' END ELSE 'Eyeglasses' END AS EyewearType,
+  CASE WHEN p_size % 5 = 0 THEN 'Contact Lenses' ELSE p_type END AS FrameType,
+  ['Progressive','Single Vision','Bifocal'][p_size % 3 + 1] AS LensType, p_brand AS brand, p_name AS Item_Name,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'Main' ELSE 'AU' END AS Store, ['mobile','desktop','tablet'][o_orderkey % 3 + 1] AS Device,
+  CASE o_orderkey % 10 WHEN 0 THEN NULL WHEN 1 THEN 'TEST100x' WHEN 2 THEN 'Trial1' ELSE 'SAVE' || o_orderkey % 3 END AS Order_Coupon,
+  CASE o_custkey % 4 WHEN 0 THEN 'code-batchA-' || o_custkey % 7 WHEN 1 THEN 'code-other-' || o_custkey % 7 END AS affiliate_code,
+  CAST(p_partkey % 90 + 10 AS VARCHAR) || '-' || p_partkey AS FinalShortSKU,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'New' ELSE 'Returning' END AS New_Returning,
+  l_quantity AS Item_Qty_Ordered, l_extendedprice AS Item_Price, l_extendedprice * (1 - l_discount) AS ItemRevenue,
+  l_extendedprice * (1 - l_discount) * l_tax AS Item_Tax, o_totalprice AS Order_SubTotal,
+  l_extendedprice * l_discount * 0.1 AS Item_Gift_Certificate_Amount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
+MAIL = EV + """,
+mailev AS (SELECT *, CASE WHEN user_id % 2 = 0 THEN 'U' ELSE 'u' END || user_id || '@x' AS mail,
+    CASE WHEN event_id % 50 <> 7 THEN CASE WHEN user_id % 2 = 0 THEN 'U' ELSE 'u' END || user_id || '@x' END AS email,
+    ((day(ts) - 1) // 5 * 5 + 1) || '.' || month(ts) || '.24_c' || k % 4 AS message_name, 'm' || k % 4 AS msID FROM ev),
+tz AS (SELECT DISTINCT day AS Date, CASE WHEN day(day) % 2 = 0 THEN -8 ELSE -7 END AS pst FROM ev),
+asent AS (SELECT ts, email, 'message-sent' AS action, message_name, 'd' || k % 2 AS mdtID, msID, 'e' || k % 2 AS experiment,
+    'v' || k % 3 AS variant, CASE WHEN k % 3 <> 0 THEN '["t' || k % 2 || '"]' END AS mTags FROM mailev WHERE event_type = 'view'),
+act AS (SELECT ts, email, message_name, msID, CASE event_type WHEN 'error' THEN 'open' WHEN 'click' THEN 'click'
+      ELSE CASE WHEN k < 50 THEN 'optout' ELSE 'bounce' END END AS action,
+    CASE WHEN k % 5 <> 0 THEN '/l/' || k % 5 END AS link, 'n' || k % 5 AS linkname, ['mobile','desktop'][k % 2 + 1] AS Device,
+    'os' || k % 3 AS Device_OS FROM mailev WHERE event_type IN ('error', 'click', 'signup'))"""
+
+EORD = """eord AS (SELECT event_id AS Order_Number, ts AS Creation_Datetime, 'u' || user_id || '@x' AS customer_email,
+    CASE WHEN k % 5 = 0 THEN 'Contact Lenses' ELSE 'Eyeglasses' END AS EyewearType,
+    CASE WHEN k % 5 = 0 THEN 'Contact Lenses' ELSE 'Frame' || k % 3 END AS FrameType,
+    ['Progressive','Single Vision','Bifocal'][k % 3 + 1] AS LensType,
+    CASE WHEN k % 4 <> 0 THEN 'C' || k % 4 END AS Order_Coupon, value AS ItemRevenue, CAST(1 AS DOUBLE) AS Item_Qty_Ordered,
+    CASE WHEN k % 3 = 0 THEN 'New' ELSE 'Returning' END AS New_Returning,
+    ['Newsletter Other','Google Brand','cordial newsletter'][k % 3 + 1] AS media FROM ev WHERE event_type = 'purchase'),
+ecl AS (SELECT mail AS EmailAddress, ts - to_hours(k % 24) AS DeliveryDate, ts AS ActionDateTime, message_name AS MessageName,
+    CASE WHEN k % 5 <> 0 THEN '/l/' || k % 5 END AS linkUrl, 'n' || k % 5 AS linkname, ['mobile','desktop'][k % 2 + 1] AS Device,
+    CASE WHEN k % 3 <> 0 THEN '["t' || k % 2 || '"]' ELSE '["None"]' END AS mTags, 'o' || k % 2 AS noOfOrders
+    FROM mailev WHERE event_type = 'click')"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, from_seconds
 from ..operators.ordered import numbered
+from .targets import stage
 
 ACCOUNT = 4242424242
 HITS_PER_ROW = 500  # a nested session row holds at most so many hits; longer sessions continue on further rows
@@ -115,6 +116,11 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select(*HIT_COLUMNS, "event_id", "k")
 
 
+def staged_hits(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits for jobs that read them several times: built once, then read by column."""
+    return stage(hits(spark, sf))
+
+
 def hit_products(spark: SparkSession, sf: str, flat: DataFrame | None = None) -> DataFrame:
     """Products of cart, add-to-cart, detail and purchase hits: one to three parts per hit."""
     flat = hits(spark, sf) if flat is None else flat
@@ -192,3 +198,146 @@ def stable_groups(spark: SparkSession, sf: str) -> DataFrame:
     return (_visits(events(spark, sf)).where("adGroupId % 4 = 1")
             .select(F.expr("date_sub(day, cast(dayofmonth(day) % 3 as int))").alias("reportDate"),
                     "deviceCategory", "adGroupId").distinct())
+
+
+# ---- orders
+
+def order_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Order items: line items with their order and part."""
+    li = table(spark, sf, "lineitem").drop("l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    df = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return df.select(
+        F.col("o_orderkey").alias("Order_Number"),
+        F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int))").alias("Creation_Datetime"),
+        F.expr(EMAIL).alias("customer_email"), F.expr(EYEWEAR).alias("EyewearType"),
+        F.expr("case when p_size % 5 = 0 then 'Contact Lenses' else p_type end").alias("FrameType"),
+        F.expr("element_at(array('Progressive','Single Vision','Bifocal'), p_size % 3 + 1)").alias("LensType"),
+        F.col("p_brand").alias("brand"), F.col("p_name").alias("Item_Name"),
+        F.expr("case when o_orderkey % 2 = 0 then 'Main' else 'AU' end").alias("Store"),
+        F.expr("element_at(array('mobile','desktop','tablet'), cast(o_orderkey % 3 + 1 as int))").alias("Device"),
+        F.expr("case o_orderkey % 10 when 0 then null when 1 then 'TEST100x' when 2 then 'Trial1' "
+               "else 'SAVE' || o_orderkey % 3 end").alias("Order_Coupon"),
+        F.expr("case o_custkey % 4 when 0 then 'code-batchA-' || o_custkey % 7 when 1 then 'code-other-' || o_custkey % 7 end")
+        .alias("affiliate_code"),
+        F.expr("cast(p_partkey % 90 + 10 as string) || '-' || p_partkey").alias("FinalShortSKU"),
+        F.expr("case when o_orderkey % 3 = 0 then 'New' else 'Returning' end").alias("New_Returning"),
+        F.col("l_quantity").alias("Item_Qty_Ordered"), F.col("l_extendedprice").alias("Item_Price"),
+        net.alias("ItemRevenue"), (net * F.col("l_tax")).alias("Item_Tax"), F.col("o_totalprice").alias("Order_SubTotal"),
+        (F.col("l_extendedprice") * F.col("l_discount") * 0.1).alias("Item_Gift_Certificate_Amount"))
+
+
+EMAIL = ("case when o_custkey % 97 = 5 then '' else case when o_custkey % 2 = 0 then 'U' else 'u' end "
+         "|| o_custkey || '@x' end")
+EYEWEAR = ("case p_size % 5 when 0 then 'Contact Lenses' when 1 then case when p_size % 2 = 0 then 'Accessories' "
+           "else 'Product Upgrade' end else 'Eyeglasses' end")
+
+
+# ---- e-mail
+
+_MAIL = "case when user_id % 2 = 0 then 'U' else 'u' end || user_id || '@x'"
+_NAME = "((day(ts) - 1) div 5 * 5 + 1) || '.' || month(ts) || '.24_c' || k % 4"
+
+
+def _mail_events(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).select(
+        "event_id", "ts", "user_id", "event_type", "value", "k", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("time"),
+        F.expr(f"case when event_id % 50 <> 7 then {_MAIL} end").alias("email"), F.expr(_NAME).alias("message_name"),
+        F.expr("'m' || k % 4").alias("msID"))
+
+
+def message_activity_sent(spark: SparkSession, sf: str) -> DataFrame:
+    return _mail_events(spark, sf).where("event_type = 'view'").select(
+        "time", "email", F.lit("message-sent").alias("action"), "message_name", F.expr("'d' || k % 2").alias("mdtID"),
+        "msID", F.expr("'e' || k % 2").alias("experiment"), F.expr("'v' || k % 3").alias("variant"),
+        F.expr("case when k % 3 <> 0 then '[\"t' || k % 2 || '\"]' end").alias("mTags"))
+
+
+def message_activity(spark: SparkSession, sf: str) -> DataFrame:
+    return _mail_events(spark, sf).where("event_type in ('error', 'click', 'signup')").select(
+        "time", "email", "message_name", "msID",
+        F.expr("case event_type when 'error' then 'open' when 'click' then 'click' "
+               "else case when k < 50 then 'optout' else 'bounce' end end").alias("action"),
+        F.expr("case when k % 5 <> 0 then '/l/' || k % 5 end").alias("link"), F.expr("'n' || k % 5").alias("data_crdl_key"),
+        F.expr("element_at(array('mobile','desktop'), k % 2 + 1)").alias("Device_type"), F.expr("'os' || k % 3").alias("Device_platform"))
+
+
+def event_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Order items of the event period: one item per purchase event."""
+    return events(spark, sf).where("event_type = 'purchase'").select(
+        F.col("event_id").alias("Order_Number"), F.col("ts").alias("Creation_Datetime"),
+        F.expr("'u' || user_id || '@x'").alias("customer_email"),
+        F.expr("case when k % 5 = 0 then 'Contact Lenses' else 'Eyeglasses' end").alias("EyewearType"),
+        F.expr("case when k % 5 = 0 then 'Contact Lenses' else 'Frame' || k % 3 end").alias("FrameType"),
+        F.expr("element_at(array('Progressive','Single Vision','Bifocal'), k % 3 + 1)").alias("LensType"),
+        F.expr("case when k % 4 <> 0 then 'C' || k % 4 end").alias("Order_Coupon"), F.col("value").alias("ItemRevenue"),
+        F.lit(1.0).alias("Item_Qty_Ordered"), F.expr("case when k % 3 = 0 then 'New' else 'Returning' end").alias("New_Returning"))
+
+
+def event_clicks(spark: SparkSession, sf: str) -> DataFrame:
+    """Click facts: delivered some hours before the click."""
+    return _mail_events(spark, sf).where("event_type = 'click'").select(
+        F.expr(_MAIL).alias("email"), F.expr("ts - make_dt_interval(0, k % 24)").alias("Sent_Datetime_PST"),
+        F.col("ts").alias("click_Datetime_PST"), "message_name", F.expr("case when k % 5 <> 0 then '/l/' || k % 5 end").alias("linkUrl"),
+        F.expr("'n' || k % 5").alias("linkname"), F.expr("element_at(array('mobile','desktop'), k % 2 + 1)").alias("Device"),
+        F.expr("case when k % 3 <> 0 then '[\"t' || k % 2 || '\"]' else '[\"None\"]' end").alias("mTags"),
+        F.expr("'o' || k % 2").alias("noOfOrders"))
+
+
+def order_last_media(spark: SparkSession, sf: str) -> DataFrame:
+    return events(spark, sf).where("event_type = 'purchase'").select(
+        F.col("event_id").cast("string").alias("Order_id"),
+        F.expr("element_at(array('Newsletter Other','Google Brand','cordial newsletter'), k % 3 + 1)").alias("media"))
+
+
+def tz_offset(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours between UTC and three zones per date."""
+    days = table(spark, sf, "events").select(F.to_date("ts").alias("Date")).distinct()
+    pst = F.expr("case when day(Date) % 2 = 0 then -8 else -7 end")
+    return days.select("Date", pst.alias("UTC_2_PST"), (pst + 3).alias("UTC_2_EST"), F.lit(2).alias("UTC_2_ILS"))
+
+
+def legacy_inbound(spark: SparkSession, sf: str) -> DataFrame:
+    return _mail_events(spark, sf).where("event_type in ('error', 'click', 'signup')").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("date"), F.date_format("ts", "HH:mm:ss.SSS").alias("createdTime"),
+        F.expr("case when k % 6 = 0 then '' else date_format(ts - make_dt_interval(k % 5), \"yyyy-MM-dd'T'HH:mm:ss\") end").alias("deliveryStart"),
+        F.expr("case event_type when 'error' then 'Open' when 'click' then 'Click' "
+               "else case when k < 50 then 'unsubscribe' else 'bounce' end end").alias("activityType"),
+        F.expr("case when k % 4 = 3 then 'PPS-contacts c' || k % 3 when k % 11 = 0 then '1.13.24_bad' else message_name end").alias("messageName"),
+        F.expr(_MAIL).alias("emailAddress"), F.expr("'/l/' || k % 5").alias("linkUrl"), F.expr("'n' || k % 5").alias("linkName"),
+        F.expr("'r' || k % 4").alias("bounceReason"))
+
+
+def legacy_outbound(spark: SparkSession, sf: str) -> DataFrame:
+    return _mail_events(spark, sf).where("event_type = 'view'").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.expr("case when k % 6 = 0 then '' else date_format(ts + make_dt_interval(k % 3 - 1), \"yyyy-MM-dd'T'HH:mm:ss\") end").alias("deliveryStart"),
+        F.expr("element_at(array('bulk','Test','triggered'), k % 3 + 1)").alias("deliveryType"),
+        F.col("message_name").alias("messageName"), F.expr(_MAIL).alias("emailAddress"))
+
+
+def contacts(spark: SparkSession, sf: str) -> DataFrame:
+    """Base status of e-mail contacts: one row per customer address."""
+    return table(spark, sf, "customer").where("c_custkey % 7 <> 3").select(
+        F.expr("case when c_custkey % 2 = 0 then 'U' else 'u' end || c_custkey || '@x'").alias("channels_email_address"),
+        F.expr("case when c_custkey % 3 = 0 then 'unsubscribed' else 'subscribed' end").alias("channels_email_subscribeStatus"),
+        F.expr("case when c_custkey % 3 <> 0 then date_format(timestamp_ntz'1995-01-01 10:00:00' + make_dt_interval(cast(c_custkey % 900 as int)), 'yyyy-MM-dd HH:mm:ss') end").alias("channels_email_subinfo_ts"),
+        F.expr("case when c_custkey % 3 = 0 then date_format(timestamp_ntz'1995-01-01 11:00:00' + make_dt_interval(cast(c_custkey % 900 as int)), 'yyyy-MM-dd HH:mm:ss') end").alias("channels_email_unsubinfo_ts"))
+
+
+def contacts_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """Status changes: one per order; status from the order status, time from the order date."""
+    at = "date_format(o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int)), 'yyyy-MM-dd HH:mm:ss')"
+    return table(spark, sf, "orders").where("o_custkey % 11 <> 2").select(
+        F.expr("case when o_custkey % 2 = 0 then 'U' else 'u' end || o_custkey || '@x'").alias("channels_email_address"),
+        F.expr("case o_orderstatus when 'O' then 'subscribed' when 'F' then 'unsubscribed' else 'none' end").alias("channels_email_subscribeStatus"),
+        F.expr(f"case when o_orderstatus <> 'F' then {at} end").alias("channels_email_subinfo_ts"),
+        F.expr(f"case when o_orderstatus = 'F' then {at} end").alias("channels_email_unsubinfo_ts"),
+        F.col("o_orderdate").alias("ingest_ts"))
+
+
+def order_tz_offset(spark: SparkSession, sf: str) -> DataFrame:
+    days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("Date")).distinct()
+    return days.select("Date", F.expr("case when month(Date) between 4 and 10 then -7 else -8 end").alias("UTC_2_PST"))

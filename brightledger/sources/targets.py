@@ -6,6 +6,8 @@ DataFrame from the old content and the new rows; ``publish`` then swaps it in.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
@@ -122,3 +124,22 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     """Read the version ``publish`` made current."""
     version = spark.read.text(f"{path.rstrip('/')}/CURRENT").first()[0]
     return spark.read.parquet(f"{path.rstrip('/')}/v={version}")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the cluster's shared folder and read it back.
+
+    For results that several later steps read: the work is done once, lost executors do not
+    undo it, and later scans read only the columns they need. The folder is the session's
+    ``spark.checkpoint.dir``. Where that is unset, a local session uses a temporary folder
+    and a cluster session does not stage at all.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            return df
+        folder = tempfile.mkdtemp(prefix="stage-")
+    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
