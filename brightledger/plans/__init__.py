@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["web", "email"]
+AREAS = ["web", "email", "status"]
 
 
 def load():

@@ -341,3 +341,25 @@ def contacts_daily(spark: SparkSession, sf: str) -> DataFrame:
 def order_tz_offset(spark: SparkSession, sf: str) -> DataFrame:
     days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("Date")).distinct()
     return days.select("Date", F.expr("case when month(Date) between 4 and 10 then -7 else -8 end").alias("UTC_2_PST"))
+
+
+def shop_subscribers(spark: SparkSession, sf: str) -> DataFrame:
+    """Newsletter subscribers of the shop system: one row per order of most customers."""
+    return table(spark, sf, "orders").where("o_custkey % 11 < 8").select(
+        F.col("o_orderkey").alias("subscriber_id"), F.expr("'U' || o_custkey || '@x'").alias("subscriber_email"),
+        F.expr("case when o_orderstatus = 'O' then 'SUBSCRIBED' else 'UNSUBSCRIBED' end").alias("status_name"),
+        F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int))").alias("change_status_at"),
+        F.expr("o_custkey % 9").alias("affiliate_id"))
+
+
+def known_subscribers(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").where("c_custkey % 5 = 0").select(
+        F.expr("'u' || c_custkey || '@x'").alias("subscriber_email"),
+        F.expr("timestamp_ntz'1995-02-01 08:00:00' + make_dt_interval(cast(c_custkey % 400 as int))").alias("Datetime_Created"))
+
+
+def contact_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Contact-lens orders of the event period, numbered per customer."""
+    lenses = event_orders(spark, sf).where("EyewearType = 'Contact Lenses'").select("customer_email", "Order_Number", "Creation_Datetime")
+    return numbered(lenses, ["customer_email"], F.to_date("Creation_Datetime"),
+                    [F.col("Creation_Datetime"), F.col("Order_Number")], "Rank")
