@@ -73,7 +73,8 @@ def segment_asof(keys: DataFrame, items: DataFrame, buckets: Mapping, email: str
         F.max(contacts).alias("c"), F.max(~contacts).alias("g"), F.max("LensType").alias("lensType"),
         F.max(F.col("brand").isin(list(buckets["premium"]))).alias("p"))
     orders = orders.where("__e <> ''")
-    counted = running(orders, ["__e"], F.year("__since"), [F.col("__since"), F.col("__order")], F.lit(1), "n", how="sum")
+    counted = running(orders, ["__e"], F.year("__since"), [F.col("__since"), F.col("__order")],
+                      {"n": ("sum", F.lit(1))})
     wanted = keys.select(F.lower(email).alias("__e"), F.col(day).alias("__day")).distinct()
     wanted = wanted.where("__e is not null and __day is not null").withColumn("__at", F.col("__day").cast("timestamp_ntz"))
     found = last_before(wanted, counted.withColumn("__last", F.col("__since")), ["__e"], "__at", "__since", ["n"],

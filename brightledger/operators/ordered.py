@@ -131,27 +131,30 @@ def earliest_within(probes: DataFrame, facts: DataFrame, keys: list[str], at: st
     return probes.withColumn("__t", F.col(at)).join(best, [*keys, "__t"]).drop("__t")
 
 
-def running(df: DataFrame, keys: list[str], bucket: Column, order: list[Column], value: Column, name: str,
-            how: str = "max", backward: bool = False, inclusive: bool = True) -> DataFrame:
-    """Running ``max``, ``min`` or ``sum`` along ``order``, split by key and bucket.
+def running(df: DataFrame, keys: list[str], bucket: Column, order: list[Column], values: dict[str, tuple[str, Column]],
+            backward: bool = False, inclusive: bool = True) -> DataFrame:
+    """Running ``max``, ``min`` or ``sum`` columns along ``order``, split by key and bucket.
 
-    ``backward`` runs from the end; ``inclusive=False`` leaves the own row out. ``bucket``
-    must not decrease along ``order``.
+    ``values`` maps a new column to (how, value). ``backward`` runs from the end and
+    ``inclusive=False`` leaves the own row out. ``bucket`` must not decrease along ``order``.
     """
-    fn = {"max": F.max, "min": F.min, "sum": F.sum}[how]
-    both = {"max": F.greatest, "min": F.least}.get(how)
-    parted = df.withColumn("__b", bucket).withColumn("__v", value)
+    fns = {"max": F.max, "min": F.min, "sum": F.sum}
+    parted = df.withColumn("__b", bucket).withColumns({f"__v_{n}": v for n, (_, v) in values.items()})
     along = [o.desc() for o in order] if backward else order
     stop = Window.currentRow if inclusive else -1
     inner = Window.partitionBy(*keys, "__b").orderBy(*along).rowsBetween(Window.unboundedPreceding, stop)
-    ends = parted.groupBy(*keys, "__b").agg(fn("__v").alias("__end"))
+    ends = parted.groupBy(*keys, "__b").agg(*[fns[how](f"__v_{n}").alias(f"__e_{n}") for n, (how, _) in values.items()])
     step = F.col("__b").desc() if backward else F.col("__b")
     across = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "__b", fn("__end").over(across).alias("__carry"))
-    out = parted.withColumn("__in", fn("__v").over(inner)).join(carried, [*keys, "__b"], "left")
-    if both is None:
-        total = F.when(F.col("__in").isNotNull() | F.col("__carry").isNotNull(),
-                       F.coalesce("__in", F.lit(0)) + F.coalesce("__carry", F.lit(0)))
-    else:
-        total = both("__in", "__carry")
-    return out.withColumn(name, total).drop("__b", "__v", "__in", "__carry")
+    carried = ends.select(*keys, "__b", *[fns[how](f"__e_{n}").over(across).alias(f"__c_{n}") for n, (how, _) in values.items()])
+    out = parted.withColumns({f"__i_{n}": fns[how](f"__v_{n}").over(inner) for n, (how, _) in values.items()})
+    out = out.join(carried, [*keys, "__b"], "left")
+
+    def total(n: str, how: str) -> Column:
+        a, b = F.col(f"__i_{n}"), F.col(f"__c_{n}")
+        if how == "sum":
+            return F.when(a.isNotNull() | b.isNotNull(), F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+        return F.greatest(a, b) if how == "max" else F.least(a, b)
+
+    out = out.withColumns({n: total(n, how) for n, (how, _) in values.items()})
+    return out.drop("__b", *[f"__{p}_{n}" for n in values for p in "vic"])

@@ -19,7 +19,7 @@ visits AS (SELECT user_id, day, fk, totalHits, CAST(user_id AS VARCHAR) AS fullV
   'kw' || fk % 4 AS keyword, CASE WHEN fk % 6 <> 0 THEN 'ad' || fk % 6 END AS adContent,
   CASE WHEN fk % 2 = 1 THEN {ACCOUNT} END AS customerId, CAST(1000 + fk % 10 AS BIGINT) AS adGroupId,
   CASE WHEN totalHits = 1 THEN 1 END AS bounces, 'V' || user_id AS visitorKey,
-  CASE WHEN user_id % 5 <> 0 THEN md5(CASE WHEN user_id % 2 = 0 THEN 'U' ELSE 'u' END || user_id || '@x') END AS hashedEmail
+  CASE WHEN user_id % 5 <> 0 THEN md5(CASE WHEN user_id % 4 = 2 THEN 'U' ELSE 'u' END || user_id || '@x') END AS hashedEmail
   FROM v0)"""
 
 HITS = VISITS + """,

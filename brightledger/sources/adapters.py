@@ -50,7 +50,7 @@ def _visits(ev: DataFrame) -> DataFrame:
         F.expr("cast(1000 + fk % 10 as bigint)").alias("adGroupId"),
         F.expr("case when totalHits = 1 then 1L end").alias("bounces"),
         F.expr("'V' || user_id").alias("visitorKey"),
-        F.expr("case when user_id % 5 <> 0 then md5(case when user_id % 2 = 0 then 'U' else 'u' end "
+        F.expr("case when user_id % 5 <> 0 then md5(case when user_id % 4 = 2 then 'U' else 'u' end "
                "|| user_id || '@x') end").alias("hashedEmail"),
     ).withColumn("visitId", F.col("visitStartTime"))
 
