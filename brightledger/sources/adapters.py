@@ -363,3 +363,72 @@ def contact_orders(spark: SparkSession, sf: str) -> DataFrame:
     lenses = event_orders(spark, sf).where("EyewearType = 'Contact Lenses'").select("customer_email", "Order_Number", "Creation_Datetime")
     return numbered(lenses, ["customer_email"], F.to_date("Creation_Datetime"),
                     [F.col("Creation_Datetime"), F.col("Order_Number")], "Rank")
+
+
+# ---- partners
+
+def partner_actions(spark: SparkSession, sf: str) -> DataFrame:
+    """Partner actions: a third of the orders, some with a second, earlier click."""
+    base = table(spark, sf, "orders").where("o_orderkey % 3 = 0").withColumn(
+        "at", F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int))"))
+    twice = base.withColumn("back", F.explode(F.expr("case when o_orderkey % 6 = 0 then array(0, 5) else array(0) end")))
+    click = F.expr("date_format(at - make_dt_interval(cast(o_orderkey % 120 as int) + back), 'yyyy-MM-dd HH:mm:ss')")
+    return twice.select(
+        F.col("o_orderkey").cast("string").alias("oid"), F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("action_date"),
+        F.expr("case o_orderkey % 10 when 0 then null when 1 then 'TEST100x' when 2 then 'Trial1' else 'SAVE' || o_orderkey % 3 end").alias("promo_code"),
+        F.col("o_totalprice").alias("revenue"), click.alias("click_date"),
+        F.expr("case left(o_orderpriority, 1) when '1' then ' Creators-A ' when '2' then 'creatorsgm-B' else 'Blog' end").alias("media"),
+        F.lit(None).cast("string").alias("subid1"), F.lit("x").alias("subid2"), F.lit(None).cast("string").alias("subid3"),
+        F.expr("case when o_custkey % 10 <> 9 then 'CH_' || o_custkey % 10 end").alias("subid4"))
+
+
+def naming(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "supplier").where("s_suppkey % 8 <> 7").select(
+        F.expr("case when s_suppkey % 8 <> 3 then ' Ch ' || s_suppkey || ' ' end").alias("Influence_Name"),
+        F.expr("case s_suppkey when 0 then 'Creators-A' when 1 then 'creatorsgm-B' else 'Media ' || s_suppkey end").alias("IR_Media_Name"),
+        F.expr("case when s_suppkey % 2 = 0 then 'code-batchA-' || s_suppkey % 7 end").alias("Affid"),
+        F.expr("case when s_suppkey % 3 = 0 then 'med' || s_suppkey end").alias("D_name"), F.expr("'Mgr' || s_suppkey % 3").alias("AcctMgr"))
+    return rows.distinct()
+
+
+def affiliate_naming(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "supplier").select(
+        F.expr("case when s_suppkey % 9 <> 4 then 'Partner ' || s_suppkey end").alias("Partner"), F.expr("'P' || s_suppkey").alias("IR_Partner_Name"),
+        F.expr("case when s_suppkey % 2 = 0 then 'gm' || s_suppkey end").alias("GA_Medium"))
+
+
+def affiliate_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "supplier").where("s_suppkey < 9").select(
+        F.col("s_suppkey").alias("entity_id"), F.expr("case when s_suppkey < 6 then 'code-batchA-' || s_suppkey else 'code-other-' || s_suppkey end").alias("code"))
+
+
+def budget_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    """Planned budgets: supplier and month of the ship date, fee and month as text."""
+    plan = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("s"), F.trunc("l_shipdate", "MM").alias("m")).agg(
+        F.round(F.sum("l_quantity"), 2).alias("Total_Budget"))
+    live = "s % 3 <> 1"
+    start = "date_add(m, cast(s % 20 as int))"
+    return plan.select(
+        F.expr("' Ch ' || s || ' '").alias("Channel_Name"), F.expr("case when s % 50 = 49 then 'LTB' when s % 10 = 8 then 'Blog' else 'Influencers' end").alias("Type"),
+        F.expr("case when s % 17 = 3 and month(m) = 2 then 'Febuary' else date_format(m, 'MMMM') end").alias("Planned_Month"),
+        F.date_format("m", "yyyy").alias("Planned_Year"), "Total_Budget", F.expr(f"case when {live} then 'Live' else 'pending' end").alias("Status"),
+        F.expr(f"case when {live} then date_format({start}, 'yyyy-MM-dd') else 'tbd later on' end").alias("Timeline"),
+        F.expr(f"case when {live} then ' ' || date_format({start}, 'd.M.yy') else 'tbd later on' end").alias("Timeline_text"),
+        F.expr(f"case when {live} then date_format({start}, 'yyyy-MM-dd') end").alias("Live_date"),
+        F.expr("'$' || format_number(Total_Budget, 2)").alias("Budget_text"),
+        F.expr("'Mgr' || s % 3").alias("Acct__Mgr_"), F.expr("element_at(array('Flat fee','Flat + RevSh','Commission','to do'), cast(s % 4 + 1 as int))").alias("Fee"))
+
+
+def funnel_spend(spark: SparkSession, sf: str) -> DataFrame:
+    """Spend export rows: line items by ship date."""
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part").select("p_partkey", "p_size")
+    return li.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.to_date("l_shipdate").alias("Date"), F.expr("'P' || l_suppkey % 3").alias("traffic_source"),
+        F.expr("case when l_suppkey % 2 = 0 then 'Acquisition' else 'Retention' end").alias("Marketing_Channel"),
+        F.expr("element_at(array('Mail','Search','Social','Liveintent','Video',null), cast(l_suppkey % 6 + 1 as int))").alias("Media"),
+        F.expr("element_at(array('Glasses','Contacts','Sun'), p_size % 3 + 1)").alias("Product"),
+        F.expr("element_at(array('Desktop','Mobile'), l_linenumber % 2 + 1)").alias("Device"), F.expr("'c' || l_suppkey").alias("campaign"),
+        F.col("l_extendedprice").alias("cost"), F.col("l_quantity").alias("conversions"), (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("revenue"),
+        F.expr("'Media ' || l_suppkey").alias("impact_media"), F.expr("case when l_linenumber <> 1 then 'Action' end").alias("impact_type"),
+        F.expr("round(l_extendedprice * l_discount, 4)").alias("impact_action_cost"), F.col("l_suppkey").alias("suppkey"))
