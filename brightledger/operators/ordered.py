@@ -54,33 +54,32 @@ def neighbour(df: DataFrame, keys: list[str], bucket: Column, order: list[str],
 
 
 def last_before(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since: str,
-                rank: list[str], payload: list[str]) -> DataFrame:
+                rank: list[str], payload: list[str], after: bool = False) -> DataFrame:
     """As-of join: for each probe the payload of the last fact strictly before ``at``.
 
-    Facts of one key are ordered by (``since``, ``rank``). Probes and facts are split by
-    key and day; the last fact of earlier days comes from a table of one row per key and
-    day. Probes without an earlier fact keep null payloads.
+    Facts of one key are ordered by (``since``, ``rank``). With ``after`` it is the first fact
+    strictly later. Probes and facts are split by key and day; the nearest fact of other days
+    comes from a table of one row per key and day. Probes without such a fact keep null payloads.
     """
+    best = F.min if after else F.max
     fact = F.struct(F.col(since).alias("__t"), *[F.col(r).alias(f"__r{i}") for i, r in enumerate(rank)],
                     *[F.col(p) for p in payload])
     day_facts = facts.where(F.col(since).isNotNull()).select(
-        *keys, F.col(since).cast("date").alias("__day"), F.col(since).cast("timestamp_ntz").alias("__at"), fact.alias("__fact"))
-    asked = probes.select(*keys, F.col(at).cast("date").alias("__day"),
-                          F.col(at).cast("timestamp_ntz").alias("__at")).distinct()
-    # last fact of every earlier day
-    daily = day_facts.groupBy(*keys, "__day").agg(F.max("__fact").alias("__last"))
-    spine = daily.unionByName(asked.select(*keys, "__day").distinct()
-                              .withColumn("__last", F.lit(None).cast(daily.schema["__last"].dataType)))
-    spine = spine.groupBy(*keys, "__day").agg(F.max("__last").alias("__last"))
-    earlier = Window.partitionBy(*keys).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = spine.select(*keys, "__day", F.max("__last").over(earlier).alias("__carry"))
-    # facts of the same day, strictly earlier
+        *keys, F.to_date(since).alias("__day"), F.col(since).cast("timestamp_ntz").alias("__at"), fact.alias("__fact"))
+    asked = probes.select(*keys, F.to_date(at).alias("__day"), F.col(at).cast("timestamp_ntz").alias("__at")).distinct()
     none = F.lit(None).cast(day_facts.schema["__fact"].dataType)
+    spine = (day_facts.select(*keys, "__day", "__fact")
+             .unionByName(asked.select(*keys, "__day").distinct().withColumn("__fact", none))
+             .groupBy(*keys, "__day").agg(best("__fact").alias("__end")))
+    step = F.col("__day").desc() if after else F.col("__day")
+    others = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+    carried = spine.select(*keys, "__day", best("__end").over(others).alias("__carry"))
     both = (day_facts.withColumn("__probe", F.lit(False))
             .unionByName(asked.withColumn("__fact", none).withColumn("__probe", F.lit(True))))
-    today = (Window.partitionBy(*keys, "__day").orderBy(F.col("__at"), F.col("__probe").desc())
+    moment = F.col("__at").desc() if after else F.col("__at")
+    today = (Window.partitionBy(*keys, "__day").orderBy(moment, F.col("__probe").desc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = (both.withColumn("__same", F.max("__fact").over(today)).where("__probe")
+    found = (both.withColumn("__same", best("__fact").over(today)).where("__probe")
              .join(carried, [*keys, "__day"], "left")
              .select(*keys, "__at", F.coalesce("__same", "__carry").alias("__hit")))
     out = probes.withColumn("__at", F.col(at).cast("timestamp_ntz")).join(found, [*keys, "__at"], "left")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-AREAS = ["web", "email", "status", "paths", "partners"]
+AREAS = ["web", "email", "status", "paths", "partners", "commerce"]
 
 
 def load():

@@ -432,3 +432,159 @@ def funnel_spend(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_extendedprice").alias("cost"), F.col("l_quantity").alias("conversions"), (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("revenue"),
         F.expr("'Media ' || l_suppkey").alias("impact_media"), F.expr("case when l_linenumber <> 1 then 'Action' end").alias("impact_type"),
         F.expr("round(l_extendedprice * l_discount, 4)").alias("impact_action_cost"), F.col("l_suppkey").alias("suppkey"))
+
+
+# ---- spend and ads
+
+def main_spend(spark: SparkSession, sf: str) -> DataFrame:
+    """Main spend export; suppliers with a key divisible by five are only in the campaign export."""
+    return funnel_spend(spark, sf).where("suppkey % 5 <> 0").drop("suppkey")
+
+
+def campaign_spend(spark: SparkSession, sf: str) -> DataFrame:
+    """Campaign-level export: suppliers with an odd key."""
+    return table(spark, sf, "lineitem").where("l_suppkey % 2 = 1").select(
+        F.to_date("l_shipdate").alias("Date"), F.expr("element_at(array('Desktop','Mobile'), l_linenumber % 2 + 1)").alias("Device"),
+        F.expr("'c' || l_suppkey").alias("campaign"), F.expr("case when l_suppkey % 3 = 0 then 77L end").alias("account"),
+        F.col("l_extendedprice").alias("cost"), F.col("l_quantity").alias("conversions"), F.expr("l_extendedprice * 2").alias("value"))
+
+
+def spend_media_reference(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "supplier").select(
+        F.lit("Google").alias("source"), F.expr("case when s_suppkey % 4 = 1 then 'CPC' else 'cpc' end").alias("medium"), F.expr("'C' || s_suppkey").alias("campaign"),
+        F.expr("case when s_suppkey % 3 = 0 then 77L end").alias("adwords_account"), F.expr("'G ' || s_suppkey % 4").alias("Media"))
+
+
+def spend_media_type(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.createDataFrame([("G 0", "Google", "Glasses"), ("G 1", "Google", "Contact Lenses"), ("G 3", "YouTube", "Sun")],
+                                 "Media string, Platform string, Product_Type string")
+
+
+def partner_spend(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").where("l_suppkey % 7 = 2").select(
+        F.date_add("l_shipdate", 100).alias("Date"), F.col("l_extendedprice").alias("spent"), F.col("l_quantity").alias("conversions"), F.expr("l_extendedprice * 3").alias("revenue"))
+
+
+def manual_spend(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "supplier").select(
+        F.expr("case when s_suppkey % 6 <> 5 then date_add(date'2001-01-01', cast(s_suppkey % 30 as int)) end").alias("Date"), F.lit("2001-11-04").cast("date").alias("Max_Date"),
+        F.lit("TV").alias("Platform"), F.lit("Acquisition").alias("Marketing_Channel"), F.lit("TV").alias("Media"), F.lit("Glasses").alias("Product_Group"),
+        F.lit("Desktop").alias("Device"), F.col("s_acctbal").alias("Spend"), F.lit(0.0).alias("Conversions"), F.lit(0.0).alias("Conversion_Revenue"))
+
+
+def _ads(li: DataFrame) -> DataFrame:
+    return li.select(
+        F.to_date("l_shipdate").alias("Date"), F.date_format("l_shipdate", "yyyyMM").alias("shard"), F.expr("cast(l_suppkey as string)").alias("Campaign_ID"),
+        F.expr("'c' || l_suppkey").alias("Campaign_Name"), F.expr("'g' || l_suppkey || '_' || l_linenumber").alias("Ad_Group_ID"), F.expr("'Group ' || l_linenumber").alias("Ad_Group_Name"),
+        F.expr("'a' || l_partkey").alias("Ad_ID"), F.expr("'Ad ' || l_partkey").alias("Ad_Name"), F.expr("case when l_linenumber % 2 = 0 then 'Search' else 'Shopping' end").alias("Ad_group_type"),
+        F.expr("element_at(array('Desktop','Mobile'), l_linenumber % 2 + 1)").alias("Device"), F.expr("case when l_partkey % 10 <> 3 then 'Ad Level' else 'Other' end").alias("Connection_Name"),
+        F.expr("cast(l_quantity * 10 as bigint)").alias("Impressions"), F.expr("cast(l_quantity * 4 as bigint)").alias("Top"), F.expr("cast(l_quantity as bigint)").alias("Absolute_Top"),
+        F.expr("cast(l_quantity as bigint)").alias("Clicks"), F.col("l_extendedprice").alias("Cost"), F.expr("case when l_linenumber % 3 = 0 then l_quantity else 0.0 end").alias("Conversions"),
+        F.expr("l_extendedprice * 2").alias("Value"), F.expr("cast(l_orderkey % 3 as bigint)").alias("Leads"), F.expr("cast(l_orderkey % 2 as bigint)").alias("ATC"),
+        F.expr("cast(l_partkey % 4 as bigint)").alias("New_Customers"))
+
+
+def ad_export(spark: SparkSession, sf: str) -> DataFrame:
+    return _ads(table(spark, sf, "lineitem").where("l_suppkey % 5 <> 0")).withColumn("Date", F.col("Date").cast("string"))
+
+
+def campaign_export(spark: SparkSession, sf: str) -> DataFrame:
+    return _ads(table(spark, sf, "lineitem").where("l_suppkey % 2 = 1")).drop(
+        "Ad_ID", "Ad_Name", "Ad_Group_ID", "Ad_Group_Name", "Ad_group_type", "Connection_Name", "New_Customers")
+
+
+# ---- search
+
+def search_rows(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    return table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.to_date("l_shipdate").alias("Date"), F.date_format("l_shipdate", "yyyyMM").alias("shard"), F.expr("element_at(array('Desktop','Mobile'), l_linenumber % 2 + 1)").alias("Device"),
+        F.col("p_name").alias("Query"), F.expr("'/q/' || l_partkey % 50").alias("Page"), F.expr("case when l_suppkey % 3 <> 0 then 'usa' else 'can' end").alias("Country"),
+        F.expr("cast(l_quantity / 3 as bigint)").alias("Impressions"), F.expr("cast(case when l_orderkey % 9 = 0 then 1 else 0 end as bigint)").alias("Clicks"),
+        F.expr("l_quantity * 1.5D").alias("Total_Position"))
+
+
+def keyword_sheet(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(F.expr("case when p_size < 10 then p_name end").alias("Keyword"))
+
+
+def paid_search(spark: SparkSession, sf: str) -> DataFrame:
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    return table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("Date"), F.col("p_name").alias("Search_Term"), F.expr("element_at(array('Desktop','Mobile'), l_linenumber % 2 + 1)").alias("Device"),
+        F.expr("l_extendedprice * (l_suppkey % 2)").alias("Cost"), F.expr("cast(l_quantity * 7 as bigint)").alias("Impressions"), F.expr("cast(l_quantity as bigint)").alias("Clicks"),
+        F.expr("case when l_suppkey % 4 = 0 then l_quantity else 0.0 end").alias("Conversions"), F.expr("l_extendedprice * 2").alias("Value"))
+
+
+# ---- alerts and feeds
+
+def live_orders(spark: SparkSession, sf: str, bucket: int) -> DataFrame:
+    """Orders as they come in; amounts are rounded down to a bucket so that they repeat."""
+    return table(spark, sf, "orders").select(
+        F.expr("'visitor' || o_custkey").alias("visitor_id"), F.expr("cast(o_orderkey as string)").alias("increment_id"),
+        F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int))").alias("created_at"), (F.floor(F.col("o_totalprice") / bucket) * float(bucket)).alias("revenue"))
+
+
+def app_visitors(spark: SparkSession, sf: str) -> DataFrame:
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    return table(spark, sf, "customer").where("c_custkey % 6 <> 1").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.expr("'visitor' || c_custkey").alias("visitor_id"), F.expr("'p' || c_custkey").alias("user_pseudo_id"), "country")
+
+
+def reviews(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.expr("(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey").alias("id"), F.expr("'Nick ' || o_custkey").alias("nickname"), F.col("o_custkey").alias("author_id"),
+        F.expr("l_shipdate + make_dt_interval(0, cast(l_partkey % 24 as int), 7, 9)").alias("created_at"), F.expr("'T' || l_linenumber").alias("title"), F.expr("'Text ' || l_partkey").alias("detail"),
+        F.expr("cast(l_quantity % 5 + 1 as int)").alias("overall"), F.expr("l_linenumber % 2 = 0").alias("recommend"), F.expr("nullif(cast(l_partkey % 4 as int), 0)").alias("fit"),
+        F.expr("nullif(cast(l_suppkey % 5 as int), 0)").alias("style"), F.expr("nullif(cast(l_orderkey % 4 as int), 0)").alias("quality"),
+        F.expr("case when l_linenumber % 3 <> 0 then 1 else 2 end").alias("status_id"), F.col("l_partkey").alias("product_id"))
+
+
+def review_authors(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.expr("case when c_custkey % 97 = 5 then null else 'U' || c_custkey || '@X' end").alias("email"))
+
+
+_SKU = "cast(p_partkey % 90 + 10 as string) || '-' || p_partkey"
+
+
+def inventory(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("product_id"), F.expr(_SKU).alias("sku"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.expr("'Full ' || p_type").alias("frame_type"),
+        F.expr("case p_size % 3 when 0 then 'Eyeglasses' when 1 then 'Sunglasses' end").alias("eyewear_type"), F.expr("case when p_size % 4 = 0 then 'No' else 'Yes' end").alias("eligible_for_rx_lenses"),
+        F.expr("case when p_size % 6 = 0 then 'DSCO' else 'L' || p_size % 2 end").alias("extlab_id"))
+
+
+def gtins(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").where("p_partkey % 3 = 0").select(F.expr(_SKU).alias("sku"), F.expr("'0' || p_partkey * 7").alias("UPC"))
+
+
+def mpns(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").where("p_partkey % 4 = 0").select(F.expr(_SKU).alias("id"), F.expr("'M' || p_partkey").alias("MPN"))
+
+
+def stock(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(
+        F.expr(_SKU).alias("sku"), F.expr("'  ' || upper(left(p_name, 1)) || substring(p_name, 2) || case p_size % 4 when 0 then ' Red' when 1 then ' w/ Gold/Black' when 2 then ' Kids' else ' Old Label' end")
+        .alias("name"), F.expr("element_at(array('Red','Shiny Black , Gold','Blue Green','Matte Very Dark Old Grey Tone'), p_size % 4 + 1)").alias("color"),
+        F.expr("case when p_size % 3 = 0 then 'Oval , Square' else 'Round' end").alias("shape"), F.expr("case when p_size % 5 = 0 then null else p_brand end").alias("brand"),
+        F.expr("element_at(array('119,3','159','7'), p_size % 3 + 1)").alias("category_ids"), F.expr("'item-' || p_partkey").alias("url_key"),
+        F.expr("case when p_size % 7 <> 0 then '/x/' || p_size || '/f' || p_partkey || '.jpg' else '' end").alias("front_image"), F.expr("case when p_size % 2 = 0 then '/s' || p_partkey || '.jpg' end").alias("side_image"),
+        F.expr("case when p_size % 3 = 0 then '/g' || p_partkey || '.jpg' else '' end").alias("angle_image"), F.expr("element_at(array('Medium','Toddlers','Large'), p_size % 3 + 1)").alias("frame_size"),
+        F.expr("element_at(array('Men','Women','Girls','None'), p_size % 4 + 1)").alias("gender"), F.expr("case p_size % 4 when 0 then 'Big Special Sale' when 1 then '' when 2 then 'Lux' end").alias("product_badge"),
+        F.expr("'Mat ' || p_size % 3").alias("framematerial"), F.expr("cast(p_size % 9 as string)").alias("qty"), F.expr("cast(p_retailprice as string)").alias("price"),
+        F.expr("cast(p_retailprice - 10.5D as string)").alias("final_price"))
+
+
+def stock_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select(F.expr(_SKU).alias("Unique_ID"), F.expr("' ' || lower(p_type) || ' frames '").alias("Keyword"),
+                                           F.expr("cast(p_partkey % 90 + 10 as string) || '-'").alias("SKU_Prefix"), F.expr("'face ' || p_size % 3").alias("face_shape"))
+
+
+def price_fixes(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").where("p_partkey % 10 = 0").select(F.expr("upper(" + _SKU + ")").alias("sku"), F.lit("99.99").alias("Price"), F.lit("89.5").alias("Final_Price"))
+
+
+def promo_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").where("p_brand in ('Brand#1', 'Brand#2', 'Brand#3')").select(F.col("p_brand").alias("brand"), F.expr("'SAVE' || right(p_brand, 1)").alias("promo_code"),
+                                                                                          F.lit(0.25).alias("discount")).distinct()
