@@ -42,7 +42,7 @@ def purchases_around(reviews: DataFrame, orders: DataFrame, keys: list[str]) ->
     earlier = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "post"]).where("post >= at")
     later = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "prev"], after=True).where("prev <= at")
     same = probe.join(spans.select(*keys, F.col("ts").alias("at"), "Order_Number"), [*keys, "at"])
-    cols = ["review_id", "Order_Number"]
+    cols = ["review_id", "at", "Order_Number"]
     return earlier.select(*cols).unionByName(later.select(*cols)).unionByName(same.select(*cols)).distinct()
 
 
@@ -54,11 +54,12 @@ def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gt
     """
     own = reviews.where("status_id = 1").join(authors.select(F.col("id").alias("author_id"), "email"), "author_id", "left")
     own = own.join(inventory.select("product_id", "sku", F.col("name").alias("product_name"), "brand"), "product_id", "left").withColumnRenamed("id", "review_id")
-    local = own.select("review_id", F.lower("email").alias("e"), "sku", to_zone("created_at", zone).alias("at"))
+    own = own.withColumn("at", to_zone("created_at", zone))
+    local = own.select("review_id", F.lower("email").alias("e"), "sku", "at")
     bought = items.select(F.lower("customer_email").alias("e"), F.col("FinalShortSKU").alias("sku"), F.col("Creation_Datetime").cast("timestamp_ntz").alias("ts"), "Order_Number")
     by_item = purchases_around(local, bought, ["e", "sku"])
     by_any = purchases_around(local, bought.select("e", "ts", "Order_Number").distinct(), ["e"])
-    any_only = by_any.join(by_item.select("review_id").distinct(), "review_id", "left_anti")
+    any_only = by_any.join(by_item.select("review_id", "at").distinct(), ["review_id", "at"], "left_anti")
     orders = by_item.unionByName(any_only).withColumnRenamed("Order_Number", "transaction_id")
     style = F.when(F.col("style") == 1, "Chic").when(F.col("style") == 2, "Vintage").when(F.col("style") == 3, "Classic")
     pros = F.concat(F.when(F.col("recommend"), "Would recommend to others").otherwise(""), F.when(F.col("fit") == 2, ",True to size").otherwise(""),
@@ -70,7 +71,7 @@ def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gt
     url = F.concat(F.lit(site), F.col("url_key"), F.lit(".html"))
     out = (own.join(gtins.select("sku", F.col("UPC").alias("gtin")).distinct(), "sku", "left")
            .join(mpns.select(F.col("id").alias("sku"), F.col("MPN").alias("mpn")).distinct(), "sku", "left")
-           .join(stock.select("sku", "url_key").distinct(), "sku", "left").join(orders, "review_id", "left"))
+           .join(stock.select("sku", "url_key").distinct(), "sku", "left").join(orders, ["review_id", "at"], "left"))
     return out.select(
         "review_id", F.col("nickname").alias("reviewer_name"), F.col("author_id").alias("reviewer_id"), iso_with_offset("created_at", zone).alias("review_timestamp"),
         "title", F.col("detail").alias("content"), url.alias("review_url"), F.lit(1).alias("min"), F.lit(5).alias("max"), "overall", "sku", "brand", "gtin", "mpn",
