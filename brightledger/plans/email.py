@@ -222,6 +222,16 @@ def message_funnel_delivery(spark, sf):
     return rounded_funnel(E.message_funnel(facts(spark, sf), date(2024, 1, 11)))
 
 
+@query("message_funnel_merge", f"""WITH {FUNNEL.rsplit('SELECT * FROM de', 1)[0]} f AS (SELECT * FROM de {' '.join(f'LEFT JOIN {x} USING ({KEYS})' for x in ('op', 'cl', 'co', 'un', 'bo'))})
+    SELECT {KEYS}, Sent, clicks, orders FROM f UNION ALL SELECT DeliveryDate - 365, MessageName, mTags, {SEG}, -1, clicks, orders FROM f WHERE orders IS NOT NULL""".replace("GROUP BY ALL)\n     f AS", "GROUP BY ALL),\n    f AS"))
+def message_funnel_merge(spark, sf):
+    """Null-safe merge that always renews matched rows and keeps rows the source does not hold."""
+    rows = stage(E.message_funnel(facts(spark, sf), date(2024, 1, 11)).select(*E.FUNNEL_KEYS, "Sent", "clicks", "orders"))
+    stale = rows.where("Sent > 1").withColumn("Sent", F.lit(0).cast("long")).withColumn("clicks", F.lit(None).cast("long"))
+    older = rows.where("orders is not null").withColumn("DeliveryDate", F.date_sub("DeliveryDate", 365)).withColumn("Sent", F.lit(-1).cast("long"))
+    return merge(stale.unionByName(older), rows, ["DeliveryDate", "MessageName"], nullsafe=["mTags", *E.SEGMENTS], update=["Sent", "clicks", "orders"])
+
+
 def per_action(table: str, agg: str, at: str = "event_Datetime_PST", name: str = "message_name") -> str:
     return f"SELECT CAST({at} AS DATE) AS ActionDate, {name} AS MessageName, mTags, {SEG}, {agg} FROM {table} GROUP BY ALL"
 
