@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import item, iso_with_offset, split_literal, to_zone
-from .ordered import last_before, neighbour
+from ..sources.targets import stage
+from .ordered import last_before, neighbours
 from .web import LA
 
 
@@ -35,9 +36,9 @@ def purchases_around(reviews: DataFrame, orders: DataFrame, keys: list[str]) ->
     replace the range join.
     """
     order = ["ts", "Order_Number"]
-    spans = neighbour(orders, keys, F.to_date("ts"), order, F.col("ts"), "before")
-    spans = neighbour(spans, keys, F.to_date("ts"), order, F.col("ts"), "after", ahead=True)
+    spans = neighbours(orders, keys, F.to_date("ts"), order, F.col("ts"), "before", "after")
     spans = spans.withColumn("prev", F.coalesce("before", _year(F.col("ts"), -1))).withColumn("post", F.coalesce("after", _year(F.col("ts"), 1)))
+    spans = stage(spans.select(*keys, "ts", "Order_Number", "prev", "post"))
     probe = reviews.select("review_id", *keys, "at").where(F.col("at").isNotNull())
     earlier = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "post"]).where("post >= at")
     later = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "prev"], after=True).where("prev <= at")
@@ -57,10 +58,11 @@ def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gt
     own = own.withColumn("at", to_zone("created_at", zone))
     local = own.select("review_id", F.lower("email").alias("e"), "sku", "at")
     bought = items.select(F.lower("customer_email").alias("e"), F.col("FinalShortSKU").alias("sku"), F.col("Creation_Datetime").cast("timestamp_ntz").alias("ts"), "Order_Number")
-    by_item = purchases_around(local, bought, ["e", "sku"])
-    by_any = purchases_around(local, bought.select("e", "ts", "Order_Number").distinct(), ["e"])
-    any_only = by_any.join(by_item.select("review_id", "at").distinct(), ["review_id", "at"], "left_anti")
-    orders = by_item.unionByName(any_only).withColumnRenamed("Order_Number", "transaction_id")
+    by_item = stage(purchases_around(local, bought, ["e", "sku"]))
+    # only reviews without an order of their item look at the customer's other orders
+    rest = local.join(by_item.select("review_id", "at").distinct(), ["review_id", "at"], "left_anti")
+    by_any = purchases_around(rest, bought.select("e", "ts", "Order_Number").distinct(), ["e"])
+    orders = by_item.unionByName(by_any).withColumnRenamed("Order_Number", "transaction_id")
     style = F.when(F.col("style") == 1, "Chic").when(F.col("style") == 2, "Vintage").when(F.col("style") == 3, "Classic")
     pros = F.concat(F.when(F.col("recommend"), "Would recommend to others").otherwise(""), F.when(F.col("fit") == 2, ",True to size").otherwise(""),
                     F.when(F.col("style").isNotNull(), F.concat(F.lit(","), style, F.lit(" style"))).otherwise(""),

@@ -26,31 +26,30 @@ def numbered(df: DataFrame, keys: list[str], bucket: Column, order: list[Column]
             .drop("__b", "__rn", "__off"))
 
 
-def neighbour(df: DataFrame, keys: list[str], bucket: Column, order: list[str],
-              value: Column, name: str, ahead: bool = False) -> DataFrame:
-    """``lag`` (or ``lead`` when ``ahead``) of ``value`` by one row within the key.
+def neighbours(df: DataFrame, keys: list[str], bucket: Column, order: list[str], value: Column,
+               before: str | None = None, after: str | None = None) -> DataFrame:
+    """``lag`` and ``lead`` of ``value`` by one row within the key, under the names given.
 
-    Inside a bucket it is a plain window; the first row of a bucket takes the value of
-    the last row of the nearest earlier bucket of the same key. ``order`` must be total
-    within the key for a defined answer, and ``bucket`` must not decrease along it.
+    Inside a bucket they are plain windows; the rows at the edges of a bucket take the value
+    from the nearest other bucket of the same key. ``order`` must be total within the key for
+    a defined answer, and ``bucket`` must not decrease along it. Keys match null to null.
     """
     parted = df.withColumn("__b", bucket).withColumn("__v", F.struct(value.alias("v")))
-    asc = Window.partitionBy(*keys, "__b").orderBy(*order)
+    inside = Window.partitionBy(*keys, "__b").orderBy(*order)
     edge = F.struct(*[F.col(o) for o in order])
-    pick = F.min_by if ahead else F.max_by
-    ends = parted.groupBy(*keys, "__b").agg(pick("__v", edge).alias("__end"))
+    ends = parted.groupBy(*keys, "__b").agg(F.min_by("__v", edge).alias("__lo"), F.max_by("__v", edge).alias("__hi"))
     across = Window.partitionBy(*keys).orderBy("__b")
-    shifted = (F.lead if ahead else F.lag)("__end").over(across)
     carried = ends.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__b").alias("__cb"),
-                          shifted.alias("__carry"))
+                          F.lag("__hi").over(across).alias("__c_before"), F.lead("__lo").over(across).alias("__c_after"))
     cond = F.col("__b").eqNullSafe(F.col("__cb"))
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    near = (F.lead if ahead else F.lag)("__v").over(asc)
-    return (parted.withColumn("__near", near)
-            .join(carried, cond, "left")
-            .withColumn(name, F.coalesce("__near", "__carry")["v"])
-            .drop("__b", "__v", "__near", "__carry", "__cb", *[f"__k_{k}" for k in keys]))
+    near = parted.withColumns({"__n_before": F.lag("__v").over(inside), "__n_after": F.lead("__v").over(inside)})
+    out = near.join(carried, cond, "left")
+    for side, name in (("before", before), ("after", after)):
+        if name:
+            out = out.withColumn(name, F.coalesce(f"__n_{side}", f"__c_{side}")["v"])
+    return out.drop("__b", "__v", "__n_before", "__n_after", "__c_before", "__c_after", "__cb", *[f"__k_{k}" for k in keys])
 
 
 def last_before(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since: str,

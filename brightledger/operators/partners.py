@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import diff_boundary, item, money_text, month_start, pseudonym, split_literal
 from ..sources.targets import merge
-from .ordered import neighbour
+from .ordered import neighbours
 from .relational import latest_per_group, not_in, semi_in, split_sources
 
 
@@ -73,7 +73,7 @@ ORDER = ["Budget_Date", "Planned_Date", "Fee_Type", "AcctMgr", "Budget"]
 
 def _close_periods(df: DataFrame, as_of: date) -> DataFrame:
     """Period end: month end for commission only, else the day before the channel's next period, else yesterday."""
-    following = neighbour(df, ["Channel_Name"], F.year("Budget_Date"), ORDER, F.date_sub("Budget_Date", 1), "next", ahead=True)
+    following = neighbours(df, ["Channel_Name"], F.year("Budget_Date"), ORDER, F.date_sub("Budget_Date", 1), after="next")
     end = F.when(F.col("Fee_Type") == "Commission Only", F.last_day("Budget_Date")).otherwise(
         F.coalesce("next", F.date_sub(F.lit(as_of), 1)))
     return following.withColumn("ToDate", end).drop("next")
