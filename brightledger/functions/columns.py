@@ -42,7 +42,7 @@ def diff_boundary(unit: str, later: Column | str, earlier: Column | str) -> Colu
 
 def from_seconds(seconds: Column | str) -> Column:
     """Seconds since 1970 to a UTC date-time."""
-    return from_micros(col(seconds) * 1_000_000)
+    return from_micros(col(seconds).cast("long") * 1_000_000)
 
 
 def from_micros(micros: Column | str) -> Column:
