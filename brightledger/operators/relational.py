@@ -22,13 +22,12 @@ def not_in(left: DataFrame, key: Column, values: DataFrame) -> DataFrame:
     """
     value = values.columns[0]
     listed = values.select(F.col(value).alias("__listed"))
-    summary = listed.agg(F.count(F.lit(1)).alias("n"), F.count("__listed").alias("known"))
-    empty = summary.select(F.col("n") == 0).scalar()
-    holds_null = summary.select(F.col("n") > F.col("known")).scalar()
+    facts = F.struct((F.count(F.lit(1)) == 0).alias("empty"), (F.count(F.lit(1)) > F.count("__listed")).alias("holds_null"))
+    summary = listed.agg(facts.alias("s")).scalar()
     keyed = left.withColumn("__key", key)
     kept = keyed.join(listed.where("__listed is not null").distinct(),
                       F.col("__key") == F.col("__listed"), "left_anti")
-    return kept.where(empty | (~holds_null & F.col("__key").isNotNull())).drop("__key")
+    return kept.where(summary["empty"] | (~summary["holds_null"] & F.col("__key").isNotNull())).drop("__key")
 
 
 def semi_in(left: DataFrame, key: Column, values: DataFrame) -> DataFrame:

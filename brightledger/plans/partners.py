@@ -42,7 +42,7 @@ def periods(spark, sf, form="status"):
 def append_partner_actions(spark, sf):
     fresh = A.partner_actions(spark, sf)
     target = fresh.where("action_date < '1999-01-01'")
-    return append_new(target, fresh.unionByName(fresh.limit(50)), "oid").select("oid", "action_date", "click_date")
+    return append_new(target, fresh.unionByName(fresh), "oid").select("oid", "action_date", "click_date")
 
 
 @query("budget_sheet_refresh", f"""WITH {PLAN} SELECT 'Ch ' || s AS Channel_Name, {PLANNED} AS Date, tb AS Total_Budget, 'Mgr' || s % 3 AS Acct__Mgr_ FROM plan""")
