@@ -16,7 +16,7 @@ from .web import LA
 
 def order_revenue(items: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Revenue per order and day, without and with the gift amount; a null gift drops its line from the second sum."""
-    rows = items.where(F.col("Creation_Datetime").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+    rows = items.where(F.col("Creation_Datetime").between(*[F.lit(t.isoformat(" ")).cast("timestamp_ntz") for t in (start, end)]))
     return rows.groupBy("Order_Number", "Order_SubTotal", F.to_date("Creation_Datetime").alias("Date")).agg(
         F.sum("ItemRevenue").alias("Revenue"), F.sum(F.col("ItemRevenue") + F.col("Item_Gift_Certificate_Amount")).alias("Revenue_with_GC"))
 

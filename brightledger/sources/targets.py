@@ -25,7 +25,8 @@ def overwrite(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def reload_window(old: DataFrame, new: DataFrame, column: str, cutoff: date | datetime) -> DataFrame:
     """Replace rows at or after ``cutoff``. A null in ``column`` is not deleted."""
-    limit = F.lit(cutoff)
+    # date-times without zone: a literal made from a Python datetime would depend on the session zone
+    limit = F.lit(cutoff.isoformat(" ")).cast("timestamp_ntz") if isinstance(cutoff, datetime) else F.lit(cutoff)
     kept = old.where((F.col(column) < limit) | F.col(column).isNull())
     return kept.unionByName(new)
 
@@ -135,9 +136,9 @@ def stage(df: DataFrame) -> DataFrame:
     and a cluster session does not stage at all.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             return df
         folder = tempfile.mkdtemp(prefix="stage-")
     path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
