@@ -11,6 +11,7 @@ import time
 
 from brightledger.plans import load
 from brightledger.session import build_session
+from brightledger.sources.targets import local_shared_folder
 
 HEADLINE = ["click_to_order", "subscription_report", "banner_impressions", "minipage_daily", "message_funnel_delivery", "conversion_path",
             "cart_segments", "cart_funnel", "reset_cohort", "customer_segment_asof", "monthly_active_status", "budget_with_actions",
@@ -25,6 +26,7 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=str(2 * int(cpus)), spark__driver__memory="16g",
                           spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
+    local_shared_folder(spark)
     queries = load()[0]
     queries["hourly_activity"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up, not counted
     times = {}

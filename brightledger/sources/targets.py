@@ -127,20 +127,33 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/v={version}")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder. Raises where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("staging needs a folder that all executors share: set spark.checkpoint.dir")
+    return folder.rstrip("/")
+
+
+def local_shared_folder(spark: SparkSession) -> None:
+    """For trials in one process: give a local session without a shared folder one. A cluster's session must name its own."""
+    try:
+        shared_folder(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stage-"))
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Write an intermediate table to the cluster's shared folder and read it back.
+    """Write an intermediate table to the folder of ``shared_folder`` and read it back.
 
     For results that several later steps read: the work is done once, lost executors do not
-    undo it, and later scans read only the columns they need. The folder is the session's
-    ``spark.checkpoint.dir``. Where that is unset, a local session uses a temporary folder
-    and a cluster session does not stage at all.
+    undo it, and later scans read only the columns they need. The files go when the driver ends.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            return df
-        folder = tempfile.mkdtemp(prefix="stage-")
-    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
