@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -21,11 +21,17 @@ def query(fn):
 def op3_byte_bpe(spark, sf_dir):
     """Encode every document and decode the ids again."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    tokens = tokens.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), "ids")
-    back = bpe.decode(tokens, ranks)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    coded = coded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), "ids")
+    back = bpe.decode(coded, ranks)
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op9_token_counts(spark, sf_dir):
+    """Token counts of every document, and whether it exceeds a context of 2048 tokens."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
 def load():
     return QUERIES, ORACLE
