@@ -64,3 +64,8 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Itera
 
 def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def few(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast only if it holds at most ``most`` rows; else it is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= most else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, tokens
+from . import bpe, minhash, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -17,6 +17,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate components of all documents at 85 in 100 shared shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     """Encode every document and decode the ids again."""
