@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import list_column, map_rows, text_or_empty
 
 #: Entries of the table of moves and of the table of finished pieces, per worker; full tables are emptied.
-MOVES, PIECES = 400_000, 300_000
+MOVES, PIECES = 500_000, 100_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -34,6 +34,11 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line.strip())}
 
 
+def border(node: int, token: int, up: int) -> int:
+    """One border of a state in one number: trie node or -1, token before it or -1, place of the border before that token or -1."""
+    return node + 1 << 40 | token + 1 << 16 | up + 1
+
+
 class Transducer:
     """Bytes of a piece to token ids."""
 
@@ -54,16 +59,19 @@ class Transducer:
                     self.token_at.append(-1)
             self.token_at[node] = rank
         inner = {key >> 8 for key in self.nodes}
-        self.open = [node in inner for node in range(len(self.token_at))]
+        self.inner = bytearray(node in inner for node in range(len(self.token_at)))
         self.pair: dict[int, tuple[int, int]] = {}
-        self.joined: dict[tuple[int, int], int] = {}
+        self.joined: dict[int, int] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
                 parts = self.merged(token, rank)
                 if len(parts) == 2:  # else no merge makes this token; only a whole piece can be it
                     self.pair[rank] = parts
-                    self.joined[parts] = rank
-        self.stable_memo: dict[tuple[int, int], bool] = {}
+                    self.joined[parts[0] << 32 | parts[1]] = rank
+        self.made = bytearray(max(self.tokens) + 1)  # tokens that merges can make
+        for rank, token in self.tokens.items():
+            self.made[rank] = rank in self.pair or len(token) == 1
+        self.spines: tuple[dict, dict] = ({}, {})
         self.reset()
 
     def merged(self, piece: bytes, below: float = float("inf")) -> tuple[int, ...]:
@@ -78,40 +86,44 @@ class Transducer:
 
     def spine(self, token: int, side: int) -> list[tuple[int, float]]:
         """The symbols that stand at one end of a token while it is built, each with the rank of the merge that hides it."""
-        out, hidden = [], float("inf")
+        if (known := self.spines[side].get(token)) is not None:
+            return known
+        out, hidden, at = [], float("inf"), token
         while True:
-            out.append((token, hidden))
-            if token not in self.pair:
+            out.append((at, hidden))
+            if at not in self.pair:
+                self.spines[side][token] = out
                 return out
-            hidden, token = token, self.pair[token][side]
+            hidden, at = at, self.pair[at][side]
 
     def stable(self, left: int, right: int) -> bool:
         """No merge across the border comes first. At equal ranks the leftmost does: the left token's own before the border's, the border's before the right's."""
-        if (left, right) not in self.stable_memo:
-            if len(self.stable_memo) > MOVES:
-                self.stable_memo.clear()
-            pairs = ((self.joined.get((a, b)), x, y) for a, x in self.spine(left, 1) for b, y in self.spine(right, 0))
-            self.stable_memo[left, right] = not any(m is not None and m < x and m <= y for m, x, y in pairs)
-        return self.stable_memo[left, right]
+        joined = self.joined
+        for a, hides_a in self.spine(left, 1):
+            for b, hides_b in self.spine(right, 0):
+                merge = joined.get(a << 32 | b)
+                if merge is not None and merge < hides_a and merge <= hides_b:
+                    return False
+        return True
 
     def reset(self) -> None:
         """Forget all states but the first: one border before the first byte."""
         self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.states: list[tuple] = [((0, -1, -1),)]
+        self.states: list[tuple[int, ...]] = [(border(0, -1, -1),)]
         self.numbers = {self.states[0]: 0}
         self.last: list[tuple[int, ...] | None] = [()]
 
     def move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """State after one more byte, and the tokens that are now certain. Entries: (trie node or -1, token before, entry before)."""
-        entries, found = [], None
-        for at, (node, token, up) in enumerate(self.states[number]):
-            child = self.nodes.get(node << 8 | byte, -1) if node >= 0 else -1
-            entries.append([child if child > 0 and self.open[child] else -1, token, up])
-            if child > 0 and (new := self.token_at[child]) >= 0 and (new in self.pair or len(self.tokens[new]) == 1) and (token < 0 or self.stable(token, new)):
-                if found:
-                    raise ValueError("two tokens end here: the ranks are no merge table")
-                found = [0, new, at]
-        if not found:
+        """State after one more byte, and the tokens that are now certain."""
+        entries, found, nodes, inner, token_at = [], None, self.nodes, self.inner, self.token_at
+        for at, code in enumerate(self.states[number]):
+            node, token, up = (code >> 40) - 1, (code >> 16 & 0xFFFFFF) - 1, (code & 0xFFFF) - 1
+            child = nodes.get(node << 8 | byte, -1) if node >= 0 else -1
+            entries.append((child if child > 0 and inner[child] else -1, token, up))
+            # one border only can end here, so the search ends with the first stable token
+            if found is None and child > 0 and (new := token_at[child]) >= 0 and self.made[new] and (token < 0 or self.stable(token, new)):
+                found = (0, new, at)
+        if found is None:
             raise ValueError("no token ends here: the ranks are no merge table")
         entries.append(found)
         needed = [node >= 0 for node, _, _ in entries]
@@ -127,7 +139,7 @@ class Transducer:
             out.append(entries[root][1])
         keep = [at for at in range(root, len(entries)) if needed[at] or at == root]
         place = {at: i for i, at in enumerate(keep)}
-        state = tuple((entries[at][0], entries[at][1] if at != root or entries[at][0] >= 0 else -1, place.get(entries[at][2], -1) if at != root else -1) for at in keep)
+        state = tuple(border(entries[at][0], entries[at][1] if at != root or entries[at][0] >= 0 else -1, place[entries[at][2]] if at != root else -1) for at in keep)
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
             self.states.append(state)
@@ -140,9 +152,9 @@ class Transducer:
         if self.last[number] is None:
             state, out = self.states[number], []
             at = len(state) - 1
-            while state[at][2] >= 0:
-                out.append(state[at][1])
-                at = state[at][2]
+            while (up := (state[at] & 0xFFFF) - 1) >= 0:
+                out.append((state[at] >> 16 & 0xFFFFFF) - 1)
+                at = up
             self.last[number] = tuple(reversed(out))
         return self.last[number]
 

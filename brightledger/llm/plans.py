@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, tokens
+from . import bpe, minhash, quality, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -33,6 +33,13 @@ def op3_byte_bpe(spark, sf_dir):
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query
+def op4_quality_classifier(spark, sf_dir):
+    """Every document's evidence, site posteriors and decision."""
+    scored = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     """Token counts of every document, and whether it exceeds a context of 2048 tokens."""
