@@ -7,7 +7,8 @@
 3. In each bucket of a band all members are compared with one leader, so a group of m copies gives m pairs, not m squared.
    Pairs whose sketches allow the threshold are confirmed on the full sets and joined into components.
 4. Buckets that still hold several components are finished exactly: every member outside the largest component meets all
-   others as sketches, in blocks of bounded size; only pairs that pass are confirmed. No bucket is capped.
+   others as sketches, in blocks of bounded size. First only the most similar partner per block is confirmed, which joins
+   most of what belongs together; then all pairs of different components that pass a finer sketch. No bucket is capped.
 """
 
 from __future__ import annotations
@@ -24,19 +25,21 @@ from ..sources.targets import stage
 from .common import few, list_column, map_rows, runs, text_or_empty
 from .graph import components
 
-BANDS, ROWS_PER_BAND, BITS = 32, 4, 512
-SAMPLES = BANDS * ROWS_PER_BAND
-#: How far below the threshold an estimate may fall and still be checked exactly: over five standard deviations of it.
-MARGIN = 0.2
+BANDS, ROWS_PER_BAND = 32, 4
+SAMPLES, BITS = BANDS * ROWS_PER_BAND, 512
+#: Samples and bits of the finer sketch.
+FINE_SAMPLES, FINE_BITS = 1024, 4096
+#: Rounds that confirm the most similar partners only.
+ROUNDS = 2
 #: Members of a block in step 4.
 BUILD, PROBE = 256, 1024
 #: Word hashes a worker remembers.
 WORDS = 400_000
 
 _rng = np.random.default_rng(20240229)
-MULTIPLY = (_rng.integers(0, 1 << 32, SAMPLES, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
-ADD = _rng.integers(0, 1 << 32, SAMPLES, np.uint64).astype(np.uint32)[:, None]
-SALT = _rng.integers(0, 1 << 63, SAMPLES, np.uint64)
+MULTIPLY = (_rng.integers(0, 1 << 32, FINE_SAMPLES, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
+ADD = _rng.integers(0, 1 << 32, FINE_SAMPLES, np.uint64).astype(np.uint32)[:, None]
+SALT = _rng.integers(0, 1 << 63, FINE_SAMPLES, np.uint64)
 
 
 class WordHashes(dict):
@@ -69,26 +72,27 @@ def shingles(text: str, k: int) -> np.ndarray:
     return np.unique(out)
 
 
-def minima(found: np.ndarray) -> np.ndarray:
-    """128 minima of a shingle set, taken in blocks."""
-    least = np.full((SAMPLES, 1), 0xFFFFFFFF, np.uint32)
+def minima(found: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """Minima of a shingle set under that many hash functions, taken in blocks."""
+    least = np.full((samples, 1), 0xFFFFFFFF, np.uint32)
     for at in range(0, len(found), 4096):
         part = (found[at : at + 4096] >> np.uint64(32)).astype(np.uint32)
-        least = np.minimum(least, (part * MULTIPLY + ADD).min(axis=1, keepdims=True))
+        least = np.minimum(least, (part * MULTIPLY[:samples] + ADD[:samples]).min(axis=1, keepdims=True))
     return least[:, 0]
 
 
-def odd_sketch(least: np.ndarray) -> np.ndarray:
-    """The samples' parity bitmap, as eight words of 64 bits."""
-    bit = mix(least.astype(np.uint64) ^ SALT) % np.uint64(BITS)
-    flips = np.bincount(bit.astype(np.int64), minlength=BITS) & 1
+def odd_sketch(least: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The samples' parity bitmap, as words of 64 bits."""
+    bit = mix(least.astype(np.uint64) ^ SALT[: len(least)]) % np.uint64(bits)
+    flips = np.bincount(bit.astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8)).view(np.uint64)
 
 
-def most_bits(percent: int) -> int:
-    """Population count of the XOR up to which a pair may still reach the threshold."""
-    differ = 2 * SAMPLES * (1 - percent / 100 + MARGIN)
-    return math.ceil(BITS / 2 * (1 - math.exp(-2 * differ / BITS)))
+def most_bits(percent: int, samples: int = SAMPLES, bits: int = BITS) -> int:
+    """Population count of the XOR up to which a pair may still reach the threshold: the estimate's error may be over five standard deviations."""
+    margin = 5.5 * math.sqrt(0.25 / samples if percent <= 50 else percent / 100 * (1 - percent / 100) / samples)
+    differ = 2 * samples * (1 - percent / 100 + margin)
+    return math.ceil(bits / 2 * (1 - math.exp(-2 * differ / bits)))
 
 
 def sketches(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -138,17 +142,34 @@ def differing(x: str, y: str):
     return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, n: s + n)
 
 
-def across(members: DataFrame, labels: DataFrame, reps: DataFrame, bits: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose sketches allow a link.
+def finer(members: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, odd) with the finer sketch, for the documents of ``members``."""
 
-    The members outside a bucket's largest component form blocks, and each block meets all members block by block; rows are
-    repeated once per block on the other side, pairs are made and sifted inside numpy.
-    """
-    held = stage(members.join(labels, "id", "left").select("h", "id", F.coalesce("component", "id").alias("c")))
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        odd = [odd_sketch(minima(shingles(x.as_py(), k), FINE_SAMPLES), FINE_BITS).view(np.int64) for x in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), list_column(odd, pa.int64())], ["id", "odd"])
+
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")).join(few(members), "id", "left_semi")
+    return map_rows(texts, run, "id long, odd array<long>")
+
+
+def mixed_buckets(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged: members (h, id, c) of buckets that hold several components, and those buckets (h, top, blocks, probes) with their largest one."""
+    held = members.join(labels, "id", "left").select("h", "id", F.coalesce("component", "id").alias("c"))
     sizes = held.groupBy("h", "c").agg(F.count("*").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "c")).alias("top"))
     mixed = sizes.where("parts > 1").select("h", F.col("top.c").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / BUILD).alias("blocks"), F.ceil(F.col("n") / PROBE).alias("probes"))
     mixed = stage(mixed)
-    rows = held.join(mixed, "h").join(reps.select("id", "odd"), "id")
+    return stage(held.join(mixed.select("h"), "h", "left_semi")), mixed
+
+
+def across(held: DataFrame, mixed: DataFrame, sketch: DataFrame, bits: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components whose sketches differ in at most ``bits`` bits.
+
+    The members outside a bucket's largest component form blocks, and each block meets all members block by block; rows are
+    repeated once per block on the other side, pairs are made and sifted inside numpy. ``best``: of each such member only
+    the most similar partner in a block.
+    """
+    rows = held.join(mixed, "h").join(sketch.select("id", "odd"), "id")
     own, other = F.pmod(F.xxhash64("id"), "blocks"), F.pmod(F.xxhash64("id", F.lit(1)), "probes")
     build = rows.where("c <> top").select("h", own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("probes") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "odd")
     probe = rows.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), other.alias("j"), F.lit(1).alias("side"), "id", "c", "odd")
@@ -157,12 +178,18 @@ def across(members: DataFrame, labels: DataFrame, reps: DataFrame, bits: int) ->
         for group in runs(batches, ["h", "i", "j"], 4096):
             side = group.column("side").to_numpy()
             ids, parts = group.column("id").to_numpy(), group.column("c").to_numpy()
-            odd = group.column("odd").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), BITS // 64)
+            odd = group.column("odd").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
             build, probe = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            for at in range(0, len(build), 64):
-                rows = build[at : at + 64]
+            for at in range(0, len(build), 32):
+                rows = build[at : at + 32]
                 count = np.bitwise_count(odd[rows][:, None, :] ^ odd[probe][None, :, :]).sum(axis=2, dtype=np.int64)
-                x, y = np.nonzero((count <= bits) & (parts[rows][:, None] != parts[probe][None, :]))
+                count[parts[rows][:, None] == parts[probe][None, :]] = bits + 1
+                if best and len(probe):
+                    x, y = np.arange(len(rows)), count.argmin(axis=1)
+                    near = count[x, y] <= bits
+                    x, y = x[near], y[near]
+                else:
+                    x, y = np.nonzero(count <= bits)
                 if len(x):
                     a, b = ids[rows[x]], ids[probe[y]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -192,11 +219,19 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     tried = stage(pairs.join(odd["b"], "b").join(odd["a"], "a").where(differing("odd_a", "odd_b") <= bits).select("a", "b"))
     links = stage(confirmed(tried, docs, k, percent, id_col, text_col))
     labels = stage(components(links).withColumnRenamed("node", "id"))
-    more = across(members.select("h", "id"), labels, reps, bits)
-    more = stage(more.join(tried, ["a", "b"], "left_anti"))
-    if more.limit(1).count():
-        links = links.unionByName(confirmed(more, docs, k, percent, id_col, text_col))
+    for step in range(ROUNDS + 1):
+        held, mixed = mixed_buckets(members.select("h", "id"), labels)
+        if not mixed.limit(1).count():
+            break
+        if step < ROUNDS:
+            more = across(held, mixed, reps, bits, best=True)
+        else:
+            fine = stage(finer(stage(held.select("id").distinct()), docs, k, id_col, text_col))
+            more = across(held, mixed, fine, most_bits(percent, FINE_SAMPLES, FINE_BITS), best=False)
+        more = stage(more.join(tried, ["a", "b"], "left_anti"))
+        links = stage(links.unionByName(confirmed(more, docs, k, percent, id_col, text_col)))
         labels = stage(components(links).withColumnRenamed("node", "id"))
+        tried = tried.unionByName(more)
     named = stage(classes.join(labels, classes.rep == labels["id"], "left").select("key_a", "key_b", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
     out = found.select("id", "n_shingles", "key_a", "key_b").join(named, ["key_a", "key_b", "n_shingles"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
