@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality, tokens
+from . import bpe, lines, minhash, quality, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -23,6 +23,13 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    """Every document without later repeated runs of lines."""
+    out = lines.drop_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "words_before", "words_after")
+
+
 @query
 def op3_byte_bpe(spark, sf_dir):
     """Encode every document and decode the ids again."""
