@@ -167,12 +167,12 @@ def across(held: DataFrame, mixed: DataFrame, sketch: DataFrame, bits: int, best
 
     The members outside a bucket's largest component form blocks, and each block meets all members block by block; rows are
     repeated once per block on the other side, pairs are made and sifted inside numpy. ``best``: of each such member only
-    the most similar partner in a block.
+    the most similar partner in a block. Otherwise a pair comes from the first bucket that its members share, once only.
     """
-    rows = held.join(mixed, "h").join(sketch.select("id", "odd"), "id")
+    rows = held.join(mixed, "h").join(sketch, "id")
     own, other = F.pmod(F.xxhash64("id"), "blocks"), F.pmod(F.xxhash64("id", F.lit(1)), "probes")
-    build = rows.where("c <> top").select("h", own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("probes") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "odd")
-    probe = rows.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), other.alias("j"), F.lit(1).alias("side"), "id", "c", "odd")
+    build = rows.where("c <> top").select("h", own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("probes") - 1)).alias("j"), F.lit(0).alias("side"), "id", "c", "odd", "bands")
+    probe = rows.select("h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), other.alias("j"), F.lit(1).alias("side"), "id", "c", "odd", "bands")
 
     def run(batches):
         for group in runs(batches, ["h", "i", "j"], 4096):
@@ -180,6 +180,8 @@ def across(held: DataFrame, mixed: DataFrame, sketch: DataFrame, bits: int, best
             ids, parts = group.column("id").to_numpy(), group.column("c").to_numpy()
             odd = group.column("odd").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
             build, probe = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not best:
+                bands, h = group.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS), group.column("h")[0].as_py()
             for at in range(0, len(build), 32):
                 rows = build[at : at + 32]
                 count = np.bitwise_count(odd[rows][:, None, :] ^ odd[probe][None, :, :]).sum(axis=2, dtype=np.int64)
@@ -190,6 +192,9 @@ def across(held: DataFrame, mixed: DataFrame, sketch: DataFrame, bits: int, best
                     x, y = x[near], y[near]
                 else:
                     x, y = np.nonzero(count <= bits)
+                    shared = bands[rows[x]] == bands[probe[y]]
+                    first = bands[rows[x], shared.argmax(axis=1)] == h
+                    x, y = x[first], y[first]
                 if len(x):
                     a, b = ids[rows[x]], ids[probe[y]]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -224,9 +229,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
         if not mixed.limit(1).count():
             break
         if step < ROUNDS:
-            more = across(held, mixed, reps, bits, best=True)
+            more = across(held, mixed, reps.select("id", "odd", F.lit(None).cast("array<long>").alias("bands")), bits, best=True)
         else:
-            fine = stage(finer(stage(held.select("id").distinct()), docs, k, id_col, text_col))
+            fine = stage(finer(stage(held.select("id").distinct()), docs, k, id_col, text_col).join(reps.select("id", "bands"), "id"))
             more = across(held, mixed, fine, most_bits(percent, FINE_SAMPLES, FINE_BITS), best=False)
         more = stage(more.join(tried, ["a", "b"], "left_anti"))
         links = stage(links.unionByName(confirmed(more, docs, k, percent, id_col, text_col)))
