@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, quality, tokens
+from . import bpe, decontam, lines, minhash, quality, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -47,6 +47,12 @@ def op4_quality_classifier(spark, sf_dir):
     return scored.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op5_benchmark_decontamination(spark, sf_dir):
+    """Every document that holds a benchmark item, possibly with other numbers, units or names."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     """Token counts of every document, and whether it exceeds a context of 2048 tokens."""
