@@ -60,4 +60,10 @@ def op9_token_counts(spark, sf_dir):
 
 
 def load():
+    """(queries, SQL) with the pipeline, which stands at the repository's top."""
+    import corpus_pipeline
+
+    QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL is not None:
+        ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
     return QUERIES, ORACLE
