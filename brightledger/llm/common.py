@@ -66,6 +66,10 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def few(df: DataFrame, most: int = 200_000) -> DataFrame:
-    """A staged table of narrow rows, marked for broadcast only if it holds at most ``most`` rows; else it is joined by shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+def few(df: DataFrame, most: int = 200_000, cells: str | None = None) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast only if it holds at most ``most`` rows; else it is joined by shuffle.
+
+    ``cells`` names an array column: all its arrays together may then hold ten times ``most`` values at most.
+    """
+    n, values = df.agg(F.count("*"), F.coalesce(F.sum(F.size(cells)), F.lit(0)) if cells else F.lit(0)).first()
+    return F.broadcast(df) if n <= most and values <= 10 * most else df

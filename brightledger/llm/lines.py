@@ -144,7 +144,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     added = ["words_before", "words_after", "__ranges"]
     keep = [c for c in docs.columns if c not in added]
-    found = few(repeats(docs, id_col, text_col)).select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("ranges").alias("__ranges"))
+    found = few(repeats(docs, id_col, text_col), cells="ranges").select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("ranges").alias("__ranges"))
     joined = docs.select(*keep).join(found, (F.col(id_col) == F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__mark")), "left").select(*keep, "__ranges")
     at, n = keep.index(text_col), len(keep)
 

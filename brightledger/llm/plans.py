@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lines, minhash, quality, secrets, tokens
+from . import bpe, decontam, lines, minhash, pii, quality, secrets, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -61,6 +61,14 @@ def op6_secret_scan(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(secrets.listing("base", secrets.KINDS), 256).alias("base_sha256"), secrets.listing("spans", secrets.KINDS).alias("spans"))
 
 
+@query
+def op7_pii(spark, sf_dir):
+    """Personal data in every document: fixed patterns and what the weakly supervised classifier adds."""
+    found = pii.scan(table(spark, sf_dir, "documents"))
+    counts = [secrets.count("base", i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS[:4])]
+    return found.select("doc_id", *counts, F.sha2(secrets.listing("base", pii.KINDS), 256).alias("base_sha256"), secrets.listing("spans", pii.KINDS).alias("spans"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     """Token counts of every document, and whether it exceeds a context of 2048 tokens."""
