@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, lines, minhash, pii, quality, secrets, tokens
+from . import bpe, decontam, embeddings, lines, minhash, pii, quality, secrets, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -69,6 +69,12 @@ def op7_pii(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(secrets.listing("base", pii.KINDS), 256).alias("base_sha256"), secrets.listing("spans", pii.KINDS).alias("spans"))
 
 
+@query
+def op8_embedding_near_dedup(spark, sf_dir):
+    """Links and components of all embeddings at a cosine of 0.95."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     """Token counts of every document, and whether it exceeds a context of 2048 tokens."""
