@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, lines, minhash, pii, quality, secrets, tokens
+from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, tokens
 from .common import table
 
 QUERIES: dict = {}
@@ -81,6 +81,14 @@ def op9_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
 
+@query
+def op10_license_scan(spark, sf_dir):
+    """License notices in every document, with the places and the share of the notice found."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"].cast("string"), m["end"].cast("string")))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(spans, ",").alias("spans"), F.round(F.array_min(F.transform("matches", lambda m: m["share"])), 6).alias("least_share"))
+
+
 def load():
     """(queries, SQL) with the pipeline, which stands at the repository's top."""
     import corpus_pipeline
