@@ -1,8 +1,9 @@
 """Secret scan: fixed patterns, and a battery of randomness tests with length-aware false-discovery control.
 
 Beside three fixed patterns (assignments, access keys, long hex runs), every long run of key letters is a candidate. The
-smallest alphabet that holds its symbols is taken as its encoding, and three tests ask whether it could be random in that
-alphabet: chi-squared uniformity, runs (of symbol classes and around the middle of the alphabet) and serial correlation. The
+smallest alphabet that holds its symbols is taken as its encoding, and tests ask whether it could be random in that
+alphabet: chi-squared uniformity, shares of symbol classes, runs (of classes and around the middle of the alphabet) and
+serial correlation. The
 discoveries of the battery are the tokens that are *not* random. Over all candidates of all documents, a weighted
 Benjamini-Hochberg step controls how many random tokens are thrown away among them; longer tokens, on which the tests
 have more power, get the larger weights. What survives looks random and is reported.
@@ -65,7 +66,7 @@ def runs_z(marks: np.ndarray) -> float:
 
 
 def randomness(token: str, kind: str) -> float:
-    """P-value of the battery (Bonferroni over its four tests) under uniform symbols of the alphabet."""
+    """P-value of the battery (Bonferroni over its five tests) under uniform symbols of the alphabet."""
     order = ENCODINGS[kind]
     x = np.array([order[c] for c in token])
     n, k = len(x), len(order)
@@ -78,10 +79,15 @@ def randomness(token: str, kind: str) -> float:
     # changes between digits and letters against what independent symbols would give
     changes, expect = int((digit[1:] != digit[:-1]).sum()), 2 * share * (1 - share)
     classes = two_sided((changes - (n - 1) * expect) / math.sqrt((n - 1) * expect * (1 - expect) + 1e-9))
+    shares = 1.0
+    for letters in (DIGITS, LOWER, UPPER):
+        s = sum(c in order for c in letters) / k
+        if 0 < s < 1:
+            shares = min(shares, 3 * two_sided((sum(c in letters for c in token) - n * s) / math.sqrt(n * s * (1 - s))))
     d = x - (k - 1) / 2
     power = float((d * d).sum())
     serial = two_sided(float((d[1:] * d[:-1]).sum()) / power * math.sqrt(n)) if power else 0.0
-    return min(1.0, 4 * min(uniform, middle, classes, serial))
+    return min(1.0, 5 * min(uniform, shares, middle, classes, serial))
 
 
 def weight(n: int) -> float:
