@@ -77,10 +77,6 @@ def path_only(path: Column | str) -> Column:
     return F.regexp_extract(col(path), r"^([^?]*)", 1)
 
 
-def lowered_like(c: Column | str, pattern: str) -> Column:
-    return F.lower(col(c)).like(pattern)
-
-
 def has(c: Column | str, text: str) -> Column:
     """Case-insensitive containment, null when the text is null."""
     return F.lower(col(c)).contains(text)
@@ -108,17 +104,12 @@ def bucket_ladder(n: Column | str) -> Column:
 
 
 def iso_with_offset(ts_utc: Column | str, zone: str) -> Column:
-    """ISO-8601 text of a UTC date-time followed by the zone's hour offset, e.g. ``-08:00``."""
-    hours = diff_boundary("HOUR", to_zone(ts_utc, zone), ts_utc)
-    sign = F.when(hours < 0, "-").otherwise("+")
-    return F.concat(F.date_format(col(ts_utc), "yyyy-MM-dd'T'HH:mm:ss"), sign,
-                    F.lpad(F.abs(hours).cast("string"), 2, "0"), F.lit(":00"))
+    """ISO-8601 text of a UTC date-time followed by the zone's offset, e.g. ``-08:00`` or ``+05:30``."""
+    minutes = F.timestamp_diff("MINUTE", col(ts_utc), to_zone(ts_utc, zone))
+    part = [F.lpad(x.cast("string"), 2, "0") for x in (F.floor(F.abs(minutes) / 60), F.abs(minutes) % 60)]
+    return F.concat(F.date_format(col(ts_utc), "yyyy-MM-dd'T'HH:mm:ss"), F.when(minutes < 0, "-").otherwise("+"), part[0], F.lit(":"), part[1])
 
 
 def money_text(c: Column | str) -> Column:
     """``$1,234.50`` to a double; text that is not a number gives null."""
     return F.trim(F.regexp_replace(col(c), r"[$,]", "")).try_cast("double")
-
-
-def round2(c: Column) -> Column:
-    return F.round(c, 2)

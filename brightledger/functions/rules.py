@@ -8,19 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def first_match(rules: Sequence[tuple[str, str]], default: str) -> Column:
-    """Label of the first rule whose SQL predicate holds, else ``default``.
-
-    Rules are data: (predicate over the input's columns, label). A null predicate is not
-    a match. The chain stays in whole-stage codegen.
-    """
-    out = None
-    for predicate, label in rules:
-        hit = F.expr(predicate)
-        out = F.when(hit, label) if out is None else out.when(hit, label)
-    return F.lit(default) if out is None else out.otherwise(default)
-
-
 def path_type(path: Column, rules: Sequence[tuple[str, str]], default: str = "Other") -> Column:
     """Page type of a path by caller-supplied (substring, type) rules, first match wins."""
     out = F.lit(default)

@@ -73,7 +73,7 @@ def segment_asof(keys: DataFrame, items: DataFrame, buckets: Mapping, email: str
         F.max(contacts).alias("c"), F.max(~contacts).alias("g"), F.max("LensType").alias("lensType"),
         F.max(F.col("brand").isin(list(buckets["premium"]))).alias("p"))
     orders = orders.where("__e <> ''")
-    counted = running(orders, ["__e"], F.year("__since"), [F.col("__since"), F.col("__order")],
+    counted = running(orders, ["__e"], F.to_date("__since"), [F.col("__since"), F.col("__order")],
                       {"n": ("sum", F.lit(1))})
     wanted = keys.select(F.lower(email).alias("__e"), F.col(day).alias("__day")).distinct()
     wanted = wanted.where("__e is not null and __day is not null").withColumn("__at", F.col("__day").cast("timestamp_ntz"))
@@ -341,12 +341,12 @@ def delivery_date(names: DataFrame) -> DataFrame:
     """Delivery date at the head of a message name (``d.m.yy`` or ``d.m.yyyy``).
 
     Names that start with another character, are empty or hold ``test`` are dropped; a head
-    that is no date gives null.
+    that is no date gives null, and so does a year of any other number of digits.
     """
     parts = split_literal("MessageName", ".")
     day, month = item(parts, 0).try_cast("int"), item(parts, 1).try_cast("int")
     digits = F.regexp_extract(item(parts, 2), r"^\d+", 0)
-    year = F.when(F.length(digits) == 4, digits.try_cast("int")).when(F.length(digits) >= 1, F.substring(digits, 1, 2).try_cast("int") + 2000)
+    year = F.when(F.length(digits) == 4, digits.try_cast("int")).when(F.length(digits) == 2, digits.try_cast("int") + 2000)
     text = F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0"))
     usable = names.where(F.col("MessageName").isNotNull() & (F.col("MessageName") != "") & ~F.col("MessageName").contains("test")
                          & F.trim("MessageName").rlike("^[0-9.]")).select("MessageName").distinct()

@@ -96,11 +96,10 @@ def _swap(c: Column, rename: Mapping[str, str]) -> Column:
 
 
 def base_name(name: Column, color: Column, rename: Mapping[str, str]) -> Column:
-    """Product name without its colour words, signs and doubled blanks; more than five words give null."""
+    """Product name without its colour words, signs and doubled blanks."""
     words = split_literal(F.replace(color, F.lit(" , "), F.lit(" ")), " ")
     bare = F.aggregate(F.reverse(words), F.trim(_swap(name, rename)), lambda acc, w: F.replace(acc, w, F.lit("")))
-    bare = F.when(F.size(words) <= 5, bare)
-    bare = F.replace(bare, F.replace(color, F.lit(" , "), F.lit("")), F.lit(""))
+    bare = F.replace(bare, F.replace(color, F.lit(" , "), F.lit(" ")), F.lit(""))
     for old, new in (("w/", ""), ("/", ""), (",", ""), ("   ", " "), ("  ", " ")):
         bare = F.replace(bare, F.lit(old), F.lit(new))
     return F.trim(bare)

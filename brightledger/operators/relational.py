@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def nullsafe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equality on all keys with null equal to null; planned as a hash or merge join."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def not_in(left: DataFrame, key: Column, values: DataFrame) -> DataFrame:
     """SQL ``key NOT IN (values)`` as a distributed anti join.
 

@@ -267,7 +267,8 @@ def banner_report(hits: DataFrame, ref: DataFrame, kind: str = "impression", tz:
     """Banner impressions or clicks with the orders of the same session, and users of the segment.
 
     Sessions are joined to their orders after they are reduced to one row per session and
-    banner; an order of a session counts under each banner of it, as does its revenue.
+    banner; an order of a session counts under each banner of it, as does its revenue. Hits,
+    displays and events count once, however many orders the session has.
     """
     place = ["Date", "deviceCategory", "country", "region", "Media"]
     banner = hits.where(has(action(), f"hp banner {kind}"))
@@ -285,15 +286,12 @@ def banner_report(hits: DataFrame, ref: DataFrame, kind: str = "impression", tz:
                  .withColumn("eventLabel", F.lower(label())).withColumn("eventAction", F.lower(action()))
                  .groupBy(*dims, "fullVisitorId", "visitNumber")
                  .agg(F.sum("totalHits").alias("hits"), F.count(F.lit(1)).alias("n")))
-    # every order of the session repeats the session's counts, so keep counts and orders apart
     orders = (hits.where("transactionId is not null")
               .select(*SESSION, "transactionId", revenue().alias("amount")).distinct())
-    per_session = orders.groupBy(*SESSION).agg(F.count(F.lit(1)).alias("n_orders"), F.sum("amount").alias("amount"))
+    per_session = orders.groupBy(*SESSION).agg(F.sum("amount").alias("amount"))
     joined = per_visit.join(per_session, SESSION, "left")
-    times = F.coalesce("n_orders", F.lit(1))
     counts = joined.groupBy(*dims).agg(
-        F.sum(times).alias("Unique_Events"), F.sum("amount").alias("transactionRevenue"),
-        F.sum(F.col("hits") * times).alias("hits"), F.sum(F.col("n") * times).alias("n"))
+        F.count(F.lit(1)).alias("Unique_Events"), F.sum("amount").alias("transactionRevenue"), F.sum("hits").alias("hits"), F.sum("n").alias("n"))
     distinct_orders = (per_visit.join(orders.select(*SESSION, "transactionId"), SESSION)
                        .groupBy(*dims, "transactionId").agg(F.lit(1).alias("one"))
                        .groupBy(*dims).agg(F.count(F.lit(1)).alias("transactions")))

@@ -23,7 +23,7 @@ PART1 = f"""SELECT Date, Platform, Marketing_Channel, Media, Product_Group, Devi
 PART2 = """SELECT Date, Platform, 'Acquisition', Media, CASE WHEN pt LIKE '%Contact%' THEN 'Contacts' ELSE pt END, Device, round(sum(l_extendedprice), 2), sum(l_quantity), round(sum(l_extendedprice * 2), 4)
       FROM (SELECT CAST(l_shipdate AS DATE) AS Date, ['Desktop','Mobile'][l_linenumber % 2 + 1] AS Device, l_extendedprice, l_quantity, t.* FROM lineitem
         JOIN (VALUES (0, 'G 0', 'Google', 'Glasses'), (1, 'G 1', 'Google', 'Contact Lenses'), (3, 'G 3', 'YouTube', 'Sun')) t(k, Media, Platform, pt) ON l_suppkey % 4 = k
-        WHERE l_suppkey % 2 = 1 AND 'c' || l_suppkey NOT IN (SELECT campaign FROM fu)) GROUP BY ALL"""
+        WHERE (l_suppkey % 2 = 1 OR l_suppkey % 10 = 0) AND 'c' || l_suppkey NOT IN (SELECT campaign FROM fu)) GROUP BY ALL"""
 PART3 = """SELECT Date, 'LiveIntent', 'Acquisition', 'Liveintent', 'Glasses', 'Desktop', round(sum(l_extendedprice), 2), sum(l_quantity), round(sum(l_extendedprice * 3), 4)
       FROM (SELECT CAST(l_shipdate AS DATE) + 100 AS Date, * FROM lineitem WHERE l_suppkey % 7 = 2) WHERE Date >= DATE '1999-01-01'
         AND Date NOT IN (SELECT Date FROM fu WHERE Media = 'Liveintent' AND Date >= DATE '1999-01-01') GROUP BY ALL"""
@@ -62,7 +62,7 @@ DEVICE = "['Desktop','Mobile'][l_linenumber % 2 + 1] AS Device"
       CAST(sum(l_orderkey % 3) AS BIGINT) AS Leads, CAST(sum(l_orderkey % 2) AS BIGINT) AS ATC, CAST(sum(l_partkey % 4) AS BIGINT) AS New_Customer_Conversions, CAST(sum({CONV}) AS DOUBLE) AS Conversions, round(sum(l_extendedprice * 2), 4) AS Conversion_Value
       FROM lineitem WHERE l_suppkey % 5 <> 0 AND l_partkey % 10 <> 3 AND {WINDOW} AND ({CONV} > 0 OR l_orderkey % 3 > 0 OR l_orderkey % 2 > 0 OR l_partkey % 4 > 0) GROUP BY ALL
     UNION ALL SELECT DATE '2001-11-04', CAST(l_shipdate AS DATE), CAST(l_suppkey AS VARCHAR), NULL, NULL, {DEVICE}, CAST(sum(l_orderkey % 3) AS BIGINT), CAST(sum(l_orderkey % 2) AS BIGINT), NULL, CAST(sum({CONV}) AS DOUBLE), round(sum(l_extendedprice * 2), 4)
-      FROM lineitem WHERE l_suppkey % 2 = 1 AND {LISTED} AND {WINDOW} AND ({CONV} > 0 OR l_orderkey % 3 > 0 OR l_orderkey % 2 > 0) GROUP BY ALL""")
+      FROM lineitem WHERE (l_suppkey % 2 = 1 OR l_suppkey % 10 = 0) AND {LISTED} AND {WINDOW} AND ({CONV} > 0 OR l_orderkey % 3 > 0 OR l_orderkey % 2 > 0) GROUP BY ALL""")
 def ads_cohort_snapshot(spark, sf):
     out = spend.ads_snapshot(A.ad_export(spark, sf), A.campaign_export(spark, sf), AS_OF, "Ad Level", 365)
     return out.withColumn("Conversion_Value", F.round("Conversion_Value", 4))
@@ -73,7 +73,7 @@ FINAL = "CAST(sum(CAST(l_quantity * 10 AS BIGINT)) AS BIGINT) AS impressions, CA
 
 @query("ads_final_reload", f"""WITH n AS (SELECT CAST(l_shipdate AS DATE) AS Date, CAST(l_suppkey AS VARCHAR) AS Campaign_ID, 'c' || l_suppkey AS Campaign_Name, 'a' || l_partkey AS Ad_ID, 'Ad ' || l_partkey AS Ad_Name, 'g' || l_suppkey || '_' || l_linenumber AS Ad_Group_ID,
       'Group ' || l_linenumber AS Ad_Group_Name, CASE WHEN l_linenumber % 2 = 0 THEN 'Search' ELSE 'Shopping' END AS Ad_group_type, {DEVICE}, {FINAL} FROM lineitem WHERE l_suppkey % 5 <> 0 AND l_partkey % 10 <> 3 AND {WINDOW} GROUP BY ALL
-    UNION ALL SELECT CAST(l_shipdate AS DATE), CAST(l_suppkey AS VARCHAR), 'c' || l_suppkey, NULL, NULL, NULL, NULL, NULL, {DEVICE}, {FINAL} FROM lineitem WHERE l_suppkey % 2 = 1 AND {LISTED} AND {WINDOW} GROUP BY ALL)
+    UNION ALL SELECT CAST(l_shipdate AS DATE), CAST(l_suppkey AS VARCHAR), 'c' || l_suppkey, NULL, NULL, NULL, NULL, NULL, {DEVICE}, {FINAL} FROM lineitem WHERE (l_suppkey % 2 = 1 OR l_suppkey % 10 = 0) AND {LISTED} AND {WINDOW} GROUP BY ALL)
     SELECT * FROM n WHERE Date >= DATE '2001-01-01' UNION ALL SELECT * REPLACE (-1.0::DOUBLE AS Spend) FROM n WHERE Date < DATE '2001-01-01'""")
 def ads_final_reload(spark, sf):
     rows = spend.ads_final(A.ad_export(spark, sf), A.campaign_export(spark, sf), AS_OF, "Ad Level", 365)
@@ -184,8 +184,8 @@ def review_feed(spark, sf):
 
 NAME = "'  ' || upper(left(p_name, 1)) || substr(p_name, 2) || CASE p_size % 4 WHEN 0 THEN ' Red' WHEN 1 THEN ' w/ Gold/Black' WHEN 2 THEN ' Kids' ELSE ' Old Label' END"
 TITLE = "replace(trim(name), 'Old Label', 'Label Old')"
-BARE = """trim(replace(replace(replace(replace(replace(replace(CASE WHEN len(words) <= 5 THEN list_reduce(list_prepend({0}, list_reverse(words)), lambda a, w: replace(a, w, '')) END,
-      replace(color, ' , ', ''), ''), 'w/', ''), '/', ''), ',', ''), '   ', ' '), '  ', ' '))""".format(TITLE)
+BARE = """trim(replace(replace(replace(replace(replace(replace(list_reduce(list_prepend({0}, list_reverse(words)), lambda a, w: replace(a, w, '')),
+      replace(color, ' , ', ' '), ''), 'w/', ''), '/', ''), ',', ''), '   ', ' '), '  ', ' '))""".format(TITLE)
 NUM = "regexp_replace(CAST(round({0}, 2) AS VARCHAR), '\\.0$', '')"
 RX = "CASE WHEN lower(kind) = 'eyeglasses' THEN 'Eyeglasses' WHEN p_size % 4 = 0 THEN 'Sunglasses (Non-RX)' ELSE 'Sunglasses (RX-able)' END"
 IMG = "https://img.example"

@@ -308,7 +308,7 @@ LEGACY = f"""{S.MAIL}, inb AS (SELECT CAST(ts AS DATE) AS date, date_trunc('seco
       CASE event_type WHEN 'error' THEN 'open' WHEN 'click' THEN 'click' ELSE CASE WHEN k < 50 THEN 'unsubscribe' ELSE 'bounce' END END AS kind,
       CASE WHEN k % 4 = 3 THEN 'PPS-contacts c' || k % 3 WHEN k % 11 = 0 THEN '1.13.24_bad' ELSE message_name END AS MessageName,
       mail AS EmailAddress, '/l/' || k % 5 AS linkUrl, 'n' || k % 5 AS linkname, 'Reason r' || k % 4 AS reason, k FROM mailev WHERE event_type IN ('error', 'click', 'signup')),
-    dd AS (SELECT DISTINCT MessageName, TRY_CAST('20' || left(split_part(MessageName, '.', 3), 2) || '-' || split_part(MessageName, '.', 2) || '-' || split_part(MessageName, '.', 1) AS DATE) AS DDate
+    dd AS (SELECT DISTINCT MessageName, TRY_CAST(CASE length(regexp_extract(split_part(MessageName, '.', 3), '^\\d+')) WHEN 4 THEN '' WHEN 2 THEN '20' END || regexp_extract(split_part(MessageName, '.', 3), '^\\d+') || '-' || split_part(MessageName, '.', 2) || '-' || split_part(MessageName, '.', 1) AS DATE) AS DDate
       FROM inb WHERE regexp_matches(MessageName, '^[0-9]'))"""
 
 

@@ -36,7 +36,7 @@ def periods(spark, sf, form="status"):
     return P.budget_periods(sheet, AS_OF, form, date(1995, 3, 1))
 
 
-@query("append_partner_actions", """WITH a AS (SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS tm FROM orders WHERE o_orderkey % 3 = 0),
+@query("append_partner_actions", """WITH a AS (SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS tm FROM orders),
     r AS (SELECT CAST(o_orderkey AS VARCHAR) AS oid, tm, o_orderkey, b FROM a, (VALUES (0), (5)) v(b) WHERE b = 0 OR o_orderkey % 6 = 0)
     SELECT oid, strftime(tm, '%Y-%m-%d %H:%M:%S') AS action_date, strftime(tm - to_days(CAST(o_orderkey % 120 + b AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS click_date FROM r""")
 def append_partner_actions(spark, sf):
@@ -108,7 +108,7 @@ def shared_id(spark, sf):
     return P.shared_id(A.budget_sheet(spark, sf), known)
 
 
-ACT = """act0 AS (SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS tm FROM orders WHERE o_orderkey % 3 = 0),
+ACT = """act0 AS (SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS tm FROM orders),
     pa AS (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS oid, o_orderkey, o_custkey, tm, tm - to_days(CAST(o_orderkey % 120 AS INTEGER)) AS click,
       CASE left(o_orderpriority, 1) WHEN '1' THEN 'Creators-A' WHEN '2' THEN 'creatorsgm-B' ELSE 'Blog' END AS media,
       CASE o_orderkey % 10 WHEN 0 THEN NULL WHEN 1 THEN 'TEST100x' WHEN 2 THEN 'Trial1' ELSE 'SAVE' || o_orderkey % 3 END AS promo,

@@ -368,8 +368,8 @@ def contact_orders(spark: SparkSession, sf: str) -> DataFrame:
 # ---- partners
 
 def partner_actions(spark: SparkSession, sf: str) -> DataFrame:
-    """Partner actions: a third of the orders, some with a second, earlier click."""
-    base = table(spark, sf, "orders").where("o_orderkey % 3 = 0").withColumn(
+    """Partner actions: all orders, some with a second, earlier click."""
+    base = table(spark, sf, "orders").withColumn(
         "at", F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int))"))
     twice = base.withColumn("back", F.explode(F.expr("case when o_orderkey % 6 = 0 then array(0, 5) else array(0) end")))
     click = F.expr("date_format(at - make_dt_interval(cast(o_orderkey % 120 as int) + back), 'yyyy-MM-dd HH:mm:ss')")
@@ -398,8 +398,8 @@ def affiliate_naming(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def affiliate_codes(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "supplier").where("s_suppkey < 9").select(
-        F.col("s_suppkey").alias("entity_id"), F.expr("case when s_suppkey < 6 then 'code-batchA-' || s_suppkey else 'code-other-' || s_suppkey end").alias("code"))
+    return table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("entity_id"), F.expr("case when s_suppkey % 9 < 6 then 'code-batchA-' || s_suppkey else 'code-other-' || s_suppkey end").alias("code"))
 
 
 def budget_sheet(spark: SparkSession, sf: str) -> DataFrame:
@@ -442,8 +442,8 @@ def main_spend(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def campaign_spend(spark: SparkSession, sf: str) -> DataFrame:
-    """Campaign-level export: suppliers with an odd key."""
-    return table(spark, sf, "lineitem").where("l_suppkey % 2 = 1").select(
+    """Campaign-level export: suppliers with an odd key or one divisible by ten, so that each supplier is in an export."""
+    return table(spark, sf, "lineitem").where("l_suppkey % 2 = 1 or l_suppkey % 10 = 0").select(
         F.to_date("l_shipdate").alias("Date"), F.expr("element_at(array('Desktop','Mobile'), l_linenumber % 2 + 1)").alias("Device"),
         F.expr("'c' || l_suppkey").alias("campaign"), F.expr("case when l_suppkey % 3 = 0 then 77L end").alias("account"),
         F.col("l_extendedprice").alias("cost"), F.col("l_quantity").alias("conversions"), F.expr("l_extendedprice * 2").alias("value"))
@@ -489,7 +489,7 @@ def ad_export(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def campaign_export(spark: SparkSession, sf: str) -> DataFrame:
-    return _ads(table(spark, sf, "lineitem").where("l_suppkey % 2 = 1")).drop(
+    return _ads(table(spark, sf, "lineitem").where("l_suppkey % 2 = 1 or l_suppkey % 10 = 0")).drop(
         "Ad_ID", "Ad_Name", "Ad_Group_ID", "Ad_Group_Name", "Ad_group_type", "Connection_Name", "New_Customers")
 
 

@@ -106,25 +106,29 @@ def nth_row(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 
 def publish(spark: SparkSession, new: DataFrame, path: str, version: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new version of a target beside the old one, then point ``CURRENT`` at it.
+    """Write a new version of a target beside the old ones, then add a row that points at it.
 
-    The path that is being read is never overwritten, so a lost executor or a failed job
-    leaves the old content in place; a second run with the same version replaces its own files.
+    Nothing that is being read is overwritten or deleted: the data go to a folder of their own, and the pointer is
+    appended in one committed file. A job that fails before that leaves the old content current; a second run with the same
+    version adds a newer one. With ``partition_by``, later scans read the partitions they ask for only.
     """
-    target = f"{path.rstrip('/')}/v={version}"
-    writer = new.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    target = f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
+    writer = new.write.partitionBy(*partition_by) if partition_by else new.write
     writer.parquet(target)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{path.rstrip('/')}/CURRENT")
+    pointer = spark.range(1).select(F.current_timestamp().alias("at"), F.lit(version).alias("version"), F.lit(target).alias("folder"))
+    pointer.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/pointers")
     return target
 
 
+def replace_partitions(new: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Rewrite only the partitions of a date-keyed target that ``new`` has rows for; the others stay as they are."""
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def current(spark: SparkSession, path: str) -> DataFrame:
-    """Read the version ``publish`` made current."""
-    version = spark.read.text(f"{path.rstrip('/')}/CURRENT").first()[0]
-    return spark.read.parquet(f"{path.rstrip('/')}/v={version}")
+    """Read the version ``publish`` made current: the newest pointer's."""
+    pointer = spark.read.parquet(f"{path.rstrip('/')}/pointers").orderBy(F.desc("at"), F.desc("folder")).first()
+    return spark.read.parquet(pointer["folder"])
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from brightledger.functions import columns as C
 from brightledger.functions.channels import channel
-from brightledger.functions.rules import first_match, path_type
+from brightledger.functions.rules import path_type
 from brightledger.operators.email import delivery_date
 from brightledger.operators.feeds import base_name, number_text
 from brightledger.operators.partners import dotted_date, fee_type
@@ -69,7 +69,7 @@ def test_fee_text(spark):
 
 
 def test_base_name(spark):
-    assert one(spark, base_name(F.lit("Otto Red w/ Blue"), F.lit("Red , Blue"), {}), base_name(F.lit("A"), F.lit("a b c d e f"), {})) == ("Otto", None)
+    assert one(spark, base_name(F.lit("Otto Red w/ Blue"), F.lit("Red , Blue"), {}), base_name(F.lit("A"), F.lit("a b c d e f"), {})) == ("Otto", "A")
 
 
 def test_channel_rules_first_match_and_nulls(spark):
@@ -84,7 +84,6 @@ def test_channel_rules_first_match_and_nulls(spark):
         "Tiktok", "SMS Contacts Abn", "Other", "Criteo NAQ"]
 
 
-def test_first_match(spark):
-    col = first_match([("x > 5", "big"), ("x > 1", "mid")], "low")
-    got = spark.sql("select * from values (9), (2), (0), (null) t(x)").select(col).collect()
-    assert [r[0] for r in got] == ["big", "mid", "low", "low"]
+def test_offset_minutes_and_quarters(spark):
+    assert one(spark, C.iso_with_offset(ts("2024-01-05 03:00:07"), "Asia/Kolkata")) == ("2024-01-05T03:00:07+05:30",)
+    assert one(spark, C.iso_with_offset(ts("2024-07-05 03:00:07"), "America/St_Johns")) == ("2024-07-05T03:00:07-02:30",)

@@ -99,3 +99,26 @@ def test_hot_visitor_in_first_touch(spark, hits):
     want = W.with_media(hot.withColumn("Date", W.local_day("visitStartTime", "UTC")).join(firsts, ["Date", "fullVisitorId", "visitNumber"]), ref)
     assert rows(got) == rows(want.select("Date", "fullVisitorId", "Media").distinct())
     assert date(2024, 1, 1) <= got.agg(F.min("Date")).first()[0]
+
+
+def test_banner_counts_do_not_depend_on_the_number_of_orders(spark):
+    base = dict(fullVisitorId="v", visitNumber=1, visitStartTime=1704067200, deviceCategory="d", country="c", region="r", source="s", medium="m", campaign=None, customerId=None,
+                pagePath="/a", totalHits=7, time=5000, eventLabel="L", eventAction=None, transactionId=None, transactionRevenue=None)
+    hits = [base | dict(eventAction="HP Banner Impression"), base | dict(eventAction="hp banner impression", time=9000),
+            base | dict(transactionId="t1", transactionRevenue=2_000_000), base | dict(transactionId="t2", transactionRevenue=3_000_000)]
+    schema = ("fullVisitorId string, visitNumber long, visitStartTime long, deviceCategory string, country string, region string, source string, medium string, campaign string, "
+              "customerId long, pagePath string, totalHits long, time long, eventLabel string, eventAction string, transactionId string, transactionRevenue long")
+    ref = spark.createDataFrame([("s", "m", None, None, "M")], "source string, medium string, campaign string, adwords_account long, Media string")
+    row = W.banner_report(spark.createDataFrame([tuple(h[c.split()[0]] for c in schema.split(", ")) for h in hits], schema), ref).first()
+    assert (row["imp"], row["hits"], row["Unique_Events"], row["transactions"], row["transactionRevenue"]) == (2, 14, 1, 2, 5.0)
+
+
+def test_years_and_colours_are_not_cut(spark):
+    from brightledger.operators.email import delivery_date
+    from brightledger.operators.feeds import base_name
+
+    names = spark.createDataFrame([("1.2.24_a",), ("1.2.2024_b",), ("1.2.202_c",), ("1.2.20245_d",), ("1.2.4_e",)], "MessageName string")
+    got = {r[0][-1]: r[1] for r in delivery_date(names).collect()}
+    assert got == {"a": date(2024, 2, 1), "b": date(2024, 2, 1), "c": None, "d": None, "e": None}
+    item = spark.createDataFrame([("Frame One Two Three Four Five Six Kids", "One Two Three Four Five Six")], "n string, c string")
+    assert item.select(base_name(F.col("n"), F.col("c"), {})).first()[0].split() == ["Frame", "Kids"]

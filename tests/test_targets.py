@@ -82,6 +82,8 @@ def test_publish_and_shards(spark, tmp_path):
     T.publish(spark, df, path, "1")
     T.publish(spark, T.current(spark, path).where("x < 3"), path, "2")
     assert rows(T.current(spark, path).select("x")) == [(1,), (2,)]
+    T.publish(spark, T.current(spark, path).where("x < 2"), path, "2")
+    assert rows(T.current(spark, path).select("x")) == [(1,)]
     flat = str(tmp_path / "s")
     df.write.partitionBy("shard").parquet(flat)
     got = read_shards(spark, flat, date(2024, 1, 2), date(2024, 1, 3))
@@ -98,3 +100,21 @@ def test_stage_reads_back_the_same_rows(spark):
     back = T.stage(df)
     assert back.schema == df.schema or back.dtypes == df.dtypes
     assert rows(back) == rows(df)
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "d")
+    T.replace_partitions(table(spark, [("a", 1), ("b", 2)], "day string, x int"), path, ["day"])
+    T.replace_partitions(table(spark, [("b", 3), ("c", 4)], "day string, x int"), path, ["day"])
+    assert rows(spark.read.parquet(path).select("day", "x")) == [("a", 1), ("b", 3), ("c", 4)]
+
+
+def test_merge_deletes_only_where_it_neither_updates_nor_is_foreign(spark):
+    target = table(spark, [(1, "old"), (2, "same"), (3, "gone"), (None, "null")], "k int, v string")
+    src = table(spark, [(1, "new"), (3, "x"), (4, "fresh"), (None, "n")], "k int, v string")
+    out = T.merge(target, src, ["k"], update=["v"], update_when=F.col("t_k") == 1, delete_when=F.col("s_v") == "x")
+    assert sorted(map(str, rows(out.select("k", "v")))) == sorted(map(str, [(1, "new"), (2, "same"), (None, "null"), (4, "fresh"), (None, "n")]))
+
+
+def test_staging_asks_for_a_shared_folder(spark):
+    assert T.shared_folder(spark)
