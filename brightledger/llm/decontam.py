@@ -22,7 +22,7 @@ COVER = 0.4
 LITERAL = 50
 UNITS = ("mm|cm|dm|m|km|in|ft|yd|mi|mg|g|kg|t|lb|lbs|oz|ml|cl|l|ms|s|sec|min|h|hr|hrs|hours?|minutes?|seconds?|days?|weeks?|months?|years?|"
          "percent|degrees?|dollars?|euros?|cents?|meters?|metres?|miles?|grams?|liters?|litres?|usd|eur|gbp|kb|mb|gb|tb|hz|khz|mhz|ghz|w|kw|v|a|k")
-#: Placeholders are digits: all digits of the text are replaced first, so no word can look like one.
+#: Placeholders are digits: all numbers of the text are replaced first, so no other word is made of digits.
 NUMBER, UNIT, NAME = "0", "1", "2"
 SLOT = f"^[{NUMBER}{UNIT}{NAME}]+$"
 
@@ -35,7 +35,7 @@ def stripped(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """Canonical words, place by place those of ``stripped``: a number, a unit after a number, a capitalised word inside a sentence, or the word in lower case."""
-    out = F.regexp_replace(text, r"\d+(?:[.,:/]\d+)*", NUMBER)
+    out = F.regexp_replace(text, r"(?<![\p{L}\p{N}_])\d+(?:[.,:/]\d+)*", NUMBER)
     out = F.regexp_replace(out, rf"(?i)(?<=0)( ?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}")
     out = F.regexp_replace(out, r"(?<=[\p{L}\p{N},;] )\p{Lu}[\p{L}\p{M}'-]*", NAME)
     return stripped(F.lower(out))

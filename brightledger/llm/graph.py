@@ -29,6 +29,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         pairs = pairs.join(least, pairs.lo == least["at"]).select("hi", F.col("least").alias("lo")).where("hi <> lo")
         pairs = stage(pairs.distinct())
         # small star: the smaller neighbours of each node, and the node itself, move to the smallest of them
-        least = stage(pairs.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("least")))
-        moved = pairs.join(least, pairs.hi == least["at"]).where("lo <> least").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
-        pairs = stage(moved.unionByName(least.select(F.col("at").alias("hi"), F.col("least").alias("lo"))).distinct())
+        least = pairs.groupBy(F.col("hi").alias("at")).agg(F.min("lo").alias("least"))
+        moved = pairs.join(least, pairs.hi == least["at"]).select("lo", F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("least").alias("to")), F.struct(F.col("hi"), F.col("least").alias("to")))).alias("x"))
+        pairs = stage(moved.select("x.hi", F.col("x.to").alias("lo")).where("hi <> lo").distinct())

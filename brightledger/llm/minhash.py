@@ -234,6 +234,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
             fine = stage(finer(stage(held.select("id").distinct()), docs, k, id_col, text_col).join(reps.select("id", "bands"), "id"))
             more = across(held, mixed, fine, most_bits(percent, FINE_SAMPLES, FINE_BITS), best=False)
         more = stage(more.join(tried, ["a", "b"], "left_anti"))
+        if not more.limit(1).count():
+            continue
         links = stage(links.unionByName(confirmed(more, docs, k, percent, id_col, text_col)))
         labels = stage(components(links).withColumnRenamed("node", "id"))
         tried = tried.unionByName(more)
