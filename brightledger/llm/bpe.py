@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import list_column, map_rows, text_or_empty
 
 #: Entries of the table of moves and of the table of finished pieces, per worker; full tables are emptied.
-MOVES, PIECES = 500_000, 100_000
+MOVES, PIECES = 500_000, 150_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -39,6 +39,20 @@ def border(node: int, token: int, up: int) -> int:
     return node + 1 << 40 | token + 1 << 16 | up + 1
 
 
+class State(dict):
+    """Byte to (next state, tokens that become certain); a move is made when it is first asked for."""
+
+    __slots__ = ("borders", "ending", "owner")
+
+    def __init__(self, owner: Transducer, borders: tuple[int, ...]):
+        super().__init__()
+        self.owner, self.borders, self.ending = owner, borders, None
+
+    def __missing__(self, byte: int) -> tuple[State, tuple[int, ...]]:
+        self[byte] = step = self.owner.move(self, byte)
+        return step
+
+
 class Transducer:
     """Bytes of a piece to token ids."""
 
@@ -108,15 +122,17 @@ class Transducer:
 
     def reset(self) -> None:
         """Forget all states but the first: one border before the first byte."""
-        self.moves: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.states: list[tuple[int, ...]] = [(border(0, -1, -1),)]
-        self.numbers = {self.states[0]: 0}
-        self.last: list[tuple[int, ...] | None] = [()]
+        for state in getattr(self, "states", {}).values():
+            state.clear()  # they point at each other
+        start = (border(0, -1, -1),)
+        self.start, self.made_moves = State(self, start), 0
+        self.states = {start: self.start}
 
-    def move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def move(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """State after one more byte, and the tokens that are now certain."""
+        self.made_moves += 1
         entries, found, nodes, inner, token_at = [], None, self.nodes, self.inner, self.token_at
-        for at, code in enumerate(self.states[number]):
+        for at, code in enumerate(state.borders):
             node, token, up = (code >> 40) - 1, (code >> 16 & 0xFFFFFF) - 1, (code & 0xFFFF) - 1
             child = nodes.get(node << 8 | byte, -1) if node >= 0 else -1
             entries.append((child if child > 0 and inner[child] else -1, token, up))
@@ -139,38 +155,32 @@ class Transducer:
             out.append(entries[root][1])
         keep = [at for at in range(root, len(entries)) if needed[at] or at == root]
         place = {at: i for i, at in enumerate(keep)}
-        state = tuple(border(entries[at][0], entries[at][1] if at != root or entries[at][0] >= 0 else -1, place[entries[at][2]] if at != root else -1) for at in keep)
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
-            self.states.append(state)
-            self.last.append(None)
-        self.moves[number << 8 | byte] = step = (self.numbers[state], tuple(out))
-        return step
+        borders = tuple(border(entries[at][0], entries[at][1] if at != root or entries[at][0] >= 0 else -1, place[entries[at][2]] if at != root else -1) for at in keep)
+        if (to := self.states.get(borders)) is None:
+            to = self.states[borders] = State(self, borders)
+        return to, tuple(out)
 
-    def ending(self, number: int) -> tuple[int, ...]:
+    def ending(self, state: State) -> tuple[int, ...]:
         """The tokens between the certain ones and the end."""
-        if self.last[number] is None:
-            state, out = self.states[number], []
-            at = len(state) - 1
-            while (up := (state[at] & 0xFFFF) - 1) >= 0:
-                out.append((state[at] >> 16 & 0xFFFFFF) - 1)
-                at = up
-            self.last[number] = tuple(reversed(out))
-        return self.last[number]
+        out, at = [], len(state.borders) - 1
+        while (up := (state.borders[at] & 0xFFFF) - 1) >= 0:
+            out.append((state.borders[at] >> 16 & 0xFFFFFF) - 1)
+            at = up
+        state.ending = tuple(reversed(out))
+        return state.ending
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Tokens of one piece; a piece that is itself a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
             return (whole,)
-        if len(self.moves) > MOVES:
+        if self.made_moves > MOVES:
             self.reset()
-        state, out, moves = 0, [], self.moves
+        state, out = self.start, ()
         for b in piece:
-            state, sure = moves.get(state << 8 | b) or self.move(state, b)
+            state, sure = state[b]
             if sure:
                 out += sure
-        out += self.ending(state)
-        return tuple(out)
+        return out + (self.ending(state) if state.ending is None else state.ending)
 
 
 class Pieces(dict):
