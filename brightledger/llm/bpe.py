@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_column, map_rows, text_or_empty
+from .common import list_column, map_rows, only, text_or_empty
 
 #: Entries of the table of moves and of the table of finished pieces, per worker; full tables are emptied.
 MOVES, PIECES = 500_000, 150_000
@@ -252,6 +252,11 @@ def vocabulary(data: bytes) -> list[bytes]:
     return out
 
 
+def forget() -> None:
+    compiled.cache_clear()
+    vocabulary.cache_clear()
+
+
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token ids of every whole text: (``id_col``, n_tokens, ids), one row per input row.
 
@@ -263,6 +268,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("bpe", forget)
         pieces, find = compiled(shipped.value), regex.compile(pattern).findall
         ids = [np.fromiter(chain.from_iterable(map(pieces.__getitem__, find(x.as_py()))), np.int32) for x in batch.column(1)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32())], ["id", "n_tokens", "ids"])
@@ -283,6 +289,7 @@ def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", out_col: str
     rest = [c for c in tokens.columns if c != ids_col]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("bpe", forget)
         byte_of, texts = vocabulary(shipped.value).__getitem__, []
         for row in batch.column(len(rest)):
             ids, stream, out = row.values.to_numpy() if row.is_valid and len(row.values) else np.empty(0, np.int32), Utf8Stream(), []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_HELD: list[tuple[str, Callable[[], None]]] = []
+
+
+def only(name: str, clear: Callable[[], None]) -> None:
+    """What operator ``name`` remembers may stay in this worker from task to task; what another one left goes first, so that memories don't add up."""
+    if _HELD and _HELD[0][0] != name:
+        _HELD.pop()[1]()
+        gc.collect()
+    if not _HELD:
+        _HELD.append((name, clear))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``rows`` rows."""
     for batch in batches:

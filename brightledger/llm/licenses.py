@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, text_or_empty
+from .common import map_rows, only, text_or_empty
 from .minhash import ADD, MULTIPLY, WordHashes, mix
 
 SHINGLE, BANDS, SHORT = 3, 64, 8
@@ -126,6 +126,7 @@ def scan(docs: DataFrame, notices: Mapping[str, str] = NOTICES, contain: float =
     match = pa.struct([("license", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("share", pa.float64())])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("licenses", HASHES.clear)
         if not made:
             made.append(Templates(shipped.value))
         hits = [[dict(zip(("license", "start", "end", "share"), h)) for h in made[0].search(x.as_py(), contain)] for x in batch.column(1)]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.targets import stage
-from .common import few, list_column, map_rows, text_or_empty
+from .common import few, list_column, map_rows, only, text_or_empty
 
 #: Lines of a fingerprint, fingerprints of a window, and the length of runs that cannot be missed.
 GRAM, WINDOW = 2, 2
@@ -76,6 +76,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, mark, ranges): for each document with matches, flat (first, last) line pairs that repeat earlier lines; ``mark`` is a hash of its text."""
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("lines", lambda: None)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_column([line_hashes(split_lines(x.as_py())) for x in batch.column(2)], pa.int64())], ["id", "mark", "hashes"])
 
     def prints(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.targets import stage
-from .common import few, list_column, map_rows, runs, text_or_empty
+from .common import few, list_column, map_rows, only, runs, text_or_empty
 from .graph import components
 
 BANDS, ROWS_PER_BAND = 32, 4
@@ -34,7 +34,7 @@ ROUNDS = 2
 #: Members of a block in step 4.
 BUILD, PROBE = 256, 1024
 #: Word hashes a worker remembers.
-WORDS = 400_000
+WORDS = 250_000
 
 _rng = np.random.default_rng(20240229)
 MULTIPLY = (_rng.integers(0, 1 << 32, FINE_SAMPLES, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
@@ -61,6 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str, k: int) -> np.ndarray:
     """Sorted distinct hashes of the ``k``-word shingles; of the whole sequence, if it is shorter. A-Z count as a-z, words end at ASCII white space."""
+    only("words", HASHES.clear)
     words = text.encode().lower().split()  # on bytes both know ASCII only
     if not words:
         return np.empty(0, np.uint64)

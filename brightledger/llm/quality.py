@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.targets import stage
-from .common import few, map_rows, text_or_empty
+from .common import few, map_rows, only, text_or_empty
 
 #: Labelled documents used for fitting, and features kept in the model (the strongest, if more pass).
 MOST_LABELLED, MOST_FEATURES = 20_000, 100_000
@@ -34,7 +34,7 @@ HELD, CUT, BINS = 30, 12.0, 20
 #: Letters of the word beginnings that are features of their own.
 PREFIXES = (4, 5, 6)
 #: Words whose evidence a worker remembers; labelled documents whose counts are added up before they leave a worker.
-WORDS, COUNTED = 400_000, 2048
+WORDS, COUNTED = 250_000, 2048
 KINDS = ("low", "toxic")
 FIND = re.compile(r"[^\W\d_]+").findall
 BREAKS = re.compile(r"[.!?](?:\s|$)|\n")
@@ -65,6 +65,7 @@ def counts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Da
     """(feature, docs, low, toxic) over the labelled documents; feature 0 counts the documents."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("quality", lambda: None)
         found: dict[int, list[int]] = {}
         for x, low, toxic in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             text = x.as_py()
@@ -178,6 +179,7 @@ def measured(docs: DataFrame, features: np.ndarray, weights: np.ndarray, keys: S
     held: list[Evidence] = []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("quality", lambda: None)
         if not held:
             held.append(Evidence(*shipped.value))
         scores = [held[0].of(x.as_py()) for x in batch.column(len(keys))]

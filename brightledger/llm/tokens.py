@@ -19,10 +19,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, text_or_empty
+from .common import map_rows, only, text_or_empty
 
 #: Pre-tokens whose counts a worker remembers; symbols merged at once. Bounds on memory only.
-KNOWN, SYMBOLS = 500_000, 400_000
+KNOWN, SYMBOLS = 400_000, 400_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -146,6 +146,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, limit: int, id_col: str =
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("tokens", merger.cache_clear)
         counts = merger(shipped.value).counts(batch.column(2).to_pylist())
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
