@@ -11,13 +11,45 @@ from .common import table
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
+#: By definition: all pairs that share a shingle, exact shares, and the closure of their links.
+NEAR_DOCUMENTS = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle FROM w, unnest(range(1, greatest(2, len(words) - 3))) u(i) WHERE len(words) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+    k AS (SELECT doc_id, n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS same FROM s JOIN n USING (doc_id) GROUP BY ALL),
+    r AS (SELECT same, n, min(doc_id) AS rep FROM k GROUP BY ALL),
+    rs AS (SELECT s.* FROM s JOIN r ON doc_id = rep),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM rs a JOIN rs b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * common >= 85 * (x.n + y.n - common)),
+    reach(a, b) AS (SELECT rep, rep FROM r UNION SELECT reach.a, step.b FROM reach JOIN (SELECT a, b FROM e UNION ALL SELECT b, a FROM e) step ON reach.b = step.a),
+    c AS (SELECT a AS rep, min(b) AS component FROM reach GROUP BY ALL)
+    SELECT doc_id, coalesce(k.n, 0) AS n_shingles, coalesce(component, doc_id) AS component_id, doc_id = coalesce(component, doc_id) AS kept
+    FROM documents LEFT JOIN k USING (doc_id) LEFT JOIN r USING (same) LEFT JOIN c USING (rep)"""
+
+#: By definition: all pairs of vectors, and the closure of their links.
+NEAR_VECTORS = r"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+    ok AS (SELECT * FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND len(list_filter(x, lambda y: y <> 0)) > 0),
+    link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+    reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+    c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY ALL), d AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY ALL)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (vec_id) LEFT JOIN d USING (vec_id)"""
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
-@query
+def stated(sql: str):
+    """Register a query with the DuckDB statement it must equal."""
+
+    def add(fn):
+        ORACLE[fn.__name__] = sql
+        return query(fn)
+
+    return add
+
+
+@stated(NEAR_DOCUMENTS)
 def op1_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components of all documents at 85 in 100 shared shingles."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -69,7 +101,7 @@ def op7_pii(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(secrets.listing("base", pii.KINDS), 256).alias("base_sha256"), secrets.listing("spans", pii.KINDS).alias("spans"))
 
 
-@query
+@stated(NEAR_VECTORS)
 def op8_embedding_near_dedup(spark, sf_dir):
     """Links and components of all embeddings at a cosine of 0.95."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
