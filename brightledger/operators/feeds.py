@@ -36,10 +36,12 @@ def purchases_around(reviews: DataFrame, orders: DataFrame, keys: list[str]) ->
     replace the range join.
     """
     order = ["ts", "Order_Number"]
+    probe = stage(reviews.select("review_id", *keys, "at").where(F.col("at").isNotNull()))
+    # customers without a review, such as orders without an address, leave before any window
+    orders = orders.join(probe.select(*keys).distinct(), keys, "left_semi")
     spans = neighbours(orders, keys, F.to_date("ts"), order, F.col("ts"), "before", "after")
     spans = spans.withColumn("prev", F.coalesce("before", _year(F.col("ts"), -1))).withColumn("post", F.coalesce("after", _year(F.col("ts"), 1)))
     spans = stage(spans.select(*keys, "ts", "Order_Number", "prev", "post"))
-    probe = reviews.select("review_id", *keys, "at").where(F.col("at").isNotNull())
     earlier = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "post"]).where("post >= at")
     later = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "prev"], after=True).where("prev <= at")
     same = probe.join(spans.select(*keys, F.col("ts").alias("at"), "Order_Number"), [*keys, "at"])

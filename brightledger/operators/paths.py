@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.targets import stage
 from ..functions.columns import bucket_ladder, from_seconds, has, local_day, to_zone
 from .ordered import running
 from .relational import semi_in
@@ -252,7 +253,8 @@ def cart_funnel(hits: DataFrame, ref: DataFrame, status: DataFrame) -> DataFrame
     """
     path = F.lower("pagePath")
     base = [*SESSION, "visitStartTime", "source", "medium", "campaign", "customerId"]
-    known = status.select(*SESSION, F.coalesce("subscribeStatus", F.lit("unidentified")).alias("status"))
+    # one row per session each: staged, as several branches read them
+    known = stage(status.select(*SESSION, F.coalesce("subscribeStatus", F.lit("unidentified")).alias("status")))
 
     def sessions(df: DataFrame, *more: str) -> DataFrame:
         rows = with_media(df.select(*base, *more).distinct(), ref).join(known, SESSION, "left")
@@ -260,8 +262,8 @@ def cart_funnel(hits: DataFrame, ref: DataFrame, status: DataFrame) -> DataFrame
                            F.coalesce(has("Media", "abn"), F.lit(False)).alias("abn"),
                            F.when(F.col("Media").isNotNull(), F.struct("visitStartTime", "visitNumber", "Media")).alias("last")).distinct()
 
-    carts = sessions(hits.where(_cart_event("products") & (path.contains("checkout/cart") | path.contains("checkout/onepage"))))
-    tx = sessions(hits.where("transactionId is not null"), "transactionId")
+    carts = stage(sessions(hits.where(_cart_event("products") & (path.contains("checkout/cart") | path.contains("checkout/onepage")))))
+    tx = stage(sessions(hits.where("transactionId is not null"), "transactionId"))
     buyers = tx.select("fullVisitorId").distinct()
     state = ["fullVisitorId", "transactionId", "status", "n", "abn", "last"]
     none = F.lit(None).cast("string").alias("transactionId")
@@ -279,7 +281,7 @@ def cart_funnel(hits: DataFrame, ref: DataFrame, status: DataFrame) -> DataFrame
     preceded = seen.where("q = 0 and carts > 0").select("fullVisitorId", "transactionId", "status", F.col("carts").alias("n"),
                                                         F.col("any_abn").alias("abn"), F.col("top").alias("last"))
     own = tx.select("fullVisitorId", "transactionId", "status", F.lit(1).cast("long").alias("n"), "abn", "last")
-    rows = open_paths.unionByName(preceded.select(*state)).unionByName(own.select(*state))
+    rows = stage(open_paths.unionByName(preceded.select(*state)).unionByName(own.select(*state)))
     paths = rows.groupBy("fullVisitorId", "transactionId", "status").agg(
         F.sum("n").alias("n"), F.max("abn").alias("abn"), F.max("last").alias("last"))
     points = rows.groupBy("fullVisitorId").agg(F.sum("n").alias("touch_points"))
