@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import from_micros, epoch_micros, item, pseudonym, split_literal, trunc_hour
-from ..sources.targets import newer_than
+from ..sources.targets import newer_than, stage
 from .ordered import earliest_within, last_before, running
 from .relational import not_in, semi_in
 
@@ -271,7 +271,9 @@ def message_funnel(facts: Mapping[str, DataFrame], since: date | None = None) ->
     """
     rows = _funnel_rows(facts, "delivery")
     if since:
-        touched = rows.where((F.col("acted") >= F.lit(since)) & (F.col("kind") != "order")).select("MessageName", "Day").distinct()
+        # staged, else the optimizer copies the list of touched messages into each kind of fact
+        rows = stage(rows)
+        touched = stage(rows.where((F.col("acted") >= F.lit(since)) & (F.col("kind") != "order")).select("MessageName", "Day").distinct())
         rows = rows.join(touched, ["MessageName", "Day"], "left_semi")
     out = _totals(rows.where("Day is not null and MessageName is not null"), ["Day", "MessageName", "mTags", *SEGMENTS])
     hard = F.when(F.col("bounce").isNotNull(), F.lit(0))

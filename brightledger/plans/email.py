@@ -74,6 +74,7 @@ def facts(spark, sf):
     mail = stage(sent(spark, sf))  # read by five jobs below, as the report table it is
     acts, off = A.message_activity(spark, sf), A.tz_offset(spark, sf)
     out = {k: E.message_fact(acts, mail, off, k, as_of=date(2024, 1, 31)) for k in ("open", "click", "optout", "bounce")}
+    out["click"] = stage(out["click"])  # read here and by the funnels
     clicks = out["click"].select("email", "Sent_Datetime_PST", F.col("event_Datetime_PST").alias("click_Datetime_PST"), "message_name",
                                  "mTags", *E.SEGMENTS, "linkUrl", "linkname", "Device", "Device_OS")
     out["order"] = E.click_to_order(clicks, A.event_orders(spark, sf), A.order_last_media(spark, sf))
