@@ -36,14 +36,14 @@ def _pst() -> Column:
 def alert_repeat(orders: DataFrame, visitors: DataFrame, excluded: DataFrame, minutes: int = 30, more_than: int = 2) -> DataFrame:
     """Latest orders of visitors with several orders all of one amount, country not excluded."""
     latest = latest_orders(orders, minutes).where(F.length("visitor_id") > 5)
-    flagged = order_groups(latest, "visitor_id").where((F.col("orders") > more_than) & (F.col("lo") == F.col("hi"))).select("visitor_id")
-    rows = _with_visitors(latest.join(flagged, "visitor_id", "left_semi"), visitors, excluded)
-    return rows.select("visitor_id", _pst(), F.col("increment_id").alias("oid"), "user_pseudo_id", "country").distinct()
+    flagged = order_groups(latest, "visitor_id").where((F.col("orders") > more_than) & (F.col("lo") == F.col("hi"))).select("visitor_id", "first_to_last")
+    rows = _with_visitors(latest.join(flagged, "visitor_id"), visitors, excluded)
+    return rows.select("visitor_id", _pst(), F.col("increment_id").alias("oid"), "user_pseudo_id", "country", "first_to_last").distinct()
 
 
 def alert_amount(orders: DataFrame, visitors: DataFrame, excluded: DataFrame, minutes: int = 30, more_than: int = 2) -> DataFrame:
     """Latest orders of any amount that several orders share, country of the visitor not excluded."""
     latest = latest_orders(orders, minutes).where("revenue is not null")
-    flagged = order_groups(latest.withColumn("amount", F.col("revenue")), "amount").where(F.col("orders") > more_than).select(F.col("amount").alias("revenue"))
-    rows = _with_visitors(latest.join(flagged, "revenue", "left_semi"), visitors, excluded)
-    return rows.select("visitor_id", _pst(), F.col("increment_id").alias("oid"), "revenue", "user_pseudo_id", "country").distinct()
+    flagged = order_groups(latest.withColumn("amount", F.col("revenue")), "amount").where(F.col("orders") > more_than).select(F.col("amount").alias("revenue"), "first_to_last")
+    rows = _with_visitors(latest.join(flagged, "revenue"), visitors, excluded)
+    return rows.select("visitor_id", _pst(), F.col("increment_id").alias("oid"), "revenue", "user_pseudo_id", "country", "first_to_last").distinct()

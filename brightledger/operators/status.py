@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start, pseudonym
+from ..sources.shards import scan_ingested
 from .email import as_datetime, with_offset
 from .relational import not_in
 
@@ -26,11 +27,11 @@ def subscriber_creation(shop: DataFrame, activity: DataFrame, offsets: DataFrame
 
     Each address gets one row, its earliest time within the window.
     """
-    first = shop.where((F.col("status_name") == "SUBSCRIBED") & (F.to_date("change_status_at") >= F.lit(since)))
+    first = shop.where((F.col("status_name") == "SUBSCRIBED") & (F.col("change_status_at") >= F.lit(since.isoformat()).cast("timestamp_ntz")))
     first = not_in(first.select(F.lower("subscriber_email").alias("subscriber_email"), "change_status_at"),
                    F.col("subscriber_email"), known.select(F.lower("subscriber_email").alias("e")))
     first = first.groupBy("subscriber_email").agg(F.min("change_status_at").cast("timestamp_ntz").alias("Datetime_Created"))
-    second = _change_times(activity.where(F.to_date("ingest_ts") >= F.lit(since)), offsets)
+    second = _change_times(scan_ingested(activity, since), offsets)
     second = not_in(second, F.col("subscriber_email"), known.select(F.lower("subscriber_email").alias("e")))
     second = not_in(second, F.col("subscriber_email"), first.select("subscriber_email"))
     second = second.groupBy("subscriber_email").agg(F.min("local").alias("Datetime_Created"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.channels import channel
 from ..functions.columns import has, local_day, path_only, to_zone, from_seconds
 from ..functions.rules import path_type
+from ..sources.shards import scan_shards
 from ..sources.targets import append_new_nullsafe, missing_nullsafe
 from .reports import flag_report
 
@@ -378,8 +379,7 @@ def event_impact(hits: DataFrame, ref: DataFrame, name: str, day: date, spend: f
     The daily form starts ``before`` days ahead of the ISO Monday on or before the event.
     """
     start = day - timedelta(days=before + (day.weekday() if grain == "day" else 0))
-    shard = F.regexp_extract("shard", "[0-9]+", 0)
-    rows = hits.where(shard.between(start.strftime("%Y%m%d"), (day + timedelta(days=after)).strftime("%Y%m%d")))
+    rows = scan_shards(hits, start, day + timedelta(days=after))
     local = to_zone(from_seconds("visitStartTime"), tz)
     rows = (with_media(rows.withColumn("Date", F.to_date(local)), ref)
             .withColumn("Event_Name", F.lit(name)).withColumn("Event_Date", F.lit(day))

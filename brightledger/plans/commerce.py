@@ -134,6 +134,7 @@ def live_sql(bucket: int, days: int) -> str:
     av AS (SELECT 'visitor' || c_custkey AS visitor_id, 'p' || c_custkey AS user_pseudo_id, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 6 <> 1)"""
 
 
+SPREAD = "date_diff('minute', min(created_at), max(created_at)) AS first_to_last"
 PST = "timezone('America/Los_Angeles', timezone('UTC', created_at)) AS PST_date"
 
 
@@ -141,14 +142,14 @@ def excluded(spark):
     return spark.createDataFrame([("NATION_3",), ("NATION_7",)], "country string")
 
 
-@query("alert_repeat_orders", f"""WITH {live_sql(250000, 400)} SELECT DISTINCT la.visitor_id, {PST}, oid, user_pseudo_id, country FROM la LEFT JOIN av USING (visitor_id)
-    WHERE length(la.visitor_id) > 5 AND la.visitor_id IN (SELECT visitor_id FROM la GROUP BY 1 HAVING count(DISTINCT oid) > 2 AND count(DISTINCT revenue) = 1) AND (country IS NULL OR country NOT IN ('NATION_3', 'NATION_7'))""")
+@query("alert_repeat_orders", f"""WITH {live_sql(250000, 400)} SELECT DISTINCT la.visitor_id, {PST}, oid, user_pseudo_id, country, first_to_last FROM la LEFT JOIN av USING (visitor_id)
+    JOIN (SELECT visitor_id, {SPREAD} FROM la GROUP BY 1 HAVING count(DISTINCT oid) > 2 AND count(DISTINCT revenue) = 1) g USING (visitor_id) WHERE length(la.visitor_id) > 5 AND (country IS NULL OR country NOT IN ('NATION_3', 'NATION_7'))""")
 def alert_repeat_orders(spark, sf):
     return alerts.alert_repeat(A.live_orders(spark, sf, 250000), A.app_visitors(spark, sf), excluded(spark), 400 * 1440)
 
 
-@query("alert_same_amount", f"""WITH {live_sql(500, 60)} SELECT DISTINCT la.visitor_id, {PST}, oid, revenue, user_pseudo_id, country FROM la LEFT JOIN av USING (visitor_id)
-    WHERE revenue IN (SELECT revenue FROM la GROUP BY 1 HAVING count(DISTINCT oid) > 2) AND (country IS NULL OR country NOT IN ('NATION_3', 'NATION_7'))""")
+@query("alert_same_amount", f"""WITH {live_sql(500, 60)} SELECT DISTINCT la.visitor_id, {PST}, oid, revenue, user_pseudo_id, country, first_to_last FROM la LEFT JOIN av USING (visitor_id)
+    JOIN (SELECT revenue, {SPREAD} FROM la GROUP BY 1 HAVING count(DISTINCT oid) > 2) g USING (revenue) WHERE true AND (country IS NULL OR country NOT IN ('NATION_3', 'NATION_7'))""")
 def alert_same_amount(spark, sf):
     return alerts.alert_amount(A.live_orders(spark, sf, 500), A.app_visitors(spark, sf), excluded(spark), 60 * 1440)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import partners as P
 from ..sources import adapters as A
-from ..sources.targets import append_new, overwrite, stage
+from ..sources.targets import append_new, nth_row, overwrite, stage
 from . import sqltext as S
 from .registry import query
 
@@ -237,3 +237,9 @@ def converted_leads(spark, sf):
     sold = stage(P.sales_combined(stage(sales(spark, sf)), stage(shop_sales(spark, sf)), per))
     rows = stage(rounded(P.converted_leads(people, A.order_items(spark, sf), sold, per, CODES, SINCE)))
     return P.merge_converted(rows.where("false"), rows)
+
+
+@query("code_sheet_row", """SELECT s_suppkey AS entity_id, CASE WHEN s_suppkey % 9 < 6 THEN 'code-batchA-' ELSE 'code-other-' END || s_suppkey AS code FROM supplier ORDER BY code, entity_id LIMIT 1 OFFSET 2""")
+def code_sheet_row(spark, sf):
+    """The third row of the code sheet."""
+    return nth_row(A.affiliate_codes(spark, sf), ["code", "entity_id"], 3)

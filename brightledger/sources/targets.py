@@ -149,6 +149,19 @@ def local_shared_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stage-"))
 
 
+def stage_partitioned(df: DataFrame, column: str) -> str:
+    """Write an intermediate table partitioned by ``column`` to the shared folder; returns its path, for scans that prune."""
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.partitionBy(column).parquet(path)
+    _drop_at_end(df.sparkSession, path)
+    return path
+
+
+def _drop_at_end(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate table to the folder of ``shared_folder`` and read it back.
 
@@ -158,6 +171,5 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _drop_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
