@@ -77,12 +77,10 @@ def repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("lines", lambda: None)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_column([line_hashes(split_lines(x.as_py())) for x in batch.column(2)], pa.int64())], ["id", "mark", "hashes"])
-
-    def prints(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [fingerprints(x.values.to_numpy()) for x in batch.column(1)]
-        ids = np.repeat(batch.column(0).to_numpy(), [len(h) for h, _ in found])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[0] for f in found]), pa.int64()), pa.array(ids, pa.int64()), pa.array(np.concatenate([f[1] for f in found]), pa.int32())], ["h", "id", "place"])
+        hashes = [line_hashes(split_lines(x.as_py())) for x in batch.column(2)]
+        found = [fingerprints(h) for h in hashes]
+        columns = [list_column(hashes, pa.int64()), list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "hashes", "h", "place"])
 
     def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, marks, ranges = [], [], []
@@ -105,8 +103,8 @@ def repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), list_column(ranges, pa.int32())], ["id", "mark", "ranges"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)), text_or_empty(text_col))
-    held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>"))
-    marks = map_rows(held.select("id", "hashes"), prints, "h long, id long, place int", 4096)
+    held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>, h array<long>, place array<int>"))
+    marks = held.select("id", F.inline_outer(F.arrays_zip("h", "place"))).where("h IS NOT NULL")
     firsts = marks.groupBy("h").agg(F.min(F.struct("id", "place")).alias("first"), F.max(F.struct("id", "place")).alias("last"))
     firsts = stage(firsts.where("first < last").select("h", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place")))
     matches = marks.join(firsts, "h").where("id <> first_id OR place <> first_place")
