@@ -85,6 +85,14 @@ def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gt
 
 # ---- products
 
+# Texts of the shopping feed, in the order of the description and of the columns.
+INCLUDED = " - Price includes high quality frames, standard prescription lenses, shipping, free case and cloth. "
+SHAPED = (" These ", " shaped ", " are great for ", " shaped faces. Look great in your stylish ")
+ONLY, SHIPPED = ". Only $", " - includes shipping!"
+EYEGLASSES_CATEGORY = "Health & Beauty > Personal Care > Vision Care > Eyeglasses"
+SUNGLASSES_CATEGORY = "Apparel & Accessories > Clothing Accessories > Sunglasses"
+RX_LABELS = ("Eyeglasses", "Sunglasses (Non-RX)", "Sunglasses (RX-able)")
+
 def _first_part(c: str) -> Column:
     """Text before the separator `` , `` (one blank before the comma is cut as well)."""
     at = F.instr(F.col(c), F.lit(","))
@@ -147,10 +155,10 @@ def product_feed(stock: DataFrame, keywords: DataFrame, inventory: DataFrame, pr
     who = F.when(F.col("gender") == "Men", " for Men.").when(F.col("gender") == "Women", " for Women.").otherwise(".")
     description = F.concat(
         F.trim(_swap(F.replace(head, F.lit(" , "), F.lit("/")), rename)),
-        F.lit(" - Price includes high quality frames, standard prescription lenses, shipping, free case and cloth. "), F.col("frame_size"), blank, color, blank,
-        F.col("frame_type"), blank, F.col("framematerial"), blank, keyword, who, F.lit(" These "), shape, F.lit(" shaped "), keyword, F.lit(" are great for "),
-        F.col("face_shape"), F.lit(" shaped faces. Look great in your stylish "), keyword, F.lit(". Only $"), number_text(F.col("final_price")),
-        F.when(F.col("SKU_Prefix") == "62-", "").otherwise(" - includes shipping!"))
+        F.lit(INCLUDED), F.col("frame_size"), blank, color, blank,
+        F.col("frame_type"), blank, F.col("framematerial"), blank, keyword, who, F.lit(SHAPED[0]), shape, F.lit(SHAPED[1]), keyword, F.lit(SHAPED[2]),
+        F.col("face_shape"), F.lit(SHAPED[3]), keyword, F.lit(ONLY), number_text(F.col("final_price")),
+        F.when(F.col("SKU_Prefix") == "62-", "").otherwise(SHIPPED))
     path = F.reverse(split_literal("front_image", "/"))
 
     def filled(c: str) -> Column:
@@ -167,7 +175,7 @@ def product_feed(stock: DataFrame, keywords: DataFrame, inventory: DataFrame, pr
     title = _swap(F.trim(name), rename)
     price, final = F.coalesce("p1", "price"), F.coalesce("p2", "final_price")
     sale = F.when(F.col("promo_code").isNull(), final.cast("double")).otherwise(final.cast("double") * (1 - F.col("discount")))
-    rx = F.when(F.lower("kind") == "eyeglasses", "Eyeglasses").when(F.col("eligible_for_rx_lenses") != "Yes", "Sunglasses (Non-RX)").otherwise("Sunglasses (RX-able)")
+    rx = F.when(F.lower("kind") == "eyeglasses", RX_LABELS[0]).when(F.col("eligible_for_rx_lenses") != "Yes", RX_LABELS[1]).otherwise(RX_LABELS[2])
     empty = F.lit(None).cast("string")
     return rows.select(
         F.col("sku").alias("id"), F.lit("in stock").alias("availability"), F.col("qty").alias("quantity_to_sell"), F.lit("new").alias("condition"),
@@ -175,8 +183,8 @@ def product_feed(stock: DataFrame, keywords: DataFrame, inventory: DataFrame, pr
         "gtin", "mpn", F.when(filled("brand"), F.col("brand")).otherwise(home_brand).alias("brand"), more.alias("additional_image_link"), age.alias("age_group"),
         F.replace(color, F.lit(" , "), F.lit("/")).alias("color"), F.lit(None).cast("date").alias("expiration_date"),
         F.when(gender.isin("men", "boys"), "Male").when(gender.isin("women", "girls"), "Female").otherwise("Unisex").alias("gender"), title.alias("item_group_id"),
-        F.when(F.lower(rx).contains("sunglasses"), "Apparel & Accessories > Clothing Accessories > Sunglasses")
-        .otherwise("Health & Beauty > Personal Care > Vision Care > Eyeglasses").alias("google_product_category"),
+        F.when(F.lower(rx).contains("sunglasses"), SUNGLASSES_CATEGORY)
+        .otherwise(EYEGLASSES_CATEGORY).alias("google_product_category"),
         F.col("frame_size").alias("size"), F.col("framematerial").alias("material"), empty.alias("pattern"),
         F.when(filled("product_badge"), F.col("product_badge")).otherwise("Home Brand").alias("product_type"),
         F.concat(number_text(sale), F.lit(" USD")).alias("sale_price"), F.lit(None).cast("date").alias("sale_price_effective_date"),
