@@ -87,3 +87,62 @@ def test_channel_rules_first_match_and_nulls(spark):
 def test_offset_minutes_and_quarters(spark):
     assert one(spark, C.iso_with_offset(ts("2024-01-05 03:00:07"), "Asia/Kolkata")) == ("2024-01-05T03:00:07+05:30",)
     assert one(spark, C.iso_with_offset(ts("2024-07-05 03:00:07"), "America/St_Johns")) == ("2024-07-05T03:00:07-02:30",)
+
+
+def test_one_row_for_each_channel_rule(spark):
+    """A row made from each rule's own patterns gets the label of the first rule that holds for it."""
+    import re
+
+    from brightledger.functions.channels import RULES
+
+    words = {"{brand}": "acme", "{shop}": "acm", "{own}": "shop"}
+    names = sorted({a for _, tests in RULES for a in tests.get("account", [])})
+    accounts = {a: i + 1 for i, a in enumerate(names)}
+
+    def text(pattern):
+        for k, v in words.items():
+            pattern = pattern.replace(k, v)
+        return pattern
+
+    def like(value, pattern):
+        if value is None:
+            return False
+        value = value.lower() if pattern.startswith("~") else value
+        parts = re.findall(r"\\.|.", text(pattern.lstrip("~")))  # a backslash takes the next letter as it is
+        return re.fullmatch("".join(".*" if c == "%" else "." if c == "_" else re.escape(c[-1]) for c in parts), value, re.S) is not None
+
+    def holds(row, tests):
+        for test, patterns in tests.items():
+            if test == "account":
+                ok = row["account"] in [accounts[a] for a in patterns]
+            elif test == "campaign":
+                ok = all(like(row["campaign"], p) for p in patterns)
+            elif test.startswith("not_"):
+                ok = row[test[4:]] is not None and not any(like(row[test[4:]], p) for p in patterns)
+            else:
+                ok = any(like(row[test], p) for p in patterns)
+            if not ok:
+                return False
+        return True
+
+    rows = []
+    for _, tests in RULES:
+        row = {"source": None, "medium": None, "campaign": None, "account": None, "category": None}
+        for test, patterns in tests.items():
+            if test == "account":
+                row["account"] = accounts[patterns[0]]
+            elif test == "campaign":
+                parts = sorted((text(p.lstrip("~")) for p in patterns), key=lambda p: (p.startswith("%"), not p.endswith("%")))
+                row["campaign"] = " ".join(p.strip("%") for p in parts).replace("%", "")
+            elif not test.startswith("not_"):
+                row[test] = text(patterns[0].lstrip("~")).replace("%", "").replace("\\", "")
+        for test in tests:
+            if test.startswith("not_") and row[test[4:]] is None:
+                row[test[4:]] = "other"
+        rows.append(row)
+    df = spark.createDataFrame([(i, *r.values()) for i, r in enumerate(rows)], "i int, source string, medium string, campaign string, account long, category string")
+    col = channel(*[F.col(c) for c in ("source", "medium", "campaign", "account", "category")], brand="acme", shop="acm", accounts=accounts)
+    got = {r[0]: r[1] for r in df.select("i", col).collect()}
+    won = [next((n for n, (_, tests) in enumerate(RULES) if holds(row, tests)), None) for row in rows]
+    assert [got[i] for i in range(len(rows))] == ["Other" if n is None else RULES[n][0] for n in won]
+    assert sum(n == i for i, n in enumerate(won)) > 0.8 * len(RULES)
