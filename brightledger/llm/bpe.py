@@ -257,6 +257,20 @@ def forget() -> None:
     vocabulary.cache_clear()
 
 
+def ids_of(text: str, find, pieces: Pieces) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(map(pieces.__getitem__, find(text))), np.int32)
+
+
+def text_of(ids: np.ndarray, byte_of: list[bytes], block: int = 4096) -> str:
+    """Ids to text block by block, so that no more than a block of bytes is open at once."""
+    if len(ids) and ids.min() < 0:
+        raise ValueError("negative token id")
+    stream, out = Utf8Stream(), []
+    for at in range(0, len(ids), block):
+        out.append(stream.feed(b"".join(map(byte_of.__getitem__, ids[at : at + block].tolist()))))
+    return "".join(out) + stream.finish()
+
+
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Token ids of every whole text: (``id_col``, n_tokens, ids), one row per input row.
 
@@ -270,7 +284,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("bpe", forget)
         pieces, find = compiled(shipped.value), regex.compile(pattern).findall
-        ids = [np.fromiter(chain.from_iterable(map(pieces.__getitem__, find(x.as_py()))), np.int32) for x in batch.column(1)]
+        ids = [ids_of(x.as_py(), find, pieces) for x in batch.column(1)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32())], ["id", "n_tokens", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -278,11 +292,11 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     return out.withColumnRenamed("id", id_col)
 
 
-def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", out_col: str = "text", block: int = 4096) -> DataFrame:
+def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", out_col: str = "text") -> DataFrame:
     """The text of every id list, as column ``out_col`` in place of ``ids_col``; the other columns stay.
 
-    Ids are turned to bytes in blocks and pass the UTF-8 machine, so no more than a block is open at once. A null list gives
-    an empty text, an id outside the vocabulary an error.
+    Ids are turned to bytes in blocks and pass the UTF-8 machine. A null list gives an empty text, an id outside the
+    vocabulary an error.
     """
     with open(rank_file, "rb") as f:
         shipped = tokens.sparkSession.sparkContext.broadcast(f.read())
@@ -290,17 +304,28 @@ def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", out_col: str
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("bpe", forget)
-        byte_of, texts = vocabulary(shipped.value).__getitem__, []
-        for row in batch.column(len(rest)):
-            ids, stream, out = row.values.to_numpy() if row.is_valid and len(row.values) else np.empty(0, np.int32), Utf8Stream(), []
-            if len(ids) and ids.min() < 0:
-                raise ValueError("negative token id")
-            for at in range(0, len(ids), block):
-                out.append(stream.feed(b"".join(map(byte_of, ids[at : at + block].tolist()))))
-            texts.append("".join(out) + stream.finish())
+        byte_of = vocabulary(shipped.value)
+        texts = [text_of(row.values.to_numpy() if row.is_valid and len(row.values) else np.empty(0, np.int32), byte_of) for row in batch.column(len(rest))]
         return pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(texts, pa.string())], [f"c{i}" for i in range(len(rest) + 1)])
 
     kinds = [tokens.schema[c].dataType.simpleString() for c in rest]
     schema = ", ".join(f"c{i} {k}" for i, k in enumerate([*kinds, "string"]))
     out = map_rows(tokens.select(*[F.col(c) for c in rest], F.col(ids_col)), run, schema)
     return out.toDF(*rest, out_col)
+
+
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode``, and the text that the ids decode to: (``id_col``, n_tokens, ids, text). One pass, so a task needs one Python worker."""
+    with open(rank_file, "rb") as f:
+        shipped = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        only("bpe", forget)
+        pieces, byte_of, find = compiled(shipped.value), vocabulary(shipped.value), regex.compile(pattern).findall
+        ids = [ids_of(x.as_py(), find, pieces) for x in batch.column(1)]
+        columns = [pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32()), pa.array([text_of(x, byte_of) for x in ids], pa.string())]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_tokens", "ids", "text"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = map_rows(docs.select(F.col(id_col), text_or_empty(text_col)), run, f"id {kind}, n_tokens long, ids array<int>, text string", 128)
+    return out.withColumnRenamed("id", id_col)

@@ -65,11 +65,8 @@ def op2_line_dedup(spark, sf_dir):
 @query
 def op3_byte_bpe(spark, sf_dir):
     """Encode every document and decode the ids again."""
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    coded = coded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), "ids")
-    back = bpe.decode(coded, ranks)
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
 @query

@@ -34,7 +34,7 @@ HELD, CUT, BINS = 30, 12.0, 20
 #: Letters of the word beginnings that are features of their own.
 PREFIXES = (4, 5, 6)
 #: Words whose evidence a worker remembers; labelled documents whose counts are added up before they leave a worker.
-WORDS, COUNTED = 250_000, 2048
+WORDS, COUNTED = 150_000, 2048
 KINDS = ("low", "toxic")
 FIND = re.compile(r"[^\W\d_]+").findall
 BREAKS = re.compile(r"[.!?](?:\s|$)|\n")

@@ -43,9 +43,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): token ids, and the text they decode to."""
-    ranks = public_tokenizers.path(RANKS)
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(coded.withColumn("coded", F.col("ids")), ranks, ids_col="coded")
+    return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 STAGES = [

@@ -63,6 +63,8 @@ def test_utf8_stream_is_decoding_at_once(data, cuts):
 def test_encode_and_decode_edges(edge, empty):
     coded = bpe.encode(edge, RANKS, PATTERN)
     back = {(r["doc_id"], r["text"]) for r in bpe.decode(coded, RANKS).collect()}
+    assert sorted(map(repr, bpe.round_trip(edge, RANKS, PATTERN).select("doc_id", "n_tokens", "ids").collect())) == sorted(map(repr, coded.collect()))
+    assert {(r["doc_id"], r["text"]) for r in bpe.round_trip(edge, RANKS, PATTERN).collect()} == back
     assert back == {(i, t or "") for i, t, _, _ in TEXTS}
     assert coded.count() == len(TEXTS)
     assert bpe.encode(empty, RANKS, PATTERN).count() == 0
