@@ -175,6 +175,22 @@ def test_leaks_with_other_values_and_consistent_slots(spark):
     assert kept == [-1, 2, 3, 4, 5, 6]
 
 
+def test_leaks_with_words_put_in_left_out_and_values_of_other_lengths(spark):
+    rng = random.Random(14)
+    fill = lambda: " ".join(words(rng, 40))
+    plain = words(rng, 38, 10**6)
+    edits = [[*plain[:19], "inserted", *plain[19:]], [*plain[:19], *plain[20:]], [*plain[:19], plain[19][:2], plain[19][2:], *plain[20:]]]
+    own = ITEM.replace("12", "1200").replace("5 km", "5km")
+    values = own.replace("Maria", "Mary Ann").replace("1200", "1 200").replace("5km", "5 km").replace("Peter", "Otto van Gogh".title())
+    half = [*plain[:7], *words(rng, 31)]
+    texts = [*(f"{fill()} {' '.join(e)} {fill()}" for e in edits), f"{fill()}, {values} {fill()}", f"{fill()} {' '.join(half)} {fill()}", f"{fill()} buy 7km now {fill()}"]
+    bench = spark.createDataFrame([(1, " ".join(plain)), (2, own), (3, "then buy 5 km")], "item_id long, text string")
+    docs = spark.createDataFrame([*enumerate(texts), (9, f"{fill()} then buy 8 km {fill()}")], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): (r["place"], r["share"]) for r in decontam.leaks(docs, bench).collect()}
+    assert set(found) == {(0, 1), (1, 1), (2, 1), (3, 2), (9, 3)}
+    assert {p for (d, _), (p, _) in found.items() if d != 3} == {40}
+
+
 def test_leaks_are_brute_force_on_the_test_tables(spark):
     sf = "/root/testdata/sf0.001"
     docs, bench = common.table(spark, sf, "documents"), common.table(spark, sf, "benchmark")
