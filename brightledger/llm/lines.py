@@ -26,8 +26,6 @@ GRAM, WINDOW = 2, 2
 GUARANTEE = GRAM + WINDOW - 1
 #: Words of whole lines that a repeated run needs. A passage of 50 words may lose a part line at either end.
 LEAST_WORDS = 25
-#: Share of its words under which a document that lost text counts as a copy of earlier ones.
-COPY = 0.2
 BREAK = re.compile(r"[.!?,;:]\s+|\n\s*")
 
 
@@ -162,6 +160,6 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``drop_repeats`` as a stage: the same columns, without documents of which under COPY of the words are left."""
+    """``drop_repeats`` as a stage: the same columns, without documents that had words and have none left."""
     out = drop_repeats(docs, id_col, text_col, **how)
-    return out.where(F.coalesce(F.col("words_after") >= COPY * F.col("words_before"), F.lit(True))).select(*docs.columns)
+    return out.where(F.coalesce((F.col("words_after") > 0) | (F.col("words_before") == 0), F.lit(True))).select(*docs.columns)

@@ -24,7 +24,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines are cut; ``n_chars`` follows. Documents of which nearly nothing is left go."""
+    """Later repeated runs of lines are cut; ``n_chars`` follows. Documents of which no word is left go."""
     out = lines.clean(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

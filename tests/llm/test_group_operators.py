@@ -113,6 +113,16 @@ def test_repeated_passages_go_and_first_ones_stay(spark):
     assert kept == set(range(40)) | {43, 44}
 
 
+def test_text_found_nowhere_else_stays_in_the_stage_form(spark):
+    rng = random.Random(16)
+    sources = [" ".join(sentences(rng, 30)) for _ in range(4)]
+    own = " ".join(sentences(rng, 10))
+    texts = [*sources, " ".join([*sources, own]), " ".join(sources[:2])]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"] for r in lines.clean(docs).collect()}
+    assert set(kept) == {0, 1, 2, 3, 4} and kept[4].strip() == own
+
+
 def brute_repeated(texts, least):
     """For each document, words of lines that are in a run of repeated lines found by comparing all earlier places."""
     seen, out = [], {}
