@@ -5,8 +5,9 @@
 3. NN-descent: every vector introduces its neighbours (and those it is a neighbour of) to each other, block by block in
    numpy; lists keep the closest. A list that is full of links is enlarged, up to WIDE. Rounds end when hardly any list
    gains a link.
-4. Links at the threshold, confirmed in double precision, form components. Within a component all pairs are compared in
-   blocks of bounded size, so vectors with more links than any list holds are counted in full.
+4. Links at the threshold, confirmed in double precision, form components. Vectors whose lists are full of links are
+   compared with those of other components, block by block, so components that only weaker links join are joined. Within a
+   component all pairs are compared in blocks of bounded size, so vectors with more links than any list holds are counted in full.
 5. ``audit`` compares a bounded sample of vectors with all others by brute force.
 """
 
@@ -144,6 +145,48 @@ def counted(nodes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
     return met.mapInArrow(compare, "id long, links long").groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def bridges(graph: DataFrame, nodes: DataFrame, labels: DataFrame, least: float, limit: float) -> DataFrame | None:
+    """(a, b): a link for each two blocks of different components that have one among vectors with lists full of links; None without two such components.
+
+    A link that both lists dropped has two such ends, so none is missed. Blocks meet unless the angle between their centres
+    less both radii is too wide for any link.
+    """
+    full = graph.where(F.size(F.filter("near", lambda x: x["sim"] >= limit)) >= WIDE).select("id")
+    members = stage(full.join(labels, "id").join(nodes.select("id", "vec"), "id").select("component", "id", "vec"))
+    sizes = stage(members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    if sizes.count() < 2:
+        return None
+    rows = stage(members.join(sizes, "component").select("component", F.pmod(F.xxhash64("id"), "blocks").alias("block"), "id", "vec"))
+
+    def measured(batches):
+        for group in runs(batches, ["component", "block"], 4096):
+            x = matrix(group)
+            x = x / np.sqrt((x * x).sum(axis=1))[:, None]
+            mid = x.sum(axis=0)
+            mid = mid / norm if (norm := np.sqrt(mid @ mid)) > 1e-9 else x[0]
+            reach = float(np.arccos(np.clip(x @ mid, -1, 1)).max())
+            yield pa.RecordBatch.from_arrays([group.column("component").combine_chunks().slice(0, 1), group.column("block").combine_chunks().slice(0, 1), pa.array([mid], pa.list_(pa.float64())), pa.array([reach])], ["component", "block", "mid", "reach"])
+
+    blocks = stage(rows.repartition("component", "block").sortWithinPartitions("component", "block").mapInArrow(measured, "component long, block long, mid array<double>, reach double"))
+    a, b = (blocks.toDF(*(f"{c}_{x}" for c in blocks.columns)) for x in "ab")
+    dot = F.aggregate(F.zip_with("mid_a", "mid_b", lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+    close = angle - F.col("reach_a") - F.col("reach_b") <= math.acos(max(-1.0, min(1.0, least))) + 1e-6
+    met = stage(a.join(b, (F.col("component_a") < F.col("component_b")) & close).select("component_a", "block_a", "component_b", "block_b"))
+    keys = met.columns
+    sides = [met.join(rows.toDF(f"component_{x}", f"block_{x}", "id", "vec"), [f"component_{x}", f"block_{x}"]).select(*keys, F.lit(i).alias("side"), "id", "vec") for i, x in enumerate("ab")]
+
+    def compare(batches):
+        for group in runs(batches, keys, 2048):
+            side, ids, x = group.column("side").to_numpy(), group.column("id").to_numpy(), matrix(group)
+            x = x / np.sqrt((x * x).sum(axis=1))[:, None]
+            near = np.argwhere(x[side == 0] @ x[side == 1].T >= least)
+            if len(near):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[side == 0][near[:1, 0]]), pa.array(ids[side == 1][near[:1, 1]])], ["a", "b"])
+
+    return sides[0].unionByName(sides[1]).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
+
+
 def prepared(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
     """Staged: rows (id, k1, k2), and one node (id, vec, unit, size, k1, k2) of each class of equal vectors."""
     rows = stage(usable(df, id_col, vec_col))
@@ -176,7 +219,11 @@ def near_duplicates(df: DataFrame, least: float = 0.95, id_col: str = "vec_id",
     near = graph.select("id", F.explode("near").alias("x")).where(F.col("x.sim") >= limit).select(F.least("id", "x.to").alias("a"), F.greatest("id", "x.to").alias("b")).distinct()
     vec = {x: nodes.select(F.col("id").alias(x), F.col("vec").alias(f"vec_{x}")) for x in "ab"}
     linked = near.join(vec["a"], "a").join(vec["b"], "b").where(cosine("vec_a", "vec_b") >= least).select("a", "b")
+    linked = stage(linked)
     labels = stage(components(linked).withColumnRenamed("node", "id"))
+    across = bridges(graph, nodes, labels, least, limit)
+    if across is not None and (across := stage(across)).count():
+        labels = stage(components(linked.unionByName(across)).withColumnRenamed("node", "id"))
     full = nodes.select("id", "size", "k1", "k2").join(labels, "id", "left").join(counted(nodes, labels, least), "id", "left")
     full = stage(full.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
     known = rows.join(full, ["k1", "k2"]).select("id", "n_links", "component_id")

@@ -257,6 +257,18 @@ def test_embedding_links_are_brute_force(spark, monkeypatch):
     assert embeddings.near_duplicates(df.where("false")).count() == 0
 
 
+def test_dense_groups_joined_by_weaker_links_are_one(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 32)
+    rng = np.random.default_rng(5)
+    u, v, far = np.eye(16)[0], 0.96 * np.eye(16)[0] + 0.28 * np.eye(16)[1], np.eye(16)[2]
+    x = np.concatenate([c + rng.standard_normal((80, 16)) * 0.002 for c in (u, v, far)])
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), [float(y) for y in row]) for i, row in zip(ids, x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df, 0.95).collect()}
+    links, label = brute_links(ids, x, 0.95)
+    assert set(links.tolist()) == {159, 79} and got == {i: (int(n), int(c)) for i, n, c in zip(ids.tolist(), links, label)}
+
+
 def test_classifier_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
