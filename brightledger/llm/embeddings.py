@@ -1,14 +1,15 @@
 """Near-duplicate embeddings by NN-descent.
 
 1. Equal vectors are one class; only one of each class goes on.
-2. Random hyperplanes cut the vectors into small blocks several times; each block gives its members first neighbours.
+2. Random hyperplanes cut the vectors into small blocks, more times the deeper the cuts; each block gives its members first neighbours.
 3. NN-descent: every vector introduces its neighbours (and those it is a neighbour of) to each other, block by block in
-   numpy; lists keep the closest. A list that is full of links is enlarged, up to WIDE. Rounds end when hardly any list
-   gains a link.
+   numpy; lists keep the closest. A list that is full of links is enlarged, up to WIDE. Rounds end when lists that had
+   room hardly gain links.
 4. Links at the threshold, confirmed in double precision, form components. Vectors whose lists are full of links are
    compared with those of other components, block by block, so components that only weaker links join are joined. Within a
    component all pairs are compared in blocks of bounded size, so vectors with more links than any list holds are counted in full.
-5. ``audit`` compares a bounded sample of vectors with all others by brute force.
+5. A bounded sample of vectors is compared with all others by brute force. While the result holds less than RECALL of
+   their links, twice as many cuts are added and steps 3 and 4 repeated. ``audit`` gives the figure for any result.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from ..sources.targets import stage
 from .common import map_rows, runs
 from .graph import components
 
-#: Length of a list, and of a list full of links; trees and block size of the start; most members that meet at once.
+#: Length of a list, and of a list full of links; least trees and block size of the start; most members that meet at once.
 NARROW, WIDE, TREES, LEAF, MEET = 8, 64, 6, 48, 64
-#: Most rounds, and the gain in links under which they end.
+#: Most rounds after a start, and the gain in links under which they end.
 ROUNDS, GAIN = 6, 0.001
+#: Share of a sample's links that must be found, its vectors, and the chance that a pair at the threshold shares a first block.
+RECALL, SAMPLE, SHARED = 0.99, 128, 0.99
 #: Members of a block when all pairs of a component are compared.
 BLOCK = 512
 #: Float32 lists take in links this far under the threshold; double precision decides.
@@ -66,15 +69,23 @@ def matrix(group: pa.Table, column: str = "vec") -> np.ndarray:
     return flat.reshape(group.num_rows, -1)
 
 
-def first_lists(nodes: DataFrame, n: int, limit: float, seed: int = 11) -> DataFrame:
-    """(id, to, sim) from the blocks of TREES random cuts; blocks of many members are split at random."""
+def cuts(n: int, least: float) -> tuple[int, int]:
+    """Planes of a random cut of ``n`` vectors, and the cuts after which a pair at ``least`` has met with a chance of SHARED."""
     depth = max(0, math.ceil(math.log2(max(1, n) / LEAF)))
+    together = (1 - math.acos(max(-1.0, min(1.0, least))) / math.pi) ** depth
+    return depth, max(TREES, math.ceil(math.log(1 - SHARED) / math.log(1 - together))) if 0 < together < 1 else TREES
+
+
+def first_lists(nodes: DataFrame, n: int, limit: float, seed: int = 11, times: int = 1) -> DataFrame:
+    """(id, to, sim) from the blocks of random cuts, ``times`` as many as ``cuts`` says; blocks of many members are split at random."""
+    depth, trees = cuts(n, limit)
+    trees *= times
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = matrix(pa.Table.from_batches([batch]))
-        planes = np.random.default_rng(seed).standard_normal((x.shape[1], TREES * depth)).astype(np.float32)
-        bits = (x @ planes >= 0).reshape(len(x), TREES, depth)
-        codes = bits @ (1 << np.arange(depth, dtype=np.int64)) + (np.arange(TREES, dtype=np.int64) << 48) if depth else np.zeros((len(x), 1), np.int64)
+        planes = np.random.default_rng(seed).standard_normal((x.shape[1], trees * depth)).astype(np.float32)
+        bits = (x @ planes >= 0).reshape(len(x), trees, depth)
+        codes = bits @ (1 << np.arange(depth, dtype=np.int64)) + (np.arange(trees, dtype=np.int64) << 48) if depth else np.zeros((len(x), 1), np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(codes), pa.list_(pa.int64()))], ["id", "codes"])
 
     def meet(batches):
@@ -196,26 +207,27 @@ def prepared(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataF
     return rows.drop("vec"), stage(nodes.select("id", "vec", F.transform("vec", lambda x: (x / F.col("norm")).cast("float")).alias("unit"), "size", "k1", "k2"))
 
 
-def near_duplicates(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(``id_col``, n_links, component_id, kept): one row per input row.
+def listed(graph: DataFrame) -> DataFrame:
+    return graph.select("id", F.explode("near").alias("x")).select("id", "x.to", "x.sim")
 
-    Two vectors are linked if their cosine is at least ``least``. Vectors that are null, empty, zero, hold null or
-    non-finite components, or have another length than most, have no links and are their own component. Rows with a null
-    id have no links and a null component. Ids are integers; rows that repeat an id with equal vectors count as one link
-    each.
-    """
-    rows, nodes = prepared(df, id_col, vec_col)
-    n, limit = nodes.count(), least - SLACK
-    graph = stage(merged(first_lists(nodes, n, limit), limit))
-    links, before = graph.select(F.sum(F.size(F.filter("near", lambda x: x["sim"] >= limit)))), None
-    before = links.first()[0] or 0
+
+def descended(starts: DataFrame, nodes: DataFrame, limit: float, seed: int) -> DataFrame:
+    """Staged lists after rounds of introductions, until those that had room for links gain hardly any."""
+    links = F.size(F.filter("near", lambda x: x["sim"] >= limit))
+    graph = stage(merged(starts, limit))
     for turn in range(ROUNDS):
-        gained = introduced(graph, nodes, limit, turn)
-        graph = stage(merged(gained.unionByName(graph.select("id", F.explode("near").alias("x")).select("id", "x.to", "x.sim")), limit))
-        now = graph.select(F.sum(F.size(F.filter("near", lambda x: x["sim"] >= limit)))).first()[0] or 0
+        gained = introduced(graph, nodes, limit, 1000 * seed + turn)
+        new = stage(merged(gained.unionByName(listed(graph)), limit))
+        both = new.select("id", links.alias("now")).join(graph.select("id", links.alias("before")), "id", "left").select("now", F.coalesce("before", F.lit(0)).alias("before"))
+        now, before = both.where(F.col("before") < WIDE).agg(F.coalesce(F.sum("now"), F.lit(0)), F.coalesce(F.sum("before"), F.lit(0))).first()
+        graph = new
         if turn and now - before <= GAIN * now:
             break
-        before = now
+    return graph
+
+
+def grouped(graph: DataFrame, nodes: DataFrame, least: float, limit: float) -> DataFrame:
+    """Staged (id, k1, k2, n_links, component_id), one row per node."""
     near = graph.select("id", F.explode("near").alias("x")).where(F.col("x.sim") >= limit).select(F.least("id", "x.to").alias("a"), F.greatest("id", "x.to").alias("b")).distinct()
     vec = {x: nodes.select(F.col("id").alias(x), F.col("vec").alias(f"vec_{x}")) for x in "ab"}
     linked = near.join(vec["a"], "a").join(vec["b"], "b").where(cosine("vec_a", "vec_b") >= least).select("a", "b")
@@ -225,8 +237,27 @@ def near_duplicates(df: DataFrame, least: float = 0.95, id_col: str = "vec_id",
     if across is not None and (across := stage(across)).count():
         labels = stage(components(linked.unionByName(across)).withColumnRenamed("node", "id"))
     full = nodes.select("id", "size", "k1", "k2").join(labels, "id", "left").join(counted(nodes, labels, least), "id", "left")
-    full = stage(full.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
-    known = rows.join(full, ["k1", "k2"]).select("id", "n_links", "component_id")
+    return stage(full.select("id", "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+
+
+def near_duplicates(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """(``id_col``, n_links, component_id, kept): one row per input row.
+
+    Two vectors are linked if their cosine is at least ``least``. Vectors that are null, empty, zero, hold null or
+    non-finite components, or have another length than most, have no links and are their own component. Rows with a null
+    id have no links and a null component. Ids are integers; rows that repeat an id with equal vectors count as one link
+    each.
+    """
+    rows, nodes = prepared(df, id_col, vec_col)
+    n, limit, graph, times = nodes.count(), least - SLACK, None, 1
+    while True:
+        starts = first_lists(nodes, n, limit, 10 + times, times)
+        graph = descended(starts if graph is None else starts.unionByName(listed(graph)), nodes, limit, times)
+        full = grouped(graph, nodes, least, limit)
+        if recall(nodes, full.select("id", "n_links"), SAMPLE, least + 1e-9) >= RECALL:  # rounding at the threshold can't ask for more rounds
+            break
+        times *= 2
+    known = rows.join(full.drop("id"), ["k1", "k2"]).select("id", "n_links", "component_id")
     rest = df.select(F.col(id_col).cast("long").alias("id")).join(stage(rows.select("id").distinct()), "id", "left_anti")
     out = known.unionByName(rest.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
@@ -235,11 +266,16 @@ def near_duplicates(df: DataFrame, least: float = 0.95, id_col: str = "vec_id",
 def audit(df: DataFrame, result: DataFrame, sample: int = 128, least: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> float:
     """Share of the true links of about ``sample`` vectors that ``result`` counts; each meets all rows by brute force, counts only are shuffled."""
     rows, nodes = prepared(df, id_col, vec_col)
+    return recall(nodes, result.select(F.col(id_col).alias("id"), "n_links"), sample, least)
+
+
+def recall(nodes: DataFrame, counts: DataFrame, sample: int, least: float) -> float:
+    """Share of the true links of ``sample`` nodes in ``counts`` (id, n_links)."""
     some = nodes.orderBy(F.xxhash64("id", F.lit(5))).limit(sample).select("id", "vec").collect()
     if not some:
         return 1.0
     ids, x = np.array([r["id"] for r in some]), np.array([r["vec"] for r in some])
-    shipped = df.sparkSession.sparkContext.broadcast((ids, x / np.sqrt((x * x).sum(axis=1))[:, None]))
+    shipped = nodes.sparkSession.sparkContext.broadcast((ids, x / np.sqrt((x * x).sum(axis=1))[:, None]))
 
     def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
         own, q = shipped.value
@@ -248,5 +284,5 @@ def audit(df: DataFrame, result: DataFrame, sample: int = 128, least: float = 0.
         return pa.RecordBatch.from_arrays([pa.array(own), pa.array(near @ batch.column(1).to_numpy())], ["id", "links"])
 
     true = map_rows(nodes.select("vec", "size").select(F.col("vec"), "size"), compare, "id long, links long", 4096).groupBy("id").agg((F.sum("links") - 1).alias("links"))
-    both = true.join(result.select(F.col(id_col).alias("id"), "n_links"), "id").agg(F.sum("links"), F.sum(F.least("links", "n_links"))).first()
+    both = true.join(counts, "id").agg(F.sum("links"), F.sum(F.least("links", "n_links"))).first()
     return 1.0 if not both[0] else both[1] / both[0]

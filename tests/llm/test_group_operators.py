@@ -269,6 +269,24 @@ def test_dense_groups_joined_by_weaker_links_are_one(spark, monkeypatch):
     assert set(links.tolist()) == {159, 79} and got == {i: (int(n), int(c)) for i, n, c in zip(ids.tolist(), links, label)}
 
 
+def test_search_goes_on_while_recall_is_low_and_grows_with_the_table(spark, monkeypatch):
+    first, seen = embeddings.first_lists, []
+
+    def none_at_first(*a, **k):
+        seen.append(a)
+        return first(*a, **k).where("true" if len(seen) > 1 else "false")
+
+    monkeypatch.setattr(embeddings, "first_lists", none_at_first)
+    monkeypatch.setattr(embeddings, "ROUNDS", 1)
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.standard_normal((30, 16)), 2, axis=0) + rng.standard_normal((60, 16)) * 0.02
+    df = spark.createDataFrame([(i, [float(y) for y in row]) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    assert [r["n_links"] for r in embeddings.near_duplicates(df, 0.95).collect()] == [1] * 60 and len(seen) == 2
+    for n in (2_000, 50_000, 10**6, 10**7):
+        depth, trees = embeddings.cuts(n, 0.95)
+        assert 1 - (1 - (1 - np.arccos(0.95) / np.pi) ** depth) ** trees >= 0.99
+
+
 def test_classifier_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
