@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, tokens
+from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, tokens, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -34,6 +34,23 @@ NEAR_VECTORS = r"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x
     SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (vec_id) LEFT JOIN d USING (vec_id)"""
 
 
+#: The sites the page filter blocks and allows, and patterns of hosts that exist for links alone.
+SITES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+LINK_HOSTS = ["*spam-farm.**", "*cheap-pills.**", "*casino-*.**", "*.link-exchange.**"]
+
+#: By definition: the longest site whose host the URL's host is or ends with, then patterns of hosts.
+PAGE_VERDICTS = r"""WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+    f AS (SELECT *, CASE WHEN suffix('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+                         WHEN suffix('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+                         WHEN suffix('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                         WHEN suffix('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule,
+                    CASE WHEN contains(host, 'spam-farm.') THEN '*spam-farm.**' WHEN contains(host, 'cheap-pills.') THEN '*cheap-pills.**'
+                         WHEN regexp_matches(host, 'casino-.*\.', 's') THEN '*casino-*.**' WHEN contains(host, '.link-exchange.') THEN '*.link-exchange.**' END AS hosts FROM p)
+    SELECT page_id, host, path, rule, CASE WHEN rule IS NULL THEN hosts END AS glob,
+           CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN hosts IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict FROM f"""
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -118,6 +135,14 @@ def op10_license_scan(spark, sf_dir):
     return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(spans, ",").alias("spans"), F.round(F.array_min(F.transform("matches", lambda m: m["share"])), 6).alias("least_share"))
 
 
+@stated(PAGE_VERDICTS)
+def op12_url_filter(spark, sf_dir):
+    """Every page's host, path and verdict, with the site rule or pattern that decides."""
+    rules = urls.by_length(SITES) + [urls.Rule("block", glob) for glob in LINK_HOSTS]
+    found = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return found.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull(), F.col("glob")).alias("glob"), "verdict")
+
+
 def load():
     """(queries, SQL) with the pipeline, which stands at the repository's top."""
     import corpus_pipeline
