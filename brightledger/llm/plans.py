@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, tokens, urls
+from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, tokens, turns, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -51,6 +51,40 @@ PAGE_VERDICTS = r"""WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') TH
            CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN hosts IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict FROM f"""
 
 
+#: The table of the checksum that crc32 uses, and the checksum of column k.
+CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT)) AS tab)"
+CRC = ("xor(list_reduce(list_transform(range(length(hex(encode(k))) // 2), lambda i: ('0x' || substr(hex(encode(k)), 2 * i + 1, 2))::BIGINT), "
+       "lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)")
+
+#: By definition: faults row by row, then the least (cost, audit) for each grammar state, from each conversation's last row to its first.
+REPAIRS = rf"""WITH RECURSIVE {CRC_TABLE},
+    k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+    d AS (SELECT conv_id, turn, role, text, {CRC} % 20 AS d FROM k, crc),
+    r AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE WHEN d = 1 THEN '' WHEN d = 2 THEN translate(text, '.!?', '') ELSE text END AS text FROM d, unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) WHERE d <> 0),
+    o AS (SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t, left(role, 1) AS initial,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || ':' || text)) AS i FROM r),
+    f AS (SELECT *, CASE WHEN t = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS odd FROM o),
+    e AS (SELECT conv_id, i, initial, coalesce(fault IN ('blank', 'duplicate'), false) AS gone, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS late FROM f),
+    n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+              count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (odd) AS illegal FROM f GROUP BY ALL),
+    v AS (SELECT conv_id, n + 1 AS i, {{c: 0, a: ''}} AS none, {{c: 10, a: 'II'}} AS sys, {{c: 5, a: 'I'}} AS usr, {{c: 0, a: ''}} AS ast FROM n
+          UNION ALL SELECT conv_id, i, list_min([s.none, {{c: s.usr.c + 5, a: 'I' || s.usr.a}}, {{c: s.ast.c + 10, a: 'II' || s.ast.a}}]), list_min([s.sys, {{c: s.usr.c + 5, a: 'I' || s.usr.a}}, {{c: s.ast.c + 10, a: 'II' || s.ast.a}}]),
+                           list_min([s.usr, {{c: s.ast.c + 5, a: 'I' || s.ast.a}}]), list_min([s.ast, {{c: s.usr.c + 5, a: 'I' || s.usr.a}}])
+          FROM (SELECT e.conv_id, e.i, {{
+              none: list_min([{{c: none.c + 2, a: 'D' || none.a}}, CASE WHEN NOT gone AND initial = 's' THEN {{c: sys.c + late, a: 'K' || sys.a}} END, CASE WHEN NOT gone THEN {{c: usr.c + late + (initial <> 'u')::INT, a: CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || usr.a}} END]),
+              sys: list_min([{{c: sys.c + 2, a: 'D' || sys.a}}, CASE WHEN NOT gone THEN {{c: usr.c + late + (initial <> 'u')::INT, a: CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || usr.a}} END]),
+              usr: list_min([{{c: usr.c + 2, a: 'D' || usr.a}}, CASE WHEN NOT gone THEN {{c: ast.c + late + (initial <> 'a')::INT, a: CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END || ast.a}} END]),
+              ast: list_min([{{c: ast.c + 2, a: 'D' || ast.a}}, CASE WHEN NOT gone THEN {{c: usr.c + late + (initial <> 'u')::INT, a: CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || usr.a}} END])}} AS s
+              FROM v JOIN e ON e.conv_id IS NOT DISTINCT FROM v.conv_id AND e.i = v.i - 1)),
+    a AS (SELECT conv_id, none.c::BIGINT AS cost, none.a AS audit FROM v WHERE i = 1),
+    x AS (SELECT conv_id, j, substr(audit, j, 1) AS edit, length(replace(left(audit, j), 'I', '')) AS i, length(replace(left(audit, j), 'D', '')) AS p FROM a, unnest(range(1, length(audit) + 1)) u(j)),
+    y AS (SELECT x.*, f.role, f.text, bool_or(p = 1 AND edit = 'K' AND initial = 's') OVER (PARTITION BY x.conv_id) AS led FROM x LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM x.conv_id AND f.i = x.i WHERE edit <> 'D'),
+    z AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (p - led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS h FROM y GROUP BY ALL)
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+           coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -143,6 +177,27 @@ def op12_url_filter(spark, sf_dir):
     return found.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull(), F.col("glob")).alias("glob"), "verdict")
 
 
+def damaged(rows):
+    """Rows of conversations with the faults that the repair is tried on; a null counts as one space."""
+    conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
+    kind = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    role, text = F.when(kind == 4, "user").otherwise(role), F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    times = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.sequence(F.lit(1), F.lit(2))).alias("copy"), times.alias("times")).where("copy <= times").drop("copy", "times")
+
+
+@stated(REPAIRS)
+def op13_conversation_repair(spark, sf_dir):
+    """Faults of every damaged conversation, and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    found = turns.repair(damaged(rows))
+    hashes = turns.digests(found.rows).withColumnRenamed("conv_id", "c")
+    fixed = found.conversations.join(hashes, F.col("conv_id").eqNullSafe(F.col("c")), "left").drop("c").withColumnRenamed("conv_id", "c")
+    counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    out = rows.select("conv_id").distinct().join(fixed, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def load():
     """(queries, SQL) with the pipeline, which stands at the repository's top."""
     import corpus_pipeline
