@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, tokens, turns, urls
+from . import bpe, decontam, embeddings, licenses, lines, minhash, pii, quality, secrets, spelling, tokens, turns, urls
 from .common import table
 
 QUERIES: dict = {}
@@ -85,6 +87,22 @@ REPAIRS = rf"""WITH RECURSIVE {CRC_TABLE},
     FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
 
+#: By definition: words one edit apart share the word that is left without one letter, and the forms are followed one by one.
+VARIANTS = rf"""WITH RECURSIVE {CRC_TABLE},
+    t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+    k AS (SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS k, count(*) AS m FROM t WHERE length(run) >= 6 GROUP BY ALL),
+    h AS (SELECT run, m, {CRC} AS h FROM k, crc),
+    w AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, m FROM h),
+    v AS (SELECT word, sum(m)::BIGINT AS n FROM w WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+    d AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less FROM v, unnest(range(1, length(word) + 1)) u(i)),
+    p AS (SELECT a.word, b.word AS near, b.n FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+          UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.less = v.word UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.less = v.word),
+    c AS (SELECT word, count(*) AS n_near, arg_min(near, {{n: -n, w: near}}) AS near, max(n) AS near_n FROM p GROUP BY ALL),
+    f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * v.n THEN near END AS form, CASE WHEN near_n >= 5 * v.n THEN near_n END AS form_n FROM v LEFT JOIN c USING (word)),
+    r(word, root) AS (SELECT word, word FROM f WHERE form IS NULL UNION ALL SELECT f.word, r.root FROM f JOIN r ON f.form = r.word)
+    SELECT word, form, root, n, n_near, form_n FROM f JOIN r USING (word)"""
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -177,6 +195,18 @@ def op12_url_filter(spark, sf_dir):
     return found.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull(), F.col("glob")).alias("glob"), "verdict")
 
 
+def dropped_letter(doc_id: str, run: str) -> str:
+    """One run in 199 loses a letter, so that there are misspellings to be found."""
+    h = zlib.crc32(f"{doc_id}:{run}".encode())
+    return run if h % 199 else run[: h % len(run)] + run[h % len(run) + 1 :]
+
+
+@stated(VARIANTS)
+def op11_spelling_variants(spark, sf_dir):
+    """Every word of the documents with its near words, most frequent form and root."""
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), change=dropped_letter))
+
+
 def damaged(rows):
     """Rows of conversations with the faults that the repair is tried on; a null counts as one space."""
     conv, turn, role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text"))
