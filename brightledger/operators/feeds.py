@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import item, iso_with_offset, split_literal, to_zone
 from ..sources.targets import stage
-from .ordered import last_before, neighbours
+from .ordered import sweep
 from .web import LA
 
 
@@ -28,25 +28,20 @@ def _year(ts: Column, sign: int) -> Column:
 
 
 def purchases_around(reviews: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
-    """Orders whose span from the previous to the next purchase of the same key holds the review time.
+    """(review_id, at, keys, Order_Number): orders whose span from the previous to the next purchase of the same key holds the review time.
 
-    ``reviews`` has review_id, the keys and ``at``; ``orders`` the keys, ``ts`` and Order_Number.
-    A missing neighbour counts as one year away. The spans that can hold a moment are those of the
-    last order before it, of orders at it and of the first order after it, so three as-of lookups
-    replace the range join.
+    ``reviews`` has review_id, the keys and ``at``; ``orders`` the keys, ``ts`` and Order_Number. A missing neighbour counts as one
+    year away. Spans that can hold a moment are those of the last order before it, of orders at it and of the first order after it. The
+    former reaches the moment if any order follows, the latter if any order precedes, so one sweep replaces the range join.
     """
-    order = ["ts", "Order_Number"]
-    probe = stage(reviews.select("review_id", *keys, "at").where(F.col("at").isNotNull()))
-    # customers without a review, such as orders without an address, leave before any window
-    orders = orders.join(probe.select(*keys).distinct(), keys, "left_semi")
-    spans = neighbours(orders, keys, F.to_date("ts"), order, F.col("ts"), "before", "after")
-    spans = spans.withColumn("prev", F.coalesce("before", _year(F.col("ts"), -1))).withColumn("post", F.coalesce("after", _year(F.col("ts"), 1)))
-    spans = stage(spans.select(*keys, "ts", "Order_Number", "prev", "post"))
-    earlier = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "post"]).where("post >= at")
-    later = last_before(probe, spans, keys, "at", "ts", ["Order_Number"], ["Order_Number", "prev"], after=True).where("prev <= at")
-    same = probe.join(spans.select(*keys, F.col("ts").alias("at"), "Order_Number"), [*keys, "at"])
-    cols = ["review_id", "at", "Order_Number"]
-    return earlier.select(*cols).unionByName(later.select(*cols)).unionByName(same.select(*cols)).distinct()
+    probe = reviews.select("review_id", *keys, "at")
+    found = stage(sweep(probe, orders.select(*keys, "ts", "Order_Number"), keys, "at", "ts", ["Order_Number"]))
+    at, some = F.col("at").cast("timestamp_ntz"), F.col("same") > 0
+    cols = ["review_id", "at", *keys]
+    earlier = found.where(F.col("after").isNotNull() | some | (_year(F.col("before.ts"), 1) >= at)).select(*cols, "before.Order_Number")
+    later = found.where(F.col("before").isNotNull() | some | (_year(F.col("after.ts"), -1) <= at)).select(*cols, "after.Order_Number")
+    at_once = found.where(some).select(*cols, at.alias("ts")).join(orders.select(*keys, F.col("ts").cast("timestamp_ntz").alias("ts"), "Order_Number"), [*keys, "ts"])
+    return earlier.unionByName(later).where("Order_Number IS NOT NULL").unionByName(at_once.select(*cols, "Order_Number")).distinct()
 
 
 def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gtins: DataFrame, mpns: DataFrame, stock: DataFrame,
@@ -58,13 +53,21 @@ def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gt
     own = reviews.where("status_id = 1").join(authors.select(F.col("id").alias("author_id"), "email"), "author_id", "left")
     own = own.join(inventory.select("product_id", "sku", F.col("name").alias("product_name"), "brand"), "product_id", "left").withColumnRenamed("id", "review_id")
     own = own.withColumn("at", to_zone("created_at", zone))
-    local = own.select("review_id", F.lower("email").alias("e"), "sku", "at")
+    local = own.select("review_id", F.lower("email").alias("e"), "sku", "at").where("e IS NOT NULL AND at IS NOT NULL")
+    # customers without a review, such as orders without an address, leave before the sweep
     bought = items.select(F.lower("customer_email").alias("e"), F.col("FinalShortSKU").alias("sku"), F.col("Creation_Datetime").cast("timestamp_ntz").alias("ts"), "Order_Number")
-    by_item = stage(purchases_around(local, bought, ["e", "sku"]))
-    # only reviews without an order of their item look at the customer's other orders
-    rest = local.join(by_item.select("review_id", "at").distinct(), ["review_id", "at"], "left_anti")
-    by_any = purchases_around(rest, bought.select("e", "ts", "Order_Number").distinct(), ["e"])
-    orders = by_item.unionByName(by_any).withColumnRenamed("Order_Number", "transaction_id")
+    bought = stage(bought.join(local.select("e").distinct(), "e", "left_semi"))
+
+    def keyed(df: DataFrame, *cols: str) -> DataFrame:
+        """Each row under its customer and item, and under its customer alone."""
+        level = F.explode(F.array(F.struct(F.lit(True).alias("own_item"), F.col("sku").alias("s")), F.struct(F.lit(False).alias("own_item"), F.lit("").alias("s"))))
+        return df.select("e", level.alias("level"), *cols).select("e", "level.own_item", "level.s", *cols).where("s IS NOT NULL")
+
+    # a review takes orders of its item; only those without one take the customer's other orders
+    around = stage(purchases_around(keyed(local, "review_id", "at"), keyed(bought, "ts", "Order_Number").distinct(), ["e", "own_item", "s"]))
+    fitting = around.where("own_item").select("review_id", "at").distinct()
+    other = around.where("NOT own_item").join(fitting, ["review_id", "at"], "left_anti")
+    orders = around.where("own_item").unionByName(other).select("review_id", "at", F.col("Order_Number").alias("transaction_id"))
     style = F.when(F.col("style") == 1, "Chic").when(F.col("style") == 2, "Vintage").when(F.col("style") == 3, "Classic")
     pros = F.concat(F.when(F.col("recommend"), "Would recommend to others").otherwise(""), F.when(F.col("fit") == 2, ",True to size").otherwise(""),
                     F.when(F.col("style").isNotNull(), F.concat(F.lit(","), style, F.lit(" style"))).otherwise(""),
