@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import diff_boundary, item, money_text, month_start, pseudonym, split_literal
-from ..sources.targets import merge
+from ..sources.targets import merge, merge_partitions
 from .ordered import neighbours
 from .relational import latest_per_group, not_in, semi_in, split_sources
 
@@ -184,9 +184,16 @@ def partner_leads(leads: DataFrame, subscribers: DataFrame, shared: DataFrame, n
 
 
 def merge_leads(target: DataFrame, rows: DataFrame, name: str) -> DataFrame:
-    """Insert new leads, renew a changed address, drop matched rows of a target without ``name``."""
-    return merge(target, rows, ["subscriber_id"], lower=[name], update=["subscriber_email"],
-                 update_when=F.col("t_subscriber_email") != F.col("s_subscriber_email"), delete_when=F.col(f"t_{name}").isNull())
+    """Insert new leads, renew a changed address, and drop target rows without ``name`` of subscribers that come again with one.
+
+    A name is compared without regard to case. A null name equals none, so the evident intent needs a second step: an old row without a name
+    meets the new rows by subscriber alone and leaves if there is one.
+    """
+    named, nameless = target.where(F.col(name).isNotNull()), target.where(F.col(name).isNull())
+    kept = merge(nameless, rows.where(F.col(name).isNotNull()).select("subscriber_id").distinct(), ["subscriber_id"],
+                 update_when=F.lit(False), delete_when=F.col(f"t_{name}").isNull(), insert=False)
+    renewed = merge(named, rows, ["subscriber_id"], lower=[name], update=["subscriber_email"], update_when=F.col("t_subscriber_email") != F.col("s_subscriber_email"))
+    return renewed.unionByName(kept)
 
 
 def system_leads(subscribers: DataFrame, affiliates: DataFrame, naming: DataFrame, codes: Sequence[str], since: date) -> DataFrame:
@@ -284,6 +291,11 @@ def merge_sales(target: DataFrame, rows: DataFrame) -> DataFrame:
     return merge(target, rows, ["Order_id", "Channel_Name"], update=["Budget_Date"], update_when=period_changed())
 
 
+def merge_sales_by_month(spark: SparkSession, path: str, rows: DataFrame) -> list:
+    """``merge_sales`` into a folder partitioned by ``month``; the order's date fixes the month, so only the months of ``rows`` are touched."""
+    return merge_partitions(spark, path, rows, ["Order_id", "Channel_Name", "month"], "month", update=["Budget_Date"], update_when=period_changed())
+
+
 def converted_leads(leads: DataFrame, items: DataFrame, sales: DataFrame, periods: DataFrame, codes: Sequence[str], since: date) -> DataFrame:
     """Orders of leads on or after their last lead day that are not sales of the same channel already.
 

@@ -313,11 +313,14 @@ LEGACY = f"""{S.MAIL}, inb AS (SELECT CAST(ts AS DATE) AS date, date_trunc('seco
       FROM inb WHERE regexp_matches(MessageName, '^[0-9]'))"""
 
 
-@query("delivery_date_from_name", f"WITH {LEGACY} SELECT * FROM dd")
+@query("delivery_date_from_name", f"WITH {LEGACY} SELECT * FROM dd UNION ALL (SELECT 'gone ' || MessageName, DDate FROM dd ORDER BY MessageName LIMIT 1)")
 def delivery_date_from_name(spark, sf):
     names = A.legacy_inbound(spark, sf).select(F.col("messageName").alias("MessageName"))
-    empty = E.delivery_date(names.where("false"))
-    return merge(empty, E.delivery_date(names), ["MessageName"])
+    dates = stage(E.delivery_date(names))
+    # before: some names, and one that doesn't come again
+    old = dates.where("length(MessageName) % 2 = 0")
+    gone = dates.orderBy("MessageName").limit(1).withColumn("MessageName", F.concat(F.lit("gone "), "MessageName"))
+    return merge(old.unionByName(gone), dates, ["MessageName"])
 
 
 OUT = """outb AS (SELECT CAST(ts AS DATE) AS day0, CASE WHEN k % 6 = 0 THEN NULL ELSE CAST(ts + to_days(k % 3 - 1) AS DATE) END AS cd,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import partners as P
 from ..sources import adapters as A
-from ..sources.targets import append_new, nth_row, overwrite, stage
+from ..sources.targets import append_new, nth_row, overwrite, stage, stage_partitioned
 from . import sqltext as S
 from .registry import query
 
@@ -116,7 +116,8 @@ ACT = """act0 AS (SELECT *, o_orderdate + to_minutes(o_orderkey % 1440) AS tm FR
     ch AS (SELECT DISTINCT 'Ch ' || l_suppkey AS Channel_Name, 'ch_' || l_suppkey AS sid FROM lineitem)"""
 IRL = f"""irl AS (SELECT DISTINCT oid AS subscriber_id, CASE WHEN o_custkey % 11 < 8 THEN md5('u' || o_custkey || '@x') END AS subscriber_email, date_trunc('day', tm)::TIMESTAMP AS Datetime, subid4, Channel_Name, 'IR' AS Plat
     FROM pa LEFT JOIN ch ON lower(subid4) = sid WHERE media <> 'Blog' AND subid4 IS NOT NULL AND date_diff('day', click, tm) <= 90)"""
-OLD_IRL = "SELECT subscriber_id, 'x' AS subscriber_email, Datetime, subid4, Channel_Name, Plat FROM irl WHERE Datetime < TIMESTAMP '1997-01-01'"
+#: The lead table before the merge: addresses are out of date, and every fifth order's channel was not known.
+OLD_IRL = """SELECT subscriber_id, 'x' AS subscriber_email, Datetime, subid4, CASE WHEN CAST(subscriber_id AS BIGINT) % 5 <> 0 THEN Channel_Name END AS Channel_Name, Plat FROM irl WHERE Datetime < TIMESTAMP '1997-01-01'"""
 
 
 def shared(spark, sf):
@@ -127,13 +128,14 @@ def leads(spark, sf):
     return P.partner_leads(A.partner_actions(spark, sf), A.shop_subscribers(spark, sf), shared(spark, sf), A.naming(spark, sf), MEDIA)
 
 
-@query("partner_leads", f"""WITH {ACT}, {IRL}, o AS ({OLD_IRL}) SELECT irl.subscriber_id, coalesce(irl.subscriber_email, 'x') AS subscriber_email, irl.Datetime, irl.subid4, irl.Channel_Name, irl.Plat FROM irl
-      WHERE irl.Datetime < TIMESTAMP '1997-01-01' AND irl.Channel_Name IS NOT NULL
-    UNION ALL SELECT * FROM irl WHERE Datetime >= TIMESTAMP '1997-01-01' OR Channel_Name IS NULL
-    UNION ALL SELECT * FROM o WHERE Channel_Name IS NULL""")
+@query("partner_leads", f"""WITH {ACT}, {IRL}, o AS ({OLD_IRL}), met AS (SELECT DISTINCT subscriber_id, lower(Channel_Name) AS c FROM o WHERE Channel_Name IS NOT NULL)
+    SELECT irl.subscriber_id, CASE WHEN c IS NULL THEN irl.subscriber_email ELSE coalesce(irl.subscriber_email, 'x') END AS subscriber_email, irl.Datetime, irl.subid4, irl.Channel_Name, irl.Plat
+      FROM irl LEFT JOIN met ON met.subscriber_id = irl.subscriber_id AND c = lower(Channel_Name)
+    UNION ALL SELECT * FROM o WHERE Channel_Name IS NULL AND subscriber_id NOT IN (SELECT subscriber_id FROM irl WHERE Channel_Name IS NOT NULL)""")
 def partner_leads(spark, sf):
     new = stage(leads(spark, sf))
-    old = new.where("Datetime < timestamp_ntz'1997-01-01'").withColumn("subscriber_email", F.lit("x"))
+    known = F.when(F.col("subscriber_id").cast("long") % 5 != 0, F.col("Channel_Name"))
+    old = new.where("Datetime < timestamp_ntz'1997-01-01'").withColumns({"subscriber_email": F.lit("x"), "Channel_Name": known})
     return P.merge_leads(old, new, "Channel_Name")
 
 
@@ -146,10 +148,13 @@ def admin(spark, sf):
     return P.system_leads(A.shop_subscribers(spark, sf), A.affiliate_codes(spark, sf), A.naming(spark, sf), CODES, SINCE)
 
 
-@query("system_leads", f"WITH {ADM} SELECT * FROM adm")
+@query("system_leads", f"""WITH {ADM} SELECT * FROM adm UNION ALL SELECT -subscriber_id, 'x', Datetime, NULL, Plat FROM adm WHERE subscriber_id % 6 = 0""")
 def system_leads(spark, sf):
-    rows = admin(spark, sf)
-    return P.merge_leads(rows.where("false"), rows, "Affid")
+    rows = stage(admin(spark, sf))
+    # before: a third with an old address, half of these without a code; and subscribers who don't come again
+    old = rows.where("subscriber_id % 3 = 0").withColumns({"subscriber_email": F.lit("x"), "Affid": F.expr("CASE WHEN subscriber_id % 6 <> 0 THEN Affid END")})
+    gone = old.where("subscriber_id % 6 = 0").withColumn("subscriber_id", -F.col("subscriber_id"))
+    return P.merge_leads(old.unionByName(gone), rows, "Affid")
 
 
 DAYS = """days AS (SELECT DISTINCT Channel_Name, Budget_Date, ToDate FROM per UNION SELECT DISTINCT 'code-batchA-' || right(Channel_Name, 1), Budget_Date, ToDate FROM per WHERE Channel_Name LIKE 'Ch _')"""
@@ -165,11 +170,14 @@ def named_periods(spark, sf):
     return per.unionByName(own).distinct()
 
 
-@query("leads_combined", f"WITH {PERIODS}, {ACT}, {IRL}, {ADM}, {DAYS}, {COMBINED} SELECT * FROM lc")
+@query("leads_combined", f"""WITH {PERIODS}, {ACT}, {IRL}, {ADM}, {DAYS}, {COMBINED} SELECT * FROM lc UNION ALL
+    SELECT 'gone-' || subscriber_id, subscriber_email, Datetime, Channel_Name, Plat, Budget_Date - 7 FROM lc WHERE Plat = 'Both'""")
 def leads_combined(spark, sf):
     rows = stage(P.leads_combined(stage(leads(spark, sf)), stage(admin(spark, sf)), named_periods(spark, sf)))
-    old = rows.where("false")
-    return P.merge_combined_leads(old, rows)
+    # before: other periods or none, and leads that don't come again
+    late = rows.where("Plat <> 'IR'").withColumn("Budget_Date", F.expr("CASE WHEN Plat = 'Both' THEN date_sub(Budget_Date, 7) END"))
+    gone = late.where("Plat = 'Both'").withColumn("subscriber_id", F.concat(F.lit("gone-"), "subscriber_id"))
+    return P.merge_combined_leads(late.unionByName(gone), rows)
 
 
 SUMS = "CAST(sum(Item_Qty_Ordered) AS BIGINT) AS items, round(sum(Item_Price), 2) AS Order_Full_Price, round(sum(ItemRevenue), 4) AS Revenue, round(sum(ItemRevenue) + sum(Item_Tax), 6) AS Revenue_Inc_Tax"
@@ -219,10 +227,31 @@ def combined(spark, sf):
     return P.sales_combined(stage(sales(spark, sf)), stage(shop_sales(spark, sf)), named_periods(spark, sf))
 
 
-@query("sales_combined", f"WITH {PERIODS}, {S.ITEMS}, {ACT}, {IRS}, {ADS}, {DAYS}, {SOLD} SELECT * FROM sold")
+def sales_before(rows):
+    """The sales table before the merge: some orders without a period, some with another one, and some that don't come again."""
+    late = rows.where("Plat <> 'IR'").withColumn("Budget_Date", F.expr("CASE WHEN Plat = 'Both' THEN date_sub(Budget_Date, 7) END"))
+    gone = late.where("Plat = 'Both'").withColumn("Order_id", F.concat(F.lit("gone-"), "Order_id"))
+    return late.unionByName(gone)
+
+
+MERGED_SALES = f"""WITH {PERIODS}, {S.ITEMS}, {ACT}, {IRS}, {ADS}, {DAYS}, {SOLD} SELECT * FROM sold
+    UNION ALL SELECT * REPLACE ('gone-' || Order_id AS Order_id, Budget_Date - 7 AS Budget_Date) FROM sold WHERE Plat = 'Both'"""
+
+
+@query("sales_combined", MERGED_SALES)
 def sales_combined(spark, sf):
     rows = stage(combined(spark, sf))
-    return P.merge_sales(rows.where("false"), rows)
+    return P.merge_sales(sales_before(rows), rows)
+
+
+@query("sales_merge_by_month", MERGED_SALES)
+def sales_merge_by_month(spark, sf):
+    """The same in a folder partitioned by month: two years' sales come one after the other, and months without any are not read."""
+    rows = stage(combined(spark, sf).withColumn("month", F.trunc("Date", "month")))
+    path = stage_partitioned(sales_before(rows), "month")
+    for part in ("Date < date'1998-01-01'", "Date >= date'1998-01-01'"):
+        P.merge_sales_by_month(spark, path, rows.where(part))
+    return spark.read.parquet(path).drop("month")
 
 
 @query("converted_leads", f"""WITH {PERIODS}, {S.ITEMS}, {ACT}, {IRL}, {ADM}, {IRS}, {ADS}, {DAYS}, {COMBINED}, {SOLD},
@@ -236,7 +265,8 @@ def converted_leads(spark, sf):
     people = stage(P.leads_combined(stage(leads(spark, sf)), stage(admin(spark, sf)), per))
     sold = stage(P.sales_combined(stage(sales(spark, sf)), stage(shop_sales(spark, sf)), per))
     rows = stage(rounded(P.converted_leads(people, A.order_items(spark, sf), sold, per, CODES, SINCE)))
-    return P.merge_converted(rows.where("false"), rows)
+    # before: a third of the rows as they are, which stay as they are
+    return P.merge_converted(rows.where("CAST(Order_id AS BIGINT) % 3 = 0"), rows)
 
 
 @query("code_sheet_row", """SELECT s_suppkey AS entity_id, CASE WHEN s_suppkey % 9 < 6 THEN 'code-batchA-' ELSE 'code-other-' END || s_suppkey AS code FROM supplier ORDER BY code, entity_id LIMIT 1 OFFSET 2""")

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.relational import not_in
 
@@ -125,6 +126,67 @@ def replace_partitions(new: DataFrame, path: str, partition_by: Sequence[str]) -
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def _partitions(df: DataFrame, column: str) -> list:
+    """The partitions that rows fall into: as many values as the target has folders, not rows."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def within(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows of the given partitions; a scan of a folder partitioned by ``column`` reads no others."""
+    known = [v for v in values if v is not None]
+    cond = F.col(column).isin(known) if known else F.lit(False)
+    return df.where(cond | F.col(column).isNull() if len(known) < len(values) else cond)
+
+
+def _rewrite(spark: SparkSession, path: str, rows: DataFrame, column: str, touched: Sequence) -> None:
+    """Put ``rows`` in place of the partitions ``touched``; one that is left without rows becomes an empty table."""
+    rows = stage(rows)  # the write must not overwrite what it reads
+    filled = set(_partitions(rows, column))
+    replace_partitions(rows, path, [column])
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for value in touched:
+        if value not in filled:
+            folder = escape(column, None if value is None else str(value))
+            rows.drop(column).where("false").write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
+
+
+def merge_partitions(spark: SparkSession, path: str, src: DataFrame, on: Sequence[str], column: str, **how) -> list:
+    """``merge`` into a folder partitioned by ``column``: only partitions that changes fall into are read whole and written.
+
+    Those are the partitions of the source's rows and, where ``column`` is not one of the keys, the partitions in which the
+    target has a row with a source row's keys; that search reads the keys alone. Returns the partitions rewritten. A run that fails
+    leaves every partition either old or new, and a second run of the same merge gives the same content.
+    """
+    target = spark.read.parquet(path)
+    src = stage(src)
+    touched = set(_partitions(src, column))
+    if column not in [*on, *how.get("nullsafe", ()), *how.get("lower", ())]:
+        conds = [(k, F.col(k), F.col(f"__{k}"), Column.__eq__) for k in on]
+        conds += [(k, F.col(k), F.col(f"__{k}"), Column.eqNullSafe) for k in how.get("nullsafe", ())]
+        conds += [(k, F.lower(k), F.lower(F.col(f"__{k}")), Column.__eq__) for k in how.get("lower", ())]
+        keys = src.select(*[F.col(k).alias(f"__{k}") for k, *_ in conds]).distinct()
+        held = target.select(*{k: None for k, *_ in conds}, column)
+        touched |= set(_partitions(held.join(keys, reduce(lambda a, b: a & b, [same(x, y) for _, x, y, same in conds]), "left_semi"), column))
+    if touched:
+        _rewrite(spark, path, merge(within(target, column, list(touched)), src, on, **how), column, list(touched))
+    return sorted(touched, key=repr)
+
+
+def reload_partitions(spark: SparkSession, path: str, new: DataFrame, column: str, cutoff, schema: StructType | None = None) -> list:
+    """``reload_window`` in a folder partitioned by ``column``: partitions from ``cutoff`` on get the new rows, or none. Earlier ones must not come in.
+
+    ``schema`` is the folder's, where partition names alone don't tell the type. Returns the partitions rewritten.
+    """
+    new = stage(new)
+    if new.where(F.col(column).isNull() | (F.col(column) < F.lit(cutoff))).take(1):
+        raise ValueError(f"rows before the cutoff {cutoff}, or without {column}")
+    held = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    touched = set(_partitions(held.where(F.col(column) >= F.lit(cutoff)), column)) | set(_partitions(new, column))
+    if touched:
+        _rewrite(spark, path, new.select(*held.columns), column, list(touched))
+    return sorted(touched)
+
+
 def current(spark: SparkSession, path: str) -> DataFrame:
     """Read the version ``publish`` made current: the newest pointer's."""
     pointer = spark.read.parquet(f"{path.rstrip('/')}/pointers").orderBy(F.desc("at"), F.desc("folder")).first()

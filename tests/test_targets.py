@@ -118,3 +118,69 @@ def test_merge_deletes_only_where_it_neither_updates_nor_is_foreign(spark):
 
 def test_staging_asks_for_a_shared_folder(spark):
     assert T.shared_folder(spark)
+
+
+def files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_merge_by_partition_leaves_others_alone(spark, tmp_path):
+    path = tmp_path / "t"
+    old = table(spark, [(d, k, "o") for d in range(1, 7) for k in ("a", "b")], "d int, k string, v string")
+    old.coalesce(1).write.partitionBy("d").parquet(str(path))
+    before = files(path)
+    src = table(spark, [(2, "a", "n"), (2, "c", "n"), (9, "a", "n")], "d int, k string, v string")
+    assert T.merge_partitions(spark, str(path), src, ["d", "k"], "d", update=["v"]) == [2, 9]
+    want = rows(T.merge(old, src, ["d", "k"], update=["v"]))
+    assert rows(spark.read.parquet(str(path)).select("d", "k", "v")) == want
+    after = files(path)
+    assert {f for f in before if after.get(f) == before[f]} == {f for f in before if not f.startswith("d=2/")}
+    # again: the same content
+    T.merge_partitions(spark, str(path), src, ["d", "k"], "d", update=["v"])
+    assert rows(spark.read.parquet(str(path)).select("d", "k", "v")) == want
+
+
+def test_merge_finds_rows_in_other_partitions_and_empties_them(spark, tmp_path):
+    path = tmp_path / "t"
+    old = table(spark, [(1, "a", "o"), (2, "b", "o"), (2, None, "o"), (3, "c", "o"), (None, "d", "o")], "d int, k string, v string")
+    old.coalesce(1).write.partitionBy("d").parquet(str(path))
+    src = table(spark, [(5, "A", "gone"), (5, "D", "gone"), (5, "x", "new")], "d int, k string, v string")
+    how = {"lower": ["k"], "update": ["v"], "update_when": F.lit(False), "delete_when": F.col("s_v") == "gone"}
+    assert T.merge_partitions(spark, str(path), src, [], "d", **how) == [1, 5, None]
+    want = [(2, "b", "o"), (2, None, "o"), (3, "c", "o"), (5, "x", "new")]
+    assert rows(spark.read.parquet(str(path)).select("d", "k", "v")) == sorted(want, key=repr) == rows(T.merge(old, src, [], **how))
+    assert T.merge_partitions(spark, str(path), src.where("false"), [], "d", **how) == []
+
+
+def test_merge_reads_the_partitions_it_needs(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id % 10 AS d", "id AS k").write.partitionBy("d").parquet(path)
+    held = T.within(spark.read.parquet(path), "d", [3, 4])
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [d" in plan and held.count() == 20
+    assert {f.split("/")[-2] for f in held.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]} == {"d=3", "d=4"}
+
+
+def test_reload_by_partition(spark, tmp_path):
+    import pytest
+
+    path = tmp_path / "t"
+    old = table(spark, [(date(2024, 1, d), "o") for d in range(1, 6)], "d date, v string")
+    old.coalesce(1).write.partitionBy("d").parquet(str(path))
+    before = files(path)
+    new = table(spark, [(date(2024, 1, 3), "n"), (date(2024, 1, 5), "n"), (date(2024, 1, 9), "n")], "d date, v string")
+    assert T.reload_partitions(spark, str(path), new, "d", date(2024, 1, 3)) == [date(2024, 1, d) for d in (3, 4, 5, 9)]
+    want = rows(T.reload_window(old, new, "d", date(2024, 1, 3)))
+    assert rows(spark.read.parquet(str(path)).select("d", "v")) == want
+    after = files(path)
+    assert all(after[f] == t for f, t in before.items() if f < "d=2024-01-03")
+    with pytest.raises(ValueError, match="cutoff"):
+        T.reload_partitions(spark, str(path), new, "d", date(2024, 1, 4))
+
+
+def test_merge_leads_drops_nameless_rows_that_come_again(spark):
+    from brightledger.operators.partners import merge_leads
+
+    old = table(spark, [(1, None, "x"), (2, None, "x"), (3, "Ch", "x"), (4, "Other", "x")], "subscriber_id int, Name string, subscriber_email string")
+    new = table(spark, [(1, "ch", "m1"), (2, None, "m2"), (3, "CH", "m3"), (4, "ch", "m4")], "subscriber_id int, Name string, subscriber_email string")
+    assert rows(merge_leads(old, new, "Name")) == sorted([(1, "ch", "m1"), (2, None, "x"), (2, None, "m2"), (3, "Ch", "m3"), (4, "Other", "x"), (4, "ch", "m4")], key=repr)
