@@ -28,20 +28,26 @@ def _year(ts: Column, sign: int) -> Column:
 
 
 def purchases_around(reviews: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
-    """(review_id, at, keys, Order_Number): orders whose span from the previous to the next purchase of the same key holds the review time.
+    """Each review with ``earlier`` and ``later``, the orders beside it whose span holds its time, and ``same``, the number of orders at that time.
 
-    ``reviews`` has review_id, the keys and ``at``; ``orders`` the keys, ``ts`` and Order_Number. A missing neighbour counts as one
-    year away. Spans that can hold a moment are those of the last order before it, of orders at it and of the first order after it. The
-    former reaches the moment if any order follows, the latter if any order precedes, so one sweep replaces the range join.
+    ``reviews`` has review_id, the keys and ``at``; ``orders`` the keys, ``ts`` and Order_Number. An order's span goes from the previous to the
+    next purchase of the same key; a missing neighbour counts as one year away. Spans that can hold a moment are those of the
+    last order before it, of orders at it and of the first order after it. The former reaches the moment if any order
+    follows, the latter if any order precedes, so one sweep replaces the range join.
     """
-    probe = reviews.select("review_id", *keys, "at")
-    found = stage(sweep(probe, orders.select(*keys, "ts", "Order_Number"), keys, "at", "ts", ["Order_Number"]))
+    found = sweep(reviews.select("review_id", *keys, "at"), orders.select(*keys, "ts", "Order_Number"), keys, "at", "ts", ["Order_Number"])
     at, some = F.col("at").cast("timestamp_ntz"), F.col("same") > 0
-    cols = ["review_id", "at", *keys]
-    earlier = found.where(F.col("after").isNotNull() | some | (_year(F.col("before.ts"), 1) >= at)).select(*cols, "before.Order_Number")
-    later = found.where(F.col("before").isNotNull() | some | (_year(F.col("after.ts"), -1) <= at)).select(*cols, "after.Order_Number")
-    at_once = found.where(some).select(*cols, at.alias("ts")).join(orders.select(*keys, F.col("ts").cast("timestamp_ntz").alias("ts"), "Order_Number"), [*keys, "ts"])
-    return earlier.unionByName(later).where("Order_Number IS NOT NULL").unionByName(at_once.select(*cols, "Order_Number")).distinct()
+    earlier = F.when(F.col("after").isNotNull() | some | (_year(F.col("before.ts"), 1) >= at), F.col("before.Order_Number"))
+    later = F.when(F.col("before").isNotNull() | some | (_year(F.col("after.ts"), -1) <= at), F.col("after.Order_Number"))
+    return found.select("review_id", "at", *keys, earlier.alias("earlier"), later.alias("later"), "same")
+
+
+def order_rows(found: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
+    """(review_id, at, Order_Number) of ``purchases_around``; orders at a review's own moment are joined for the few reviews that have some."""
+    beside = found.select("review_id", "at", F.explode(F.array("earlier", "later")).alias("Order_Number")).where("Order_Number IS NOT NULL")
+    moment = found.where("same > 0").select("review_id", "at", *keys, F.col("at").cast("timestamp_ntz").alias("ts"))
+    at_once = moment.join(orders.select(*keys, F.col("ts").cast("timestamp_ntz").alias("ts"), "Order_Number"), [*keys, "ts"])
+    return beside.unionByName(at_once.select("review_id", "at", "Order_Number"))
 
 
 def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gtins: DataFrame, mpns: DataFrame, stock: DataFrame,
@@ -63,11 +69,13 @@ def review_feed(reviews: DataFrame, authors: DataFrame, inventory: DataFrame, gt
         level = F.explode(F.array(F.struct(F.lit(True).alias("own_item"), F.col("sku").alias("s")), F.struct(F.lit(False).alias("own_item"), F.lit("").alias("s"))))
         return df.select("e", level.alias("level"), *cols).select("e", "level.own_item", "level.s", *cols).where("s IS NOT NULL")
 
-    # a review takes orders of its item; only those without one take the customer's other orders
-    around = stage(purchases_around(keyed(local, "review_id", "at"), keyed(bought, "ts", "Order_Number").distinct(), ["e", "own_item", "s"]))
-    fitting = around.where("own_item").select("review_id", "at").distinct()
-    other = around.where("NOT own_item").join(fitting, ["review_id", "at"], "left_anti")
-    orders = around.where("own_item").unionByName(other).select("review_id", "at", F.col("Order_Number").alias("transaction_id"))
+    keys, bought = ["e", "own_item", "s"], keyed(bought, "ts", "Order_Number")
+    found = purchases_around(keyed(local, "review_id", "at"), bought, keys)
+    # a review takes orders of its item; only one without any takes the customer's other orders
+    fits = F.col("earlier").isNotNull() | F.col("later").isNotNull() | (F.col("same") > 0)
+    level = F.struct("own_item", "e", "s", "earlier", "later", "same")
+    found = stage(found.where(fits).groupBy("review_id", "at").agg(F.max(level).alias("best")).select("review_id", "at", "best.*"))
+    orders = order_rows(found, bought, keys).withColumnRenamed("Order_Number", "transaction_id")
     style = F.when(F.col("style") == 1, "Chic").when(F.col("style") == 2, "Vintage").when(F.col("style") == 3, "Classic")
     pros = F.concat(F.when(F.col("recommend"), "Would recommend to others").otherwise(""), F.when(F.col("fit") == 2, ",True to size").otherwise(""),
                     F.when(F.col("style").isNotNull(), F.concat(F.lit(","), style, F.lit(" style"))).otherwise(""),

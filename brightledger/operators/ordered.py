@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import unit_no
+from ..sources.targets import stage
 
 
 def numbered(df: DataFrame, keys: list[str], bucket: Column, order: list[Column], name: str) -> DataFrame:
@@ -86,12 +87,13 @@ def last_before(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, s
                       *[F.col("__hit")[p].alias(p) for p in payload])
 
 
-def sweep(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since: str, payload: list[str]) -> DataFrame:
+def sweep(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since: str, payload: list[str], most: int = 1_000_000) -> DataFrame:
     """As-of lookups to both sides in one pass over probes and facts together.
 
     Each probe gains ``before``, the last fact of its key strictly earlier, and ``after``, the first strictly later, as structs of ``since``
-    and ``payload`` (which ranks facts of one moment), and ``same``, the number of facts at its own moment. Rows are split by key and
-    day; what lies on other days comes from one row per key and day. Probes and facts without a time or with a null key are dropped.
+    and ``payload`` (which ranks facts of one moment), and ``same``, the number of facts at its own moment. Keys of over ``most`` rows
+    are split by day, and what lies on other days comes from one row per key and day; the others are one group each. Probes and
+    facts without a time or with a null key are dropped.
     """
     fact = F.struct(F.col(since).cast("timestamp_ntz").alias(since), *[F.col(p) for p in payload])
     probe = F.struct(*[F.col(c) for c in probes.columns])
@@ -103,16 +105,24 @@ def sweep(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since:
         micros = F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', CAST({time} AS timestamp_ntz))")
         return df.where(present).select(*keys, F.to_date(time).alias("__day"), micros.alias("__us"), value.alias(name))
 
+    def looked_up(rows: DataFrame, groups: list[str]) -> DataFrame:
+        up = Window.partitionBy(*groups).orderBy("__us")
+        down = Window.partitionBy(*groups).orderBy(F.col("__us").desc()).rangeBetween(Window.unboundedPreceding, -1)
+        seen = rows.select("*", F.max("__fact").over(up.rangeBetween(Window.unboundedPreceding, -1)).alias("before"), F.min("__fact").over(down).alias("after"), F.count("__fact").over(up.rangeBetween(0, 0)).alias("same"))
+        return seen.where("__probe IS NOT NULL")
+
     both = events(facts, since, fact, "__fact").unionByName(events(probes, at, probe, "__probe"), allowMissingColumns=True)
-    days = both.groupBy(*keys, "__day").agg(F.max("__fact").alias("__hi"), F.min("__fact").alias("__lo"), F.max(F.col("__probe").isNotNull()).alias("__asked"))
+    hot = stage(both.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > most).drop("__n"))
+    if not hot.take(1):
+        return looked_up(both, keys).select("__probe.*", "before", "after", "same")
+    cold, split = looked_up(both.join(hot, keys, "left_anti"), keys), both.join(hot, keys, "left_semi")
+    days = split.groupBy(*keys, "__day").agg(F.max("__fact").alias("__hi"), F.min("__fact").alias("__lo"))
     earlier = Window.partitionBy(*keys).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.col("__day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.select(*keys, "__day", "__asked", F.max("__hi").over(earlier).alias("__from"), F.min("__lo").over(later).alias("__to")).where("__asked").drop("__asked")
-    up = Window.partitionBy(*keys, "__day").orderBy("__us")
-    down = Window.partitionBy(*keys, "__day").orderBy(F.col("__us").desc()).rangeBetween(Window.unboundedPreceding, -1)
-    seen = both.select("*", F.max("__fact").over(up.rangeBetween(Window.unboundedPreceding, -1)).alias("__b"), F.min("__fact").over(down).alias("__a"), F.count("__fact").over(up.rangeBetween(0, 0)).alias("same"))
-    out = seen.where("__probe IS NOT NULL").join(carried, [*keys, "__day"])
-    return out.select("__probe.*", F.coalesce("__b", "__from").alias("before"), F.coalesce("__a", "__to").alias("after"), "same")
+    carried = days.select(*keys, "__day", F.max("__hi").over(earlier).alias("__from"), F.min("__lo").over(later).alias("__to"))
+    found = looked_up(split, [*keys, "__day"]).join(carried, [*keys, "__day"])
+    found = found.select("__probe.*", F.coalesce("before", "__from").alias("before"), F.coalesce("after", "__to").alias("after"), "same")
+    return cold.select("__probe.*", "before", "after", "same").unionByName(found)
 
 
 def earliest_within(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since: str,
