@@ -8,21 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def not_in(left: DataFrame, key: Column, values: DataFrame) -> DataFrame:
+def not_in(left: DataFrame, key: Column, values: DataFrame, surely_lacking: DataFrame | None = None) -> DataFrame:
     """SQL ``key NOT IN (values)`` as a distributed anti join.
 
     A null among the values removes every row, a null key is removed unless the list
     is empty. Spark plans ``NOT IN`` as a broadcast of the whole list, which grows
-    with the data; here only a one-row summary reaches every task.
+    with the data; here only a one-row summary reaches every task. Rows of ``surely_lacking``, whose keys are known to be absent, follow the same
+    rules for nulls and are not joined.
     """
     value = values.columns[0]
     listed = values.select(F.col(value).alias("__listed"))
     facts = F.struct((F.count(F.lit(1)) == 0).alias("empty"), (F.count(F.lit(1)) > F.count("__listed")).alias("holds_null"))
     summary = listed.agg(facts.alias("s")).scalar()
-    keyed = left.withColumn("__key", key)
-    kept = keyed.join(listed.where("__listed is not null").distinct(),
-                      F.col("__key") == F.col("__listed"), "left_anti")
-    return kept.where(summary["empty"] | (~summary["holds_null"] & F.col("__key").isNotNull())).drop("__key")
+    allowed = summary["empty"] | (~summary["holds_null"] & F.col("__key").isNotNull())
+    kept = left.withColumn("__key", key).join(listed.where("__listed is not null").distinct(), F.col("__key") == F.col("__listed"), "left_anti")
+    if surely_lacking is not None:
+        kept = kept.unionByName(surely_lacking.withColumn("__key", key))
+    return kept.where(allowed).drop("__key")
 
 
 def semi_in(left: DataFrame, key: Column, values: DataFrame) -> DataFrame:

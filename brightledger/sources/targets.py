@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.membership import split_by
 from ..operators.relational import not_in
 
 
@@ -48,8 +49,13 @@ def append_newer(target: DataFrame, src: DataFrame, column: str) -> DataFrame:
 
 
 def append_new(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
-    """Append distinct source rows whose key the target lacks (``NOT IN`` rules for nulls)."""
-    return target.unionByName(not_in(src.distinct(), F.col(key), target.select(key)))
+    """Append distinct source rows whose key the target lacks (``NOT IN`` rules for nulls).
+
+    A membership filter of the target's keys tells most new rows, which then are not joined; the rest pass the exact anti join.
+    """
+    known = target.select(key)
+    maybe, lacking = split_by(stage(src.distinct()), F.col(key), known, key)
+    return target.unionByName(not_in(maybe, F.col(key), known, lacking))
 
 
 def missing_nullsafe(src: DataFrame, target: DataFrame, keys: Sequence[str], nullsafe: Sequence[str]) -> DataFrame:
