@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import diff_boundary, item, money_text, month_start, pseudonym, split_literal
 from ..sources.targets import merge, merge_partitions
 from .ordered import neighbours
-from .relational import latest_per_group, not_in, semi_in, split_sources
+from .relational import join_intervals, latest_per_group, not_in, semi_in, split_sources
 
 
 def like_any(c: Column | str, patterns: Sequence[str]) -> Column:
@@ -124,15 +124,12 @@ def action_costs(spend: DataFrame, naming: DataFrame, since: date = date(2019, 1
 def in_period(rows: DataFrame, periods: DataFrame, name: str, day: str, how: str = "left") -> DataFrame:
     """Join dated rows to the periods of the same name that hold the date.
 
-    Periods are repeated per calendar month they touch, so the join is an equality on name
-    and month; a name with many rows is split by month.
+    The distinct names and days find their periods by blocks of days, so long and open-ended periods cost no more than short
+    ones; the rows then meet them by name and day, and a name with many rows is split by day.
     """
-    months = periods.where("ToDate >= Budget_Date").withColumn(
-        "__m", F.explode(F.sequence(month_start("Budget_Date"), month_start("ToDate"), F.expr("interval 1 month"))))
-    months = months.select(F.col("Channel_Name").alias("__n"), "__m", *[c for c in periods.columns if c != "Channel_Name"])
-    cond = ((F.col(name) == F.col("__n")) & (month_start(day) == F.col("__m"))
-            & (F.to_date(day) >= F.col("Budget_Date")) & (F.to_date(day) <= F.col("ToDate")))
-    return rows.join(months, cond, how).drop("__n", "__m")
+    asked = rows.select(F.col(name).alias("__n"), F.to_date(day).alias("__d")).where("__n IS NOT NULL").distinct()
+    found = join_intervals(asked, periods.withColumnRenamed("Channel_Name", "__n"), ["__n"], "__d", "Budget_Date", "ToDate")
+    return rows.join(found, (F.col(name) == F.col("__n")) & (F.to_date(day) == F.col("__d")), how).drop("__n", "__d")
 
 
 def budget_with_actions(periods: DataFrame, costs: DataFrame, as_of: date) -> DataFrame:

@@ -49,23 +49,25 @@ def transactions(hits: DataFrame, ref: DataFrame, country: str = "United States"
 def conversion_path(touch: DataFrame, tx: DataFrame, media_types: DataFrame, days: int = 30) -> DataFrame:
     """Each order with the visitor's touches of the ``days`` days before, in time order.
 
-    The order is repeated for each of its days and meets the touches of that visitor and day
-    by equality, so a busy visitor is spread over days. First and last touch, days between
-    them and the ``>>`` paths come from one aggregate; nulls are left out of the paths.
+    A visitor's touches of one day become one row first: its part of every path, and its first and last touch. An order is repeated
+    for each of its days and meets those rows, so it never meets single touches, and its own group holds one row per day.
+    First and last touch, days between them and the ``>>`` paths come from that group; nulls are left out of the paths.
     """
-    orders = tx.select("visitorKey", F.col("Datetime").alias("t_Date"), "transactionId", "isTrial",
-                       *[F.col(c).alias(f"t_{c}") for c in TOUCH])
-    spread = orders.withColumn("Date", F.explode(F.sequence(F.date_sub(F.to_date("t_Date"), days), F.to_date("t_Date"))))
     platform = media_types.select("Media", "Platform").distinct()
-    joined = spread.join(touch, ["visitorKey", "Date"]).join(platform, "Media", "left")
     at = F.struct("Datetime", *TOUCH)
     within = ", ".join(["Datetime", *TOUCH])
     paths = {"Media_Funnel": "Media", "Platform_Funnel": "Platform", "Campaign_Type_Funnel": "Campaign_Type",
              "Campaign_Funnel": "campaign", "AdContent_Funnel": "adContent", "Keyword_Funnel": "keyword"}
+    # a day of this column need not begin at midnight of the touch's own time, so a part is of one day of each
+    daily = touch.join(platform, "Media", "left").groupBy("visitorKey", "Date", F.to_date("Datetime").alias("__own")).agg(
+        F.min(at).alias("__lo"), F.max(at).alias("__hi"), *[F.expr(f"listagg({c}, '>>') within group (order by {within})").alias(n) for n, c in paths.items()])
+    orders = tx.select("visitorKey", F.col("Datetime").alias("t_Date"), "transactionId", "isTrial",
+                       *[F.col(c).alias(f"t_{c}") for c in TOUCH])
+    spread = orders.withColumn("Date", F.explode(F.sequence(F.date_sub(F.to_date("t_Date"), days), F.to_date("t_Date"))))
     keys = ["visitorKey", "t_Date", "transactionId", "isTrial", "t_Campaign_Type", "t_campaign", "t_adContent", "t_keyword", "t_Media"]
-    out = joined.groupBy(*keys).agg(
-        F.min(at).alias("first"), F.max(at).alias("last"),
-        *[F.expr(f"listagg({c}, '>>') within group (order by {within})").alias(n) for n, c in paths.items()])
+    out = spread.join(daily, ["visitorKey", "Date"]).groupBy(*keys).agg(
+        F.min("__lo").alias("first"), F.max("__hi").alias("last"),
+        *[F.expr(f"listagg({n}, '>>') within group (order by __lo)").alias(n) for n in paths])
     named = {"Media": "Media", "campaign": "Campaign", "adContent": "AdContent", "keyword": "Keyword"}
     ends = [F.col(side)[c].alias(f"{side.capitalize()}_{n}") for c, n in named.items() for side in ("first", "last")]
     return out.select("visitorKey", "t_Date", "transactionId", "isTrial", "t_Campaign_Type", "t_campaign", "t_adContent", "t_keyword",

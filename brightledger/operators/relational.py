@@ -52,3 +52,39 @@ def latest_per_group(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     renamed = top.select(*[F.col(k).alias(f"__{k}") for k in keys], "__top")
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
     return df.join(renamed, cond & (F.col(by) == F.col("__top")), "left_semi")
+
+
+#: Days are counted from here, so that their numbers are not negative.
+FIRST_DAY = "0001-01-01"
+
+
+def _day_number(day: Column) -> Column:
+    return F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
+
+
+def interval_cells(start: Column, end: Column, levels: int) -> Column:
+    """The days from ``start`` to ``end`` as aligned blocks of a power of two days: array of (level, block), at most two per level."""
+    cells = []
+    low, high = _day_number(start), _day_number(end) + 1
+    for k in range(levels):
+        size = F.lit(1 << k).cast("long")
+        first, beyond = F.floor((low + size - 1) / size).cast("long"), F.floor(high / size).cast("long")
+        cells.append(F.when((first % 2 == 1) & (first < beyond), F.struct(F.lit(k).alias("level"), first.alias("block"))))
+        cells.append(F.when((beyond % 2 == 1) & (first + first % 2 < beyond), F.struct(F.lit(k).alias("level"), (beyond - 1).alias("block"))))
+    return F.filter(F.array(*cells), lambda c: c.isNotNull())
+
+
+def join_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, start: str, end: str) -> DataFrame:
+    """Each (keys, ``day``) of ``points`` with the intervals of the same keys that hold the day.
+
+    An interval becomes its few blocks of days, whatever its length, and a day meets one block of each size by equality, so neither
+    calendar days nor pairs are enumerated. ``points`` should be distinct. Rows with a null key or day, and intervals that are empty or
+    have a null end, match nothing.
+    """
+    real = intervals.where(F.col(end) >= F.col(start))
+    longest = real.agg(F.max(F.datediff(end, start))).first()[0]
+    levels = (0 if longest is None else longest + 1).bit_length() + 1
+    blocks = real.select("*", F.inline(interval_cells(F.col(start), F.col(end), levels)))
+    sizes = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(_day_number(F.col(day)) / (1 << k)).cast("long").alias("block")) for k in range(levels)])
+    asked = points.where(F.col(day).isNotNull()).select("*", F.inline(sizes))
+    return asked.join(blocks, [*keys, "level", "block"]).drop("level", "block")

@@ -184,3 +184,23 @@ def test_merge_leads_drops_nameless_rows_that_come_again(spark):
     old = table(spark, [(1, None, "x"), (2, None, "x"), (3, "Ch", "x"), (4, "Other", "x")], "subscriber_id int, Name string, subscriber_email string")
     new = table(spark, [(1, "ch", "m1"), (2, None, "m2"), (3, "CH", "m3"), (4, "ch", "m4")], "subscriber_id int, Name string, subscriber_email string")
     assert rows(merge_leads(old, new, "Name")) == sorted([(1, "ch", "m1"), (2, None, "x"), (2, None, "m2"), (3, "Ch", "m3"), (4, "Other", "x"), (4, "ch", "m4")], key=repr)
+
+
+def test_interval_join_by_blocks(spark):
+    """Against comparing all pairs, with periods of one day and of fifty years; a period has at most two blocks per size."""
+    import random
+    from datetime import timedelta
+
+    from brightledger.operators.relational import interval_cells, join_intervals
+
+    rng, start = random.Random(3), date(1990, 1, 1)
+    spans = [(rng.choice("ab"), start + timedelta(rng.randrange(9000)), rng.choice([0, 1, 6, 30, 365, 18_262]), i) for i in range(60)]
+    spans = [(k, a, a + timedelta(n), i) for k, a, n, i in spans] + [("a", start, None, 100), ("b", start, start - timedelta(1), 101), ("a", start, date(9999, 12, 31), 102), (None, start, start, 103)]
+    days = [(rng.choice("abc"), start + timedelta(rng.randrange(-400, 30_000))) for _ in range(150)] + [("a", None), (None, start), ("a", date(9999, 12, 31))]
+    periods = table(spark, spans, "k string, lo date, hi date, i int")
+    got = join_intervals(table(spark, days, "k string, d date").distinct(), periods, ["k"], "d", "lo", "hi")
+    want = {(k, d, i) for k, d in days if k and d for pk, a, b, i in spans if pk == k and b and a <= d <= b}
+    assert sorted((r.k, r.d, r.i) for r in got.collect()) == sorted(want)
+    cells = periods.where("hi >= lo").select(F.datediff("hi", "lo").alias("n"), interval_cells(F.col("lo"), F.col("hi"), 23).alias("c")).collect()
+    for r in cells:
+        assert sum(1 << c.level for c in r.c) == r.n + 1 and len(r.c) <= 2 * (r.n + 1).bit_length()
