@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import email as E
 from ..sources import adapters as A
-from ..sources.targets import append_newer, merge, overwrite, reload_window, stage
+from ..sources.targets import current, merge, overwrite, publish, publish_newer, reload_window, scratch, stage
 from . import sqltext as S
 from .registry import query
 
@@ -365,4 +365,7 @@ def legacy_message_fact(spark, sf):
     UNION ALL SELECT email, action, ts FROM act WHERE ts > (SELECT max(ts) FROM act WHERE ts <= TIMESTAMP '2024-01-20 12:00:00')""")
 def append_newer_activity(spark, sf):
     rows = A.message_activity(spark, sf).select("email", "action", E.as_datetime("time").alias("ts"))
-    return append_newer(rows.where("ts <= timestamp_ntz'2024-01-20 12:00:00'"), rows, "ts")
+    path = scratch(spark)
+    publish(spark, rows.where("ts <= timestamp_ntz'2024-01-20 12:00:00'"), path, "old", marks=["ts"])
+    publish_newer(spark, path, rows, "ts", "new")
+    return current(spark, path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -112,18 +112,62 @@ def nth_row(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).offset(n - 1).limit(1)
 
 
-def publish(spark: SparkSession, new: DataFrame, path: str, version: str, partition_by: Sequence[str] = ()) -> str:
+def _data_folder(new: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    target = f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
+    writer = new.write.partitionBy(*partition_by) if partition_by else new.write
+    writer.parquet(target)
+    return target
+
+
+def _point(spark: SparkSession, path: str, version: str, folders: Sequence[str], marks: Mapping[str, str | None]) -> None:
+    entries = [x for k, v in marks.items() for x in (F.lit(k), F.lit(v).cast("string"))]
+    named = F.create_map(*entries) if entries else F.lit(None)
+    pointer = spark.range(1).select(F.current_timestamp().alias("at"), F.lit(version).alias("version"), F.array(*map(F.lit, folders)).alias("folders"), named.cast("map<string,string>").alias("marks"))
+    pointer.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/pointers")
+
+
+def _marks(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
+    """The largest value of each column, as text."""
+    return df.agg(*[F.max(c).cast("string").alias(c) for c in columns]).first().asDict() if columns else {}
+
+
+def publish(spark: SparkSession, new: DataFrame, path: str, version: str, partition_by: Sequence[str] = (), marks: Sequence[str] = ()) -> str:
     """Write a new version of a target beside the old ones, then add a row that points at it.
 
     Nothing that is being read is overwritten or deleted: the data go to a folder of their own, and the pointer is
     appended in one committed file. A job that fails before that leaves the old content current; a second run with the same
-    version adds a newer one. With ``partition_by``, later scans read the partitions they ask for only.
+    version adds a newer one. With ``partition_by``, later scans read the partitions they ask for only. The pointer keeps the largest value of
+    each column in ``marks``, so that a later append need not look for it.
     """
-    target = f"{path.rstrip('/')}/data-{uuid.uuid4().hex}"
-    writer = new.write.partitionBy(*partition_by) if partition_by else new.write
-    writer.parquet(target)
-    pointer = spark.range(1).select(F.current_timestamp().alias("at"), F.lit(version).alias("version"), F.lit(target).alias("folder"))
-    pointer.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/pointers")
+    target = _data_folder(new, path, partition_by)
+    _point(spark, path, version, [target], _marks(spark.read.parquet(target), marks))
+    return target
+
+
+def _pointer(spark: SparkSession, path: str):
+    """The newest pointer."""
+    return spark.read.parquet(f"{path.rstrip('/')}/pointers").orderBy(F.desc("at"), F.desc("folders")).first()
+
+
+def newer_than_published(spark: SparkSession, path: str, src: DataFrame, column: str) -> DataFrame:
+    """``newer_than`` against the mark that the current version's pointer keeps: the target is not read. No mark passes nothing."""
+    mark = (_pointer(spark, path)["marks"] or {}).get(column)
+    return src.where(F.col(column) > F.lit(mark).cast(src.schema[column].dataType))
+
+
+def publish_newer(spark: SparkSession, path: str, src: DataFrame, column: str, version: str) -> str:
+    """Append the source rows beyond the mark of ``column``: the new version is the old folders and one with these rows, and the marks move on."""
+    last = _pointer(spark, path)
+    target = _data_folder(newer_than_published(spark, path, src, column), path, ())
+    added = spark.read.parquet(target)
+    old = dict(last["marks"] or {})
+    new = _marks(added, list(old))
+    kinds = {c: added.schema[c].dataType for c in old}
+    marks = {}
+    if old:
+        later = [F.greatest(F.lit(old[c]).cast(kinds[c]), F.lit(new[c]).cast(kinds[c])).cast("string").alias(c) for c in old]
+        marks = spark.range(1).select(*later).first().asDict()
+    _point(spark, path, version, [*last["folders"], target], marks)
     return target
 
 
@@ -195,8 +239,11 @@ def reload_partitions(spark: SparkSession, path: str, new: DataFrame, column: st
 
 def current(spark: SparkSession, path: str) -> DataFrame:
     """Read the version ``publish`` made current: the newest pointer's."""
-    pointer = spark.read.parquet(f"{path.rstrip('/')}/pointers").orderBy(F.desc("at"), F.desc("folder")).first()
-    return spark.read.parquet(pointer["folder"])
+    first, *others = _pointer(spark, path)["folders"]
+    out = spark.read.parquet(first)
+    for folder in others:
+        out = out.unionByName(spark.read.schema(out.schema).parquet(folder))
+    return out
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -217,6 +264,13 @@ def local_shared_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stage-"))
 
 
+def scratch(spark: SparkSession) -> str:
+    """A path in the shared folder for a target that lives as long as the driver."""
+    path = f"{shared_folder(spark)}/target-{uuid.uuid4().hex}"
+    _drop_at_end(spark, path)
+    return path
+
+
 def stage_partitioned(df: DataFrame, column: str) -> str:
     """Write an intermediate table partitioned by ``column`` to the shared folder; returns its path, for scans that prune."""
     path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"

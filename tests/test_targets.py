@@ -95,6 +95,22 @@ def test_publish_and_shards(spark, tmp_path):
     assert scan_ingested(stamped, date(2024, 1, 2)).count() == 1
 
 
+def test_append_reads_the_published_mark(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.sql("select id as x, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id) as ts from range(5)")
+    T.publish(spark, old, path, "1", marks=["x", "ts"])
+    src = spark.sql("select id as x, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id) as ts from range(3, 9)")
+    newer = T.newer_than_published(spark, path, src, "ts")
+    assert path not in newer._jdf.queryExecution().executedPlan().toString() and not newer.inputFiles()
+    T.publish_newer(spark, path, src, "ts", "2")
+    want = rows(T.append_newer(old, src, "ts"))
+    assert rows(T.current(spark, path)) == want
+    T.publish_newer(spark, path, src, "ts", "2")  # again: nothing is newer
+    assert rows(T.current(spark, path)) == want
+    T.publish(spark, old.where("false"), path, "3", marks=["ts"])
+    assert T.newer_than_published(spark, path, src, "ts").count() == 0
+
+
 def test_stage_reads_back_the_same_rows(spark):
     df = spark.range(10).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' as t", "if(id > 5, null, 'x') as s")
     back = T.stage(df)
