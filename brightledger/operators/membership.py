@@ -37,13 +37,3 @@ def might_hold(key: Column, words: Column, n: int) -> Column:
         return F.get(words, F.floor(p / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))) != 0
 
     return F.when(key.isNotNull(), reduce(lambda x, y: x & y, map(bit, _places(key, n))))
-
-
-def split_by(df: DataFrame, key: Column, values: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that ``values`` may hold, rows that it surely lacks). Rows with a null key are among the latter.
-
-    Both parts read ``df`` on their own and are not shuffled; in one plan the filter is made once.
-    """
-    built, n = bloom_filter(values, column)
-    might = F.coalesce(might_hold(key, built.scalar(), n), F.lit(False))
-    return df.where(might), df.where(~might)

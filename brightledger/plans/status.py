@@ -71,12 +71,9 @@ SC = """sc0 AS (SELECT subscriber_email AS e, Datetime_Created AS tm, 'Active' A
     sc AS (SELECT *, CAST(date_trunc('month', tm) AS DATE) AS f, coalesce(lead(CAST(date_trunc('month', tm) AS DATE)) OVER (PARTITION BY e ORDER BY tm, Change_to), DATE '2001-11-01') AS u FROM sc0)"""
 
 
-@query("monthly_active_status", f"""WITH {S.ITEMS}, {CREATED}, {LOG}, {SC}, s AS ({monthly_sql()}),
-    t AS (SELECT customer_email, Order_date, MonthID, CASE WHEN month(MonthID) = 3 THEN 'inActive' ELSE Last_Status_in_month END AS Last_Status_in_month, NULL::BOOLEAN AS Was_Sub
-      FROM s WHERE MonthID < DATE '2001-01-01')
-    SELECT s.customer_email, s.Order_date, s.MonthID, CASE WHEN t.MonthID IS NULL OR t.Last_Status_in_month <> s.Last_Status_in_month THEN s.Last_Status_in_month ELSE t.Last_Status_in_month END AS Last_Status_in_month,
-      CASE WHEN t.MonthID IS NULL OR t.Last_Status_in_month <> s.Last_Status_in_month THEN s.Was_Sub ELSE t.Was_Sub END AS Was_Sub
-    FROM s LEFT JOIN t ON s.customer_email = t.customer_email AND s.MonthID = t.MonthID""")
+# before the merge: months up to 2000 without the flag, and with another status in March. The merge renews the March rows that differ and adds the later months.
+@query("monthly_active_status", f"""WITH {S.ITEMS}, {CREATED}, {LOG}, {SC}, s AS ({monthly_sql()})
+    SELECT customer_email, Order_date, MonthID, Last_Status_in_month, CASE WHEN MonthID >= DATE '2001-01-01' OR (month(MonthID) = 3 AND Last_Status_in_month <> 'inActive') THEN Was_Sub END AS Was_Sub FROM s""")
 def monthly_active_status(spark, sf):
     made, log = logged(spark, sf)
     new = stage(T.monthly_status(A.order_items(spark, sf), made, log, AS_OF))

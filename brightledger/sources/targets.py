@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.membership import split_by
+from ..operators.membership import bloom_filter, might_hold
 from ..operators.relational import not_in
 
 
@@ -48,6 +48,16 @@ def append_newer(target: DataFrame, src: DataFrame, column: str) -> DataFrame:
     return target.unionByName(newer_than(src, column, target))
 
 
+def split_by(df: DataFrame, key: Column, values: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that ``values`` may hold, rows that it surely lacks). Rows with a null key are among the latter.
+
+    The filter is staged as one row; both parts read ``df`` on their own and are not shuffled.
+    """
+    built, n = bloom_filter(values, column)
+    might = F.coalesce(might_hold(key, stage(built).scalar(), n), F.lit(False))
+    return df.where(might), df.where(~might)
+
+
 def append_new(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
     """Append distinct source rows whose key the target lacks (``NOT IN`` rules for nulls).
 

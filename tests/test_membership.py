@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from brightledger.operators.membership import split_by
+from brightledger.sources.targets import append_new, split_by
 
 
 def test_filter_is_never_wrong(spark):
@@ -24,8 +24,6 @@ def test_empty_values(spark):
 
 def test_new_rows_of_an_append_are_not_shuffled_again(spark):
     """Of a source of 2,000 rows half are new; only the others, and few more, reach the exact join."""
-    from brightledger.sources.targets import append_new
-
     target = spark.range(1000).select(F.col("id").alias("k"))
     out = append_new(target, spark.range(2000).select(F.col("id").alias("k")), "k")
     assert sorted(r.k for r in out.collect()) == list(range(2000))
