@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -10,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.targets import stage
+
 #: Rows handed to a function at once; a bound on memory, not on what is processed.
 ROWS = 512
 
@@ -22,10 +25,13 @@ _HELD: list[tuple[str, Callable[[], None]]] = []
 
 
 def only(name: str, clear: Callable[[], None]) -> None:
-    """What operator ``name`` remembers may stay in this worker from task to task; what another one left goes first, so that memories don't add up."""
+    """What operator ``name`` remembers may stay in this worker from task to task; what another one left goes first, back to the system, so that memories don't add up."""
     if _HELD and _HELD[0][0] != name:
         _HELD.pop()[1]()
         gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
     if not _HELD:
         _HELD.append((name, clear))
 
@@ -79,6 +85,21 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows, all columns as they are, whose id is not in the one column of ``ids``. Rows with a null id stay."""
+    name = free_name(docs, "__gone")
+    gone = stage(ids.toDF(name).where(F.col(name).isNotNull()).distinct())
+    return docs.join(few(gone), F.col(id_col) == F.col(name), "left_anti")
+
+
 def few(df: DataFrame, most: int = 200_000, cells: str | None = None) -> DataFrame:
     """A staged table of narrow rows, marked for broadcast only if it holds at most ``most`` rows; else it is joined by shuffle.
 

@@ -32,6 +32,8 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 MAIL_LIKE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}){1,5}"
 NUMBER_LIKE = r"(?<![0-9A-Za-z.+-])[(+]?[0-9](?:[ ().-]{0,2}[0-9]){6,18}(?![0-9A-Za-z])"
 NAME_LIKE = r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señora?|Monsieur|Madame|Mme)\.? \p{Lu}[\p{L}'-]{1,30}(?: \p{Lu}[\p{L}'-]{1,30})?"
+#: What every text with such a number holds.
+NUMBER_GATE = r"[0-9](?:[ ().-]{0,2}[0-9]){6}"
 FORMS = (("mail", MAIL_LIKE), ("number", NUMBER_LIKE), ("name", NAME_LIKE))
 #: Letters of text before and after a candidate that the context labelers read.
 BEFORE, AFTER = 40, 15
@@ -182,7 +184,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
     is staged.
     """
     df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    at, digit = F.col("text").contains("@"), F.col("text").rlike("[0-9]{3}|[0-9] ?[-.(][ (]?[0-9]")
+    at, digit = F.col("text").contains("@"), F.col("text").rlike(NUMBER_GATE)
     dotted, many = F.col("text").rlike(r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]"), F.col("text").rlike("[0-9](?:[ -]?[0-9]){11}")
     df = df.withColumns({"at": at | F.col("text").rlike(r"\((?:at)\)|\[at\]"), "digit": digit, "dotted": dotted, "many": many, "plus": F.col("text").contains("+"), "title": F.col("text").rlike(NAME_LIKE)})
     for name, pattern, where in (("email", EMAIL, F.col("at")), ("ip", IP, F.col("dotted")), ("card", CARD, F.col("many")), ("phone", PHONE, F.col("plus"))):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.targets import stage
-from .common import few, map_rows, only, text_or_empty
+from .common import few, map_rows, only, text_or_empty, without
 
 #: Labelled documents used for fitting, and features kept in the model (the strongest, if more pass).
 MOST_LABELLED, MOST_FEATURES = 20_000, 100_000
@@ -253,5 +253,4 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The input rows, all columns as they are, without documents that ``classify`` rejects. Rows that share an id go together; rows without one stay."""
-    rejected = stage(classify(docs, labels, id_col, **how).where("NOT kept AND id IS NOT NULL").select(F.col("id").alias("__rejected")).distinct())
-    return docs.join(few(rejected), docs[id_col] == F.col("__rejected"), "left_anti")
+    return without(docs, id_col, classify(docs, labels, id_col, **how).where("NOT kept").select("id"))
