@@ -1,7 +1,7 @@
 """A training corpus from raw documents, in five stages; each writes Parquet that the next one reads.
 
 The order: quality classifier, line dedup, MinHash near-dedup, benchmark decontamination, byte-level BPE. The first four
-return the columns of ``documents``; the last returns the tokens of what is left. Intermediate tables go to the folder that
+return the columns of ``documents``, of any names beside doc_id and text; the last returns the tokens of what is left. An empty table gives an empty one. Intermediate tables go to the folder that
 ``spark.checkpoint.dir`` names.
 """
 
@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brightledger.llm import bpe, decontam, lines, minhash, quality
-from brightledger.llm.common import few, table
+from brightledger.llm.common import table, without
 from brightledger.sources.targets import stage
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that the classifier rejects as low quality or toxic."""
+    """Without documents that the classifier rejects as low quality or toxic. Rows with a null id stay; null and empty texts are judged by their site; rows that share an id go together."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -30,19 +30,18 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group at 80 in 100 shared five-word shingles: the one with the smallest id."""
+    """One document of each near-duplicate group at 80 in 100 shared five-word shingles: the one with the smallest id. Rows with a null id, and null or empty texts, stay; rows that share an id go together."""
     found = minhash.near_duplicates(docs, percent=80)
-    copies = stage(found.where("NOT kept").select(F.col("doc_id").alias("__copy")).distinct())
-    return docs.join(few(copies), docs["doc_id"] == F.col("__copy"), "left_anti")
+    return without(docs, "doc_id", found.where("NOT kept").select("doc_id"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold a benchmark item."""
+    """Without documents that hold a benchmark item. Rows with a null id, and null or empty texts, stay."""
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, text): token ids, and the text they decode to."""
+    """(doc_id, n_tokens, ids, text): token ids, and the text they decode to; one row per row, a null text has no ids and decodes to an empty one."""
     return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
