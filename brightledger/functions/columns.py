@@ -87,6 +87,12 @@ def pseudonym(email: Column | str) -> Column:
     return F.md5(F.lower(col(email)))
 
 
+def item_strict(array: Column, n: int) -> Column:
+    """Element ``n`` (from 0); an error where the array is too short. A null array gives null."""
+    message = F.concat(F.lit(f"no element {n} in an array of "), F.size(array).cast("string"))
+    return F.when(array.isNotNull() & (F.size(array) <= n), F.raise_error(message)).otherwise(F.get(array, F.lit(n)))
+
+
 def item(arr: Column, index: int) -> Column:
     """Zero-based array item, null when out of range."""
     return F.get(arr, F.lit(index))

@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from brightledger.functions import columns as C
@@ -146,3 +147,12 @@ def test_one_row_for_each_channel_rule(spark):
     won = [next((n for n, (_, tests) in enumerate(RULES) if holds(row, tests)), None) for row in rows]
     assert [got[i] for i in range(len(rows))] == ["Other" if n is None else RULES[n][0] for n in won]
     assert sum(n == i for i, n in enumerate(won)) > 0.8 * len(RULES)
+
+
+def test_strict_item(spark):
+    from brightledger.functions.columns import item_strict
+
+    df = spark.createDataFrame([([1, 2],), (None,)], "a array<int>")
+    assert [r[0] for r in df.select(item_strict(F.col("a"), 1)).collect()] == [2, None]
+    with pytest.raises(Exception, match="no element 2 in an array of 2"):
+        df.select(item_strict(F.col("a"), 2)).collect()
