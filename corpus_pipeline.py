@@ -16,6 +16,8 @@ from brightledger.llm.common import table, without
 from brightledger.sources.targets import stage
 
 RANKS = "byte_bpe_50k.tiktoken"
+#: Share of the usual memory for the last stage's tables: executors still hold what the stages before it needed.
+TABLES = 0.25
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): token ids, and the text they decode to; one row per row, a null text has no ids and decodes to an empty one."""
-    return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, share=TABLES)
 
 
 STAGES = [
