@@ -69,11 +69,11 @@ def test_variants_by_definition(spark, monkeypatch, cell):
     monkeypatch.setattr(spelling, "CELL", cell)  # divides cells; workers keep their own, so indexes stay large there
     rng = random.Random(cell)
     counts = Counter()
-    for _ in range(500):
+    for _ in range(300):
         counts["".join(rng.choice("abcé") for _ in range(rng.randrange(1, 8)))] += rng.choice([1, 4, 5, 9, 30, 200])
     for i in range(40):
         counts["same" * 5 + "abcd"[i % 4] + "abcdefghij"[i // 4]] += rng.choice([5, 6, 40, 300])
-    counts["x" * 30_000], counts["x" * 30_000 + "y"] = 7, 99
+    counts["x" * 5_000], counts["x" * 5_000 + "y"] = 7, 99
     rows = [(w, n) for w, n in counts.items()] + [("abc", 3), (None, 9), ("", 9)]
     counts["abc"] += 3
     got = spelling.variants(spark.createDataFrame(rows, "word string, n long").repartition(3))

@@ -73,7 +73,7 @@ def answers(spark, talks):
 @pytest.mark.parametrize("block", [1, 2, 256])
 def test_repair_is_the_cheapest_of_all(spark, block):
     rng = random.Random(block)
-    talks = [random_rows(rng, rng.randrange(1, 12)) for _ in range(250)]
+    talks = [random_rows(rng, rng.randrange(1, 12)) for _ in range(150)]
     want = {i: by_definition(t) for i, t in enumerate(talks)}
     solved = {}  # blocks of other lengths are cut here, as workers have their own BLOCK
     for i, talk in enumerate(talks):
