@@ -15,6 +15,9 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
+import unicodedata
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -25,8 +28,14 @@ from pyspark.sql import functions as F
 
 from .common import list_column, map_rows, only, text_or_empty
 
-#: Entries of the table of moves and of the table of finished pieces, per worker; full tables are emptied.
-MOVES, PIECES = 500_000, 150_000
+#: Moves of the transducer's table, and bytes of the table of finished pieces, per worker. A move takes about 400 bytes. Of full tables what is in use stays.
+MOVES, PIECES = 400_000, 48_000_000
+#: Moves of a state that is kept when the table is full: most states are on the way of one rare word.
+BRANCHES = 2
+#: Bytes of a piece after which the table of moves is looked at again.
+STRETCH = 4096
+#: Of a border: where the trie node begins, and all that is below it.
+NODE, BELOW, AT = 40, (1 << 40) - 1, (1 << 16) - 1
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -35,8 +44,8 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 def border(node: int, token: int, up: int) -> int:
-    """One border of a state in one number: trie node or -1, token before it or -1, place of the border before that token or -1."""
-    return node + 1 << 40 | token + 1 << 16 | up + 1
+    """One border of a state in one number: trie node, token before it and place of the border before that token, each plus one so that 0 is none."""
+    return node << NODE | token << 16 | up
 
 
 class State(dict):
@@ -56,24 +65,25 @@ class State(dict):
 class Transducer:
     """Bytes of a piece to token ids."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], most_moves: int | None = None):
+        self.most_moves = MOVES if most_moves is None else most_moves
         self.ranks, self.tokens = ranks, {v: k for k, v in ranks.items()}
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"{len(missing)} single bytes have no token")
-        self.nodes: dict[int, int] = {}
-        self.token_at = [-1]
+        self.nodes: dict[int, int] = {}  # the root is node 1
+        ends = [0, 0]
         for token, rank in ranks.items():
-            node = 0
+            node = 1
             for b in token:
                 key = node << 8 | b
-                node = self.nodes.get(key, -1)
-                if node < 0:
-                    node = self.nodes[key] = len(self.token_at)
-                    self.token_at.append(-1)
-            self.token_at[node] = rank
+                node = self.nodes.get(key, 0)
+                if not node:
+                    node = self.nodes[key] = len(ends)
+                    ends.append(0)
+            ends[node] = rank + 1
         inner = {key >> 8 for key in self.nodes}
-        self.inner = bytearray(node in inner for node in range(len(self.token_at)))
+        self.inner = bytearray(node in inner for node in range(len(ends)))
         self.pair: dict[int, tuple[int, int]] = {}
         self.joined: dict[int, int] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
@@ -82,9 +92,8 @@ class Transducer:
                 if len(parts) == 2:  # else no merge makes this token; only a whole piece can be it
                     self.pair[rank] = parts
                     self.joined[parts[0] << 32 | parts[1]] = rank
-        self.made = bytearray(max(self.tokens) + 1)  # tokens that merges can make
-        for rank, token in self.tokens.items():
-            self.made[rank] = rank in self.pair or len(token) == 1
+        # per node the token that ends there, plus one, if merges can make it
+        self.token_at = [end if end and (end - 1 in self.pair or len(self.tokens[end - 1]) == 1) else 0 for end in ends]
         self.spines: tuple[dict, dict] = ({}, {})
         self.reset()
 
@@ -112,10 +121,12 @@ class Transducer:
 
     def stable(self, left: int, right: int) -> bool:
         """No merge across the border comes first. At equal ranks the leftmost does: the left token's own before the border's, the border's before the right's."""
-        joined = self.joined
-        for a, hides_a in self.spine(left, 1):
-            for b, hides_b in self.spine(right, 0):
-                merge = joined.get(a << 32 | b)
+        joined, lefts, rights = self.joined, self.spines[1].get(left), self.spines[0].get(right)
+        rights = rights or self.spine(right, 0)
+        for a, hides_a in lefts or self.spine(left, 1):
+            a <<= 32
+            for b, hides_b in rights:
+                merge = joined.get(a | b)
                 if merge is not None and merge < hides_a and merge <= hides_b:
                     return False
         return True
@@ -124,47 +135,70 @@ class Transducer:
         """Forget all states but the first: one border before the first byte."""
         for state in getattr(self, "states", {}).values():
             state.clear()  # they point at each other
-        start = (border(0, -1, -1),)
+        start = (border(1, 0, 0),)
         self.start, self.made_moves = State(self, start), 0
         self.states = {start: self.start}
 
+    def trim(self) -> None:
+        """Forget the states that few moves lead on from, and the moves to them."""
+        kept = {borders: state for borders, state in self.states.items() if len(state) >= BRANCHES}
+        kept[self.start.borders] = self.start
+        for borders, state in self.states.items():
+            if borders not in kept:
+                state.clear()
+        for state in kept.values():
+            for byte in [b for b, (to, _) in state.items() if to.borders not in kept]:
+                del state[byte]
+        self.states, self.made_moves = kept, sum(map(len, kept.values()))
+        if self.made_moves > self.most_moves // 2:
+            self.reset()
+
     def move(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """State after one more byte, and the tokens that are now certain."""
         self.made_moves += 1
-        entries, found, nodes, inner, token_at = [], None, self.nodes, self.inner, self.token_at
-        for at, code in enumerate(state.borders):
-            node, token, up = (code >> 40) - 1, (code >> 16 & 0xFFFFFF) - 1, (code & 0xFFFF) - 1
-            child = nodes.get(node << 8 | byte, -1) if node >= 0 else -1
-            entries.append((child if child > 0 and inner[child] else -1, token, up))
-            # one border only can end here, so the search ends with the first stable token
-            if found is None and child > 0 and (new := token_at[child]) >= 0 and self.made[new] and (token < 0 or self.stable(token, new)):
-                found = (0, new, at)
-        if found is None:
+        node_of, inner, token_at = self.nodes.get, self.inner, self.token_at
+        entries, found = [], 0
+        for at, code in enumerate(state.borders, 1):
+            child = node_of(code >> NODE << 8 | byte, 0)
+            if child:
+                # one border only can end here, so the search ends with the first stable token
+                if not found and (new := token_at[child]) and (not (token := code >> 16 & 0xFFFFFF) or self.stable(token - 1, new - 1)):
+                    found = border(1, new, at)
+                entries.append((child << NODE if inner[child] else 0) | code & BELOW)
+            else:
+                entries.append(code & BELOW)
+        if not found:
             raise ValueError("no token ends here: the ranks are no merge table")
         entries.append(found)
-        needed = [node >= 0 for node, _, _ in entries]
-        below = [0] * len(entries)
-        for at in range(len(entries) - 1, 0, -1):
-            if needed[at] or below[at]:
-                needed[at] = True
-                if entries[at][2] >= 0:
-                    below[entries[at][2]] += 1
+        n = len(entries)
+        below = [0] * n  # needed borders that follow each one
+        for at in range(n - 1, 0, -1):
+            if entries[at] > BELOW or below[at]:
+                below[(entries[at] & AT) - 1] += 1
         root, out = 0, []
-        while entries[root][0] < 0 and below[root] == 1:  # nothing starts at this border any more and one border follows it
-            root = next(at for at in range(root + 1, len(entries)) if entries[at][2] == root and needed[at])
-            out.append(entries[root][1])
-        keep = [at for at in range(root, len(entries)) if needed[at] or at == root]
-        place = {at: i for i, at in enumerate(keep)}
-        borders = tuple(border(entries[at][0], entries[at][1] if at != root or entries[at][0] >= 0 else -1, place[entries[at][2]] if at != root else -1) for at in keep)
+        while entries[root] <= BELOW and below[root] == 1:  # nothing starts at this border any more and one border follows it
+            up = root + 1
+            while (code := entries[(root := root + 1)]) & AT != up or not (code > BELOW or below[root]):
+                pass
+            out.append((code >> 16 & 0xFFFFFF) - 1)
+        code = entries[root]
+        borders, place = [code & ~AT if code > BELOW else 0], [0] * (n + 1)
+        place[root + 1] = 1
+        for at in range(root + 1, n):
+            code = entries[at]
+            if code > BELOW or below[at]:
+                borders.append(code & ~AT | place[code & AT])
+                place[at + 1] = len(borders)
+        borders = tuple(borders)
         if (to := self.states.get(borders)) is None:
             to = self.states[borders] = State(self, borders)
         return to, tuple(out)
 
     def ending(self, state: State) -> tuple[int, ...]:
         """The tokens between the certain ones and the end."""
-        out, at = [], len(state.borders) - 1
-        while (up := (state.borders[at] & 0xFFFF) - 1) >= 0:
-            out.append((state.borders[at] >> 16 & 0xFFFFFF) - 1)
+        out, at = [], len(state.borders)
+        while up := (code := state.borders[at - 1]) & AT:
+            out.append((code >> 16 & 0xFFFFFF) - 1)
             at = up
         state.ending = tuple(reversed(out))
         return state.ending
@@ -173,27 +207,38 @@ class Transducer:
         """Tokens of one piece; a piece that is itself a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
             return (whole,)
-        if self.made_moves > MOVES:
-            self.reset()
-        state, out = self.start, ()
-        for b in piece:
-            state, sure = state[b]
-            if sure:
-                out += sure
-        return out + (self.ending(state) if state.ending is None else state.ending)
+        state, out = self.start, []
+        for at in range(0, len(piece), STRETCH):
+            if self.made_moves > self.most_moves:
+                here = state.borders
+                self.trim()
+                state = self.states.setdefault(here, State(self, here))
+            for b in piece[at : at + STRETCH] if len(piece) > STRETCH else piece:
+                state, sure = state[b]
+                if sure:
+                    out += sure
+        out += self.ending(state) if state.ending is None else state.ending
+        return tuple(out)
 
 
 class Pieces(dict):
-    """Piece of text to token ids, filled on demand and emptied when full."""
+    """Piece of text to token ids, filled on demand. When half of the bytes are used, it becomes the older half, which lends what is asked for again; a long piece is not kept."""
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, transducer: Transducer, most_bytes: int | None = None):
         super().__init__()
-        self.transducer = transducer
+        self.transducer, self.older, self.bytes = transducer, {}, 0
+        self.most_bytes = PIECES if most_bytes is None else most_bytes
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) > PIECES:
-            self.clear()
-        self[piece] = out = self.transducer.encode(piece.encode())
+        out = self.older.pop(piece, None) or self.transducer.encode(piece.encode())
+        size = 200 + 4 * len(piece) + 8 * len(out)  # the ids themselves are shared or small
+        if size < self.most_bytes // 64:
+            self.bytes += size
+            if self.bytes > self.most_bytes // 2:
+                self.older = dict(self)
+                self.clear()
+                self.bytes = size
+            self[piece] = out
         return out
 
 
@@ -239,8 +284,9 @@ class Utf8Stream:
 
 
 @functools.lru_cache(maxsize=4)
-def compiled(data: bytes) -> Pieces:
-    return Pieces(Transducer(read_ranks(data)))
+def compiled(data: bytes, share: float = 1) -> Pieces:
+    """The tables for a rank file, with the given share of the usual memory."""
+    return Pieces(Transducer(read_ranks(data), int(share * MOVES)), int(share * PIECES))
 
 
 @functools.lru_cache(maxsize=4)
@@ -257,6 +303,46 @@ def forget() -> None:
     vocabulary.cache_clear()
 
 
+def latin_pattern(pattern: str) -> str | None:
+    """``pattern`` for texts of code points under 256 in the syntax of the faster ``re``; None if it has more than the classes of letters, numbers and spaces."""
+    kinds = {"\\p{L}": lambda c: unicodedata.category(c)[0] == "L", "\\p{N}": lambda c: unicodedata.category(c)[0] == "N", "\\s": lambda c: regex.match(r"\s", c) is not None}
+    ranges = {name: "".join(f"\\x{i:02x}" for i in range(256) if test(chr(i))) for name, test in kinds.items()}
+    out, at, inside = [], 0, False
+    while at < len(pattern):
+        name = next((k for k in (*kinds, "\\S") if pattern.startswith(k, at)), None)
+        if name is None:
+            if pattern[at] == "\\" or pattern.startswith("(?i", at) or (inside and pattern[at] == "["):
+                return None
+            inside = (inside or pattern[at] == "[") and pattern[at] != "]"
+            out.append(pattern[at])
+        elif name in ranges:
+            out.append(ranges[name] if inside else f"[{ranges[name]}]")
+        elif inside:
+            return None
+        else:
+            out.append(f"[^{ranges[chr(92) + 's']}]")
+        at += len(name or "x")
+    return "".join(out)
+
+
+@functools.lru_cache(maxsize=4)
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The matches of ``pattern`` in a text."""
+    every, latin = regex.compile(pattern).findall, latin_pattern(pattern)
+    if latin is None:
+        return every
+    quick = re.compile(latin).findall
+
+    def find(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return every(text)
+        return quick(text)
+
+    return find
+
+
 def ids_of(text: str, find, pieces: Pieces) -> np.ndarray:
     return np.fromiter(chain.from_iterable(map(pieces.__getitem__, find(text))), np.int32)
 
@@ -283,7 +369,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("bpe", forget)
-        pieces, find = compiled(shipped.value), regex.compile(pattern).findall
+        pieces, find = compiled(shipped.value), splitter(pattern)
         ids = [ids_of(x.as_py(), find, pieces) for x in batch.column(1)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32())], ["id", "n_tokens", "ids"])
 
@@ -314,14 +400,17 @@ def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", out_col: str
     return out.toDF(*rest, out_col)
 
 
-def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``encode``, and the text that the ids decode to: (``id_col``, n_tokens, ids, text). One pass, so a task needs one Python worker."""
+def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", share: float = 1) -> DataFrame:
+    """``encode``, and the text that the ids decode to: (``id_col``, n_tokens, ids, text). One pass, so a task needs one Python worker.
+
+    ``share`` of the usual memory (about 180 MB a worker) goes to the tables of moves and pieces; less of it takes more time.
+    """
     with open(rank_file, "rb") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("bpe", forget)
-        pieces, byte_of, find = compiled(shipped.value), vocabulary(shipped.value), regex.compile(pattern).findall
+        pieces, byte_of, find = compiled(shipped.value, share), vocabulary(shipped.value), splitter(pattern)
         ids = [ids_of(x.as_py(), find, pieces) for x in batch.column(1)]
         columns = [pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32()), pa.array([text_of(x, byte_of) for x in ids], pa.string())]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_tokens", "ids", "text"])

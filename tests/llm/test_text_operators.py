@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -50,6 +51,30 @@ def test_transducer_forgets_states_and_stays_right(monkeypatch):
         assert [i for p in bpe.regex.findall(PATTERN, text) for i in pieces[p]] == lib.encode_ordinary(text)
 
 
+def test_quick_pattern_is_the_pattern():
+    find, every = bpe.splitter(PATTERN), bpe.regex.compile(PATTERN).findall
+    rng = random.Random(31)
+    texts = ["".join(chr(rng.randrange(256)) for _ in range(rng.randrange(60))) for _ in range(2000)] + odd_texts(50)
+    assert bpe.latin_pattern(PATTERN) and all(find(t) == every(t) for t in texts)
+    assert bpe.latin_pattern(r"\d+") is None and bpe.latin_pattern(r"(?i:'s)") is None and bpe.latin_pattern(r"[a\S]") is None
+    assert bpe.splitter(r"\d+|\D+")("a12") == ["a", "12"]
+
+
+def test_long_piece_in_bounded_time_and_memory(monkeypatch):
+    """A run of 500,000 letters takes time in proportion, and the table of moves stays bounded within it."""
+    monkeypatch.setattr(bpe, "MOVES", 50_000)
+    transducer = bpe.Transducer(bpe.read_ranks(open(RANKS, "rb").read()))
+    rng = random.Random(8)
+    piece = "".join(rng.choice("acgt") for _ in range(500_000)).encode()
+    start = time.process_time()
+    ids = transducer.encode(piece)
+    assert time.process_time() - start < 30  # seconds on any machine; a quadratic loop takes minutes
+    assert transducer.made_moves <= bpe.MOVES + bpe.STRETCH
+    tokens = bpe.vocabulary(open(RANKS, "rb").read())
+    assert b"".join(tokens[i] for i in ids) == piece
+    assert list(transducer.encode(piece[:3000])) == library().encode_ordinary(piece[:3000].decode())
+
+
 @given(st.binary(max_size=60), st.lists(st.integers(1, 7), max_size=30))
 @settings(max_examples=300, deadline=None)
 def test_utf8_stream_is_decoding_at_once(data, cuts):
