@@ -1,9 +1,10 @@
 """Line dedup: winnowed fingerprints of line hashes find repeated runs, which are extended both ways and deleted where they come later.
 
 A *line* here ends at a line break or after a punctuation mark with white space, so that passages are found wherever a
-document's own line breaks fall. Lines are hashed; a fingerprint is the hash of two neighbouring lines, and of each window
+document's own line breaks fall; lines of LONG words or more are cut further after words that a hash picks, so that parts of one are found as well.
+Lines are hashed; a fingerprint is the hash of two neighbouring lines, and of each window
 of fingerprints only the smallest is kept. Every run of GUARANTEE lines that two documents share therefore has a common
-fingerprint. Each fingerprint meets its first occurrence only (smallest document id, then place), so a passage in m
+fingerprint; so has every shared line, and every pair of neighbouring ones, of LEAST_WORDS words, as such fingerprints are always kept. Each fingerprint meets its first occurrence only (smallest document id, then place), so a passage in m
 documents gives m - 1 matches. Along a match both documents' lines are compared as far as they agree. Lines that
 repeat earlier ones form runs; runs of enough words are deleted, so the first occurrence of everything stays.
 """
@@ -18,23 +19,55 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.targets import stage
-from .common import few, list_column, map_rows, only, text_or_empty
+from ..sources.targets import split_by, stage
+from .common import list_column, map_rows, only, text_or_empty
 
 #: Lines of a fingerprint, fingerprints of a window, and the length of runs that cannot be missed.
 GRAM, WINDOW = 2, 2
 GUARANTEE = GRAM + WINDOW - 1
 #: Words of whole lines that a repeated run needs. A passage of 50 words may lose a part line at either end.
 LEAST_WORDS = 25
+#: A line's words as they travel with its hash; larger counts decide nothing.
+MOST_COUNT = 32_000
+#: Words of a line that is cut further, and the share of its words after which it is.
+LONG, EVERY = 24, 8
 BREAK = re.compile(r"[.!?,;:]\s+|\n\s*")
 
 
-def split_lines(text: str) -> list[str]:
-    """Lines with the white space after them; joined they are the text."""
+def counted_lines(text: str) -> tuple[list[str], np.ndarray]:
+    """Lines with the white space after them, which joined are the text, and the number of words in each (runs without ASCII white space).
+
+    A long line is cut by content, before words whose neighbour has ends and a length that a rule picks: one that shares a stretch with
+    another long line is cut at the same places there.
+    """
+    if not text:
+        return [], np.empty(0, np.int32)
+    codes = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    filled = (codes != 32) & ((codes < 9) | (codes > 13))
+    begins = filled.copy()
+    begins[1:] &= ~filled[:-1]
+    first = np.flatnonzero(begins)
     ends = [m.end() for m in BREAK.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    return [text[a:b] for a, b in zip([0, *ends], ends)] if text else []
+    ends.insert(0, 0)
+    cuts = np.array(ends)
+    words = np.diff(np.searchsorted(first, cuts))
+    if len(words) and words.max() >= LONG:
+        over = filled.copy()
+        over[:-1] &= ~filled[1:]
+        last = np.flatnonzero(over)
+        picked = (17 * codes[first].astype(np.int64) + 31 * codes[last] + last - first) % EVERY == 0
+        at = first[1:][picked[:-1]]
+        at = at[words[np.searchsorted(cuts, at, "right") - 1] >= LONG]
+        cuts = np.union1d(cuts, at)
+        words = np.diff(np.searchsorted(first, cuts))
+        ends = cuts.tolist()
+    return [text[a:b] for a, b in zip(ends, ends[1:])], words.astype(np.int32)
+
+
+def split_lines(text: str) -> list[str]:
+    return counted_lines(text)[0]
 
 
 def line_hashes(lines: list[str]) -> np.ndarray:
@@ -42,8 +75,11 @@ def line_hashes(lines: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(x.strip()) for x in lines), np.uint64, len(lines)).view(np.int64)
 
 
-def fingerprints(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, places) of the window minima, the rightmost of equal ones. A text of under GRAM lines is one fingerprint; one of under WINDOW fingerprints gives its smallest."""
+def fingerprints(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, places) of the window minima, the rightmost of equal ones, and of all that stand for LEAST_WORDS words: single lines and pairs of lines.
+
+    A text of under GRAM lines is one fingerprint; one of under WINDOW fingerprints gives its smallest.
+    """
     h = hashes.view(np.uint64)
     if not len(h):
         return np.empty(0, np.int64), np.empty(0, np.int32)
@@ -53,7 +89,14 @@ def fingerprints(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gram ^= gram >> np.uint64(29)
     width = min(WINDOW, len(gram))
     windows = np.lib.stride_tricks.sliding_window_view(gram, width)
-    places = np.unique(np.arange(len(windows)) + width - 1 - windows[:, ::-1].argmin(axis=1))
+    kept = np.zeros(len(gram), bool)
+    kept[np.arange(len(windows)) + width - 1 - windows[:, ::-1].argmin(axis=1)] = True
+    if len(h) >= GRAM:
+        kept |= sum(words[i : len(words) - GRAM + 1 + i] for i in range(GRAM)) >= LEAST_WORDS
+    places, alone = np.flatnonzero(kept), np.flatnonzero(words >= LEAST_WORDS)
+    if len(alone):
+        single = (h[alone] ^ np.uint64(0x5851F42D4C957F2D)) * np.uint64(0x9E3779B97F4A7C15)
+        return np.concatenate([gram[places], single]).view(np.int64), np.concatenate([places, alone]).astype(np.int32)
     return gram[places].view(np.int64), places.astype(np.int32)
 
 
@@ -70,20 +113,44 @@ def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tupl
     return low + (before[-1] + 1 if len(before) else 0), low + at + (after[0] if len(after) else len(same) - at)
 
 
-def repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, mark, ranges): for each document with matches, flat (first, last) line pairs that repeat earlier lines; ``mark`` is a hash of its text."""
+def joined(ranges: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def runs_to_cut(ranges: list[tuple[int, int]], words: np.ndarray, least_words: int) -> np.ndarray:
+    """Flat (first, last) lines of the runs that ranges of lines make together and that hold enough words."""
+    change = np.zeros(len(words) + 1, np.int64)
+    for a, b in ranges:
+        change[a] += 1
+        change[b] -= 1
+    repeated = change[:-1].cumsum() > 0
+    edges = np.flatnonzero(np.diff(np.r_[False, repeated, False])).reshape(-1, 2)
+    total = np.r_[0, words.cumsum()]
+    return edges[total[edges[:, 1]] - total[edges[:, 0]] >= least_words].reshape(-1).astype(np.int32)
+
+
+def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(id, mark, cuts): for each document that loses text, flat (first, last) pairs of the lines to cut; ``mark`` is a hash of its text."""
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("lines", lambda: None)
-        hashes = [line_hashes(split_lines(x.as_py())) for x in batch.column(2)]
-        found = [fingerprints(h) for h in hashes]
-        columns = [list_column(hashes, pa.int64()), list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "hashes", "h", "place"])
+        split = [counted_lines(x.as_py()) for x in batch.column(2)]
+        hashes, words = [line_hashes(x) for x, _ in split], [np.minimum(w, MOST_COUNT).astype(np.int16) for _, w in split]
+        found = [fingerprints(h, w) for h, (_, w) in zip(hashes, split)]
+        columns = [list_column(hashes, pa.int64()), list_column(words, pa.int16()), list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "hashes", "words", "h", "place"])
 
     def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, marks, ranges = [], [], []
-        for i, mark, own, other, same, places, firsts in zip(*(batch.column(c).to_pylist() if c in (0, 1, 4) else batch.column(c) for c in range(7))):
-            own, other = own.values.to_numpy(), other.values.to_numpy()
+        parts = []
+        for own, words, other, places, firsts in zip(*(batch.column(c) for c in ("hashes", "words", "others", "place", "first_place"))):
+            own, words, other = own.values.to_numpy(), words.values.to_numpy(), other.values.to_numpy()
             places, firsts = places.values.to_numpy(), firsts.values.to_numpy()
             found: set[tuple[int, int]] = set()
             reach: dict[int, int] = {}
@@ -95,68 +162,87 @@ def repeats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if b > a:
                     found.add((a, b))
                     reach[shift] = b
-            ids.append(i)
-            marks.append(mark)
-            ranges.append(np.array(sorted(found), np.int32).reshape(-1))
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), list_column(ranges, pa.int32())], ["id", "mark", "ranges"])
+            flat = joined(found)
+            # how many ranges, the ranges, and the words of their lines
+            parts.append(np.concatenate([[len(flat)], np.array(flat, np.int32).reshape(-1), *(words[a:b] for a, b in flat)]).astype(np.int32) if flat else np.empty(0, np.int32))
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), list_column(parts, pa.int32())], ["id", "mark", "part"])
+
+    def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cuts = []
+        for parts in batch.column(2):
+            flat, at, read = parts.values.to_numpy(), 0, []
+            while at < len(flat):
+                n = int(flat[at])
+                ranges = flat[at + 1 : at + 1 + 2 * n].reshape(-1, 2)
+                at += 1 + 2 * n
+                for a, b in ranges.tolist():
+                    read.append((a, b, flat[at : at + b - a]))
+                    at += b - a
+            words = np.zeros(max((b for _, b, _ in read), default=0), np.int32)
+            for a, b, counts in read:
+                words[a:b] = counts
+            cuts.append(runs_to_cut([(a, b) for a, b, _ in read], words, least_words))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_column(cuts, pa.int32())], ["id", "mark", "cuts"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)), text_or_empty(text_col))
-    held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>, h array<long>, place array<int>"))
+    held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>, words array<short>, h array<long>, place array<int>"))
     marks = held.select("id", F.inline_outer(F.arrays_zip("h", "place"))).where("h IS NOT NULL")
     firsts = marks.groupBy("h").agg(F.min(F.struct("id", "place")).alias("first"), F.max(F.struct("id", "place")).alias("last"))
     firsts = stage(firsts.where("first < last").select("h", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place")))
-    matches = marks.join(firsts, "h").where("id <> first_id OR place <> first_place")
+    # most fingerprints occur once; few of these pass the filter and are shuffled
+    common, _ = split_by(marks, F.col("h"), firsts, "h")
+    matches = common.join(firsts, "h").where("id <> first_id OR place <> first_place")
     pairs = stage(matches.groupBy("id", "first_id").agg(F.collect_list(F.struct("place", "first_place")).alias("at")))
     needed = stage(pairs.select("id").unionByName(pairs.select(F.col("first_id").alias("id"))).distinct())
-    one = held.join(few(needed), "id", "left_semi").groupBy("id").agg(F.min(F.struct("mark", "hashes")).alias("u"))
-    one = stage(one.select("id", F.col("u.mark").alias("mark"), F.col("u.hashes").alias("hashes")))
+    wanted, _ = split_by(held.select("id", "mark", "hashes", "words"), F.col("id"), needed, "id")
+    one = wanted.join(needed, "id", "left_semi").groupBy("id").agg(F.min(F.struct("mark", "hashes", "words")).alias("u"))
+    one = stage(one.select("id", "u.*"))
     both = pairs.join(one, "id").join(one.select(F.col("id").alias("first_id"), F.col("hashes").alias("others")), "first_id")
-    both = both.select("id", "mark", "hashes", "others", F.col("id") == F.col("first_id"), F.col("at.place"), F.col("at.first_place"))
-    found = map_rows(both, extend, "id long, mark long, ranges array<int>").where("size(ranges) > 0")
-    return stage(found.groupBy("id", "mark").agg(F.flatten(F.collect_list("ranges")).alias("ranges")))
-
-
-def cut(text: str, ranges: np.ndarray, least_words: int) -> tuple[str, int, int]:
-    """Text without its repeated runs of enough words; words before and after."""
-    lines = split_lines(text)
-    words = np.array([len(x.split()) for x in lines] or [0])
-    change = np.zeros(len(lines) + 1, np.int64)
-    np.add.at(change, ranges[0::2], 1)
-    np.add.at(change, ranges[1::2], -1)
-    repeated = change[:-1].cumsum() > 0
-    edges = np.flatnonzero(np.diff(np.r_[False, repeated, False]))
+    both = both.select("id", "mark", "hashes", "words", "others", F.col("at.place"), F.col("at.first_place"))
+    found = map_rows(both, extend, "id long, mark long, part array<int>").where("size(part) > 0")
+    grouped = found.groupBy("id", "mark").agg(F.flatten(F.collect_list("part")).alias("parts"))
+    return stage(map_rows(grouped, decide, "id long, mark long, cuts array<int>").where("size(cuts) > 0"))
+
+
+def cut(text: str, cuts: np.ndarray) -> tuple[str, int, int]:
+    """Text without the given lines; words before and after."""
+    lines, words = counted_lines(text)
     drop = np.zeros(len(lines), bool)
-    for a, b in zip(edges[::2], edges[1::2]):
-        if words[a:b].sum() >= least_words:
-            drop[a:b] = True
-    return "".join(x for x, d in zip(lines, drop) if not d), int(words.sum()), int(words[: len(lines)][~drop].sum()) if lines else 0
+    for a, b in zip(cuts[::2], cuts[1::2]):
+        drop[a:b] = True
+    return "".join(x for x, d in zip(lines, drop) if not d), int(words.sum()), int(words[~drop].sum())
 
 
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """The input rows with all their columns, later repeated runs cut from ``text_col``, and words_before, words_after.
 
-    Both counts are null where nothing was matched. Null and empty texts stay as they are. Rows with a null id stay as they
+    Both counts are null where nothing was cut. Null and empty texts stay as they are. Rows with a null id stay as they
     are and others are not compared with them. Of rows that repeat an id with different texts one is compared; equal
-    rows are not matched with each other. An own column named like the two counts, or ``__ranges``, is replaced.
+    rows are not matched with each other. An own column named like the two counts is replaced; all other names may occur. Only documents
+    that may lose text are shuffled; the rest pass from the scan to the result.
     """
-    added = ["words_before", "words_after", "__ranges"]
+    added = ["words_before", "words_after"]
     keep = [c for c in docs.columns if c not in added]
-    found = few(repeats(docs, id_col, text_col), cells="ranges").select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.col("ranges").alias("__ranges"))
-    joined = docs.select(*keep).join(found, (F.col(id_col) == F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__mark")), "left").select(*keep, "__ranges")
-    at, n = keep.index(text_col), len(keep)
+    n, at, i = len(keep), keep.index(text_col), keep.index(id_col)
+    plain = docs.select(*keep).toDF(*[f"c{k}" for k in range(n)])
+    found = repeats(docs, id_col, text_col, least_words)
+    maybe, rest = split_by(plain, F.col(f"c{i}").cast("long"), found, "id")
+    same = (F.col(f"c{i}").cast("long") == F.col("id")) & (F.xxhash64(text_or_empty(f"c{at}")) == F.col("mark"))
+    joined = maybe.join(found, same, "left").select(*plain.columns, "cuts")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, before, after = batch.column(at).to_pylist(), [None] * batch.num_rows, [None] * batch.num_rows
-        for i, ranges in enumerate(batch.column(n)):
-            if ranges.is_valid:
-                texts[i], before[i], after[i] = cut(texts[i] or "", ranges.values.to_numpy(), least_words)
+        for row, cuts in enumerate(batch.column(n)):
+            if cuts.is_valid:
+                texts[row], before[row], after[row] = cut(texts[row] or "", cuts.values.to_numpy())
         columns = batch.columns[:n]
         columns[at] = pa.array(texts, pa.string())
-        return pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(after, pa.int64())], [f"c{i}" for i in range(n + 2)])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(after, pa.int64())], [f"c{k}" for k in range(n + 2)])
 
     kinds = [docs.schema[c].dataType.simpleString() for c in keep]
-    out = map_rows(joined, run, ", ".join(f"c{i} {k}" for i, k in enumerate([*kinds, "long", "long"])))
-    return out.toDF(*keep, "words_before", "words_after")
+    out = map_rows(joined, run, ", ".join(f"c{k} {kind}" for k, kind in enumerate([*kinds, "long", "long"])))
+    none = F.lit(None).cast("long")
+    return out.unionByName(rest.select("*", none.alias(f"c{n}"), none.alias(f"c{n + 1}"))).toDF(*keep, *added)
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
