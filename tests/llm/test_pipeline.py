@@ -63,4 +63,4 @@ def test_registered_query_is_run(spark):
     import __spark_entry__
 
     assert "pipeline" in __spark_entry__.queries()
-    assert sum(n.startswith("op") and n[2].isdigit() for n in __spark_entry__.queries()) == 10
+    assert sum(n.startswith("op") and n[2].isdigit() for n in __spark_entry__.queries()) == 13
