@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import diff_boundary, item, money_text, month_start, pseudonym, split_literal
-from ..sources.targets import merge, merge_partitions
+from ..sources.targets import merge, merge_partitions, stage
 from .ordered import neighbours
 from .relational import join_intervals, latest_per_group, not_in, semi_in, split_sources
 
@@ -125,8 +125,9 @@ def in_period(rows: DataFrame, periods: DataFrame, name: str, day: str, how: str
     """Join dated rows to the periods of the same name that hold the date.
 
     The distinct names and days find their periods by blocks of days, so long and open-ended periods cost no more than short
-    ones; the rows then meet them by name and day, and a name with many rows is split by day.
+    ones; the rows then meet them by name and day, and a name with many rows is split by day. The rows are read three times and staged.
     """
+    rows = stage(rows)
     asked = rows.select(F.col(name).alias("__n"), F.to_date(day).alias("__d")).where("__n IS NOT NULL").distinct()
     found = join_intervals(asked, periods.withColumnRenamed("Channel_Name", "__n"), ["__n"], "__d", "Budget_Date", "ToDate")
     return rows.join(found, (F.col(name) == F.col("__n")) & (F.to_date(day) == F.col("__d")), how).drop("__n", "__d")
@@ -136,17 +137,18 @@ def budget_with_actions(periods: DataFrame, costs: DataFrame, as_of: date) -> Da
     """Periods with the action costs that fall into them; other costs become monthly commission-only rows."""
     acts = costs.select("Channel_Name", F.col("Budget_Date").alias("Action_Date"), "action_cost", "AcctMgr")
     placed = in_period(acts, periods.select("Channel_Name", "Budget_Date", "ToDate"), "Channel_Name", "Action_Date")
-    inside = placed.where("Budget_Date is not null").groupBy("Channel_Name", "Budget_Date", "ToDate").agg(F.sum("action_cost").alias("action_cost"))
+    beyond = F.col("Budget_Date").isNull()
+    # costs within a period have neither manager nor month of their own, so one pass sums both kinds
+    sums = stage(placed.groupBy("Channel_Name", "Budget_Date", "ToDate", F.when(beyond, F.col("AcctMgr")).alias("AcctMgr"),
+                                F.when(beyond, month_start("Action_Date")).alias("Planned_Date")).agg(F.sum("action_cost").alias("action_cost")))
+    inside = sums.where(~beyond).drop("AcctMgr", "Planned_Date")
     commission = F.col("Fee_Type") == "Commission Only"
     known = periods.join(inside, ["Channel_Name", "Budget_Date", "ToDate"], "left").select(
         "Channel_Name", "Budget", "AcctMgr", "Planned_Date", F.when(commission, F.col("Planned_Date")).otherwise(F.col("Budget_Date")).alias("Budget_Date"),
         "Fee_Type", F.coalesce("action_cost", F.lit(0.0)).alias("action_cost"))
-    month = month_start("Action_Date")
-    outside = placed.where("Budget_Date is null").groupBy("Channel_Name", F.lit(0.0).alias("Budget"), "AcctMgr", month.alias("Planned_Date")).agg(
-        F.sum("action_cost").alias("action_cost"))
-    outside = outside.select("Channel_Name", "Budget", "AcctMgr", "Planned_Date", F.col("Planned_Date").alias("Budget_Date"),
-                             F.lit("Commission Only").alias("Fee_Type"), "action_cost")
-    return _close_periods(outside.unionByName(known), as_of)
+    outside = sums.where(beyond).select("Channel_Name", F.lit(0.0).alias("Budget"), "AcctMgr", "Planned_Date", F.col("Planned_Date").alias("Budget_Date"),
+                                        F.lit("Commission Only").alias("Fee_Type"), "action_cost")
+    return _close_periods(stage(outside.unionByName(known)), as_of)
 
 
 # ---- leads and sales

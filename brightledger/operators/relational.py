@@ -62,8 +62,8 @@ def _day_number(day: Column) -> Column:
     return F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
 
 
-def interval_cells(start: Column, end: Column, levels: int) -> Column:
-    """The days from ``start`` to ``end`` as aligned blocks of a power of two days: array of (level, block), at most two per level."""
+def _cells(start: Column, end: Column, levels: int) -> list[Column]:
+    """(level, block) of each block that the days from ``start`` to ``end`` may have, null where they have it not; two per level."""
     cells = []
     low, high = _day_number(start), _day_number(end) + 1
     for k in range(levels):
@@ -71,20 +71,29 @@ def interval_cells(start: Column, end: Column, levels: int) -> Column:
         first, beyond = F.floor((low + size - 1) / size).cast("long"), F.floor(high / size).cast("long")
         cells.append(F.when((first % 2 == 1) & (first < beyond), F.struct(F.lit(k).alias("level"), first.alias("block"))))
         cells.append(F.when((beyond % 2 == 1) & (first + first % 2 < beyond), F.struct(F.lit(k).alias("level"), (beyond - 1).alias("block"))))
-    return F.filter(F.array(*cells), lambda c: c.isNotNull())
+    return cells
+
+
+def interval_cells(start: Column, end: Column, levels: int) -> Column:
+    """The days from ``start`` to ``end`` as aligned blocks of a power of two days: array of (level, block), at most two per level."""
+    return F.filter(F.array(*_cells(start, end, levels)), lambda c: c.isNotNull())
 
 
 def join_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, start: str, end: str) -> DataFrame:
     """Each (keys, ``day``) of ``points`` with the intervals of the same keys that hold the day.
 
     An interval becomes its few blocks of days, whatever its length, and a day meets one block of each size by equality, so neither
-    calendar days nor pairs are enumerated. ``points`` should be distinct. Rows with a null key or day, and intervals that are empty or
-    have a null end, match nothing.
+    calendar days nor pairs are enumerated. Blocks of an odd level are halved, so that a day has half as many rows. ``points`` should be
+    distinct; they are read twice, as intervals of keys that no point has leave first. Rows with a null key or day, and intervals that are
+    empty or have a null end, match nothing. The sizes of exploded rows are not known to Spark, which would broadcast them: the join shuffles.
     """
     real = intervals.where(F.col(end) >= F.col(start))
     longest = real.agg(F.max(F.datediff(end, start))).first()[0]
     levels = (0 if longest is None else longest + 1).bit_length() + 1
-    blocks = real.select("*", F.inline(interval_cells(F.col(start), F.col(end), levels)))
-    sizes = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(_day_number(F.col(day)) / (1 << k)).cast("long").alias("block")) for k in range(levels)])
+    real = real.join(points.select(*keys).distinct(), keys, "left_semi")
+    cells = real.select("*", F.inline(F.array(*_cells(F.col(start), F.col(end), levels)))).where("level IS NOT NULL")
+    halves = F.when(F.col("level") % 2 == 1, F.array(F.col("block") * 2, F.col("block") * 2 + 1)).otherwise(F.array("block"))
+    blocks = cells.select(*intervals.columns, (F.col("level") - F.col("level") % 2).alias("level"), F.explode(halves).alias("block"))
+    sizes = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(_day_number(F.col(day)) / (1 << k)).cast("long").alias("block")) for k in range(0, levels, 2)])
     asked = points.where(F.col(day).isNotNull()).select("*", F.inline(sizes))
-    return asked.join(blocks, [*keys, "level", "block"]).drop("level", "block")
+    return asked.join(blocks.hint("merge"), [*keys, "level", "block"]).drop("level", "block")

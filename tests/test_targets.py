@@ -220,3 +220,14 @@ def test_interval_join_by_blocks(spark):
     cells = periods.where("hi >= lo").select(F.datediff("hi", "lo").alias("n"), interval_cells(F.col("lo"), F.col("hi"), 23).alias("c")).collect()
     for r in cells:
         assert sum(1 << c.level for c in r.c) == r.n + 1 and len(r.c) <= 2 * (r.n + 1).bit_length()
+
+
+def test_interval_blocks_are_not_broadcast(spark):
+    """Spark takes the blocks of a period for no larger than the period, so the join must not leave the choice to its estimate."""
+    from brightledger.operators.relational import join_intervals
+
+    periods = spark.sql("SELECT k, date'2020-01-01' AS lo, date'2022-01-01' AS hi FROM VALUES ('a'), ('b') AS t(k)")
+    got = join_intervals(spark.sql("SELECT 'a' AS k, date'2021-05-05' AS d"), periods, ["k"], "d", "lo", "hi")
+    joins = [x for x in got._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join [" in x and "block" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
+    assert [tuple(r) for r in got.collect()] == [("a", date(2021, 5, 5), date(2020, 1, 1), date(2022, 1, 1))]
