@@ -56,33 +56,39 @@ def product_class() -> Column:
             .when(F.col("EyewearType").isin("Product Upgrade", "Accessories"), "Other").otherwise("Eyeglasses"))
 
 
-def monthly_status(items: DataFrame, created: DataFrame, changes: DataFrame, as_of: date, product: str | None = None) -> DataFrame:
+def monthly_status(items: DataFrame, created: DataFrame, changes: DataFrame, as_of: date, product: str | Sequence[str] | None = None) -> DataFrame:
     """For each customer and month since the first order: last status and whether subscribed in the month.
 
     The status of a month is the last change up to its end. Changes shrink to one row per
-    customer and month, the month axis comes from a sequence per customer, and the last
-    known status is carried forward over it: no customer has more rows than the calendar
-    has months. ``product`` restricts customers to buyers of one class.
+    customer and month, each of which holds until the next; the first order meets these spans,
+    and only then are they spread over their months, so the months are not shuffled.
+    ``product`` restricts customers to buyers of one class; several classes are read in one
+    pass, and each customer comes once per class, named in ``audience``.
     """
     bought = items.where(F.lower("customer_email") != "")
-    if product:
-        bought = bought.where(product_class() == product)
-    first = bought.groupBy(F.lower("customer_email").alias("customer_email")).agg(F.min(month_start("Creation_Datetime")).alias("Order_date"))
+    classes = [] if product is None else [product] if isinstance(product, str) else list(product)
+    audience = [product_class().alias("audience")] if classes else []
+    if classes:
+        bought = bought.where(product_class().isin(classes))
+    first = bought.groupBy(F.lower("customer_email").alias("customer_email"), *audience).agg(F.min(month_start("Creation_Datetime")).alias("Order_date"))
     moves = created.select(F.lower("subscriber_email").alias("customer_email"), F.col("Datetime_Created").alias("at"),
                            F.lit("Active").alias("to")).unionByName(
         changes.select(F.lower("subscriber_email").alias("customer_email"), F.col("Datetime_Changed").alias("at"),
                        F.when(F.col("Change_to") == "SUB", "Active").otherwise("inActive").alias("to")))
-    monthly = moves.where("at is not null").groupBy("customer_email", month_start("at").alias("MonthID")).agg(
+    monthly = moves.where("at is not null").groupBy("customer_email", month_start("at").alias("from")).agg(
         F.max(F.struct("at", "to"))["to"].alias("to"), F.max(F.when(F.col("to") == "Active", True)).alias("Was_Sub"))
-    earliest = monthly.groupBy("customer_email").agg(F.min("MonthID").alias("first_change"))
+    along = Window.partitionBy("customer_email").orderBy("from")
+    spans = monthly.withColumns({"until": F.lead("from").over(along), "earlier": F.lag("from").over(along)})
+    own = F.struct("from", "until", "to", "Was_Sub")
+    ahead = F.struct(F.lit(None).cast("date").alias("from"), F.col("from").alias("until"), F.lit(None).cast("string").alias("to"), F.lit(None).cast("boolean").alias("Was_Sub"))
+    spans = spans.select("customer_email", F.inline(F.when(F.col("earlier").isNull(), F.array(ahead, own)).otherwise(F.array(own))))
     now = F.lit(as_of.replace(day=1))
-    start = F.least("Order_date", F.coalesce("first_change", "Order_date"))
-    spine = first.join(earliest, "customer_email", "left").where(F.col("Order_date") <= now).select(
-        "customer_email", "Order_date", F.explode(F.sequence(start, now, F.expr("interval 1 month"))).alias("MonthID"))
-    upto = Window.partitionBy("customer_email").orderBy("MonthID").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = spine.join(monthly, ["customer_email", "MonthID"], "left").withColumn("last", F.last("to", ignorenulls=True).over(upto))
-    return filled.where("MonthID >= Order_date").select(
-        "customer_email", "Order_date", "MonthID", F.coalesce("last", F.lit("inActive")).alias("Last_Status_in_month"), "Was_Sub")
+    known = first.join(spans, "customer_email", "left").withColumns({
+        "start": F.greatest("Order_date", "from"), "end": F.least(F.add_months("until", -1), now)}).where("start <= end")
+    filled = known.select("*", F.explode(F.sequence("start", "end", F.expr("interval 1 month"))).alias("MonthID"))
+    kept = ["audience"] if classes and not isinstance(product, str) else []
+    return filled.select("customer_email", *kept, "Order_date", "MonthID", F.coalesce("to", F.lit("inActive")).alias("Last_Status_in_month"),
+                         F.when(F.col("MonthID") == F.col("from"), F.col("Was_Sub")).alias("Was_Sub"))
 
 
 def monthly_changed() -> Column:

@@ -97,10 +97,7 @@ GLASSES = "EyewearType NOT IN ('Contact Lenses', 'Product Upgrade', 'Accessories
     UNION ALL {movement_sql('Eyeglasses', GLASSES)}""")
 def active_base_movement(spark, sf):
     made, log = logged(spark, sf)
-    log, items, both = stage(log), A.order_items(spark, sf), None
-    for audience in ("Contact Lenses", "Eyeglasses"):
-        one = T.monthly_status(items, made, log, AS_OF, audience).withColumn("audience", F.lit(audience))
-        both = one if both is None else both.unionByName(one)
+    both = T.monthly_status(A.order_items(spark, sf), made, log, AS_OF, ("Contact Lenses", "Eyeglasses"))
     return T.active_movement(both, date(1996, 6, 1), AS_OF)
 
 
