@@ -27,8 +27,8 @@ PERIODS = f"""{PLAN}, b0 AS (SELECT CASE WHEN s % 50 = 49 THEN 'LTB' ELSE 'Ch '
     per AS (SELECT *, {CLOSE} FROM b1)"""
 
 
-def periods(spark, sf, form="status"):
-    sheet = A.budget_sheet(spark, sf)
+def periods(spark, sf, form="status", sheet=None):
+    sheet = A.budget_sheet(spark, sf) if sheet is None else sheet
     if form == "timeline":
         sheet = sheet.drop("Timeline").withColumnRenamed("Timeline_text", "Timeline")
     if form == "live_date":
@@ -124,8 +124,8 @@ def shared(spark, sf):
     return P.shared_id(A.budget_sheet(spark, sf))
 
 
-def leads(spark, sf):
-    return P.partner_leads(A.partner_actions(spark, sf), A.shop_subscribers(spark, sf), shared(spark, sf), A.naming(spark, sf), MEDIA)
+def leads(spark, sf, names=None):
+    return P.partner_leads(A.partner_actions(spark, sf), A.shop_subscribers(spark, sf), shared(spark, sf) if names is None else names, A.naming(spark, sf), MEDIA)
 
 
 @query("partner_leads", f"""WITH {ACT}, {IRL}, o AS ({OLD_IRL}), met AS (SELECT DISTINCT subscriber_id, lower(Channel_Name) AS c FROM o WHERE Channel_Name IS NOT NULL)
@@ -164,10 +164,10 @@ COMBINED = f"""lc0 AS (SELECT DISTINCT subscriber_id, subscriber_email, Datetime
     lc AS (SELECT DISTINCT subscriber_id, subscriber_email, Datetime, lc0.Channel_Name, Plat, Budget_Date FROM lc0 JOIN days ON days.Channel_Name = lc0.Channel_Name AND CAST(Datetime AS DATE) BETWEEN Budget_Date AND ToDate)"""
 
 
-def named_periods(spark, sf):
-    per = stage(periods(spark, sf).select("Channel_Name", "Budget_Date", "ToDate"))
+def named_periods(spark, sf, sheet=None):
+    per = stage(periods(spark, sf, sheet=sheet).select("Channel_Name", "Budget_Date", "ToDate"))
     own = per.where("Channel_Name like 'Ch _'").withColumn("Channel_Name", F.expr("'code-batchA-' || right(Channel_Name, 1)"))
-    return per.unionByName(own).distinct()
+    return stage(per.unionByName(own).distinct())
 
 
 @query("leads_combined", f"""WITH {PERIODS}, {ACT}, {IRL}, {ADM}, {DAYS}, {COMBINED} SELECT * FROM lc UNION ALL
@@ -193,8 +193,9 @@ def rounded(df):
     return df.withColumns({c: F.round(c, n) for c, n in digits.items() if c in df.columns})
 
 
-def sales(spark, sf):
-    return rounded(P.partner_sales(A.partner_actions(spark, sf), A.order_items(spark, sf), shared(spark, sf), MEDIA, TESTS, SINCE))
+def sales(spark, sf, items=None, names=None):
+    items, names = A.order_items(spark, sf) if items is None else items, shared(spark, sf) if names is None else names
+    return rounded(P.partner_sales(A.partner_actions(spark, sf), items, names, MEDIA, TESTS, SINCE))
 
 
 @query("partner_sales", f"""WITH {S.ITEMS}, {ACT}, {IRS} SELECT * FROM irs""")
@@ -207,8 +208,8 @@ def partner_sales(spark, sf):
 ADS = f"""ads AS (SELECT {OKEYS}, affiliate_code AS Channel_Name, {SUMS} FROM items WHERE Creation_Datetime >= TIMESTAMP '1996-01-01' AND lower(affiliate_code) LIKE '%batcha%' AND {NO_TEST.format('Order_Coupon')} GROUP BY ALL)"""
 
 
-def shop_sales(spark, sf):
-    return rounded(P.system_sales(A.order_items(spark, sf), CODES, TESTS, SINCE))
+def shop_sales(spark, sf, items=None):
+    return rounded(P.system_sales(A.order_items(spark, sf) if items is None else items, CODES, TESTS, SINCE))
 
 
 @query("system_sales", f"WITH {S.ITEMS}, {ADS} SELECT * FROM ads")
@@ -261,10 +262,14 @@ def sales_merge_by_month(spark, sf):
     FROM pe JOIN od USING (customer_email) LEFT JOIN days ON days.Channel_Name = pe.Channel_Name AND CAST(Sub_Date AS DATE) BETWEEN Budget_Date AND ToDate
     WHERE Sub_Date <= CAST(Date AS TIMESTAMP) AND NOT EXISTS (SELECT 1 FROM sold WHERE sold.Order_id = od.Order_id AND trim(sold.Channel_Name) = pe.Channel_Name)""")
 def converted_leads(spark, sf):
-    per = named_periods(spark, sf)
-    people = stage(P.leads_combined(stage(leads(spark, sf)), stage(admin(spark, sf)), per))
-    sold = stage(P.sales_combined(stage(sales(spark, sf)), stage(shop_sales(spark, sf)), per))
-    rows = stage(rounded(P.converted_leads(people, A.order_items(spark, sf), sold, per, CODES, SINCE)))
+    # what several steps read is built once: the sheet, the channels and the columns of the order items that they need
+    sheet = stage(A.budget_sheet(spark, sf))
+    names, per = stage(P.shared_id(sheet)), named_periods(spark, sf, sheet)
+    items = stage(A.order_items(spark, sf).select("Order_Number", "Creation_Datetime", "customer_email", "Store", "Device", "Order_Coupon", "affiliate_code",
+                                                  "New_Returning", "Item_Qty_Ordered", "Item_Price", "ItemRevenue", "Item_Tax"))
+    people = stage(P.leads_combined(stage(leads(spark, sf, names)), stage(admin(spark, sf)), per))
+    sold = stage(P.sales_combined(stage(sales(spark, sf, items, names)), stage(shop_sales(spark, sf, items)), per))
+    rows = stage(rounded(P.converted_leads(people, items, sold, per, CODES, SINCE)))
     # before: a third of the rows as they are, which stay as they are
     return P.merge_converted(rows.where("CAST(Order_id AS BIGINT) % 3 = 0"), rows)
 
