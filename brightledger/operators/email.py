@@ -72,11 +72,12 @@ def segment_asof(keys: DataFrame, items: DataFrame, buckets: Mapping, email: str
                            F.col("Order_Number").cast("string").alias("__order")).agg(
         F.max(contacts).alias("c"), F.max(~contacts).alias("g"), F.max("LensType").alias("lensType"),
         F.max(F.col("brand").isin(list(buckets["premium"]))).alias("p"))
-    orders = orders.where("__e <> ''")
-    counted = running(orders, ["__e"], F.to_date("__since"), [F.col("__since"), F.col("__order")],
-                      {"n": ("sum", F.lit(1))})
     wanted = keys.select(F.lower(email).alias("__e"), F.col(day).alias("__day")).distinct()
     wanted = wanted.where("__e is not null and __day is not null").withColumn("__at", F.col("__day").cast("timestamp_ntz"))
+    # customers nobody asks for leave first; orders and their running counts are read twice each
+    orders = stage(orders.where("__e <> ''").join(wanted.select("__e").distinct(), "__e", "left_semi"))
+    counted = stage(running(orders, ["__e"], F.to_date("__since"), [F.col("__since"), F.col("__order")],
+                            {"n": ("sum", F.lit(1))}))
     found = last_before(wanted, counted.withColumn("__last", F.col("__since")), ["__e"], "__at", "__since", ["n"],
                         ["n", "__last", "c", "g", "lensType", "p"])
     since = F.datediff("__day", "__last")
