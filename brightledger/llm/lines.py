@@ -12,6 +12,8 @@ repeat earlier ones form runs; runs of enough words are deleted, so the first oc
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +102,31 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.
     return gram[places].view(np.int64), places.astype(np.int32)
 
 
+def values(column: pa.ListArray) -> list[np.ndarray]:
+    """The values of each row's list."""
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places: np.ndarray, first_places: np.ndarray) -> Iterator[tuple]:
+    """What each of a document's matches can reach: per first document (its id, begins and ends of stretches of lines, their hashes and words, places, places there).
+
+    Of any three neighbouring lines of a run two are a fingerprint that both documents keep and that matches, if not this first document then an earlier one. So all
+    lines of a run are at most one before or two after the place of a match, and a run lies in the stretch of such lines around its own match.
+    """
+    known = places < len(hashes)  # others are of a row that shares the id
+    firsts, places, first_places = firsts[known], places[known], first_places[known]
+    change = np.zeros(len(hashes) + 1, np.int64)
+    np.add.at(change, np.maximum(places - 1, 0), 1)
+    np.add.at(change, np.minimum(places + GUARANTEE, len(hashes)), -1)
+    edges = np.flatnonzero(np.diff(np.r_[False, change[:-1].cumsum() > 0, False])).reshape(-1, 2)
+    order = np.argsort(firsts, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(firsts[order])) + 1) if len(order) else []:
+        met = edges[np.unique(np.searchsorted(edges[:, 0], places[group], "right") - 1)]
+        taken = [np.concatenate([x[a:b] for a, b in met.tolist()]) for x in (hashes, words)]
+        yield int(firsts[group[0]]), met[:, 0], met[:, 1], *taken, places[group], first_places[group]
+
+
 def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tuple[int, int]:
     """First and last line (exclusive) of ``own`` around ``place`` that agree with ``other`` shifted by ``shift``."""
     low, high = max(0, shift), min(len(own), len(other) + shift)
@@ -147,24 +174,37 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
         columns = [list_column(hashes, pa.int64()), list_column(words, pa.int16()), list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "hashes", "words", "h", "place"])
 
+    def narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [(at, *x) for at, row in enumerate(zip(*map(values, map(batch.column, ("hashes", "words", "first_id", "place", "first_place"))))) for x in stretches(*row)]
+        at, firsts, *lists = zip(*out) if out else [()] * 8
+        columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("id", "mark")]
+        columns += [pa.array(firsts, pa.int64()), *(list_column(x, kind) for x, kind in zip(lists, (pa.int32(), pa.int32(), pa.int64(), pa.int16(), pa.int32(), pa.int32())))]
+        return pa.RecordBatch.from_arrays(columns, ["id", "mark", "first_id", "begins", "ends", "hashes", "words", "place", "first_place"])
+
     def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
-        for own, words, other, places, firsts in zip(*(batch.column(c) for c in ("hashes", "words", "others", "place", "first_place"))):
-            own, words, other = own.values.to_numpy(), words.values.to_numpy(), other.values.to_numpy()
-            places, firsts = places.values.to_numpy(), firsts.values.to_numpy()
+        for begins, ends, hashes, words, places, firsts, other in zip(*map(values, map(batch.column, ("begins", "ends", "hashes", "words", "place", "first_place", "others")))):
+            after = (ends - begins).cumsum().tolist()
+            begins = begins.tolist()
             found: set[tuple[int, int]] = set()
             reach: dict[int, int] = {}
             for place, first in sorted(zip(places.tolist(), firsts.tolist())):
                 shift = place - first
                 if place < reach.get(shift, 0):
                     continue
-                a, b = extended(own, other, shift, place)
+                k = bisect_right(begins, place) - 1
+                a, b = extended(hashes[after[k - 1] if k else 0 : after[k]], other, shift - begins[k], place - begins[k])
                 if b > a:
-                    found.add((a, b))
-                    reach[shift] = b
+                    found.add((a + begins[k], b + begins[k]))
+                    reach[shift] = b + begins[k]
             flat = joined(found)
+            of_ranges = []
+            for a, b in flat:
+                k = bisect_right(begins, a) - 1
+                start = (after[k - 1] if k else 0) - begins[k]
+                of_ranges.append(words[a + start : b + start])
             # how many ranges, the ranges, and the words of their lines
-            parts.append(np.concatenate([[len(flat)], np.array(flat, np.int32).reshape(-1), *(words[a:b] for a, b in flat)]).astype(np.int32) if flat else np.empty(0, np.int32))
+            parts.append(np.concatenate([[len(flat)], np.array(flat, np.int32).reshape(-1), *of_ranges]).astype(np.int32) if flat else np.empty(0, np.int32))
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), list_column(parts, pa.int32())], ["id", "mark", "part"])
 
     def decide(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -192,13 +232,20 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
     # most fingerprints occur once; few of these pass the filter and are shuffled
     common, _ = split_by(marks, F.col("h"), firsts, "h")
     matches = common.join(firsts, "h").where("id <> first_id OR place <> first_place")
-    pairs = stage(matches.groupBy("id", "first_id").agg(F.collect_list(F.struct("place", "first_place")).alias("at")))
-    needed = stage(pairs.select("id").unionByName(pairs.select(F.col("first_id").alias("id"))).distinct())
-    wanted, _ = split_by(held.select("id", "mark", "hashes", "words"), F.col("id"), needed, "id")
-    one = wanted.join(needed, "id", "left_semi").groupBy("id").agg(F.min(F.struct("mark", "hashes", "words")).alias("u"))
-    one = stage(one.select("id", "u.*"))
-    both = pairs.join(one, "id").join(one.select(F.col("id").alias("first_id"), F.col("hashes").alias("others")), "first_id")
-    both = both.select("id", "mark", "hashes", "words", "others", F.col("at.place"), F.col("at.first_place"))
+    matches = matches.groupBy("id").agg(F.collect_list(F.struct("first_id", "place", "first_place")).alias("at"))
+    matches = stage(matches.select("id", *[F.col(f"at.{c}").alias(c) for c in ("first_id", "place", "first_place")]))
+
+    def chosen(ids: DataFrame, *cols: str) -> DataFrame:
+        """Of the rows of each id one, by the hash of its text."""
+        wanted, _ = split_by(held.select("id", "mark", *cols), F.col("id"), ids, "id")
+        return wanted.groupBy("id").agg(F.min(F.struct("mark", *cols)).alias("u")).select("id", "u.*")
+
+    own = chosen(matches, "hashes", "words").join(matches, "id")
+    own = map_rows(own, narrow, "id long, mark long, first_id long, begins array<int>, ends array<int>, hashes array<long>, words array<short>, place array<int>, first_place array<int>", 128)
+    asked = stage(matches.select(F.explode(F.array_distinct("first_id")).alias("id")).distinct())
+    # staged, so that a first document that many others meet is split in the join
+    others = stage(chosen(asked, "hashes").join(asked, "id", "left_semi").select(F.col("id").alias("first_id"), F.col("hashes").alias("others")))
+    both = own.join(others, "first_id")
     found = map_rows(both, extend, "id long, mark long, part array<int>").where("size(part) > 0")
     grouped = found.groupBy("id", "mark").agg(F.flatten(F.collect_list("part")).alias("parts"))
     return stage(map_rows(grouped, decide, "id long, mark long, cuts array<int>").where("size(cuts) > 0"))

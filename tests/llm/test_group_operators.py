@@ -175,6 +175,34 @@ def test_passages_of_few_lines_go(spark):
     assert rows[0]["text"] == texts[0] and rows[0]["words_before"] is None
 
 
+def test_stretches_lose_no_run_and_are_short():
+    """Runs found in what travels to a first document equal those found in all lines; one short passage takes few lines along."""
+    rng, nrng = random.Random(31), np.random.default_rng(31)
+    for _ in range(150):
+        texts = [nrng.integers(0, rng.choice([3, 6, 40]), rng.randrange(1, 25)) * 7_919 for _ in range(6)]
+        texts += [np.concatenate([texts[0][:9], texts[1][2:8], texts[0][4:]]), texts[2].copy()]
+        counts = [np.array([1 + x % 30 for x in t.tolist()], np.int32) for t in texts]
+        marks = {}
+        for i, t in enumerate(texts):
+            for h, p in zip(*lines.fingerprints(t, counts[i])):
+                marks.setdefault(int(h), []).append((i, int(p)))
+        for i, t in enumerate(texts):
+            found = [(*min(at), p) for at in marks.values() for j, p in at if j == i and (i, p) != min(at)]
+            firsts, first_places, places = np.array(found, np.int64).reshape(-1, 3).T
+            want = {(int(f), *lines.extended(t, texts[f], p - q, p)) for f, q, p in found}
+            got = set()
+            for first, begins, ends, own, words, ps, qs in lines.stretches(t, counts[i], firsts, places, first_places):
+                after = np.cumsum(ends - begins)
+                assert [len(own), len(words)] == [after[-1]] * 2
+                for p, q in zip(ps.tolist(), qs.tolist()):
+                    k = int(np.searchsorted(begins, p, "right")) - 1
+                    a, b = lines.extended(own[after[k] - (ends[k] - begins[k]) : after[k]], texts[first], p - q - int(begins[k]), p - int(begins[k]))
+                    got.add((first, int(a + begins[k]), int(b + begins[k])))
+            assert got == {(f, int(a), int(b)) for f, a, b in want}
+    (_, _, _, own, *_), = lines.stretches(np.arange(5000), np.ones(5000, np.int32), np.array([3]), np.array([70]), np.array([0]))
+    assert own.tolist() == [69, 70, 71, 72]
+
+
 def test_split_lines_joins_to_the_text():
     rng = random.Random(22)
     for _ in range(200):
