@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable
-from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import list_column, map_rows, only, text_or_empty
 
 #: Moves of the transducer's table, and bytes of the table of finished pieces, per worker. A move takes about 400 bytes. Of full tables what is in use stays.
-MOVES, PIECES = 400_000, 48_000_000
+MOVES, PIECES = 400_000, 96_000_000
 #: Moves of a state that is kept when the table is full: most states are on the way of one rare word.
 BRANCHES = 2
 #: Bytes of a piece after which the table of moves is looked at again.
@@ -95,6 +97,7 @@ class Transducer:
         # per node the token that ends there, plus one, if merges can make it
         self.token_at = [end if end and (end - 1 in self.pair or len(self.tokens[end - 1]) == 1) else 0 for end in ends]
         self.spines: tuple[dict, dict] = ({}, {})
+        self.known: dict[int, bool] = {}
         self.reset()
 
     def merged(self, piece: bytes, below: float = float("inf")) -> tuple[int, ...]:
@@ -119,6 +122,13 @@ class Transducer:
                 return out
             hidden, at = at, self.pair[at][side]
 
+    def judged(self, pair: int) -> bool:
+        """``stable`` of the left and the right token in one number; few pairs make most borders, so what is known is kept up to a bound."""
+        if len(self.known) >= self.most_moves // 4:
+            self.known.clear()
+        self.known[pair] = out = self.stable(pair >> 24, pair & 0xFFFFFF)
+        return out
+
     def stable(self, left: int, right: int) -> bool:
         """No merge across the border comes first. At equal ranks the leftmost does: the left token's own before the border's, the border's before the right's."""
         joined, lefts, rights = self.joined, self.spines[1].get(left), self.spines[0].get(right)
@@ -156,17 +166,19 @@ class Transducer:
     def move(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         """State after one more byte, and the tokens that are now certain."""
         self.made_moves += 1
-        node_of, inner, token_at = self.nodes.get, self.inner, self.token_at
+        node_of, inner, token_at, known = self.nodes.get, self.inner, self.token_at, self.known.get
         entries, found = [], 0
         for at, code in enumerate(state.borders, 1):
             child = node_of(code >> NODE << 8 | byte, 0)
-            if child:
-                # one border only can end here, so the search ends with the first stable token
-                if not found and (new := token_at[child]) and (not (token := code >> 16 & 0xFFFFFF) or self.stable(token - 1, new - 1)):
-                    found = border(1, new, at)
-                entries.append((child << NODE if inner[child] else 0) | code & BELOW)
-            else:
+            if not child:
                 entries.append(code & BELOW)
+            else:
+                # one border only can end here, so the search ends with the first stable token
+                if not found and (new := token_at[child]):
+                    pair = (code >> 16 & 0xFFFFFF) - 1 << 24 | new - 1
+                    if pair < 0 or (firm if (firm := known(pair)) is not None else self.judged(pair)):
+                        found = 1 << NODE | new << 16 | at
+                entries.append(child << NODE | code & BELOW if inner[child] else code & BELOW)
         if not found:
             raise ValueError("no token ends here: the ranks are no merge table")
         entries.append(found)
@@ -207,31 +219,42 @@ class Transducer:
         """Tokens of one piece; a piece that is itself a token is that token."""
         if (whole := self.ranks.get(piece)) is not None:
             return (whole,)
+        if self.made_moves > self.most_moves:
+            self.trim()
         state, out = self.start, []
-        for at in range(0, len(piece), STRETCH):
+        for b in piece if len(piece) <= STRETCH else piece[:STRETCH]:
+            state, sure = state[b]
+            if sure:
+                out += sure
+        for at in range(STRETCH, len(piece), STRETCH):
             if self.made_moves > self.most_moves:
                 here = state.borders
                 self.trim()
                 state = self.states.setdefault(here, State(self, here))
-            for b in piece[at : at + STRETCH] if len(piece) > STRETCH else piece:
+            for b in piece[at : at + STRETCH]:
                 state, sure = state[b]
                 if sure:
                     out += sure
-        out += self.ending(state) if state.ending is None else state.ending
+        out += state.ending or self.ending(state)
         return tuple(out)
 
 
 class Pieces(dict):
-    """Piece of text to token ids, filled on demand. When half of the bytes are used, it becomes the older half, which lends what is asked for again; a long piece is not kept."""
+    """Piece of text to token ids, held as bytes of 32-bit numbers and filled on demand. When half of the bytes are used, it becomes the older half, which lends what is asked for again; a long piece is not kept."""
 
     def __init__(self, transducer: Transducer, most_bytes: int | None = None):
         super().__init__()
         self.transducer, self.older, self.bytes = transducer, {}, 0
         self.most_bytes = PIECES if most_bytes is None else most_bytes
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        out = self.older.pop(piece, None) or self.transducer.encode(piece.encode())
-        size = 200 + 4 * len(piece) + 8 * len(out)  # the ids themselves are shared or small
+    packed = dict.__getitem__  # the bytes as they are held
+
+    def __getitem__(self, piece: str) -> tuple[int, ...]:
+        return tuple(array("i", self.packed(piece)))
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.older.pop(piece, None) or array("i", self.transducer.encode(piece.encode())).tobytes()
+        size = 100 + getsizeof(piece) + getsizeof(out)  # with its place in the table
         if size < self.most_bytes // 64:
             self.bytes += size
             if self.bytes > self.most_bytes // 2:
@@ -344,7 +367,18 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
 
 
 def ids_of(text: str, find, pieces: Pieces) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(map(pieces.__getitem__, find(text))), np.int32)
+    return np.frombuffer(b"".join(map(pieces.packed, find(text))), np.int32)
+
+
+def ids_of_all(texts: pa.Array, find, pieces: Pieces) -> list[np.ndarray]:
+    """``ids_of`` each text of a batch. Tables that grow hold no garbage (what is dropped is cleared), so the collector, which would walk them again and again, waits for the batch."""
+    waits = gc.isenabled()
+    gc.disable()
+    try:
+        return [ids_of(x.as_py(), find, pieces) for x in texts]
+    finally:
+        if waits:
+            gc.enable()
 
 
 def text_of(ids: np.ndarray, byte_of: list[bytes], block: int = 4096) -> str:
@@ -370,7 +404,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("bpe", forget)
         pieces, find = compiled(shipped.value), splitter(pattern)
-        ids = [ids_of(x.as_py(), find, pieces) for x in batch.column(1)]
+        ids = ids_of_all(batch.column(1), find, pieces)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32())], ["id", "n_tokens", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -403,7 +437,7 @@ def decode(tokens: DataFrame, rank_file: str, ids_col: str = "ids", out_col: str
 def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", share: float = 1) -> DataFrame:
     """``encode``, and the text that the ids decode to: (``id_col``, n_tokens, ids, text). One pass, so a task needs one Python worker.
 
-    ``share`` of the usual memory (about 180 MB a worker) goes to the tables of moves and pieces; less of it takes more time.
+    ``share`` of the usual memory (about 230 MB a worker) goes to the tables of moves and pieces; less of it takes more time.
     """
     with open(rank_file, "rb") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())
@@ -411,7 +445,7 @@ def round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("bpe", forget)
         pieces, byte_of, find = compiled(shipped.value, share), vocabulary(shipped.value), splitter(pattern)
-        ids = [ids_of(x.as_py(), find, pieces) for x in batch.column(1)]
+        ids = ids_of_all(batch.column(1), find, pieces)
         columns = [pa.array([len(x) for x in ids], pa.int64()), list_column(ids, pa.int32()), pa.array([text_of(x, byte_of) for x in ids], pa.string())]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n_tokens", "ids", "text"])
 

@@ -1,6 +1,7 @@
 """Operators that read one text at a time: against the libraries, plain patterns, round trips and edge cases."""
 
 import base64
+import gc
 import hashlib
 import random
 import re
@@ -8,6 +9,7 @@ import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -229,3 +231,18 @@ def test_digests(spark):
     docs = spark.createDataFrame([(1, "secret=abcdef1")], "doc_id long, text string")
     row = secrets.scan(docs).select(F.sha2(secrets.listing("base", secrets.KINDS), 256).alias("x")).first()
     assert row["x"] == hashlib.sha256(b"assign:0:14").hexdigest()
+
+
+def test_pieces_are_packed_and_the_collector_waits_for_the_batch():
+    rng, lib = random.Random(9), library()
+    texts = [" ".join("".join(rng.choice("abcdeéß") for _ in range(rng.randrange(1, 12))) for _ in range(200)) for _ in range(40)]
+    pieces, runs = bpe.Pieces(bpe.Transducer(bpe.read_ranks(open(RANKS, "rb").read())), 400_000), []
+    gc.callbacks.append(lambda phase, info: runs.append(phase))
+    try:
+        ids = bpe.ids_of_all(pa.array(texts), bpe.splitter(PATTERN), pieces)
+        during = len(runs)
+    finally:
+        gc.callbacks.pop()
+    assert gc.isenabled() and during <= 2  # at most one that begins when the collector is back
+    assert [x.tolist() for x in ids] == [lib.encode_ordinary(t) for t in texts]
+    assert pieces.older and all(isinstance(v, bytes) and len(v) % 4 == 0 for v in pieces.values())
