@@ -11,7 +11,6 @@ repeat earlier ones form runs; runs of enough words are deleted, so the first oc
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -33,38 +32,54 @@ LEAST_WORDS = 25
 MOST_COUNT = 32_000
 #: Words of a line that is cut further, and the share of its words after which it is.
 LONG, EVERY = 24, 8
-BREAK = re.compile(r"[.!?,;:]\s+|\n\s*")
+#: What a character is: white space, ASCII white space (between words), a mark that ends a line before white space. The last entry is for all that follow.
+SPACE, BLANK, MARK = 1, 2, 4
+KINDS = np.array([chr(c).isspace() * SPACE | (c == 32 or 9 <= c <= 13) * BLANK | (chr(c) in ".!?,;:") * MARK for c in range(0x3002)], np.uint8)
+LATIN = KINDS[:256].tobytes()
+
+
+def spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of true begin and end (exclusive)."""
+    edges = np.flatnonzero(mask[1:] != mask[:-1]) + 1
+    if mask[0]:
+        edges = np.concatenate([[0], edges])
+    if mask[-1]:
+        edges = np.concatenate([edges, [len(mask)]])
+    return edges[::2], edges[1::2]
 
 
 def counted_lines(text: str) -> tuple[list[str], np.ndarray]:
     """Lines with the white space after them, which joined are the text, and the number of words in each (runs without ASCII white space).
 
-    A long line is cut by content, before words whose neighbour has ends and a length that a rule picks: one that shares a stretch with
-    another long line is cut at the same places there.
+    A line ends with white space that follows a mark or holds a line break. A long line is cut by content, before words whose neighbour
+    has ends and a length that a rule picks: one that shares a stretch with another long line is cut at the same places there.
     """
     if not text:
         return [], np.empty(0, np.int32)
-    codes = np.frombuffer(text.encode(), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    filled = (codes != 32) & ((codes < 9) | (codes > 13))
-    begins = filled.copy()
-    begins[1:] &= ~filled[:-1]
-    first = np.flatnonzero(begins)
-    ends = [m.end() for m in BREAK.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    ends.insert(0, 0)
-    cuts = np.array(ends)
+    try:
+        raw = text.encode("latin-1")
+        codes, kinds = np.frombuffer(raw, np.uint8), np.frombuffer(raw.translate(LATIN), np.uint8)
+    except UnicodeEncodeError:
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kinds = KINDS.take(codes, mode="clip")
+    first, after = spans(kinds & BLANK == 0)
+    white, dark = spans(kinds & SPACE != 0)
+    breaks = kinds[white - 1] & MARK != 0
+    if len(white) and not white[0]:
+        breaks[0] = False
+    breaks[np.searchsorted(dark, np.flatnonzero(codes == 10), "right")] = True
+    cuts = np.concatenate([[0], dark[breaks]])
+    if len(cuts) == 1 or cuts[-1] < len(text):
+        cuts = np.concatenate([cuts, [len(text)]])
     words = np.diff(np.searchsorted(first, cuts))
-    if len(words) and words.max() >= LONG:
-        over = filled.copy()
-        over[:-1] &= ~filled[1:]
-        last = np.flatnonzero(over)
-        picked = (17 * codes[first].astype(np.int64) + 31 * codes[last] + last - first) % EVERY == 0
+    if words.max() >= LONG:
+        picked = (17 * codes[first].astype(np.int64) + 31 * codes[after - 1] + after - 1 - first) % EVERY == 0
         at = first[1:][picked[:-1]]
-        at = at[words[np.searchsorted(cuts, at, "right") - 1] >= LONG]
-        cuts = np.union1d(cuts, at)
+        line = np.searchsorted(cuts, at, "right") - 1
+        at = at[(words[line] >= LONG) & (at > cuts[line])]
+        cuts = np.sort(np.concatenate([cuts, at]))
         words = np.diff(np.searchsorted(first, cuts))
-        ends = cuts.tolist()
+    ends = cuts.tolist()
     return [text[a:b] for a, b in zip(ends, ends[1:])], words.astype(np.int32)
 
 
@@ -74,7 +89,7 @@ def split_lines(text: str) -> list[str]:
 
 def line_hashes(lines: list[str]) -> np.ndarray:
     """White space at either end does not count."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(x.strip()) for x in lines), np.uint64, len(lines)).view(np.int64)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, map(str.strip, lines)), np.uint64, len(lines)).view(np.int64)
 
 
 def fingerprints(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,10 +104,13 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.
     for i in range(min(GRAM, len(h))):
         gram = (gram ^ h[i : i + len(gram)]) * np.uint64(0x9E3779B97F4A7C15)
         gram ^= gram >> np.uint64(29)
-    width = min(WINDOW, len(gram))
-    windows = np.lib.stride_tricks.sliding_window_view(gram, width)
+    n = len(gram) - min(WINDOW, len(gram)) + 1
+    low, at = gram[:n], np.arange(n)
+    for i in range(1, len(gram) - n + 1):
+        at = np.where(gram[i : i + n] <= low, np.arange(i, i + n), at)
+        low = np.minimum(gram[i : i + n], low)
     kept = np.zeros(len(gram), bool)
-    kept[np.arange(len(windows)) + width - 1 - windows[:, ::-1].argmin(axis=1)] = True
+    kept[at] = True
     if len(h) >= GRAM:
         kept |= sum(words[i : len(words) - GRAM + 1 + i] for i in range(GRAM)) >= LEAST_WORDS
     places, alone = np.flatnonzero(kept), np.flatnonzero(words >= LEAST_WORDS)
@@ -116,15 +134,18 @@ def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places:
     """
     known = places < len(hashes)  # others are of a row that shares the id
     firsts, places, first_places = firsts[known], places[known], first_places[known]
-    change = np.zeros(len(hashes) + 1, np.int64)
-    np.add.at(change, np.maximum(places - 1, 0), 1)
-    np.add.at(change, np.minimum(places + GUARANTEE, len(hashes)), -1)
-    edges = np.flatnonzero(np.diff(np.r_[False, change[:-1].cumsum() > 0, False])).reshape(-1, 2)
+    if not len(places):
+        return
+    near = np.unique(places)
+    low, high = np.maximum(near - 1, 0), np.minimum(near + GUARANTEE, len(hashes))
+    apart = np.flatnonzero(low[1:] > high[:-1])
+    begins, ends = low[np.concatenate([[0], apart + 1])], high[np.concatenate([apart, [-1]])]
     order = np.argsort(firsts, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(firsts[order])) + 1) if len(order) else []:
-        met = edges[np.unique(np.searchsorted(edges[:, 0], places[group], "right") - 1)]
-        taken = [np.concatenate([x[a:b] for a, b in met.tolist()]) for x in (hashes, words)]
-        yield int(firsts[group[0]]), met[:, 0], met[:, 1], *taken, places[group], first_places[group]
+    for group in np.split(order, np.flatnonzero(np.diff(firsts[order])) + 1):
+        met = np.unique(np.searchsorted(begins, places[group], "right") - 1)
+        ranges = list(zip(begins[met].tolist(), ends[met].tolist()))
+        taken = [np.concatenate([x[a:b] for a, b in ranges]) if len(ranges) > 1 else x[slice(*ranges[0])] for x in (hashes, words)]
+        yield int(firsts[group[0]]), begins[met], ends[met], *taken, places[group], first_places[group]
 
 
 def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tuple[int, int]:
@@ -227,8 +248,16 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)), text_or_empty(text_col))
     held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>, words array<short>, h array<long>, place array<int>"))
     marks = held.select("id", F.inline_outer(F.arrays_zip("h", "place"))).where("h IS NOT NULL")
-    firsts = marks.groupBy("h").agg(F.min(F.struct("id", "place")).alias("first"), F.max(F.struct("id", "place")).alias("last"))
-    firsts = stage(firsts.where("first < last").select("h", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place")))
+    # id and place as one number where they fit, as an aggregate of numbers needs no sorting
+    low, high, most = marks.agg(F.min("id"), F.max("id"), F.max("place")).first()
+    bits = (most or 0).bit_length()
+    fits = low is None or (high - low + 1) << bits < 1 << 63
+    where = F.call_function("shiftleft", F.col("id") - (low or 0), F.lit(bits)).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("id", "place")
+    firsts = marks.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last")
+    if fits:
+        first = F.struct((F.call_function("shiftright", F.col("first"), F.lit(bits)) + (low or 0)).alias("id"), F.col("first").bitwiseAND((1 << bits) - 1).cast("int").alias("place"))
+        firsts = firsts.withColumn("first", first)
+    firsts = stage(firsts.select("h", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place")))
     # most fingerprints occur once; few of these pass the filter and are shuffled
     common, _ = split_by(marks, F.col("h"), firsts, "h")
     matches = common.join(firsts, "h").where("id <> first_id OR place <> first_place")
