@@ -112,7 +112,14 @@ def sweep(probes: DataFrame, facts: DataFrame, keys: list[str], at: str, since:
         return seen.where("__probe IS NOT NULL")
 
     both = events(facts, since, fact, "__fact").unionByName(events(probes, at, probe, "__probe"), allowMissingColumns=True)
-    hot = stage(both.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > most).drop("__n"))
+
+    def frequent(df: DataFrame, groups: list[str]) -> DataFrame:
+        return stage(df.groupBy(*groups).agg(F.count("*").alias("__n")).where(F.col("__n") > most).drop("__n"))
+
+    # a key of many rows has a first part of many; there are far fewer of these, so they are counted first
+    hot = frequent(both, keys[:1])
+    if len(keys) > 1 and hot.take(1):
+        hot = frequent(both.join(hot, keys[:1], "left_semi"), keys)
     if not hot.take(1):
         return looked_up(both, keys).select("__probe.*", "before", "after", "same")
     cold, split = looked_up(both.join(hot, keys, "left_anti"), keys), both.join(hot, keys, "left_semi")
