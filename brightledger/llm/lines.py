@@ -40,7 +40,7 @@ LATIN = KINDS[:256].tobytes()
 
 def spans(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the runs of true begin and end (exclusive)."""
-    edges = np.flatnonzero(mask[1:] != mask[:-1]) + 1
+    edges = (mask[1:] != mask[:-1]).nonzero()[0] + 1
     if mask[0]:
         edges = np.concatenate([[0], edges])
     if mask[-1]:
@@ -67,18 +67,20 @@ def counted_lines(text: str) -> tuple[list[str], np.ndarray]:
     breaks = kinds[white - 1] & MARK != 0
     if len(white) and not white[0]:
         breaks[0] = False
-    breaks[np.searchsorted(dark, np.flatnonzero(codes == 10), "right")] = True
+    breaks[dark.searchsorted((codes == 10).nonzero()[0], "right")] = True
     cuts = np.concatenate([[0], dark[breaks]])
     if len(cuts) == 1 or cuts[-1] < len(text):
         cuts = np.concatenate([cuts, [len(text)]])
-    words = np.diff(np.searchsorted(first, cuts))
+    held = first.searchsorted(cuts)
+    words = held[1:] - held[:-1]
     if words.max() >= LONG:
         picked = (17 * codes[first].astype(np.int64) + 31 * codes[after - 1] + after - 1 - first) % EVERY == 0
         at = first[1:][picked[:-1]]
-        line = np.searchsorted(cuts, at, "right") - 1
+        line = cuts.searchsorted(at, "right") - 1
         at = at[(words[line] >= LONG) & (at > cuts[line])]
         cuts = np.sort(np.concatenate([cuts, at]))
-        words = np.diff(np.searchsorted(first, cuts))
+        held = first.searchsorted(cuts)
+        words = held[1:] - held[:-1]
     ends = cuts.tolist()
     return [text[a:b] for a, b in zip(ends, ends[1:])], words.astype(np.int32)
 
@@ -112,8 +114,8 @@ def fingerprints(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.
     kept = np.zeros(len(gram), bool)
     kept[at] = True
     if len(h) >= GRAM:
-        kept |= sum(words[i : len(words) - GRAM + 1 + i] for i in range(GRAM)) >= LEAST_WORDS
-    places, alone = np.flatnonzero(kept), np.flatnonzero(words >= LEAST_WORDS)
+        kept |= sum((words[i : len(words) - GRAM + 1 + i] for i in range(1, GRAM)), words[: len(words) - GRAM + 1]) >= LEAST_WORDS
+    places, alone = kept.nonzero()[0], (words >= LEAST_WORDS).nonzero()[0]
     if len(alone):
         single = (h[alone] ^ np.uint64(0x5851F42D4C957F2D)) * np.uint64(0x9E3779B97F4A7C15)
         return np.concatenate([gram[places], single]).view(np.int64), np.concatenate([places, alone]).astype(np.int32)
@@ -127,7 +129,7 @@ def values(column: pa.ListArray) -> list[np.ndarray]:
 
 
 def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places: np.ndarray, first_places: np.ndarray) -> Iterator[tuple]:
-    """What each of a document's matches can reach: per first document (its id, begins and ends of stretches of lines, their hashes and words, places, places there).
+    """What each of a document's matches can reach: per first document (its id, begins and ends of stretches of lines, their hashes and words, places, places there, begin and end of the lines there that they can reach).
 
     Of any three neighbouring lines of a run two are a fingerprint that both documents keep and that matches, if not this first document then an earlier one. So all
     lines of a run are at most one before or two after the place of a match, and a run lies in the stretch of such lines around its own match.
@@ -142,10 +144,12 @@ def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places:
     begins, ends = low[np.concatenate([[0], apart + 1])], high[np.concatenate([apart, [-1]])]
     order = np.argsort(firsts, kind="stable")
     for group in np.split(order, np.flatnonzero(np.diff(firsts[order])) + 1):
-        met = np.unique(np.searchsorted(begins, places[group], "right") - 1)
+        around, shift = begins.searchsorted(places[group], "right") - 1, places[group] - first_places[group]
+        met = np.unique(around)
         ranges = list(zip(begins[met].tolist(), ends[met].tolist()))
         taken = [np.concatenate([x[a:b] for a, b in ranges]) if len(ranges) > 1 else x[slice(*ranges[0])] for x in (hashes, words)]
-        yield int(firsts[group[0]]), begins[met], ends[met], *taken, places[group], first_places[group]
+        reached = max(0, int((begins[around] - shift).min())), int((ends[around] - shift).max())
+        yield int(firsts[group[0]]), begins[met], ends[met], *taken, places[group], first_places[group], *reached
 
 
 def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tuple[int, int]:
@@ -157,7 +161,7 @@ def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tupl
     at = place - low
     if not same[at]:
         return place, place
-    after, before = np.flatnonzero(~same[at:]), np.flatnonzero(~same[:at])
+    after, before = (~same[at:]).nonzero()[0], (~same[:at]).nonzero()[0]
     return low + (before[-1] + 1 if len(before) else 0), low + at + (after[0] if len(after) else len(same) - at)
 
 
@@ -189,22 +193,27 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
         only("lines", lambda: None)
-        split = [counted_lines(x.as_py()) for x in batch.column(2)]
-        hashes, words = [line_hashes(x) for x, _ in split], [np.minimum(w, MOST_COUNT).astype(np.int16) for _, w in split]
-        found = [fingerprints(h, w) for h, (_, w) in zip(hashes, split)]
+        hashes, words, found = [], [], []
+        for x in batch.column(2):  # one by one, so that the lines of one text only are held
+            split, counts = counted_lines(x.as_py())
+            hashes.append(line_hashes(split))
+            words.append(np.minimum(counts, MOST_COUNT).astype(np.int16))
+            found.append(fingerprints(hashes[-1], counts))
         columns = [list_column(hashes, pa.int64()), list_column(words, pa.int16()), list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "hashes", "words", "h", "place"])
 
     def narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = [(at, *x) for at, row in enumerate(zip(*map(values, map(batch.column, ("hashes", "words", "first_id", "place", "first_place"))))) for x in stretches(*row)]
-        at, firsts, *lists = zip(*out) if out else [()] * 8
+        at, firsts, *lists, low, high = zip(*out) if out else [()] * 10
         columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("id", "mark")]
         columns += [pa.array(firsts, pa.int64()), *(list_column(x, kind) for x, kind in zip(lists, (pa.int32(), pa.int32(), pa.int64(), pa.int16(), pa.int32(), pa.int32())))]
-        return pa.RecordBatch.from_arrays(columns, ["id", "mark", "first_id", "begins", "ends", "hashes", "words", "place", "first_place"])
+        columns += [pa.array(low, pa.int32()), pa.array(high, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "mark", "first_id", "begins", "ends", "hashes", "words", "place", "first_place", "low", "high"])
 
     def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
-        for begins, ends, hashes, words, places, firsts, other in zip(*map(values, map(batch.column, ("begins", "ends", "hashes", "words", "place", "first_place", "others")))):
+        lists = map(values, map(batch.column, ("begins", "ends", "hashes", "words", "place", "first_place", "others")))
+        for begins, ends, hashes, words, places, firsts, other, low in zip(*lists, batch.column("low").to_pylist()):
             after = (ends - begins).cumsum().tolist()
             begins = begins.tolist()
             found: set[tuple[int, int]] = set()
@@ -214,7 +223,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
                 if place < reach.get(shift, 0):
                     continue
                 k = bisect_right(begins, place) - 1
-                a, b = extended(hashes[after[k - 1] if k else 0 : after[k]], other, shift - begins[k], place - begins[k])
+                a, b = extended(hashes[after[k - 1] if k else 0 : after[k]], other, shift - begins[k] + low, place - begins[k])
                 if b > a:
                     found.add((a + begins[k], b + begins[k]))
                     reach[shift] = b + begins[k]
@@ -249,7 +258,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
     held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>, words array<short>, h array<long>, place array<int>"))
     marks = held.select("id", F.inline_outer(F.arrays_zip("h", "place"))).where("h IS NOT NULL")
     # id and place as one number where they fit, as an aggregate of numbers needs no sorting
-    low, high, most = marks.agg(F.min("id"), F.max("id"), F.max("place")).first()
+    low, high, most = held.agg(F.min("id"), F.max("id"), F.max(F.array_max("place"))).first()
     bits = (most or 0).bit_length()
     fits = low is None or (high - low + 1) << bits < 1 << 63
     where = F.call_function("shiftleft", F.col("id") - (low or 0), F.lit(bits)).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("id", "place")
@@ -270,11 +279,11 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
         return wanted.groupBy("id").agg(F.min(F.struct("mark", *cols)).alias("u")).select("id", "u.*")
 
     own = chosen(matches, "hashes", "words").join(matches, "id")
-    own = map_rows(own, narrow, "id long, mark long, first_id long, begins array<int>, ends array<int>, hashes array<long>, words array<short>, place array<int>, first_place array<int>", 128)
+    own = map_rows(own, narrow, "id long, mark long, first_id long, begins array<int>, ends array<int>, hashes array<long>, words array<short>, place array<int>, first_place array<int>, low int, high int", 128)
     asked = stage(matches.select(F.explode(F.array_distinct("first_id")).alias("id")).distinct())
     # staged, so that a first document that many others meet is split in the join
     others = stage(chosen(asked, "hashes").join(asked, "id", "left_semi").select(F.col("id").alias("first_id"), F.col("hashes").alias("others")))
-    both = own.join(others, "first_id")
+    both = own.join(others, "first_id").withColumn("others", F.slice("others", F.col("low") + 1, F.col("high") - F.col("low")))
     found = map_rows(both, extend, "id long, mark long, part array<int>").where("size(part) > 0")
     grouped = found.groupBy("id", "mark").agg(F.flatten(F.collect_list("part")).alias("parts"))
     return stage(map_rows(grouped, decide, "id long, mark long, cuts array<int>").where("size(cuts) > 0"))

@@ -191,12 +191,12 @@ def test_stretches_lose_no_run_and_are_short():
             firsts, first_places, places = np.array(found, np.int64).reshape(-1, 3).T
             want = {(int(f), *lines.extended(t, texts[f], p - q, p)) for f, q, p in found}
             got = set()
-            for first, begins, ends, own, words, ps, qs in lines.stretches(t, counts[i], firsts, places, first_places):
+            for first, begins, ends, own, words, ps, qs, low, high in lines.stretches(t, counts[i], firsts, places, first_places):
                 after = np.cumsum(ends - begins)
                 assert [len(own), len(words)] == [after[-1]] * 2
                 for p, q in zip(ps.tolist(), qs.tolist()):
                     k = int(np.searchsorted(begins, p, "right")) - 1
-                    a, b = lines.extended(own[after[k] - (ends[k] - begins[k]) : after[k]], texts[first], p - q - int(begins[k]), p - int(begins[k]))
+                    a, b = lines.extended(own[after[k] - (ends[k] - begins[k]) : after[k]], texts[first][low:high], p - q - int(begins[k]) + low, p - int(begins[k]))
                     got.add((first, int(a + begins[k]), int(b + begins[k])))
             assert got == {(f, int(a), int(b)) for f, a, b in want}
     (_, _, _, own, *_), = lines.stretches(np.arange(5000), np.ones(5000, np.int32), np.array([3]), np.array([70]), np.array([0]))
