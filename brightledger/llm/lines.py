@@ -12,7 +12,7 @@ repeat earlier ones form runs; runs of enough words are deleted, so the first oc
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.targets import split_by, stage
-from .common import list_column, map_rows, only, text_or_empty
+from .common import few, list_column, map_rows, only, text_or_empty
 
 #: Lines of a fingerprint, fingerprints of a window, and the length of runs that cannot be missed.
 GRAM, WINDOW = 2, 2
@@ -128,11 +128,13 @@ def values(column: pa.ListArray) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
 
-def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places: np.ndarray, first_places: np.ndarray) -> Iterator[tuple]:
+def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places: np.ndarray, first_places: np.ndarray, unique_ids: bool = True) -> Iterator[tuple]:
     """What each of a document's matches can reach: per first document (its id, begins and ends of stretches of lines, their hashes and words, places, places there, begin and end of the lines there that they can reach).
 
     Of any three neighbouring lines of a run two are a fingerprint that both documents keep and that matches, if not this first document then an earlier one. So all
     lines of a run are at most one before or two after the place of a match, and a run lies in the stretch of such lines around its own match.
+    Places at the same distance that lead on to one another are one run, for which the first of them stands: a line of under LEAST_WORDS words is matched together with the next.
+    Where rows share an id all places are kept, as some may be those of another row's text.
     """
     known = places < len(hashes)  # others are of a row that shares the id
     firsts, places, first_places = firsts[known], places[known], first_places[known]
@@ -142,14 +144,21 @@ def stretches(hashes: np.ndarray, words: np.ndarray, firsts: np.ndarray, places:
     low, high = np.maximum(near - 1, 0), np.minimum(near + GUARANTEE, len(hashes))
     apart = np.flatnonzero(low[1:] > high[:-1])
     begins, ends = low[np.concatenate([[0], apart + 1])], high[np.concatenate([apart, [-1]])]
-    order = np.argsort(firsts, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(firsts[order])) + 1):
-        around, shift = begins.searchsorted(places[group], "right") - 1, places[group] - first_places[group]
-        met = np.unique(around)
+    shifts = places - first_places
+    order = np.lexsort((places, shifts, firsts))
+    firsts, shifts, places = firsts[order], shifts[order], places[order]
+    step, other = np.diff(places), firsts[1:] != firsts[:-1]
+    alone = np.full(len(step), not unique_ids) | other | (shifts[1:] != shifts[:-1]) | (step > np.where(words[places[:-1]] < LEAST_WORDS, GRAM, 1))
+    stands = np.concatenate([[True], alone])
+    groups = np.concatenate([[0], np.flatnonzero(other[alone]) + 1, [stands.sum()]]).tolist()
+    firsts, shifts, places = firsts[stands], shifts[stands], places[stands]
+    arounds = begins.searchsorted(places, "right") - 1
+    lows, highs = begins[arounds] - shifts, ends[arounds] - shifts
+    for a, b in zip(groups, groups[1:]):
+        met = np.unique(arounds[a:b]) if b - a > 1 else arounds[a:b]
         ranges = list(zip(begins[met].tolist(), ends[met].tolist()))
-        taken = [np.concatenate([x[a:b] for a, b in ranges]) if len(ranges) > 1 else x[slice(*ranges[0])] for x in (hashes, words)]
-        reached = max(0, int((begins[around] - shift).min())), int((ends[around] - shift).max())
-        yield int(firsts[group[0]]), begins[met], ends[met], *taken, places[group], first_places[group], *reached
+        taken = [np.concatenate([x[i:j] for i, j in ranges]) if len(ranges) > 1 else x[slice(*ranges[0])] for x in (hashes, words)]
+        yield int(firsts[a]), begins[met], ends[met], *taken, places[a:b], places[a:b] - shifts[a:b], max(0, int(lows[a:b].min())), int(highs[a:b].max())
 
 
 def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tuple[int, int]:
@@ -165,7 +174,7 @@ def extended(own: np.ndarray, other: np.ndarray, shift: int, place: int) -> tupl
     return low + (before[-1] + 1 if len(before) else 0), low + at + (after[0] if len(after) else len(same) - at)
 
 
-def joined(ranges: set[tuple[int, int]]) -> list[tuple[int, int]]:
+def joined(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Ranges in order, those that overlap or touch as one."""
     out: list[tuple[int, int]] = []
     for a, b in sorted(ranges):
@@ -178,14 +187,7 @@ def joined(ranges: set[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def runs_to_cut(ranges: list[tuple[int, int]], words: np.ndarray, least_words: int) -> np.ndarray:
     """Flat (first, last) lines of the runs that ranges of lines make together and that hold enough words."""
-    change = np.zeros(len(words) + 1, np.int64)
-    for a, b in ranges:
-        change[a] += 1
-        change[b] -= 1
-    repeated = change[:-1].cumsum() > 0
-    edges = np.flatnonzero(np.diff(np.r_[False, repeated, False])).reshape(-1, 2)
-    total = np.r_[0, words.cumsum()]
-    return edges[total[edges[:, 1]] - total[edges[:, 0]] >= least_words].reshape(-1).astype(np.int32)
+    return np.array([x for x in joined(ranges) if words[slice(*x)].sum() >= least_words], np.int32).reshape(-1)
 
 
 def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -199,15 +201,26 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
             hashes.append(line_hashes(split))
             words.append(np.minimum(counts, MOST_COUNT).astype(np.int16))
             found.append(fingerprints(hashes[-1], counts))
-        columns = [list_column(hashes, pa.int64()), list_column(words, pa.int16()), list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "hashes", "words", "h", "place"])
+        h, place = list_column([h for h, _ in found], pa.int64()), list_column([p for _, p in found], pa.int32())
+        marks = pa.ListArray.from_arrays(h.offsets, pa.StructArray.from_arrays([h.values, place.values], ["h", "place"]))
+        columns = [pa.array(map(len, hashes), pa.int32()), list_column(hashes, pa.int64()), list_column(words, pa.int16()), marks]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "n", "hashes", "words", "marks"])
 
     def narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [(at, *x) for at, row in enumerate(zip(*map(values, map(batch.column, ("hashes", "words", "first_id", "place", "first_place"))))) for x in stretches(*row)]
-        at, firsts, *lists, low, high = zip(*out) if out else [()] * 10
+        met = batch.column("met")
+        flat = met.values
+        if fits:
+            flat = flat.to_numpy()
+            parts = (flat >> 2 * bits) + low, flat & (1 << bits) - 1, (flat >> bits) & (1 << bits) - 1
+        else:
+            parts = [flat.field(c).to_numpy() for c in ("id", "place", "first_place")]
+        ends = met.offsets.to_numpy()
+        rows = zip(*(values(batch.column(c)) for c in ("hashes", "words")), *([x[a:b] for a, b in zip(ends, ends[1:])] for x in parts))
+        out = [(at, *x) for at, row in enumerate(rows) for x in stretches(*row, unique_ids)]
+        at, firsts, *lists, lows, highs = zip(*out) if out else [()] * 10
         columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("id", "mark")]
         columns += [pa.array(firsts, pa.int64()), *(list_column(x, kind) for x, kind in zip(lists, (pa.int32(), pa.int32(), pa.int64(), pa.int16(), pa.int32(), pa.int32())))]
-        columns += [pa.array(low, pa.int32()), pa.array(high, pa.int32())]
+        columns += [pa.array(lows, pa.int32()), pa.array(highs, pa.int32())]
         return pa.RecordBatch.from_arrays(columns, ["id", "mark", "first_id", "begins", "ends", "hashes", "words", "place", "first_place", "low", "high"])
 
     def extend(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -255,34 +268,32 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_column(cuts, pa.int32())], ["id", "mark", "cuts"])
 
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)), text_or_empty(text_col))
-    held = stage(map_rows(texts, lines, "id long, mark long, hashes array<long>, words array<short>, h array<long>, place array<int>"))
-    marks = held.select("id", F.inline_outer(F.arrays_zip("h", "place"))).where("h IS NOT NULL")
-    # id and place as one number where they fit, as an aggregate of numbers needs no sorting
-    low, high, most = held.agg(F.min("id"), F.max("id"), F.max(F.array_max("place"))).first()
-    bits = (most or 0).bit_length()
-    fits = low is None or (high - low + 1) << bits < 1 << 63
-    where = F.call_function("shiftleft", F.col("id") - (low or 0), F.lit(bits)).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("id", "place")
-    firsts = marks.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last")
-    if fits:
-        first = F.struct((F.call_function("shiftright", F.col("first"), F.lit(bits)) + (low or 0)).alias("id"), F.col("first").bitwiseAND((1 << bits) - 1).cast("int").alias("place"))
-        firsts = firsts.withColumn("first", first)
-    firsts = stage(firsts.select("h", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place")))
+    held = stage(map_rows(texts, lines, "id long, mark long, n int, hashes array<long>, words array<short>, marks array<struct<h: long, place: int>>"))
+    marks = held.select("id", F.inline("marks"))
+    low, high, most, rows, ids = held.agg(F.min("id"), F.max("id"), F.max("n"), F.count("*"), F.count_distinct("id")).first()
+    low, high, bits = low or 0, high or 0, (most or 0).bit_length()
+    unique_ids = rows == ids
+    # id and place, and both with a place of another document, as one number where they fit: an aggregate of numbers needs no sorting, and a list of them is short
+    fits = (high - low + 1) << 2 * bits < 1 << 63
+    where = F.shiftleft(F.col("id") - low, bits).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("id", "place")
+    firsts = stage(marks.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last").select("h", "first"))
     # most fingerprints occur once; few of these pass the filter and are shuffled
     common, _ = split_by(marks, F.col("h"), firsts, "h")
-    matches = common.join(firsts, "h").where("id <> first_id OR place <> first_place")
-    matches = matches.groupBy("id").agg(F.collect_list(F.struct("first_id", "place", "first_place")).alias("at"))
-    matches = stage(matches.select("id", *[F.col(f"at.{c}").alias(c) for c in ("first_id", "place", "first_place")]))
-
-    def chosen(ids: DataFrame, *cols: str) -> DataFrame:
-        """Of the rows of each id one, by the hash of its text."""
-        wanted, _ = split_by(held.select("id", "mark", *cols), F.col("id"), ids, "id")
-        return wanted.groupBy("id").agg(F.min(F.struct("mark", *cols)).alias("u")).select("id", "u.*")
-
-    own = chosen(matches, "hashes", "words").join(matches, "id")
-    own = map_rows(own, narrow, "id long, mark long, first_id long, begins array<int>, ends array<int>, hashes array<long>, words array<short>, place array<int>, first_place array<int>, low int, high int", 128)
-    asked = stage(matches.select(F.explode(F.array_distinct("first_id")).alias("id")).distinct())
-    # staged, so that a first document that many others meet is split in the join
-    others = stage(chosen(asked, "hashes").join(asked, "id", "left_semi").select(F.col("id").alias("first_id"), F.col("hashes").alias("others")))
+    met = F.shiftleft(F.col("first"), bits).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("first.id", "place", F.col("first.place").alias("first_place"))
+    matches = stage(common.join(firsts, "h").where(where != F.col("first")).groupBy("id").agg(F.collect_list(met).alias("met")))
+    # each fingerprint that is kept occurs at two places at least, so that each of these documents is met
+    asked = stage(firsts.select((F.shiftright(F.col("first"), bits) + low if fits else F.col("first.id")).alias("id")).distinct())
+
+    single = held
+    if not unique_ids:  # of the rows of each id one, by the hash of its text
+        twice = stage(held.groupBy("id").count().where("count > 1").select("id"))
+        several, single = split_by(held.drop("n", "marks"), F.col("id"), twice, "id")
+        several = several.groupBy("id").agg(F.min(F.struct("mark", "hashes", "words")).alias("u")).select("id", "u.*")
+        single = single.unionByName(several)
+    own, _ = split_by(single.select("id", "mark", "hashes", "words"), F.col("id"), matches, "id")
+    own = map_rows(own.join(matches, "id"), narrow, "id long, mark long, first_id long, begins array<int>, ends array<int>, hashes array<long>, words array<short>, place array<int>, first_place array<int>, low int, high int", 128)
+    # read by the join itself, so that a first document that many others meet is split there
+    others, _ = split_by(single.select(F.col("id").alias("first_id"), F.col("hashes").alias("others")), F.col("first_id"), asked, "id")
     both = own.join(others, "first_id").withColumn("others", F.slice("others", F.col("low") + 1, F.col("high") - F.col("low")))
     found = map_rows(both, extend, "id long, mark long, part array<int>").where("size(part) > 0")
     grouped = found.groupBy("id", "mark").agg(F.flatten(F.collect_list("part")).alias("parts"))
@@ -313,7 +324,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = repeats(docs, id_col, text_col, least_words)
     maybe, rest = split_by(plain, F.col(f"c{i}").cast("long"), found, "id")
     same = (F.col(f"c{i}").cast("long") == F.col("id")) & (F.xxhash64(text_or_empty(f"c{at}")) == F.col("mark"))
-    joined = maybe.join(found, same, "left").select(*plain.columns, "cuts")
+    joined = maybe.join(few(found, cells="cuts"), same, "left").select(*plain.columns, "cuts")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, before, after = batch.column(at).to_pylist(), [None] * batch.num_rows, [None] * batch.num_rows

@@ -7,14 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Hash functions, and the bounds of a filter's size in 64-bit words (1 KiB to 8 MiB).
+#: Bits of a key, and the bounds of a filter's size in 64-bit words (1 KiB to 8 MiB).
 HASHES, LEAST_WORDS, MOST_WORDS = 4, 1 << 7, 1 << 20
 
 
-def _places(key: Column, words: int) -> list[Column]:
-    """The bits of a key: one after another by two hashes."""
-    a, b = F.pmod(F.xxhash64(key), F.lit(1 << 40)), F.pmod(F.xxhash64(key, F.lit("step")), F.lit(1 << 40))
-    return [(a + i * b) % (words * 64) for i in range(HASHES)]
+def _place(key: Column, words: int) -> tuple[Column, Column]:
+    """(the word of a key, its bits there): all bits of a key are in one word, of which a power of two exists."""
+    h = F.xxhash64(key)
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, 24 + 6 * i).bitwiseAND(63).cast("int")) for i in range(HASHES)]
+    return h.bitwiseAND(words - 1).cast("int"), reduce(Column.bitwiseOR, bits)
 
 
 def bloom_filter(values: DataFrame, column: str) -> tuple[DataFrame, int]:
@@ -25,7 +26,8 @@ def bloom_filter(values: DataFrame, column: str) -> tuple[DataFrame, int]:
     held = values.select(F.col(column).alias("v")).where("v IS NOT NULL")
     n = held.count()
     words = min(MOST_WORDS, max(LEAST_WORDS, 1 << (n * 10 // 64).bit_length()))
-    bits = held.select(F.explode(F.array(*_places(F.col("v"), words))).alias("p")).select(F.floor(F.col("p") / 64).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int")).alias("bit"))
+    at, mask = _place(F.col("v"), words)
+    bits = held.select(at.alias("w"), mask.alias("bit"))
     none = values.sparkSession.range(words).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("bit"))
     merged = bits.unionByName(none).groupBy("w").agg(F.bit_or("bit").alias("bits"))
     return merged.agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "bits"))), lambda x: x["bits"]).alias("words")), words
@@ -33,7 +35,5 @@ def bloom_filter(values: DataFrame, column: str) -> tuple[DataFrame, int]:
 
 def might_hold(key: Column, words: Column, n: int) -> Column:
     """Whether the filter may hold ``key``: false is certain. A null key gives null."""
-    def bit(p: Column) -> Column:
-        return F.get(words, F.floor(p / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))) != 0
-
-    return F.when(key.isNotNull(), reduce(lambda x, y: x & y, map(bit, _places(key, n))))
+    at, mask = _place(key, n)
+    return F.when(key.isNotNull(), F.get(words, at).bitwiseAND(mask) == mask)

@@ -203,6 +203,43 @@ def test_stretches_lose_no_run_and_are_short():
     assert own.tolist() == [69, 70, 71, 72]
 
 
+def test_one_place_stands_for_a_run():
+    """Places that lead on to one another travel as one; where rows share an id, one of them may be another row's, so all travel."""
+    own, short = np.arange(30) * 7_919, np.full(30, 5)
+    places, firsts = np.array([4, 5, 7, 8, 11, 20, 21]), np.full(7, 3)
+    at = lambda **how: [(ps.tolist(), qs.tolist()) for *_, ps, qs, _, _ in lines.stretches(own, how.pop("words", short), firsts, places, places - 2, **how)]
+    assert at() == [([4, 11, 20], [2, 9, 18])]
+    assert at(unique_ids=False) == [(places.tolist(), (places - 2).tolist())]
+    assert at(words=np.where(np.arange(30) == 5, 30, 5)) == [([4, 7, 11, 20], [2, 5, 9, 18])]  # a line that is matched alone says nothing of the next
+
+
+def test_cuts_are_the_same_for_ids_that_fit_no_packed_number_and_for_repeated_ids(spark):
+    rng = random.Random(41)
+    pool = [" ".join(sentences(rng, 6)) for _ in range(4)]
+    texts = [" ".join([*sentences(rng, 2), rng.choice(pool), *sentences(rng, 2), rng.choice(pool)]) for _ in range(20)]
+    far = [(i - 10) * (1 << 59) for i in range(20)]
+    kind = "doc_id long, text string"
+    got = [{r["doc_id"]: r["text"] for r in lines.drop_repeats(spark.createDataFrame([*zip(ids, texts)], kind)).collect()} for ids in (range(20), far)]
+    assert [*got[0].values()] != texts and [got[0][i] for i in range(20)] == [got[1][i] for i in far]
+    rows = [*zip(range(20), texts), *zip(range(20), texts), (19, "Another text of the last id, with a few words.")]
+    twice = {(r["doc_id"], r["text"]) for r in lines.drop_repeats(spark.createDataFrame(rows, kind)).collect()}
+    assert {x for x in got[0].items() if x[0] < 19} == {x for x in twice if x[0] < 19}
+
+
+def test_texts_are_not_shuffled_for_few_cuts(spark):
+    rng = random.Random(43)
+    passage = " ".join(sentences(rng, 12))
+    docs = spark.createDataFrame([(i, f"{' '.join(sentences(rng, 3))} {passage}") for i in range(8)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lines.drop_repeats(docs)
+        assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.where("words_after < words_before").count() == 7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_split_lines_joins_to_the_text():
     rng = random.Random(22)
     for _ in range(200):

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from brightledger.operators.membership import bloom_filter
 from brightledger.sources.targets import append_new, split_by
 
 
@@ -29,3 +30,10 @@ def test_new_rows_of_an_append_are_not_shuffled_again(spark):
     assert sorted(r.k for r in out.collect()) == list(range(2000))
     maybe, lacking = split_by(spark.range(2000), F.col("id"), target, "k")
     assert maybe.count() < 1040 and lacking.count() > 960
+
+
+def test_a_value_is_one_row_of_the_filter(spark):
+    built, words = bloom_filter(spark.range(10_000), "id")
+    assert "Generate" not in built._jdf.queryExecution().executedPlan().toString()
+    held = built.first().words
+    assert len(held) == words and max(bin(w & (1 << 64) - 1).count("1") for w in held) <= 64 and sum(1 for w in held if w) > words / 2
