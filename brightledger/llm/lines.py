@@ -278,11 +278,12 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, least_words: int = LEAS
     where = F.shiftleft(F.col("id") - low, bits).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("id", "place")
     firsts = stage(marks.groupBy("h").agg(F.min(where).alias("first"), F.max(where).alias("last")).where("first < last").select("h", "first"))
     # most fingerprints occur once; few of these pass the filter and are shuffled
-    common, _ = split_by(marks, F.col("h"), firsts, "h")
-    met = F.shiftleft(F.col("first"), bits).bitwiseOR(F.col("place").cast("long")) if fits else F.struct("first.id", "place", F.col("first.place").alias("first_place"))
-    matches = stage(common.join(firsts, "h").where(where != F.col("first")).groupBy("id").agg(F.collect_list(met).alias("met")))
+    common, _ = split_by(marks.select("h", where.alias("at")), F.col("h"), firsts, "h")
+    id_of = lambda c: F.shiftright(c, bits) + low if fits else F.col(f"{c}.id")
+    met = F.shiftleft("first", bits).bitwiseOR(F.col("at").bitwiseAND((1 << bits) - 1)) if fits else F.struct("first.id", "at.place", F.col("first.place").alias("first_place"))
+    matches = stage(common.join(firsts, "h").where("at <> first").groupBy(id_of("at").alias("id")).agg(F.collect_list(met).alias("met")))
     # each fingerprint that is kept occurs at two places at least, so that each of these documents is met
-    asked = stage(firsts.select((F.shiftright(F.col("first"), bits) + low if fits else F.col("first.id")).alias("id")).distinct())
+    asked = stage(firsts.select(id_of("first").alias("id")).distinct())
 
     single = held
     if not unique_ids:  # of the rows of each id one, by the hash of its text
