@@ -179,7 +179,7 @@ SPAN = """SELECT *, coalesce(lag(ts) OVER w, ts - INTERVAL 1 YEAR) AS prev, coal
       ltrim(CASE l_partkey % 4 WHEN 1 THEN ',Loose fit' WHEN 3 THEN ',Tight fit' ELSE '' END || CASE WHEN l_orderkey % 4 = 1 THEN ',Low Quality' ELSE '' END, ',') AS cons
     FROM rl LEFT JOIN o1 ON e = o1.oe AND sku = osku AND loc BETWEEN o1.prev AND o1.post LEFT JOIN o2 ON e = o2.oe AND loc BETWEEN o2.prev AND o2.post""")
 def review_feed(spark, sf):
-    return feeds.review_feed(A.reviews(spark, sf), A.review_authors(spark, sf), A.inventory(spark, sf), A.gtins(spark, sf), A.mpns(spark, sf), A.stock(spark, sf), A.order_items(spark, sf),
+    return feeds.review_feed(A.reviews(spark, sf), A.review_authors(spark, sf), A.inventory(spark, sf), A.gtins(spark, sf), A.mpns(spark, sf), A.stock(spark, sf), A.purchased_items(spark, sf),
                              "https://shop.example/")
 
 

@@ -229,6 +229,15 @@ def order_items(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_extendedprice") * F.col("l_discount") * 0.1).alias("Item_Gift_Certificate_Amount"))
 
 
+def purchased_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Who bought which item when: four columns of ``order_items``. Line items meet their part first, while they are two numbers, and come grouped by order."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(table(spark, sf, "part").select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return li.select("l_orderkey", "p_partkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderkey").alias("Order_Number"), F.expr("o_orderdate + make_dt_interval(0, 0, cast(o_orderkey % 1440 as int))").alias("Creation_Datetime"),
+        F.expr(EMAIL).alias("customer_email"), F.expr("cast(p_partkey % 90 + 10 as string) || '-' || p_partkey").alias("FinalShortSKU"))
+
+
 EMAIL = ("case when o_custkey % 97 = 5 then '' else case when o_custkey % 2 = 0 then 'U' else 'u' end "
          "|| o_custkey || '@x' end")
 EYEWEAR = ("case p_size % 5 when 0 then 'Contact Lenses' when 1 then case when p_size % 2 = 0 then 'Accessories' "
@@ -533,11 +542,13 @@ def app_visitors(spark: SparkSession, sf: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    # what is made of one column of a line is made before the join, where it is smaller
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", F.expr("cast(l_quantity % 5 + 1 as int)").alias("overall"), F.expr("nullif(cast(l_suppkey % 5 as int), 0)").alias("style"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.expr("(l_orderkey * 8 + l_linenumber) * 1000000 + l_partkey").alias("id"), F.expr("'Nick ' || o_custkey").alias("nickname"), F.col("o_custkey").alias("author_id"),
         F.expr("l_shipdate + make_dt_interval(0, cast(l_partkey % 24 as int), 7, 9)").alias("created_at"), F.expr("'T' || l_linenumber").alias("title"), F.expr("'Text ' || l_partkey").alias("detail"),
-        F.expr("cast(l_quantity % 5 + 1 as int)").alias("overall"), F.expr("l_linenumber % 2 = 0").alias("recommend"), F.expr("nullif(cast(l_partkey % 4 as int), 0)").alias("fit"),
-        F.expr("nullif(cast(l_suppkey % 5 as int), 0)").alias("style"), F.expr("nullif(cast(l_orderkey % 4 as int), 0)").alias("quality"),
+        "overall", F.expr("l_linenumber % 2 = 0").alias("recommend"), F.expr("nullif(cast(l_partkey % 4 as int), 0)").alias("fit"),
+        "style", F.expr("nullif(cast(l_orderkey % 4 as int), 0)").alias("quality"),
         F.expr("case when l_linenumber % 3 <> 0 then 1 else 2 end").alias("status_id"), F.col("l_partkey").alias("product_id"))
 
 

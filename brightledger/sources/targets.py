@@ -294,14 +294,14 @@ def _drop_at_end(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write an intermediate table to the folder of ``shared_folder`` and read it back.
+def stage(df: DataFrame, codec: str | None = None) -> DataFrame:
+    """Write an intermediate table to the folder of ``shared_folder``, with a ``codec`` other than the session's where one is given, and read it back.
 
     For results that several later steps read: the work is done once, lost executors do not
     undo it, and later scans read only the columns they need. The files go when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     _drop_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
