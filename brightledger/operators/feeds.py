@@ -43,14 +43,24 @@ def purchases_around(reviews: DataFrame, orders: DataFrame, keys: list[str]) ->
     return found.select("review_id", "at", *keys, earlier.alias("earlier"), later.alias("later"), "same")
 
 
+def _at_moment(found: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
+    """(review_id, at, keys, Order_Number) of the orders at a review's own moment, for the few reviews that have some."""
+    moment = found.where("same > 0").select("review_id", "at", *keys, F.col("at").cast("timestamp_ntz").alias("ts"))
+    return moment.join(orders.select(*keys, F.col("ts").cast("timestamp_ntz").alias("ts"), "Order_Number"), [*keys, "ts"]).drop("ts")
+
+
+def order_rows(found: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
+    """(review_id, at, Order_Number) of ``purchases_around``; orders at a review's own moment are joined."""
+    beside = found.select("review_id", "at", F.explode(F.array("earlier", "later")).alias("Order_Number")).where("Order_Number IS NOT NULL")
+    return beside.unionByName(_at_moment(found, orders, keys).select("review_id", "at", "Order_Number"))
+
+
 def at_once(found: DataFrame, orders: DataFrame, keys: list[str]) -> DataFrame:
-    """``purchases_around`` with ``at_once``, the orders at a review's own moment, in place of their number; they are joined for the few reviews that have some."""
-    review = ["review_id", "at", *keys]
-    found = stage(found)
+    """``purchases_around`` with ``at_once``, the orders at a review's own moment, in place of their number."""
+    review, found = ["review_id", "at", *keys], stage(found)
     if not found.where("same > 0").take(1):
         return found.drop("same").withColumn("at_once", F.lit(None).cast(ArrayType(StructType([orders.schema["Order_Number"]]))))
-    moment = found.where("same > 0").select(*review, F.col("at").cast("timestamp_ntz").alias("ts")).distinct()
-    held = moment.join(orders.select(*keys, F.col("ts").cast("timestamp_ntz").alias("ts"), "Order_Number").distinct(), [*keys, "ts"])
+    held = _at_moment(found, orders, keys).distinct()
     return found.drop("same").join(held.groupBy(*review).agg(F.collect_list(F.struct("Order_Number")).alias("at_once")), review, "left")
 
 
